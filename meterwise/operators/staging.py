@@ -43,7 +43,7 @@ def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.d
                .withColumn("_ts", parse_ts("transaction_date"))
                .where(F.col("_ts") > lower_bound(watermark, lookback)))
     latest = _latest(cand, "transaction_id",
-                     [F.col("_ts").desc(), F.col("amount").desc_nulls_last(), F.col("customer_id").desc()])
+                     [F.col("_ts").desc(), F.col("amount").desc_nulls_last(), F.col("customer_id").asc()])
     return latest.select(
         "transaction_id", "customer_id",
         F.coalesce(F.col("amount"), F.lit(0).cast(S.AMOUNT_T)).alias("amount"),
@@ -60,7 +60,7 @@ def stage_sessions(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.d
                .where(F.col("_start") > lower_bound(watermark, lookback)))
     latest = _latest(cand, "session_id",
                      [F.col("_start").desc(), F.col("_end").desc_nulls_last(),
-                      F.col("data_used_mb").desc_nulls_last(), F.col("customer_id").desc()])
+                      F.col("data_used_mb").desc_nulls_last(), F.col("customer_id").asc()])
     return latest.select(
         "session_id", "customer_id",
         F.col("_start").alias("start_time"), F.col("_end").alias("end_time"),

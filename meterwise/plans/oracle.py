@@ -87,7 +87,7 @@ def stg_billings(src: str, wm: dt.datetime) -> str:
   FROM (SELECT *, TRY_CAST(transaction_date AS TIMESTAMP) AS ts,
                ROW_NUMBER() OVER (PARTITION BY transaction_id
                                   ORDER BY TRY_CAST(transaction_date AS TIMESTAMP) DESC NULLS LAST,
-                                           amount DESC NULLS LAST, customer_id DESC) AS rn
+                                           amount DESC NULLS LAST, customer_id ASC) AS rn
         FROM {src}
         WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL
           AND TRY_CAST(transaction_date AS TIMESTAMP) > {_ts(wm)} - INTERVAL 3 DAY) d
@@ -107,7 +107,7 @@ def stg_sessions(src: str, wm: dt.datetime) -> str:
                ROW_NUMBER() OVER (PARTITION BY session_id
                                   ORDER BY TRY_CAST(start_time AS TIMESTAMP) DESC NULLS LAST,
                                            TRY_CAST(end_time AS TIMESTAMP) DESC NULLS LAST,
-                                           data_used_mb DESC NULLS LAST, customer_id DESC) AS rn
+                                           data_used_mb DESC NULLS LAST, customer_id ASC) AS rn
         FROM {src}
         WHERE session_id IS NOT NULL AND customer_id IS NOT NULL
           AND TRY_CAST(start_time AS TIMESTAMP) > {_ts(wm)} - INTERVAL 3 DAY) d

@@ -1,0 +1,107 @@
+"""Versioned parquet snapshots with an atomic, multi-table commit.
+
+Parquet cannot be rewritten in place while it is being read, and has no MERGE.
+So a run writes every table it changes to a fresh directory
+``<root>/<table>/run=<run_id>/`` and then publishes them together by appending
+one small file to ``<root>/_commits`` that lists (run_id, table, path).
+Readers take, per table, the path of the latest commit; a run that dies before
+its commit leaves nothing visible and is simply repeated. Append-only tables
+(quarantine) publish one part per run and read the union of all parts.
+
+Writing a version and reading it back is also how lineage is cut between
+stages, on the shared folder, so a lost executor never forces a recompute
+from the raw sources.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meterwise import schemas as S
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("table", T.StringType(), False),
+    T.StructField("path", T.StringType(), False),
+    T.StructField("mode", T.StringType(), False),        # snapshot | append
+    T.StructField("committed_at_ns", T.LongType(), False),
+])
+
+
+class TableStore:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ---- commit log --------------------------------------------------------
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
+        except AnalysisException:
+            return None
+
+    def committed_runs(self) -> set[str]:
+        log = self._log()
+        return set() if log is None else {r.run_id for r in log.select("run_id").distinct().collect()}
+
+    def _paths(self, table: str) -> tuple[str, list[str]]:
+        """(mode, paths) of the committed state of ``table``."""
+        log = self._log()
+        if log is None:
+            return "snapshot", []
+        rows = (log.where(F.col("table") == table)
+                   .select("path", "mode", "committed_at_ns").collect())  # a few rows per run
+        if not rows:
+            return "snapshot", []
+        rows.sort(key=lambda r: r.committed_at_ns)
+        if rows[-1].mode == "append":
+            start = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=-1)
+            return "append", [r.path for r in rows[start:] if r.path]
+        return "snapshot", [rows[-1].path] if rows[-1].path else []
+
+    # ---- tables ------------------------------------------------------------
+    def schema(self, table: str) -> T.StructType:
+        return S.TABLES[table][0]
+
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or self.schema(table)
+        _, paths = self._paths(table)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def write(self, table: str, df: DataFrame, run_id: str, part: str = "") -> str:
+        """Write one uncommitted version; a retried run overwrites its own files only."""
+        path = f"{self.root}/{table}/run={run_id}{part}"
+        df.write.mode("overwrite").parquet(path)
+        return path
+
+    def stage(self, table: str, df: DataFrame, run_id: str) -> DataFrame:
+        """Write and read back: cuts lineage on the shared folder."""
+        path = self.write(table, df, run_id, "-stage")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def commit(self, run_id: str, snapshots: dict[str, str], appends: dict[str, str] | None = None) -> None:
+        """Publish all tables of a run at once (one file appended to the log)."""
+        now = time.time_ns()
+        rows = [(run_id, t, p, "snapshot", now) for t, p in snapshots.items()]
+        rows += [(run_id, t, p, "append", now) for t, p in (appends or {}).items()]
+        (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(f"{self.root}/_commits"))
+
+    def empty_path(self, table: str, run_id: str) -> str:
+        """An empty committed snapshot (TRUNCATE)."""
+        return self.write(table, self.spark.createDataFrame([], self.schema(table)), run_id, "-empty")
+
+    def init_tables(self, run_id: str = "init") -> None:
+        """Create every table empty if it has never been committed (IF NOT EXISTS)."""
+        log = self._log()
+        known = set() if log is None else {r.table for r in log.select("table").distinct().collect()}
+        missing = {t: self.empty_path(t, run_id) for t in S.TABLES if t not in known}
+        if missing:
+            self.commit(run_id, missing)
