@@ -109,6 +109,16 @@ def stage_customers(src: DataFrame, run_date: dt.date, watermark: dt.datetime |
     return stage_customers_incremental(src, watermark, run_ts)
 
 
+def billing_order() -> list[Column]:
+    """Latest-wins order of staged billing rows (same tie-break as staging)."""
+    return [F.col("transaction_date").desc(), F.col("amount").desc(), F.col("customer_id").asc()]
+
+
+def session_order() -> list[Column]:
+    return [F.col("start_time").desc(), F.col("end_time").desc_nulls_last(),
+            F.col("data_used_mb").desc(), F.col("customer_id").asc()]
+
+
 def customer_load_mode(run_date: dt.date) -> str:
     return "full" if run_date.weekday() == S.FULL_LOAD_WEEKDAY else "incremental"
 

@@ -147,10 +147,9 @@ def _recompute_revenue(w: World) -> DataFrame:
     """Default mode: history = latest-wins upsert of both runs' staging, then A1
     recomputed for the customers the second run touched."""
     c = w.stg_customers()
-    order = [F.col("transaction_date").desc(), F.col("amount").desc(), F.col("customer_id").asc()]
     before = w.stg_billings_run1()
     delta = w.stg_billings_run2()
-    hist = U.upsert_latest(before, delta, ["transaction_id"], order)
+    hist = U.upsert_latest(before, delta, ["transaction_id"], G.billing_order())
     prior = A.user_revenue(before, c, RUN_TS)
     touched = (delta.select("customer_id")
                .unionByName(before.join(delta.select("transaction_id"), "transaction_id", "left_semi")

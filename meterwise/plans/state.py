@@ -60,7 +60,8 @@ class TableStore:
             return "snapshot", []
         rows.sort(key=lambda r: r.committed_at_ns)
         if rows[-1].mode == "append":
-            start = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=-1)
+            # parts appended since the last full snapshot (if any)
+            start = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=0)
             return "append", [r.path for r in rows[start:] if r.path]
         return "snapshot", [rows[-1].path] if rows[-1].path else []
 

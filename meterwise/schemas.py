@@ -106,6 +106,9 @@ USER_ANALYTICS = _s(
     ("short_sessions", L, True), ("medium_sessions", L, True), ("long_sessions", L, True),
     ("avg_data_per_session_mb", DT, True), ("row_hash", S, True), ("last_updated_at", TS_T, True))
 DQ_REPORT = _s(("source_table", S, False), ("check_type", S, False), ("faulty_rows", L, False))
+DQ_HISTORY = _s(("source_table", S, False), ("check_type", S, False), ("faulty_rows", L, False),
+                ("run_date", D, False))
+LATE_BILLINGS = _s(*[(f.name, f.dataType, True) for f in SRC_BILLING_SCHEMA.fields], ("run_date", D, False))
 
 # name -> (schema, key columns, transient?)  transient tables are emptied after a run
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
@@ -126,6 +129,9 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "dim_customers": (STG_CUSTOMERS, ("customer_id",), False),
     "hist_billings": (STG_BILLINGS, ("transaction_id",), False),
     "hist_sessions": (STG_SESSIONS, ("session_id",), False),
+    # append-only run reports
+    "dq_report": (DQ_HISTORY, (), False),
+    "late_billings": (LATE_BILLINGS, (), False),
 }
 
 TRANSIENT = tuple(n for n, (_, _, t) in TABLES.items() if t and n != "stg_user_analytics")

@@ -20,14 +20,12 @@ from pyspark.sql import functions as F
 
 from meterwise import schemas as S
 from meterwise.functions import parse_ts
-from meterwise.operators.staging import stage_billings
+from meterwise.operators.staging import billing_order, stage_billings
 from meterwise.operators.upsert import upsert_latest
 from meterwise.operators.watermark import advance, current, seed_rows
 from meterwise.plans.state import TableStore
 from meterwise.session import unique_scratch
 
-ORDER = [F.col("transaction_date").desc(), F.col("amount").desc(), F.col("customer_id").asc()]
-
 
 def billing_batch_writer(store: TableStore, run_ts: dt.datetime):
     """The ``foreachBatch`` function: stage, merge latest-wins, advance, commit."""
@@ -41,7 +39,7 @@ def billing_batch_writer(store: TableStore, run_ts: dt.datetime):
             wm_table = seed_rows(store.spark)
         wm = current(wm_table)[S.SRC_BILLING]
         staged = store.stage("stg_billings", stage_billings(batch, wm, run_ts), run_id)
-        merged = upsert_latest(store.read("stg_billings"), staged, ["transaction_id"], ORDER)
+        merged = upsert_latest(store.read("stg_billings"), staged, ["transaction_id"], billing_order())
         wm_next = advance(wm_table, {S.SRC_BILLING: staged}, run_ts)
         store.commit(run_id, {
             "stg_billings": store.write("stg_billings", merged, run_id),
