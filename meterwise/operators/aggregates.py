@@ -18,18 +18,22 @@ from meterwise import schemas as S
 from meterwise.functions import month_start, ntz, session_bucket
 
 
-def _known(df: DataFrame, customers: DataFrame) -> DataFrame:
+def _known(df: DataFrame, customers: DataFrame | None) -> DataFrame:
+    """Keep known customers. ``None`` skips the filter, for consumers that join
+    to the customer table themselves (the wide table's LEFT JOIN drops the rest)."""
+    if customers is None:
+        return df
     return df.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
-def user_revenue(billings: DataFrame, customers: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def user_revenue(billings: DataFrame, customers: DataFrame | None, run_ts: dt.datetime) -> DataFrame:
     per = billings.groupBy("customer_id").agg(
         F.sum("amount").alias("total_revenue"),
         F.count(F.lit(1)).alias("total_transactions"))
     return _known(per, customers).withColumn("last_updated_at", ntz(run_ts))
 
 
-def user_usage(sessions: DataFrame, customers: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def user_usage(sessions: DataFrame, customers: DataFrame | None, run_ts: dt.datetime) -> DataFrame:
     per = sessions.groupBy("customer_id").agg(
         F.sum("data_used_mb").alias("total_data_used_mb"),
         F.sum("session_duration_sec").alias("total_session_duration"),
@@ -37,7 +41,7 @@ def user_usage(sessions: DataFrame, customers: DataFrame, run_ts: dt.datetime) -
     return _known(per, customers).withColumn("last_updated_at", ntz(run_ts))
 
 
-def monthly_revenue(billings: DataFrame, customers: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def monthly_revenue(billings: DataFrame, customers: DataFrame | None, run_ts: dt.datetime) -> DataFrame:
     per = (billings.where(F.col("transaction_date").isNotNull())
                    .groupBy("customer_id", month_start("transaction_date").alias("month"))
                    .agg(F.sum("amount").alias("total_revenue")))
@@ -55,7 +59,7 @@ def arpu(monthly: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return per.select("customer_id", value.alias("arpu"), ntz(run_ts).alias("last_updated_at"))
 
 
-def session_buckets(sessions: DataFrame, customers: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def session_buckets(sessions: DataFrame, customers: DataFrame | None, run_ts: dt.datetime) -> DataFrame:
     return _known(sessions, customers).select(
         "session_id", "customer_id", session_bucket("session_duration_sec").alias("bucket"),
         ntz(run_ts).alias("last_updated_at"))
@@ -69,7 +73,7 @@ def session_distribution(buckets: DataFrame, run_ts: dt.datetime) -> DataFrame:
     ).withColumn("last_updated_at", ntz(run_ts))
 
 
-def session_distribution_direct(sessions: DataFrame, customers: DataFrame,
+def session_distribution_direct(sessions: DataFrame, customers: DataFrame | None,
                                 run_ts: dt.datetime) -> DataFrame:
     """Same counts straight from sessions: aggregate first, then keep known customers."""
     b = session_bucket("session_duration_sec")
@@ -80,8 +84,9 @@ def session_distribution_direct(sessions: DataFrame, customers: DataFrame,
     return _known(per, customers).withColumn("last_updated_at", ntz(run_ts))
 
 
-def all_aggregates(billings: DataFrame, sessions: DataFrame, customers: DataFrame,
+def all_aggregates(billings: DataFrame, sessions: DataFrame, customers: DataFrame | None,
                    run_ts: dt.datetime) -> dict[str, DataFrame]:
+    """A1-A6; with ``customers=None`` the per-customer results keep unknown ids."""
     monthly = monthly_revenue(billings, customers, run_ts)
     buckets = session_buckets(sessions, customers, run_ts)
     return {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterwise import schemas as S
 from meterwise.functions import ntz, parse_ts, record_hash, row_json
+from meterwise.operators.joins import filter_by_keys
 from meterwise.operators.quality import invalid_session_times
 
 
@@ -28,10 +29,11 @@ def capture(df: DataFrame, source: str, check_type: str, run_ts: dt.datetime) ->
 
 def rows_with_repeated_key(df: DataFrame, key: str) -> DataFrame:
     """Every row whose key occurs more than once. NULL keys never match, as with IN.
-    The key list is built with partial aggregation; the semi join is broadcast by
-    AQE when the list is small and skew-split otherwise."""
+    The key list is built with partial aggregation, materialized and counted; it
+    is broadcast when small, so the rows are not shuffled, and skew-split by AQE
+    otherwise."""
     repeated = df.groupBy(key).count().where(F.col("count") > 1).select(key)
-    return df.join(repeated, key, "left_semi")
+    return filter_by_keys(df, repeated, key, "left_semi")
 
 
 def orphans(activity: DataFrame, customers: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def orphans(activity: DataFrame, customers: DataFrame) -> DataFrame:
     are found on pre-aggregated ids first, then the rows are semi-joined to them."""
     ids = activity.where(F.col("customer_id").isNotNull()).select("customer_id").distinct()
     orphan_ids = ids.join(customers.select("customer_id"), "customer_id", "left_anti")
-    return activity.join(orphan_ids, "customer_id", "left_semi").select(*activity.columns)
+    return filter_by_keys(activity, orphan_ids, "customer_id", "left_semi").select(*activity.columns)
 
 
 def null_identifier(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
@@ -106,9 +108,12 @@ def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
 
 
 def new_records(existing: DataFrame, captured: DataFrame) -> DataFrame:
-    """Rows to append: one per hash (identical rows collapse), none already stored."""
+    """Rows to append: one per hash (identical rows collapse), none already stored.
+    The stored hashes are only probed for today's hashes (a checked-size key set),
+    so the ever-growing table is scanned but not shuffled."""
     first = captured.dropDuplicates(["record_hash"])
-    return first.join(existing.select("record_hash"), "record_hash", "left_anti").select(*captured.columns)
+    known = filter_by_keys(existing.select("record_hash"), first, "record_hash", "left_semi")
+    return first.join(known, "record_hash", "left_anti").select(*captured.columns)
 
 
 def append(existing: DataFrame, captured: DataFrame) -> DataFrame:

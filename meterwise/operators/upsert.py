@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterwise.operators.joins import split_by_keys
+
 INSERT_ONLY, REPLACE, ADDITIVE = "insert_only", "replace", "additive"
 
 
@@ -29,25 +31,32 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "delta") -> No
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str,
            cols: Sequence[str] | None = None, sums: Sequence[str] | None = None,
-           latest: str | None = "last_updated_at") -> DataFrame:
+           latest: str | None = "last_updated_at", materialized: bool = False) -> DataFrame:
     """Next version of ``target`` after writing ``delta`` (unique on ``keys``).
 
     * ``insert_only``: new keys are added, existing rows never change.
     * ``replace``: matched rows take delta's values for ``cols`` (default: every
       non-key column) and keep their own for the rest; new keys are inserted.
     * ``additive``: matched rows add delta's ``sums``; ``latest`` takes the max.
+
+    The target is split by the delta's keys (broadcast when their count is within
+    the bound): untouched rows pass through without a shuffle, and only the
+    touched rows meet the delta. ``materialized`` says ``delta`` is already read
+    from storage, so its keys need no checkpoint.
     """
     keys = list(keys)
     delta = delta.select(*target.columns)
     if policy == INSERT_ONLY:
-        return target.unionByName(delta.join(target.select(*keys), keys, "left_anti"))
+        _, existing = split_by_keys(target.select(*keys), delta, keys, not materialized)
+        return target.unionByName(delta.join(existing, keys, "left_anti"))
+    untouched, touched = split_by_keys(target, delta, keys, not materialized)
     if policy == REPLACE:
         rest = [c for c in target.columns if c not in keys]
         cols = rest if cols is None else list(cols)
         if set(cols) == set(rest):
             # whole-row replace: untouched target rows plus the delta
-            return target.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
-        t, d = target.alias("t"), delta.alias("d")
+            return untouched.unionByName(delta)
+        t, d = touched.alias("t"), delta.alias("d")
         cond = [F.col(f"t.{k}") == F.col(f"d.{k}") for k in keys]
         in_delta = F.col(f"d.{keys[0]}").isNotNull()
         out = [F.coalesce(F.col(f"d.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
@@ -57,23 +66,27 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str
             else:
                 out.append(F.when(F.col(f"t.{keys[0]}").isNotNull(), F.col(f"t.{c}"))
                             .otherwise(F.col(f"d.{c}")).alias(c))
-        return t.join(d, cond, "full_outer").select(*out)
+        return untouched.unionByName(t.join(d, cond, "full_outer").select(*out))
     if policy == ADDITIVE:
         sums = [c for c in target.columns if c not in keys and c != latest] if sums is None else list(sums)
         aggs = [F.sum(c).cast(target.schema[c].dataType).alias(c) for c in sums]
         if latest:
             aggs.append(F.max(latest).alias(latest))
-        return target.unionByName(delta).groupBy(*keys).agg(*aggs).select(*target.columns)
+        added = touched.unionByName(delta).groupBy(*keys).agg(*aggs).select(*target.columns)
+        return untouched.unionByName(added)
     raise ValueError(f"unknown policy {policy!r}")
 
 
 def upsert_latest(target: DataFrame, delta: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column]) -> DataFrame:
+                  order: Sequence[Column], materialized: bool = False) -> DataFrame:
     """Keep, per key, the row that sorts first by ``order`` across target and delta.
-    Arrival order does not matter, so replaying a batch is harmless."""
+    Arrival order does not matter, so replaying a batch is harmless. Only target
+    rows sharing a key with the delta are re-sorted."""
+    delta = delta.select(*target.columns)
+    untouched, touched = split_by_keys(target, delta, keys, not materialized)
     w = Window.partitionBy(*keys).orderBy(*order)
-    both = target.unionByName(delta.select(*target.columns))
-    return both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    both = touched.unionByName(delta)
+    return untouched.unionByName(both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
 
 
 def merge_guarded(target: DataFrame, source: DataFrame, key: str,

@@ -85,13 +85,13 @@ class World:
         return H.user_analytics(customers, aggs["agg_user_revenue"], aggs["agg_user_usage"],
                                 aggs["agg_arpu"], aggs["agg_session_distribution"], RUN_TS)
 
+    # the wide table LEFT JOINs onto customers, so its aggregates skip the known-customer filter
     def wide_full(self) -> DataFrame:
-        c = self.stg_customers()
-        return self.wide(self.aggregates(self.stg_billings(), self.stg_sessions(), c), c)
+        return self.wide(self.aggregates(self.stg_billings(), self.stg_sessions(), None), self.stg_customers())
 
     def wide_run1(self) -> DataFrame:
-        c = self.stg_customers_run1()
-        return self.wide(self.aggregates(self.stg_billings_run1(), self.stg_sessions_run1(), c), c)
+        return self.wide(self.aggregates(self.stg_billings_run1(), self.stg_sessions_run1(), None),
+                         self.stg_customers_run1())
 
 
 def _w(fn: Callable[[World], DataFrame]) -> Query:

@@ -29,6 +29,7 @@ from meterwise.operators import staging as G
 from meterwise.operators import upsert as U
 from meterwise.operators import warehouse as H
 from meterwise.operators import watermark as W
+from meterwise.operators.joins import filter_by_keys
 from meterwise.plans.state import TableStore
 from meterwise.sources.io import export_csv, import_csv
 
@@ -147,7 +148,8 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
                run_ts: dt.datetime) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Rebuild the aggregates of every customer this run touched from history."""
     policy = U.REPLACE if load == "full" else U.INSERT_ONLY
-    dim = run.put("dim_customers", U.upsert(store.read("dim_customers"), stg_c, ["customer_id"], policy))
+    dim = run.put("dim_customers", U.upsert(store.read("dim_customers"), stg_c, ["customer_id"], policy,
+                                            materialized=True))
     old_b, old_s = store.read("hist_billings"), store.read("hist_sessions")
 
     # rows that arrived too late for the lookback and were never loaded
@@ -155,22 +157,27 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
                        "transaction_date", wms[S.SRC_BILLING], old_b.select("transaction_id"))
     run.add("late_billings", late.withColumn("run_date", F.lit(run_date)))
 
-    hist_b = run.put("hist_billings", U.upsert_latest(old_b, stg_b, ["transaction_id"], G.billing_order()))
-    hist_s = run.put("hist_sessions", U.upsert_latest(old_s, stg_s, ["session_id"], G.session_order()))
+    hist_b = run.put("hist_billings", U.upsert_latest(old_b, stg_b, ["transaction_id"], G.billing_order(),
+                                                      materialized=True))
+    hist_s = run.put("hist_sessions", U.upsert_latest(old_s, stg_s, ["session_id"], G.session_order(),
+                                                      materialized=True))
     # customers whose aggregates may change: new activity, activity moved away
     # from them by a corrected row, and customers (re)loaded today
     touched = store.stage("touched_customers", (
         stg_b.select("customer_id")
         .unionByName(stg_s.select("customer_id"))
         .unionByName(stg_c.select("customer_id"))
-        .unionByName(old_b.join(stg_b.select("transaction_id"), "transaction_id", "left_semi").select("customer_id"))
-        .unionByName(old_s.join(stg_s.select("session_id"), "session_id", "left_semi").select("customer_id"))
+        .unionByName(filter_by_keys(old_b, stg_b, "transaction_id", "left_semi", materialize=False)
+                     .select("customer_id"))
+        .unionByName(filter_by_keys(old_s, stg_s, "session_id", "left_semi", materialize=False)
+                     .select("customer_id"))
         .distinct()), run.run_id)
-    fresh = A.all_aggregates(hist_b.join(touched, "customer_id", "left_semi"),
-                             hist_s.join(touched, "customer_id", "left_semi"), dim, run_ts)
+    fresh = A.all_aggregates(filter_by_keys(hist_b, touched, "customer_id", "left_semi", materialize=False),
+                             filter_by_keys(hist_s, touched, "customer_id", "left_semi", materialize=False),
+                             dim, run_ts)
     out = {}
     for t in CUSTOMER_KEYED:
-        kept = store.read(t).join(touched, "customer_id", "left_anti")
+        kept = filter_by_keys(store.read(t), touched, "customer_id", "left_anti", materialize=False)
         out[t] = run.put(t, kept.unionByName(fresh[t].select(*kept.columns)))
     run.put("session_buckets", fresh["session_buckets"])
     return dim, out

@@ -43,8 +43,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when it is unset (local runs, tests) is a local folder created and set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="meterwise-ckpt-")
     log.warning("spark.checkpoint.dir is unset; using local %s (not for clusters)", local)

@@ -24,11 +24,32 @@ def test_dedup_is_a_partial_top1_window(spark):
 
 
 def test_semi_and_anti_joins_are_used(spark):
-    assert "LeftSemi" in plan_text(_q(spark, "quarantine_duplicate_identifier"))
-    assert "LeftAnti" in plan_text(_q(spark, "quarantine_orphaned_customer_id"))
+    # the repeated-key and orphan-id sets are materialized, counted, and broadcast
+    # (they are small), so the source rows are filtered without a shuffle
+    assert "BroadcastHashJoin LeftSemi" in plan_text(_q(spark, "quarantine_duplicate_identifier"))
+    assert "BroadcastHashJoin LeftSemi" in plan_text(_q(spark, "quarantine_orphaned_customer_id"))
     assert "LeftAnti" in plan_text(_q(spark, "dq_referential_integrity"))
 
 
+def test_key_sets_over_the_bound_are_not_broadcast(spark):
+    from meterwise.operators.joins import MAX_BROADCAST_KEYS_CONF
+    # with Catalyst's own size-based broadcast off too, the join must fall back
+    # to a shuffled semi join rather than broadcast an unchecked key set
+    confs = {MAX_BROADCAST_KEYS_CONF: "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = _q(spark, "quarantine_duplicate_identifier")
+        df.collect()
+        text = plan_text(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "BroadcastHashJoin LeftSemi" not in text and "LeftSemi" in text
+
+
 def test_aggregation_is_partial_before_the_shuffle(spark):
     text = plan_text(_q(spark, "agg_user_revenue"))
     assert "HashAggregate" in text and "partial_sum" in text
