@@ -106,3 +106,12 @@ class TableStore:
         missing = {t: self.empty_path(t, run_id) for t in S.TABLES if t not in known}
         if missing:
             self.commit(run_id, missing)
+
+    def compact(self, table: str, run_id: str) -> None:
+        """Publish an append-only table's parts as one snapshot; later appends
+        continue from it, so reads stop listing one directory per past run."""
+        mode, paths = self._paths(table)
+        if mode != "append" or len(paths) <= 1:
+            return
+        df = self.spark.read.schema(self.schema(table)).parquet(*paths)
+        self.commit(run_id, {table: self.write(table, df, run_id, "-compact")})

@@ -100,7 +100,7 @@ def test_late_rows_inside_and_outside_lookback(spark, workdir):
     late = BILLING_DAY1 + [(20, 1, Decimal("3.00"), "NGN", "2025-01-03 00:00:01"),   # inside 3 days
                            (21, 1, Decimal("4.00"), "NGN", "2025-01-02 00:00:00"),   # too late
                            (22, 2, Decimal("1.00"), "NGN", "2025-01-06 00:00:00")]
-    run_daily(spark, store, _sources(spark, late, SESSIONS_DAY2), MON, RUN_TS)
+    run_daily(spark, store, _sources(spark, late, SESSIONS_DAY2), MON, RUN_TS, report_late=True)
     assert _rev(store)[1] == (Decimal("153.00"), 3)
     reported = [r.transaction_id for r in store.read("late_billings").collect()]
     assert reported == [21]
@@ -164,3 +164,17 @@ def test_daily_run_on_fixture_tables(spark, workdir):
     before = _snapshot(store, ["agg_user_revenue", "quarantine_records"])
     run_daily(spark, store, src, dt.date(2001, 7, 2), RUN_TS, check_fresh=False)
     assert _snapshot(store, ["agg_user_revenue", "quarantine_records"]) == before
+
+
+def test_compact_keeps_append_table_contents(spark, workdir):
+    store = TableStore(spark, workdir)
+    run_daily(spark, store, _sources(spark, BILLING_DAY1), SUN, RUN_TS)
+    day2 = BILLING_DAY1 + [(None, 2, Decimal("2.00"), "NGN", "2025-01-06 01:00:00")]
+    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
+    before = _snapshot(store, ["quarantine_records", "dq_report"])
+    store.compact("quarantine_records", "compact-1")
+    store.compact("dq_report", "compact-1")
+    assert _snapshot(store, ["quarantine_records", "dq_report"]) == before
+    assert len(store._paths("quarantine_records")[1]) == 1
+    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), TUE, RUN_TS, check_fresh=False)
+    assert store.read("quarantine_records").count() == len(before["quarantine_records"])
