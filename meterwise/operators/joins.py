@@ -27,15 +27,29 @@ def max_broadcast_keys(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(MAX_BROADCAST_KEYS_CONF, str(DEFAULT_MAX_BROADCAST_KEYS)))
 
 
-def bounded(keys: DataFrame, materialize: bool = True) -> DataFrame:
-    """``keys`` marked for broadcast when its row count is within the bound.
+_BOUNDED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> DataFrame:
+    """The distinct ``on`` columns of ``keys``, marked for broadcast when their
+    row count is within the bound.
 
     ``materialize=False`` when ``keys`` is already read from storage (counting
-    it is then a cheap scan and it is not recomputed by the join)."""
+    it is then a cheap scan and it is not recomputed by the join). The decision
+    is remembered per key set, so a set used by several joins is counted once."""
+    memo = (id(keys), tuple(on), materialize)
+    hit = _BOUNDED.get(memo)
+    if hit is not None and hit[0] is keys:
+        return hit[1]
+    ks = keys.select(*on).distinct()
     if materialize:
         checkpoint_dir(keys.sparkSession)
-        keys = keys.checkpoint(eager=True)
-    return F.broadcast(keys) if keys.count() <= max_broadcast_keys(keys) else keys
+        ks = ks.checkpoint(eager=True)
+    out = F.broadcast(ks) if ks.count() <= max_broadcast_keys(ks) else ks
+    if len(_BOUNDED) > 256:
+        _BOUNDED.clear()
+    _BOUNDED[memo] = (keys, out)
+    return out
 
 
 def filter_by_keys(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], how: str,
@@ -43,12 +57,12 @@ def filter_by_keys(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], ho
     """``rows`` semi- or anti-joined to the distinct ``keys``."""
     assert how in ("left_semi", "left_anti")
     cols = [on] if isinstance(on, str) else list(on)
-    return rows.join(bounded(keys.select(*cols).distinct(), materialize), cols, how)
+    return rows.join(bounded(keys, cols, materialize), cols, how)
 
 
 def split_by_keys(target: DataFrame, keys: DataFrame, on: Sequence[str],
                   materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows of ``target`` whose key is not in ``keys``, rows whose key is).
     The first passes through untouched; only the second needs to meet the delta."""
-    ks = bounded(keys.select(*on).distinct(), materialize)
+    ks = bounded(keys, list(on), materialize)
     return target.join(ks, list(on), "left_anti"), target.join(ks, list(on), "left_semi")

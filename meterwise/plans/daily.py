@@ -16,6 +16,8 @@ Driver round trips: two freshness probes (first row only), the watermark table
 from __future__ import annotations
 
 import datetime as dt
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,7 @@ class RunResult:
     skipped: bool = False
     customer_load: str = ""
     tables: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 class _Run:
@@ -50,6 +53,13 @@ class _Run:
         self.store, self.run_id = store, run_id
         self.snapshots: dict[str, str] = {}
         self.appends: dict[str, str] = {}
+        self.seconds: dict[str, float] = {}
+
+    @contextmanager
+    def phase(self, name: str):
+        t0 = time.perf_counter()
+        yield
+        self.seconds[name] = round(time.perf_counter() - t0, 3)
 
     def put(self, table: str, df: DataFrame) -> DataFrame:
         """Write the next version of ``table`` and continue from the written copy."""
@@ -74,52 +84,62 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
 
     # 1. freshness gate (raises; nothing is written)
     if check_fresh:
-        Q.check_freshness(b, S.SRC_BILLING, "transaction_date", run_date)
-        Q.check_freshness(s, S.SRC_SESSIONS, "start_time", run_date)
+        with run.phase("freshness"):
+            Q.check_freshness(b, S.SRC_BILLING, "transaction_date", run_date)
+            Q.check_freshness(s, S.SRC_SESSIONS, "start_time", run_date)
 
     # 2. quality counts and quarantine (a copy; rows still flow on)
-    run.add("dq_report", Q.dq_report(b, s, c).withColumn("run_date", F.lit(run_date)))
-    captured = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended)
-    run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured))
+    with run.phase("quality"):
+        run.add("dq_report", Q.dq_report(b, s, c).withColumn("run_date", F.lit(run_date)))
+    with run.phase("quarantine"):
+        captured = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended)
+        run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured))
 
     # 3. staging behind the watermarks
-    wm_table = W.seed(spark, store.read("pipeline_watermarks"))
-    wms = W.current(wm_table)
-    load = G.customer_load_mode(run_date)
-    stg_b = store.stage("stg_billings", G.stage_billings(b, wms[S.SRC_BILLING], run_ts), run_id)
-    stg_s = store.stage("stg_sessions", G.stage_sessions(s, wms[S.SRC_SESSIONS], run_ts), run_id)
-    stg_c = store.stage("stg_customers", G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts), run_id)
+    with run.phase("staging"):
+        wm_table = W.seed(spark, store.read("pipeline_watermarks"))
+        wms = W.current(wm_table)
+        load = G.customer_load_mode(run_date)
+        stg_b = store.stage("stg_billings", G.stage_billings(b, wms[S.SRC_BILLING], run_ts), run_id)
+        stg_s = store.stage("stg_sessions", G.stage_sessions(s, wms[S.SRC_SESSIONS], run_ts), run_id)
+        stg_c = store.stage("stg_customers", G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts),
+                            run_id)
 
     # 4. watermarks (never back, kept when nothing was staged)
-    run.put("pipeline_watermarks", W.advance(
-        wm_table, {S.SRC_BILLING: stg_b, S.SRC_SESSIONS: stg_s, S.SRC_CUSTOMERS: stg_c}, run_ts))
+    with run.phase("watermarks"):
+        run.put("pipeline_watermarks", W.advance(
+            wm_table, {S.SRC_BILLING: stg_b, S.SRC_SESSIONS: stg_s, S.SRC_CUSTOMERS: stg_c}, run_ts))
 
     # 5. aggregates
-    if mode == "additive":
-        customers = stg_c
-        aggs = _additive(run, store, stg_b, stg_s, stg_c, run_ts)
-    elif mode == "recompute":
-        customers, aggs = _recompute(run, store, b, stg_b, stg_s, stg_c, load, wms, run_date, run_ts,
-                                     report_late)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+    with run.phase("aggregates"):
+        if mode == "additive":
+            customers = stg_c
+            aggs = _additive(run, store, stg_b, stg_s, stg_c, run_ts)
+        elif mode == "recompute":
+            customers, aggs = _recompute(run, store, b, stg_b, stg_s, stg_c, load, wms, run_date, run_ts,
+                                         report_late)
+        else:
+            raise ValueError(f"unknown mode {mode!r}")
 
     # 6. wide row per customer -> CSV -> warehouse staging -> guarded merge
-    wide = H.user_analytics(customers, aggs["agg_user_revenue"], aggs["agg_user_usage"],
-                            aggs["agg_arpu"], aggs["agg_session_distribution"], run_ts)
-    export_dir = f"{export_root or store.root + '/exports'}/dw_user_analytics_{run_id}"
-    export_csv(wide, export_dir)
-    landed = run.put("stg_user_analytics", import_csv(spark, export_dir, S.USER_ANALYTICS))
-    U.assert_unique(landed, ["customer_id"], "warehouse staging")
-    guard_col = "row_hash" if guard == "attributes" else U.content_hash(H.CONTENT_COLUMNS)
-    run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), landed,
-                                                 "customer_id", guard_col))
+    with run.phase("warehouse"):
+        wide = H.user_analytics(customers, aggs["agg_user_revenue"], aggs["agg_user_usage"],
+                                aggs["agg_arpu"], aggs["agg_session_distribution"], run_ts)
+        export_dir = f"{export_root or store.root + '/exports'}/dw_user_analytics_{run_id}"
+        export_csv(wide, export_dir)
+        landed = run.put("stg_user_analytics", import_csv(spark, export_dir, S.USER_ANALYTICS))
+        U.assert_unique(landed, ["customer_id"], "warehouse staging")
+        guard_col = "row_hash" if guard == "attributes" else U.content_hash(H.CONTENT_COLUMNS)
+        run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), landed,
+                                                     "customer_id", guard_col))
 
     # 7. truncate the transient tables and publish everything at once
-    for t in S.TRANSIENT:
-        run.snapshots[t] = store.empty_path(t, run_id)
-    store.commit(run_id, run.snapshots, run.appends)
-    return RunResult(run_id, customer_load=load, tables={**run.snapshots, **run.appends})
+    with run.phase("commit"):
+        for t in S.TRANSIENT:
+            run.snapshots[t] = store.empty_path(t, run_id)
+        store.commit(run_id, run.snapshots, run.appends)
+    return RunResult(run_id, customer_load=load, tables={**run.snapshots, **run.appends},
+                     seconds=run.seconds)
 
 
 def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, stg_c: DataFrame,

@@ -19,7 +19,6 @@ import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwise import schemas as S
@@ -37,6 +36,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entries: list | None = None
 
     # ---- commit log --------------------------------------------------------
     def _log(self) -> DataFrame | None:
@@ -45,20 +45,27 @@ class TableStore:
         except AnalysisException:
             return None
 
+    def refresh(self) -> None:
+        """Forget the cached commit log (another writer may have committed)."""
+        self._entries = None
+
+    def _log_entries(self) -> list:
+        """The commit log on the driver: a handful of rows per run, read once per
+        store instance and refreshed after each commit."""
+        if self._entries is None:
+            log = self._log()
+            self._entries = [] if log is None else sorted(log.collect(), key=lambda r: r.committed_at_ns)
+        return self._entries
+
     def committed_runs(self) -> set[str]:
-        log = self._log()
-        return set() if log is None else {r.run_id for r in log.select("run_id").distinct().collect()}
+        self.refresh()
+        return {r.run_id for r in self._log_entries()}
 
     def _paths(self, table: str) -> tuple[str, list[str]]:
         """(mode, paths) of the committed state of ``table``."""
-        log = self._log()
-        if log is None:
-            return "snapshot", []
-        rows = (log.where(F.col("table") == table)
-                   .select("path", "mode", "committed_at_ns").collect())  # a few rows per run
+        rows = [r for r in self._log_entries() if r.table == table]
         if not rows:
             return "snapshot", []
-        rows.sort(key=lambda r: r.committed_at_ns)
         if rows[-1].mode == "append":
             # parts appended since the last full snapshot (if any)
             start = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=0)
@@ -94,6 +101,7 @@ class TableStore:
         rows += [(run_id, t, p, "append", now) for t, p in (appends or {}).items()]
         (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
              .write.mode("append").parquet(f"{self.root}/_commits"))
+        self.refresh()
 
     def empty_path(self, table: str, run_id: str) -> str:
         """An empty committed snapshot (TRUNCATE)."""
@@ -101,8 +109,7 @@ class TableStore:
 
     def init_tables(self, run_id: str = "init") -> None:
         """Create every table empty if it has never been committed (IF NOT EXISTS)."""
-        log = self._log()
-        known = set() if log is None else {r.table for r in log.select("table").distinct().collect()}
+        known = {r.table for r in self._log_entries()}
         missing = {t: self.empty_path(t, run_id) for t in S.TABLES if t not in known}
         if missing:
             self.commit(run_id, missing)
