@@ -5,8 +5,9 @@ repeated ids, the orphan customer ids, the keys of a day's delta, the
 customers a run touched. If Catalyst cannot prove the key set small before
 the job starts, both sides are shuffled, which at scale means moving the large
 table just to drop or keep a few keys. Here the key set is materialized on the
-shared checkpoint folder, counted, and broadcast only when the count is within
-a bound; beyond the bound the join stays a shuffled sort-merge join (AQE splits
+shared checkpoint folder (written once as parquet and read back, which also
+cuts its lineage), counted, and broadcast only when the count is within a
+bound; beyond the bound the join stays a shuffled sort-merge join (AQE splits
 skewed partitions). The result is the same either way.
 """
 
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.session import checkpoint_dir
+from meterwise.session import unique_scratch
 
 MAX_BROADCAST_KEYS_CONF = "meterwise.broadcast.maxKeys"
 DEFAULT_MAX_BROADCAST_KEYS = 2_000_000  # ~8-16 bytes per key: tens of MB at most
@@ -43,10 +44,12 @@ def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> Dat
         return hit[1]
     ks = keys.select(*on).distinct()
     if materialize:
-        checkpoint_dir(keys.sparkSession)
-        ks = ks.checkpoint(eager=True)
+        spark = keys.sparkSession
+        path = unique_scratch(spark, "keys")
+        ks.write.parquet(path)
+        ks = spark.read.schema(ks.schema).parquet(path)
     out = F.broadcast(ks) if ks.count() <= max_broadcast_keys(ks) else ks
-    if len(_BOUNDED) > 256:
+    if len(_BOUNDED) > 64:
         _BOUNDED.clear()
     _BOUNDED[memo] = (keys, out)
     return out
