@@ -165,6 +165,27 @@ def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame,
     return out
 
 
+def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key: str, ts_col: str,
+                   order: list) -> DataFrame:
+    """Latest-wins merge of today's staged rows into a history stored one
+    directory per month. Only months that receive a row, or hold a row the delta
+    replaces, are rewritten; every other month keeps its files and is carried
+    into the new snapshot by reference, so the daily write is O(touched months),
+    not O(history)."""
+    store = run.store
+    month = F.date_format(ts_col, "yyyy-MM")
+    parts = store.partition_paths(table)
+    replaced = filter_by_keys(old, delta, key, "left_semi", materialize=False)
+    touched = sorted(r[0] for r in delta.select(month.alias("m")).union(replaced.select(month.alias("m")))
+                     .distinct().collect())  # the few months a day touches
+    before = store.read_paths(table, [parts[m] for m in touched if m in parts])
+    merged = U.upsert_latest(before, delta, [key], order, materialized=True)
+    written = store.write_partitioned(table, merged.withColumn("p", month), run.run_id)
+    snapshot = {**{m: p for m, p in parts.items() if m not in touched}, **written}
+    run.snapshots[table] = sorted(snapshot.values())
+    return store.read_paths(table, sorted(snapshot.values()))
+
+
 def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: DataFrame,
                stg_s: DataFrame, stg_c: DataFrame, load: str, wms: dict, run_date: dt.date,
                run_ts: dt.datetime, report_late: bool) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -185,10 +206,9 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
                            "transaction_date", wms[S.SRC_BILLING], old_b.select("transaction_id"))
         run.add("late_billings", late.withColumn("run_date", F.lit(run_date)))
 
-    hist_b = run.put("hist_billings", U.upsert_latest(old_b, stg_b, ["transaction_id"], G.billing_order(),
-                                                      materialized=True))
-    hist_s = run.put("hist_sessions", U.upsert_latest(old_s, stg_s, ["session_id"], G.session_order(),
-                                                      materialized=True))
+    hist_b = _merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
+                            G.billing_order())
+    hist_s = _merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time", G.session_order())
     # customers whose aggregates may change: new activity, activity moved away
     # from them by a corrected row, and customers (re)loaded today
     touched = store.stage("touched_customers", (

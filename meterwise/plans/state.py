@@ -62,15 +62,24 @@ class TableStore:
         return {r.run_id for r in self._log_entries()}
 
     def _paths(self, table: str) -> tuple[str, list[str]]:
-        """(mode, paths) of the committed state of ``table``."""
+        """(mode, paths) of the committed state of ``table``: the paths of its
+        latest snapshot commit (one directory, or one per partition) plus every
+        part appended after it."""
         rows = [r for r in self._log_entries() if r.table == table]
         if not rows:
             return "snapshot", []
-        if rows[-1].mode == "append":
-            # parts appended since the last full snapshot (if any)
-            start = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=0)
-            return "append", [r.path for r in rows[start:] if r.path]
-        return "snapshot", [rows[-1].path] if rows[-1].path else []
+        last = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=None)
+        paths: list[str] = []
+        if last is not None:
+            commit = (rows[last].run_id, rows[last].committed_at_ns)
+            paths = [r.path for r in rows if r.mode == "snapshot" and (r.run_id, r.committed_at_ns) == commit]
+        paths += [r.path for r in rows[(last + 1 if last is not None else 0):] if r.mode == "append"]
+        return rows[-1].mode, [p for p in paths if p]
+
+    def partition_paths(self, table: str) -> dict[str, str]:
+        """{partition value: directory} of a table stored one directory per partition."""
+        _, paths = self._paths(table)
+        return {p.rsplit("=", 1)[1]: p for p in paths if "/p=" in p}
 
     # ---- tables ------------------------------------------------------------
     def schema(self, table: str) -> T.StructType:
@@ -89,15 +98,33 @@ class TableStore:
         df.write.mode("overwrite").parquet(path)
         return path
 
+    def write_partitioned(self, table: str, df: DataFrame, run_id: str, part: str = "p") -> dict[str, str]:
+        """Write ``df`` one directory per value of ``part`` (dropped from the files)
+        and return {value: directory}. Only the partitions present are written."""
+        base = f"{self.root}/{table}/run={run_id}"
+        df.write.mode("overwrite").partitionBy(part).parquet(base)
+        values = [r[0] for r in self.spark.read.parquet(base).select(part).distinct().collect()]
+        return {str(v): f"{base}/{part}={v}" for v in values}  # one entry per written partition
+
+    def read_paths(self, table: str, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema(table))
+        return self.spark.read.schema(self.schema(table)).parquet(*paths)
+
     def stage(self, table: str, df: DataFrame, run_id: str) -> DataFrame:
         """Write and read back: cuts lineage on the shared folder."""
         path = self.write(table, df, run_id, "-stage")
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def commit(self, run_id: str, snapshots: dict[str, str], appends: dict[str, str] | None = None) -> None:
-        """Publish all tables of a run at once (one file appended to the log)."""
+    def commit(self, run_id: str, snapshots: dict[str, str | list[str]],
+               appends: dict[str, str] | None = None) -> None:
+        """Publish all tables of a run at once (one file appended to the log).
+        A snapshot is one directory or a list of partition directories."""
         now = time.time_ns()
-        rows = [(run_id, t, p, "snapshot", now) for t, p in snapshots.items()]
+        rows = []
+        for t, p in snapshots.items():
+            for path in ([p] if isinstance(p, str) else (p or [""])):
+                rows.append((run_id, t, path, "snapshot", now))
         rows += [(run_id, t, p, "append", now) for t, p in (appends or {}).items()]
         (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
              .write.mode("append").parquet(f"{self.root}/_commits"))

@@ -178,3 +178,21 @@ def test_compact_keeps_append_table_contents(spark, workdir):
     assert len(store._paths("quarantine_records")[1]) == 1
     run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), TUE, RUN_TS, check_fresh=False)
     assert store.read("quarantine_records").count() == len(before["quarantine_records"])
+
+
+def test_history_rewrites_only_touched_months(spark, workdir):
+    store = TableStore(spark, workdir)
+    old_row = (30, 2, Decimal("9.00"), "NGN", "2024-06-01 00:00:00")
+    run_daily(spark, store, _sources(spark, BILLING_DAY1 + [old_row]), SUN, RUN_TS)
+    first = store.partition_paths("hist_billings")
+    assert set(first) == {"2024-06", "2025-01"}
+    # a correction moves transaction 11 into February; June is not touched
+    day2 = [r for r in BILLING_DAY1 if r[0] != 11] + [old_row, (11, 1, Decimal("55.00"), "NGN", "2025-02-01 00:00:00"),
+                                                     (14, 1, Decimal("7.00"), "NGN", "2025-01-06 08:00:00")]
+    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
+    second = store.partition_paths("hist_billings")
+    assert second["2024-06"] == first["2024-06"]          # carried by reference
+    assert second["2025-01"] != first["2025-01"] and "2025-02" in second
+    hist = {r.transaction_id: (r.amount, r.transaction_date.month) for r in store.read("hist_billings").collect()}
+    assert hist[11] == (Decimal("55.00"), 2) and hist[30] == (Decimal("9.00"), 6) and len(hist) == 6
+    assert _rev(store)[1] == (Decimal("162.00"), 3)
