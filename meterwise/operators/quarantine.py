@@ -107,12 +107,19 @@ def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
     return parts
 
 
-def new_records(existing: DataFrame, captured: DataFrame) -> DataFrame:
+def first_per_hash(captured: DataFrame) -> DataFrame:
+    """Identical rows (same source, check and content) collapse to one."""
+    return captured.dropDuplicates(["record_hash"])
+
+
+def new_records(existing: DataFrame, captured: DataFrame, deduplicated: bool = False) -> DataFrame:
     """Rows to append: one per hash (identical rows collapse), none already stored.
     The stored hashes are only probed for today's hashes (a checked-size key set),
-    so the ever-growing table is scanned but not shuffled."""
-    first = captured.dropDuplicates(["record_hash"])
-    known = filter_by_keys(existing.select("record_hash"), first, "record_hash", "left_semi")
+    so the ever-growing table is scanned but not shuffled. ``deduplicated`` says
+    ``captured`` is already one row per hash and read from storage."""
+    first = captured if deduplicated else first_per_hash(captured)
+    known = filter_by_keys(existing.select("record_hash"), first, "record_hash", "left_semi",
+                           materialize=not deduplicated)
     return first.join(known, "record_hash", "left_anti").select(*captured.columns)
 
 

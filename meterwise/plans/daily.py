@@ -92,8 +92,10 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
     with run.phase("quality"):
         run.add("dq_report", Q.dq_report(b, s, c).withColumn("run_date", F.lit(run_date)))
     with run.phase("quarantine"):
-        captured = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended)
-        run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured))
+        captured = store.stage("quarantine_captured", N.first_per_hash(
+            N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended)), run_id)
+        run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured,
+                                                    deduplicated=True))
 
     # 3. staging behind the watermarks
     with run.phase("staging"):

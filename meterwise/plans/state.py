@@ -100,9 +100,12 @@ class TableStore:
 
     def write_partitioned(self, table: str, df: DataFrame, run_id: str, part: str = "p") -> dict[str, str]:
         """Write ``df`` one directory per value of ``part`` (dropped from the files)
-        and return {value: directory}. Only the partitions present are written."""
+        and return {value: directory}. Only the partitions present are written.
+        The rebalance hint lets AQE size the write tasks by bytes: a hot partition
+        value is split over several tasks, small ones share a task, so neither one
+        task per value nor one file per (task, value) pair."""
         base = f"{self.root}/{table}/run={run_id}"
-        df.write.mode("overwrite").partitionBy(part).parquet(base)
+        df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(base)
         values = [r[0] for r in self.spark.read.parquet(base).select(part).distinct().collect()]
         return {str(v): f"{base}/{part}={v}" for v in values}  # one entry per written partition
 
@@ -130,9 +133,14 @@ class TableStore:
              .write.mode("append").parquet(f"{self.root}/_commits"))
         self.refresh()
 
-    def empty_path(self, table: str, run_id: str) -> str:
-        """An empty committed snapshot (TRUNCATE)."""
-        return self.write(table, self.spark.createDataFrame([], self.schema(table)), run_id, "-empty")
+    def empty_path(self, table: str, run_id: str | None = None) -> str:
+        """An empty snapshot of ``table`` (TRUNCATE), written once and reused."""
+        path = f"{self.root}/{table}/empty"
+        try:
+            self.spark.read.schema(self.schema(table)).parquet(path)
+        except AnalysisException:
+            self.spark.createDataFrame([], self.schema(table)).write.mode("overwrite").parquet(path)
+        return path
 
     def init_tables(self, run_id: str = "init") -> None:
         """Create every table empty if it has never been committed (IF NOT EXISTS)."""
