@@ -90,21 +90,24 @@ def upsert_latest(target: DataFrame, delta: DataFrame, keys: Sequence[str],
 
 
 def merge_guarded(target: DataFrame, source: DataFrame, key: str,
-                  guard: Column | str = "row_hash") -> DataFrame:
+                  guard: Column | str = "row_hash", materialized: bool = False) -> DataFrame:
     """MERGE ... WHEN MATCHED AND target.guard != source.guard THEN UPDATE
     WHEN NOT MATCHED THEN INSERT. Unmatched target rows stay; nothing is deleted;
     a NULL guard on either side never updates (``!=`` is not true).
 
     ``guard`` is a column name present on both sides or a Column expression over
-    the row's own columns (evaluated separately on each side)."""
+    the row's own columns (evaluated separately on each side). Target rows whose
+    key the source does not carry pass through without a shuffle."""
     cols = target.columns
+    source = source.select(*cols)
+    untouched, touched = split_by_keys(target, source.where(F.col(key).isNotNull()), [key], not materialized)
     g = F.col(guard) if isinstance(guard, str) else guard
-    t = target.select(*cols, g.alias("_g")).alias("t")
+    t = touched.select(*cols, g.alias("_g")).alias("t")
     s = source.select(*cols, g.alias("_g")).alias("s")
     matched = F.col(f"t.{key}").isNotNull() & F.col(f"s.{key}").isNotNull()
     take_source = F.col(f"t.{key}").isNull() | (matched & (F.col("t._g") != F.col("s._g")))
     out = [F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
-    return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*out)
+    return untouched.unionByName(t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*out))
 
 
 def content_hash(cols: Sequence[str]) -> Column:

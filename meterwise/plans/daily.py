@@ -118,8 +118,13 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
             customers = stg_c
             aggs = _additive(run, store, stg_b, stg_s, stg_c, run_ts)
         elif mode == "recompute":
-            customers, aggs = _recompute(run, store, b, stg_b, stg_s, stg_c, load, wms, run_date, run_ts,
-                                         report_late)
+            customers, aggs, changed = _recompute(run, store, b, stg_b, stg_s, stg_c, load, wms, run_date,
+                                                  run_ts, report_late)
+            # a wide row can only change for customers touched or (re)loaded today,
+            # so only those rows are built, handed off and merged
+            customers = filter_by_keys(customers, changed, "customer_id", "left_semi", materialize=False)
+            aggs = {t: filter_by_keys(df, changed, "customer_id", "left_semi", materialize=False)
+                    for t, df in aggs.items()}
         else:
             raise ValueError(f"unknown mode {mode!r}")
 
@@ -133,7 +138,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         U.assert_unique(landed, ["customer_id"], "warehouse staging")
         guard_col = "row_hash" if guard == "attributes" else U.content_hash(H.CONTENT_COLUMNS)
         run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), landed,
-                                                     "customer_id", guard_col))
+                                                     "customer_id", guard_col, materialized=True))
 
     # 7. truncate the transient tables and publish everything at once
     with run.phase("commit"):
@@ -230,4 +235,6 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
         kept = filter_by_keys(store.read(t), touched, "customer_id", "left_anti", materialize=False)
         out[t] = run.put(t, kept.unionByName(fresh[t].select(*kept.columns)))
     run.put("session_buckets", fresh["session_buckets"])
-    return dim, out
+    changed = store.stage("changed_customers", touched.unionByName(stg_c.select("customer_id")).distinct(),
+                          run.run_id)
+    return dim, out, changed
