@@ -44,15 +44,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (local runs, tests) is a local folder created and set."""
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="meterwise-ckpt-")
     log.warning("spark.checkpoint.dir is unset; using local %s (not for clusters)", local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -26,7 +26,8 @@ def read_source(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
     schema = SOURCE_SCHEMAS[name]
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("nullValue", "").option("mode", "FAILFAST")
+        reader = (reader.option("header", "true").option("nullValue", "").option("emptyValue", "")
+                  .option("mode", "FAILFAST"))
     return reader.options(**options).format(fmt).load(path)
 
 
@@ -41,19 +42,27 @@ def read_source_jdbc(spark: SparkSession, name: str, url: str, num_partitions: i
             .options(**options).load())
 
 
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+NULL_MARK = "\\N"  # the CSV reader cannot tell a quoted empty field from an empty one
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Uncompressed CSV with a header, replacing whatever was at ``path``.
-    NULL is written as an unquoted empty field and the empty string as ``""``,
-    so the two stay apart when read back."""
+    NULL is written as ``\\N`` and the empty string as ``""``, so the two stay
+    apart when read back; surrounding spaces are kept and timestamps keep their
+    microseconds (the writer's defaults would drop both)."""
     (df.write.mode("overwrite")
        .option("header", "true").option("compression", "none")
-       .option("nullValue", "").option("emptyValue", '""')
+       .option("nullValue", NULL_MARK).option("emptyValue", '""')
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+       .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
        .csv(path))
 
 
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read an export back with its schema, skipping the header line."""
     return (spark.read.schema(schema)
-            .option("header", "true").option("nullValue", "").option("emptyValue", "")
+            .option("header", "true").option("nullValue", NULL_MARK).option("emptyValue", "")
+            .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
             .option("mode", "FAILFAST")
             .csv(path))
