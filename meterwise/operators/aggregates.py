@@ -97,3 +97,43 @@ def all_aggregates(billings: DataFrame, sessions: DataFrame, customers: DataFram
         "session_buckets": buckets,
         "agg_session_distribution": session_distribution_direct(sessions, customers, run_ts),
     }
+
+
+# ---- signed deltas (incremental maintenance without double counting) ---------
+
+def signed(replaced: DataFrame, winners: DataFrame) -> DataFrame:
+    """For the ids in today's delta: the row each id had before (sign -1) and the
+    row it has now (sign +1). An id whose winning row did not change cancels out
+    exactly; a corrected row moves its contribution; a new row only adds."""
+    return (replaced.withColumn("_sign", F.lit(-1))
+            .unionByName(winners.withColumn("_sign", F.lit(1))))
+
+
+def _sgn(c: str) -> F.Column:
+    return F.col("_sign") * F.col(c)
+
+
+def billing_delta(rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    return rows.groupBy("customer_id").agg(
+        F.sum(_sgn("amount")).cast("decimal(28,2)").alias("total_revenue"),
+        F.sum("_sign").cast("bigint").alias("total_transactions"),
+    ).withColumn("last_updated_at", ntz(run_ts))
+
+
+def monthly_delta(rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    return rows.groupBy("customer_id", month_start("transaction_date").alias("month")).agg(
+        F.sum(_sgn("amount")).cast("decimal(28,2)").alias("total_revenue"),
+        F.sum("_sign").cast("bigint").alias("n_rows"),
+    ).withColumn("last_updated_at", ntz(run_ts))
+
+
+def usage_delta(rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    b = session_bucket("session_duration_sec")
+    return rows.groupBy("customer_id").agg(
+        F.sum(_sgn("data_used_mb")).cast("decimal(28,2)").alias("total_data_used_mb"),
+        F.sum(_sgn("session_duration_sec")).cast("decimal(28,6)").alias("total_session_duration"),
+        F.sum("_sign").cast("bigint").alias("total_sessions"),
+        F.sum(F.when(b == S.BUCKET_SHORT, F.col("_sign")).otherwise(0)).cast("bigint").alias("short_sessions"),
+        F.sum(F.when(b == S.BUCKET_MEDIUM, F.col("_sign")).otherwise(0)).cast("bigint").alias("medium_sessions"),
+        F.sum(F.when(b == S.BUCKET_LONG, F.col("_sign")).otherwise(0)).cast("bigint").alias("long_sessions"),
+    ).withColumn("last_updated_at", ntz(run_ts))

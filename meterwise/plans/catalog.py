@@ -22,6 +22,7 @@ from meterwise.operators import staging as G
 from meterwise.operators import upsert as U
 from meterwise.operators import warehouse as H
 from meterwise.operators import watermark as W
+from meterwise.operators.joins import filter_by_keys
 from meterwise.plans.params import (AS_OF, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, WM_BILLING,
                                     WM_CUSTOMERS, WM_SESSIONS)
 from meterwise.sources import fixtures
@@ -144,19 +145,18 @@ def _additive(name: str, keys: list[str]) -> Callable[[World], DataFrame]:
 
 
 def _recompute_revenue(w: World) -> DataFrame:
-    """Default mode: history = latest-wins upsert of both runs' staging, then A1
-    recomputed for the customers the second run touched."""
+    """Default mode, as run_daily does it: running totals after run 1 plus the
+    signed delta of run 2 (minus each re-delivered id's previous winning row,
+    plus its new one), then known customers only. Equals A1 over all history."""
     c = w.stg_customers()
-    before = w.stg_billings_run1()
+    before = w.stg_billings_run1()                       # history after run 1
     delta = w.stg_billings_run2()
     hist = U.upsert_latest(before, delta, ["transaction_id"], G.billing_order())
-    prior = A.user_revenue(before, c, RUN_TS)
-    touched = (delta.select("customer_id")
-               .unionByName(before.join(delta.select("transaction_id"), "transaction_id", "left_semi")
-                                  .select("customer_id"))
-               .distinct())
-    fresh = A.user_revenue(hist.join(touched, "customer_id", "left_semi"), c, RUN_TS)
-    return prior.join(touched, "customer_id", "left_anti").unionByName(fresh)
+    replaced = filter_by_keys(before, delta, "transaction_id", "left_semi")
+    winners = filter_by_keys(hist, delta, "transaction_id", "left_semi")
+    totals = U.upsert(A.user_revenue(before, None, RUN_TS),
+                      A.billing_delta(A.signed(replaced, winners), RUN_TS), ["customer_id"], U.ADDITIVE)
+    return totals.where(F.col("total_transactions") > 0).join(c.select("customer_id"), "customer_id", "left_semi")
 
 
 def _arpu_replace(w: World) -> DataFrame:

@@ -173,16 +173,18 @@ def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame,
 
 
 def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key: str, ts_col: str,
-                   order: list) -> DataFrame:
+                   order: list) -> tuple[DataFrame, DataFrame]:
     """Latest-wins merge of today's staged rows into a history stored one
     directory per month. Only months that receive a row, or hold a row the delta
     replaces, are rewritten; every other month keeps its files and is carried
     into the new snapshot by reference, so the daily write is O(touched months),
-    not O(history)."""
+    not O(history). Returns (the rows the delta's ids had before, the rows they
+    have now)."""
     store = run.store
     month = F.date_format(ts_col, "yyyy-MM")
     parts = store.partition_paths(table)
-    replaced = filter_by_keys(old, delta, key, "left_semi", materialize=False)
+    replaced = store.stage(f"{table}_replaced", filter_by_keys(old, delta, key, "left_semi", materialize=False),
+                           run.run_id)
     touched = sorted(r[0] for r in delta.select(month.alias("m")).union(replaced.select(month.alias("m")))
                      .distinct().collect())  # the few months a day touches
     before = store.read_paths(table, [parts[m] for m in touched if m in parts])
@@ -190,18 +192,23 @@ def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key:
     written = store.write_partitioned(table, merged.withColumn("p", month), run.run_id)
     snapshot = {**{m: p for m, p in parts.items() if m not in touched}, **written}
     run.snapshots[table] = sorted(snapshot.values())
-    return store.read_paths(table, sorted(snapshot.values()))
+    winners = filter_by_keys(store.read_paths(table, sorted(written.values())), delta, key, "left_semi",
+                             materialize=False)
+    return replaced, winners
 
 
 def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: DataFrame,
                stg_s: DataFrame, stg_c: DataFrame, load: str, wms: dict, run_date: dt.date,
-               run_ts: dt.datetime, report_late: bool) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Rebuild the aggregates of every customer this run touched from history."""
+               run_ts: dt.datetime, report_late: bool) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """Maintain the aggregates by signed deltas of what changed today.
+
+    Running totals are kept per customer id over all history (``acc_*``, unknown
+    ids included); a day adds, per id in the delta, minus its previous winning
+    row plus its new one. The published aggregates are the totals of known
+    customers, so a customer who arrives after their activity needs no history
+    scan. Work and shuffle are O(delta); nothing is counted twice."""
     policy = U.REPLACE if load == "full" else U.INSERT_ONLY
     old_dim = store.read("dim_customers")
-    # only customers new to the dimension change aggregates (membership); a
-    # Sunday re-load of existing customers does not force a full recompute
-    new_customers = filter_by_keys(stg_c, old_dim, "customer_id", "left_anti", materialize=False)
     dim = run.put("dim_customers", U.upsert(old_dim, stg_c, ["customer_id"], policy, materialized=True))
     old_b, old_s = store.read("hist_billings"), store.read("hist_sessions")
 
@@ -213,28 +220,34 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
                            "transaction_date", wms[S.SRC_BILLING], old_b.select("transaction_id"))
         run.add("late_billings", late.withColumn("run_date", F.lit(run_date)))
 
-    hist_b = _merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
-                            G.billing_order())
-    hist_s = _merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time", G.session_order())
-    # customers whose aggregates may change: new activity, activity moved away
-    # from them by a corrected row, and customers (re)loaded today
-    touched = store.stage("touched_customers", (
-        stg_b.select("customer_id")
-        .unionByName(stg_s.select("customer_id"))
-        .unionByName(new_customers.select("customer_id"))
-        .unionByName(filter_by_keys(old_b, stg_b, "transaction_id", "left_semi", materialize=False)
-                     .select("customer_id"))
-        .unionByName(filter_by_keys(old_s, stg_s, "session_id", "left_semi", materialize=False)
-                     .select("customer_id"))
-        .distinct()), run.run_id)
-    fresh = A.all_aggregates(filter_by_keys(hist_b, touched, "customer_id", "left_semi", materialize=False),
-                             filter_by_keys(hist_s, touched, "customer_id", "left_semi", materialize=False),
-                             dim, run_ts)
+    signed_b = A.signed(*_merge_history(run, "hist_billings", old_b, stg_b, "transaction_id",
+                                        "transaction_date", G.billing_order()))
+    signed_s = A.signed(*_merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
+                                        G.session_order()))
+
+    def _acc(table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
+        d = store.stage(f"{table}_delta", delta, run.run_id)
+        total = U.upsert(store.read(table), d, keys, U.ADDITIVE, materialized=True)
+        return run.put(table, total.where(F.col(count) > 0))  # ids with no rows left drop out
+
+    acc_b = _acc("acc_billing", ["customer_id"], A.billing_delta(signed_b, run_ts), "total_transactions")
+    acc_m = _acc("acc_monthly", ["customer_id", "month"], A.monthly_delta(signed_b, run_ts), "n_rows")
+    acc_u = _acc("acc_usage", ["customer_id"], A.usage_delta(signed_s, run_ts), "total_sessions")
+
+    def known(df: DataFrame) -> DataFrame:
+        return df.join(dim.select("customer_id"), "customer_id", "left_semi")
+
     out = {}
-    for t in CUSTOMER_KEYED:
-        kept = filter_by_keys(store.read(t), touched, "customer_id", "left_anti", materialize=False)
-        out[t] = run.put(t, kept.unionByName(fresh[t].select(*kept.columns)))
-    run.put("session_buckets", fresh["session_buckets"])
-    changed = store.stage("changed_customers", touched.unionByName(stg_c.select("customer_id")).distinct(),
-                          run.run_id)
+    out["agg_user_revenue"] = run.put("agg_user_revenue", known(acc_b).select(*S.AGG_USER_REVENUE.fieldNames()))
+    monthly = run.put("agg_monthly_revenue", known(acc_m).select(*S.AGG_MONTHLY_REVENUE.fieldNames()))
+    out["agg_monthly_revenue"] = monthly
+    out["agg_arpu"] = run.put("agg_arpu", A.arpu(monthly, run_ts))
+    out["agg_user_usage"] = run.put("agg_user_usage", known(acc_u).select(*S.AGG_USER_USAGE.fieldNames()))
+    out["agg_session_distribution"] = run.put(
+        "agg_session_distribution", known(acc_u).select(*S.AGG_SESSION_DISTRIBUTION.fieldNames()))
+    run.put("session_buckets", A.session_buckets(stg_s, dim, run_ts))
+    # customers whose wide row may differ: totals moved today, or (re)loaded today
+    changed = store.stage("changed_customers", (
+        signed_b.select("customer_id").unionByName(signed_s.select("customer_id"))
+        .unionByName(stg_c.select("customer_id")).distinct()), run.run_id)
     return dim, out, changed

@@ -105,6 +105,18 @@ USER_ANALYTICS = _s(
     ("total_sessions", L, True), ("avg_session_duration_sec", DT, True), ("arpu", DT, True),
     ("short_sessions", L, True), ("medium_sessions", L, True), ("long_sessions", L, True),
     ("avg_data_per_session_mb", DT, True), ("row_hash", S, True), ("last_updated_at", TS_T, True))
+# running totals over all history per customer id, known or not (recompute mode)
+ACC_BILLING = _s(
+    ("customer_id", L, False), ("total_revenue", T.DecimalType(28, 2), False),
+    ("total_transactions", L, False), ("last_updated_at", TS_T, False))
+ACC_MONTHLY = _s(
+    ("customer_id", L, False), ("month", D, False), ("total_revenue", T.DecimalType(28, 2), False),
+    ("n_rows", L, False), ("last_updated_at", TS_T, False))
+ACC_USAGE = _s(
+    ("customer_id", L, False), ("total_data_used_mb", T.DecimalType(28, 2), False),
+    ("total_session_duration", T.DecimalType(28, 6), False), ("total_sessions", L, False),
+    ("short_sessions", L, False), ("medium_sessions", L, False), ("long_sessions", L, False),
+    ("last_updated_at", TS_T, False))
 DQ_REPORT = _s(("source_table", S, False), ("check_type", S, False), ("faulty_rows", L, False))
 DQ_HISTORY = _s(("source_table", S, False), ("check_type", S, False), ("faulty_rows", L, False),
                 ("run_date", D, False))
@@ -129,6 +141,9 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "dim_customers": (STG_CUSTOMERS, ("customer_id",), False),
     "hist_billings": (STG_BILLINGS, ("transaction_id",), False),
     "hist_sessions": (STG_SESSIONS, ("session_id",), False),
+    "acc_billing": (ACC_BILLING, ("customer_id",), False),
+    "acc_monthly": (ACC_MONTHLY, ("customer_id", "month"), False),
+    "acc_usage": (ACC_USAGE, ("customer_id",), False),
     # append-only run reports
     "dq_report": (DQ_HISTORY, (), False),
     "late_billings": (LATE_BILLINGS, (), False),

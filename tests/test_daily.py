@@ -196,3 +196,26 @@ def test_history_rewrites_only_touched_months(spark, workdir):
     hist = {r.transaction_id: (r.amount, r.transaction_date.month) for r in store.read("hist_billings").collect()}
     assert hist[11] == (Decimal("55.00"), 2) and hist[30] == (Decimal("9.00"), 6) and len(hist) == 6
     assert _rev(store)[1] == (Decimal("162.00"), 3)
+
+
+def test_signed_deltas_equal_a_full_rebuild(spark, workdir):
+    from meterwise.operators import aggregates as A
+    store = TableStore(spark, workdir)
+    day1 = BILLING_DAY1 + [(40, 3, Decimal("8.00"), "NGN", "2025-01-05 15:00:00")]   # customer 3 unknown yet
+    run_daily(spark, store, _sources(spark, day1), SUN, RUN_TS)
+    assert 3 not in _rev(store)
+    customers2 = CUSTOMERS + [(3, "carol", "c@x.com", "Kenya", "2025-01-06 00:00:00")]
+    day2 = [r for r in day1 if r[0] != 10] + [
+        (10, 2, Decimal("101.00"), "NGN", "2025-01-06 09:00:00"),     # correction moves 10 from 1 to 2
+        (14, 1, Decimal("7.00"), "NGN", "2025-01-06 08:00:00")]
+    sessions2 = SESSIONS_DAY2 + [(101, 2, "2025-01-05 11:00:00", "2025-01-05 11:10:00", Decimal("2.00"))]
+    run_daily(spark, store, _sources(spark, day2, sessions2, customers2), MON, RUN_TS)
+    run_daily(spark, store, _sources(spark, day2, sessions2, customers2), TUE, RUN_TS, check_fresh=False)
+    dim = store.read("dim_customers")
+    fresh = A.all_aggregates(store.read("hist_billings"), store.read("hist_sessions"), dim, RUN_TS)
+    for t in ("agg_user_revenue", "agg_user_usage", "agg_monthly_revenue", "agg_arpu", "agg_session_distribution"):
+        got = store.read(t).drop("last_updated_at")
+        want = fresh[t].drop("last_updated_at")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, t
+    rev = _rev(store)
+    assert rev[3] == (Decimal("8.00"), 1) and rev[2] == (Decimal("101.00"), 2) and rev[1] == (Decimal("57.00"), 2)
