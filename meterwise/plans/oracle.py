@@ -132,14 +132,15 @@ def stg_customers(src: str, wm: dt.datetime | None = None) -> str:
 
 def agg_user_revenue(b: str, c: str) -> str:
     return f"""
-  SELECT b.customer_id, SUM(b.amount) AS total_revenue, COUNT(*) AS total_transactions, {RUN} AS last_updated_at
+  SELECT b.customer_id, CAST(SUM(b.amount) AS DECIMAL(28,2)) AS total_revenue, COUNT(*) AS total_transactions,
+         {RUN} AS last_updated_at
   FROM {b} b JOIN {c} c ON b.customer_id = c.customer_id GROUP BY b.customer_id"""
 
 
 def agg_user_usage(s: str, c: str) -> str:
     return f"""
-  SELECT s.customer_id, SUM(s.data_used_mb) AS total_data_used_mb,
-         SUM(s.session_duration_sec) AS total_session_duration, COUNT(*) AS total_sessions,
+  SELECT s.customer_id, CAST(SUM(s.data_used_mb) AS DECIMAL(28,2)) AS total_data_used_mb,
+         CAST(SUM(s.session_duration_sec) AS DECIMAL(28,6)) AS total_session_duration, COUNT(*) AS total_sessions,
          {RUN} AS last_updated_at
   FROM {s} s JOIN {c} c ON s.customer_id = c.customer_id GROUP BY s.customer_id"""
 
@@ -147,7 +148,7 @@ def agg_user_usage(s: str, c: str) -> str:
 def agg_monthly_revenue(b: str, c: str) -> str:
     return f"""
   SELECT b.customer_id, CAST(date_trunc('month', b.transaction_date) AS DATE) AS month,
-         SUM(b.amount) AS total_revenue, {RUN} AS last_updated_at
+         CAST(SUM(b.amount) AS DECIMAL(28,2)) AS total_revenue, {RUN} AS last_updated_at
   FROM {b} b JOIN {c} c ON b.customer_id = c.customer_id
   WHERE b.transaction_date IS NOT NULL
   GROUP BY b.customer_id, CAST(date_trunc('month', b.transaction_date) AS DATE)"""
