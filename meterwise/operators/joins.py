@@ -69,3 +69,12 @@ def split_by_keys(target: DataFrame, keys: DataFrame, on: Sequence[str],
     The first passes through untouched; only the second needs to meet the delta."""
     ks = bounded(keys, list(on), materialize)
     return target.join(ks, list(on), "left_anti"), target.join(ks, list(on), "left_semi")
+
+
+def flag_by_keys(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], flag: str,
+                 materialize: bool = True) -> DataFrame:
+    """``rows`` with a boolean ``flag``: is the row's key in ``keys``. A left join
+    to the checked-size key set, so several such flags can be set in one pass."""
+    cols = [on] if isinstance(on, str) else list(on)
+    ks = bounded(keys, cols, materialize).withColumn(flag, F.lit(True))
+    return rows.join(ks, cols, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -9,6 +9,8 @@ nor a hot customer funnels raw rows into one task.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +55,38 @@ def _report(src_label: str, df: DataFrame, checks: dict[str, Column]) -> DataFra
                 .unpivot("source_table", list(checks), "check_type", "faulty_rows"))
 
 
-def _duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys seen more than once; the NULL key counts as one group."""
-    return df.groupBy(key).count().where(F.col("count") > 1).select(key)
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys seen more than once, with their row count; the NULL key is one group.
+    Partial aggregation collapses a hot key map-side."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def orphan_ids(activity: DataFrame, customers: DataFrame) -> DataFrame:
+    """Non-NULL customer ids no customer row has, with their row count. Rows are
+    pre-aggregated per id before the anti join, so a hot id is one row."""
+    per = (activity.where(F.col("customer_id").isNotNull())
+                   .groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")))
+    return per.join(customers.select("customer_id"), "customer_id", "left_anti")
+
+
+KEYS = {S.SRC_BILLING: "transaction_id", S.SRC_SESSIONS: "session_id", S.SRC_CUSTOMERS: "customer_id"}
+
+
+@dataclass
+class FaultKeys:
+    """The key sets both the counts and the quarantine need, computed once."""
+    repeated: dict[str, DataFrame]   # source label -> (key, n), n > 1
+    orphans: dict[str, DataFrame]    # activity source label -> (customer_id, n)
+
+
+def fault_keys(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
+               keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> FaultKeys:
+    """``keep`` may materialize each set (e.g. write it to the run's store)."""
+    src = {S.SRC_BILLING: billing, S.SRC_SESSIONS: sessions, S.SRC_CUSTOMERS: customers}
+    return FaultKeys(
+        repeated={label: keep(f"repeated_{label}", repeated_keys(df, KEYS[label])) for label, df in src.items()},
+        orphans={label: keep(f"orphans_{label}", orphan_ids(src[label], customers))
+                 for label in (S.SRC_BILLING, S.SRC_SESSIONS)})
 
 
 def _count_rows(label: str, check: str, df: DataFrame) -> DataFrame:
@@ -63,10 +94,7 @@ def _count_rows(label: str, check: str, df: DataFrame) -> DataFrame:
         F.lit(label).alias("source_table"), F.lit(check).alias("check_type"), "faulty_rows")
 
 
-def _orphan_count(label: str, activity: DataFrame, customers: DataFrame) -> DataFrame:
-    per_customer = (activity.where(F.col("customer_id").isNotNull())
-                            .groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")))
-    orphans = per_customer.join(customers.select("customer_id"), "customer_id", "left_anti")
+def _orphan_count(label: str, orphans: DataFrame) -> DataFrame:
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("faulty_rows")).select(
         F.lit(label).alias("source_table"), F.lit(S.ORPHANED_CUSTOMER_ID).alias("check_type"), "faulty_rows")
 
@@ -118,21 +146,28 @@ def validity(billing: DataFrame, sessions: DataFrame) -> DataFrame:
     return _union([_report(label, df, preds) for label, (df, preds) in checks.items()])
 
 
-def uniqueness(billing: DataFrame, sessions: DataFrame, customers: DataFrame) -> DataFrame:
-    return _union([
-        _count_rows(S.SRC_BILLING, S.DUPLICATE_IDENTIFIER, _duplicate_keys(billing, "transaction_id")),
-        _count_rows(S.SRC_SESSIONS, S.DUPLICATE_IDENTIFIER, _duplicate_keys(sessions, "session_id")),
-        _count_rows(S.SRC_CUSTOMERS, S.DUPLICATE_IDENTIFIER, _duplicate_keys(customers, "customer_id")),
-    ])
+def uniqueness(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
+               keys: FaultKeys | None = None) -> DataFrame:
+    rep = keys.repeated if keys else {
+        S.SRC_BILLING: repeated_keys(billing, "transaction_id"),
+        S.SRC_SESSIONS: repeated_keys(sessions, "session_id"),
+        S.SRC_CUSTOMERS: repeated_keys(customers, "customer_id")}
+    return _union([_count_rows(label, S.DUPLICATE_IDENTIFIER, rep[label])
+                   for label in (S.SRC_BILLING, S.SRC_SESSIONS, S.SRC_CUSTOMERS)])
 
 
-def referential_integrity(billing: DataFrame, sessions: DataFrame, customers: DataFrame) -> DataFrame:
-    return _union([_orphan_count(S.SRC_BILLING, billing, customers),
-                   _orphan_count(S.SRC_SESSIONS, sessions, customers)])
+def referential_integrity(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
+                          keys: FaultKeys | None = None) -> DataFrame:
+    orph = keys.orphans if keys else {S.SRC_BILLING: orphan_ids(billing, customers),
+                                      S.SRC_SESSIONS: orphan_ids(sessions, customers)}
+    return _union([_orphan_count(S.SRC_BILLING, orph[S.SRC_BILLING]),
+                   _orphan_count(S.SRC_SESSIONS, orph[S.SRC_SESSIONS])])
 
 
-def dq_report(billing: DataFrame, sessions: DataFrame, customers: DataFrame) -> DataFrame:
-    """All 15 counts. Predicate counts of both families share one scan per source."""
+def dq_report(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
+              keys: FaultKeys | None = None) -> DataFrame:
+    """All 15 counts. Predicate counts of both families share one scan per source;
+    duplicate and orphan counts come from the shared key sets."""
     comp = completeness_checks(billing, sessions, customers)
     val = validity_checks(billing, sessions)
     parts = []
@@ -141,5 +176,5 @@ def dq_report(billing: DataFrame, sessions: DataFrame, customers: DataFrame) ->
         if label in val:
             merged.update(val[label][1])
         parts.append(_report(label, df, merged))
-    return _union(parts + [uniqueness(billing, sessions, customers),
-                           referential_integrity(billing, sessions, customers)])
+    return _union(parts + [uniqueness(billing, sessions, customers, keys),
+                           referential_integrity(billing, sessions, customers, keys)])

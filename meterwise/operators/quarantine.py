@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from meterwise import schemas as S
 from meterwise.functions import ntz, parse_ts, record_hash, row_json
-from meterwise.operators.joins import filter_by_keys
+from meterwise.operators import quality as Q
+from meterwise.operators.joins import filter_by_keys, flag_by_keys
 from meterwise.operators.quality import invalid_session_times
 
 
@@ -96,15 +97,55 @@ def extended(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
     return out
 
 
+def capture_pass(df: DataFrame, source: str, checks: list[tuple[str, Column]],
+                 run_ts: dt.datetime, cols: list[str]) -> DataFrame:
+    """One pass over a source: each row failing any check, once per failed check.
+    The JSON of the row (over ``cols``, its original columns) is built only for
+    failing rows."""
+    failed = F.filter(F.array(*[F.when(pred, F.lit(name)) for name, pred in checks]), lambda x: x.isNotNull())
+    bad = df.withColumn("_failed", failed).where(F.size("_failed") > 0)
+    rows = bad.select(row_json(*cols).alias("record"), F.explode("_failed").alias("check_type"))
+    return rows.select(
+        "record", F.lit(source).alias("source"), "check_type",
+        F.md5(F.concat(F.lit(source), F.col("check_type"), F.col("record"))).alias("record_hash"),
+        ntz(run_ts).alias("detected_at"))
+
+
 def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
-                run_ts: dt.datetime, include_extended: bool = False) -> DataFrame:
-    parts = (null_identifier(billing, sessions, customers, run_ts)
-             .unionByName(duplicate_identifier(billing, sessions, customers, run_ts))
-             .unionByName(orphaned_customer_id(billing, sessions, customers, run_ts))
-             .unionByName(invalid_sessions(sessions, run_ts)))
+                run_ts: dt.datetime, include_extended: bool = False,
+                keys: Q.FaultKeys | None = None, keys_materialized: bool = False) -> DataFrame:
+    """All quarantine captures in one pass per source. Repeated ids and orphan
+    ids are flagged by left joins to the (checked-size, usually broadcast) key
+    sets shared with the counts, instead of one scan and join per check."""
+    if keys is None:
+        keys = Q.fault_keys(billing, sessions, customers)
+    m = not keys_materialized
+    cid = F.col("customer_id")
+
+    b = flag_by_keys(billing, keys.repeated[S.SRC_BILLING], "transaction_id", "_dup", m)
+    b = flag_by_keys(b, keys.orphans[S.SRC_BILLING], "customer_id", "_orphan", m)
+    b_checks = [(S.NULL_IDENTIFIER, F.col("transaction_id").isNull()),
+                (S.DUPLICATE_IDENTIFIER, F.col("_dup")), (S.ORPHANED_CUSTOMER_ID, F.col("_orphan"))]
+    s_ = flag_by_keys(sessions, keys.repeated[S.SRC_SESSIONS], "session_id", "_dup", m)
+    s_ = flag_by_keys(s_, keys.orphans[S.SRC_SESSIONS], "customer_id", "_orphan", m)
+    s_checks = [(S.NULL_IDENTIFIER, F.col("session_id").isNull()),
+                (S.DUPLICATE_IDENTIFIER, F.col("_dup")), (S.ORPHANED_CUSTOMER_ID, F.col("_orphan")),
+                (S.INVALID_SESSION_TIMES, invalid_session_times(sessions))]
+    c = flag_by_keys(customers, keys.repeated[S.SRC_CUSTOMERS], "customer_id", "_dup", m)
+    c_checks = [(S.NULL_IDENTIFIER, cid.isNull()), (S.DUPLICATE_IDENTIFIER, F.col("_dup"))]
     if include_extended:
-        parts = parts.unionByName(extended(billing, sessions, customers, run_ts))
-    return parts
+        b_checks += [(S.INVALID_AMOUNT, F.col("amount").isNotNull() & (F.col("amount") < 0)),
+                     (S.UNPARSEABLE_DATE, F.col("transaction_date").isNotNull()
+                      & parse_ts("transaction_date").isNull()),
+                     (S.NULL_TRANSACTION_DATE, F.col("transaction_date").isNull()),
+                     (S.NULL_CUSTOMER_ID, cid.isNull())]
+        s_checks += [(S.UNPARSEABLE_TIMESTAMP, F.col("start_time").isNotNull() & parse_ts("start_time").isNull()),
+                     (S.NULL_START_OR_END_TIME, F.col("start_time").isNull() | F.col("end_time").isNull()),
+                     (S.NULL_CUSTOMER_ID, cid.isNull())]
+        c_checks += [(S.NULL_CREATED_AT, F.col("created_at").isNull())]
+    return (capture_pass(b, S.Q_BILLING, b_checks, run_ts, billing.columns)
+            .unionByName(capture_pass(s_, S.Q_SESSIONS, s_checks, run_ts, sessions.columns))
+            .unionByName(capture_pass(c, S.Q_CUSTOMERS, c_checks, run_ts, customers.columns)))
 
 
 def first_per_hash(captured: DataFrame) -> DataFrame:

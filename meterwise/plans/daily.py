@@ -90,10 +90,13 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
 
     # 2. quality counts and quarantine (a copy; rows still flow on)
     with run.phase("quality"):
-        run.add("dq_report", Q.dq_report(b, s, c).withColumn("run_date", F.lit(run_date)))
+        # repeated ids and orphan ids feed both the counts and the quarantine
+        keys = Q.fault_keys(b, s, c, keep=lambda name, df: store.stage(name, df, run_id))
+        run.add("dq_report", Q.dq_report(b, s, c, keys).withColumn("run_date", F.lit(run_date)))
     with run.phase("quarantine"):
         captured = store.stage("quarantine_captured", N.first_per_hash(
-            N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended)), run_id)
+            N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended, keys=keys,
+                          keys_materialized=True)), run_id)
         run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured,
                                                     deduplicated=True))
 
