@@ -80,13 +80,19 @@ class FaultKeys:
 
 
 def fault_keys(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
-               keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> FaultKeys:
-    """``keep`` may materialize each set (e.g. write it to the run's store)."""
+               keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+               run_all: Callable[..., dict] | None = None) -> FaultKeys:
+    """``keep`` may materialize each set (e.g. write it to the run's store);
+    ``run_all`` may run those independent materializations concurrently."""
     src = {S.SRC_BILLING: billing, S.SRC_SESSIONS: sessions, S.SRC_CUSTOMERS: customers}
-    return FaultKeys(
-        repeated={label: keep(f"repeated_{label}", repeated_keys(df, KEYS[label])) for label, df in src.items()},
-        orphans={label: keep(f"orphans_{label}", orphan_ids(src[label], customers))
+    jobs = {f"repeated_{label}": (lambda label=label, df=df: keep(f"repeated_{label}", repeated_keys(df, KEYS[label])))
+            for label, df in src.items()}
+    jobs.update({f"orphans_{label}": (lambda label=label: keep(f"orphans_{label}", orphan_ids(src[label], customers)))
                  for label in (S.SRC_BILLING, S.SRC_SESSIONS)})
+    done = run_all(**jobs) if run_all else {k: f() for k, f in jobs.items()}
+    return FaultKeys(
+        repeated={label: done[f"repeated_{label}"] for label in src},
+        orphans={label: done[f"orphans_{label}"] for label in (S.SRC_BILLING, S.SRC_SESSIONS)})
 
 
 def _count_rows(label: str, check: str, df: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -71,6 +73,17 @@ class _Run:
         self.appends[table] = self.store.write(table, df, self.run_id)
 
 
+def together(**jobs: Callable[[], object]) -> dict[str, object]:
+    """Run independent steps as concurrent Spark jobs (one session, several
+    submitting threads) and return their results by name. Each step still
+    writes and reads back its own output; only the waiting overlaps."""
+    if len(jobs) == 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(4, len(jobs))) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFrame],
               run_date: dt.date, run_ts: dt.datetime, mode: str = "recompute",
               guard: str = "attributes", check_fresh: bool = True,
@@ -91,7 +104,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
     # 2. quality counts and quarantine (a copy; rows still flow on)
     with run.phase("quality"):
         # repeated ids and orphan ids feed both the counts and the quarantine
-        keys = Q.fault_keys(b, s, c, keep=lambda name, df: store.stage(name, df, run_id))
+        keys = Q.fault_keys(b, s, c, keep=lambda name, df: store.stage(name, df, run_id), run_all=together)
         run.add("dq_report", Q.dq_report(b, s, c, keys).withColumn("run_date", F.lit(run_date)))
     with run.phase("quarantine"):
         captured = store.stage("quarantine_captured", N.first_per_hash(
@@ -105,10 +118,12 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         wm_table = W.seed(spark, store.read("pipeline_watermarks"))
         wms = W.current(wm_table)
         load = G.customer_load_mode(run_date)
-        stg_b = store.stage("stg_billings", G.stage_billings(b, wms[S.SRC_BILLING], run_ts), run_id)
-        stg_s = store.stage("stg_sessions", G.stage_sessions(s, wms[S.SRC_SESSIONS], run_ts), run_id)
-        stg_c = store.stage("stg_customers", G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts),
-                            run_id)
+        staged = together(
+            b=lambda: store.stage("stg_billings", G.stage_billings(b, wms[S.SRC_BILLING], run_ts), run_id),
+            s=lambda: store.stage("stg_sessions", G.stage_sessions(s, wms[S.SRC_SESSIONS], run_ts), run_id),
+            c=lambda: store.stage("stg_customers",
+                                  G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts), run_id))
+        stg_b, stg_s, stg_c = staged["b"], staged["s"], staged["c"]
 
     # 4. watermarks (never back, kept when nothing was staged)
     with run.phase("watermarks"):
@@ -223,32 +238,40 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
                            "transaction_date", wms[S.SRC_BILLING], old_b.select("transaction_id"))
         run.add("late_billings", late.withColumn("run_date", F.lit(run_date)))
 
-    signed_b = A.signed(*_merge_history(run, "hist_billings", old_b, stg_b, "transaction_id",
-                                        "transaction_date", G.billing_order()))
-    signed_s = A.signed(*_merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
-                                        G.session_order()))
+    merged = together(
+        b=lambda: _merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
+                                 G.billing_order()),
+        s=lambda: _merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
+                                 G.session_order()))
+    signed_b, signed_s = A.signed(*merged["b"]), A.signed(*merged["s"])
 
     def _acc(table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
         d = store.stage(f"{table}_delta", delta, run.run_id)
         total = U.upsert(store.read(table), d, keys, U.ADDITIVE, materialized=True)
         return run.put(table, total.where(F.col(count) > 0))  # ids with no rows left drop out
 
-    acc_b = _acc("acc_billing", ["customer_id"], A.billing_delta(signed_b, run_ts), "total_transactions")
-    acc_m = _acc("acc_monthly", ["customer_id", "month"], A.monthly_delta(signed_b, run_ts), "n_rows")
-    acc_u = _acc("acc_usage", ["customer_id"], A.usage_delta(signed_s, run_ts), "total_sessions")
+    acc = together(
+        b=lambda: _acc("acc_billing", ["customer_id"], A.billing_delta(signed_b, run_ts), "total_transactions"),
+        m=lambda: _acc("acc_monthly", ["customer_id", "month"], A.monthly_delta(signed_b, run_ts), "n_rows"),
+        u=lambda: _acc("acc_usage", ["customer_id"], A.usage_delta(signed_s, run_ts), "total_sessions"))
+    acc_b, acc_m, acc_u = acc["b"], acc["m"], acc["u"]
 
     def known(df: DataFrame) -> DataFrame:
         return df.join(dim.select("customer_id"), "customer_id", "left_semi")
 
-    out = {}
-    out["agg_user_revenue"] = run.put("agg_user_revenue", known(acc_b).select(*S.AGG_USER_REVENUE.fieldNames()))
-    monthly = run.put("agg_monthly_revenue", known(acc_m).select(*S.AGG_MONTHLY_REVENUE.fieldNames()))
-    out["agg_monthly_revenue"] = monthly
-    out["agg_arpu"] = run.put("agg_arpu", A.arpu(monthly, run_ts))
-    out["agg_user_usage"] = run.put("agg_user_usage", known(acc_u).select(*S.AGG_USER_USAGE.fieldNames()))
-    out["agg_session_distribution"] = run.put(
-        "agg_session_distribution", known(acc_u).select(*S.AGG_SESSION_DISTRIBUTION.fieldNames()))
-    run.put("session_buckets", A.session_buckets(stg_s, dim, run_ts))
+    def monthly_and_arpu() -> tuple[DataFrame, DataFrame]:
+        monthly = run.put("agg_monthly_revenue", known(acc_m).select(*S.AGG_MONTHLY_REVENUE.fieldNames()))
+        return monthly, run.put("agg_arpu", A.arpu(monthly, run_ts))
+
+    pub = together(
+        rev=lambda: run.put("agg_user_revenue", known(acc_b).select(*S.AGG_USER_REVENUE.fieldNames())),
+        mon=monthly_and_arpu,
+        use=lambda: run.put("agg_user_usage", known(acc_u).select(*S.AGG_USER_USAGE.fieldNames())),
+        dist=lambda: run.put("agg_session_distribution",
+                             known(acc_u).select(*S.AGG_SESSION_DISTRIBUTION.fieldNames())),
+        bk=lambda: run.put("session_buckets", A.session_buckets(stg_s, dim, run_ts)))
+    out = {"agg_user_revenue": pub["rev"], "agg_monthly_revenue": pub["mon"][0], "agg_arpu": pub["mon"][1],
+           "agg_user_usage": pub["use"], "agg_session_distribution": pub["dist"]}
     # customers whose wide row may differ: totals moved today, or (re)loaded today
     changed = store.stage("changed_customers", (
         signed_b.select("customer_id").unionByName(signed_s.select("customer_id"))
