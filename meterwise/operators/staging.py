@@ -37,8 +37,17 @@ def currency_code(raw: Column) -> Column:
     return F.when(F.upper(F.trim(raw)).isin(*S.CURRENCY_ALIASES), F.lit(S.CURRENCY)).otherwise(F.lit(S.CURRENCY))
 
 
+def _prune(src: DataFrame, watermark: dt.datetime | Column, lookback: dt.timedelta) -> DataFrame:
+    """On a landed source (partitioned by ``event_date``), add the date bound the
+    exact timestamp filter implies, so whole partitions are skipped at planning."""
+    if "event_date" not in src.columns:
+        return src
+    return src.where(F.col("event_date") >= F.to_date(lower_bound(watermark, lookback))).drop("event_date")
+
+
 def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.datetime,
                    lookback: dt.timedelta = S.LOOKBACK) -> DataFrame:
+    src = _prune(src, watermark, lookback)
     cand = (src.where(F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull())
                .withColumn("_ts", parse_ts("transaction_date"))
                .where(F.col("_ts") > lower_bound(watermark, lookback)))
@@ -54,6 +63,7 @@ def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.d
 
 def stage_sessions(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.datetime,
                    lookback: dt.timedelta = S.LOOKBACK) -> DataFrame:
+    src = _prune(src, watermark, lookback)
     cand = (src.where(F.col("session_id").isNotNull() & F.col("customer_id").isNotNull())
                .withColumn("_start", parse_ts("start_time"))
                .withColumn("_end", parse_ts("end_time"))

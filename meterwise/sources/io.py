@@ -7,15 +7,20 @@ a numeric key so a large source table is read by many tasks in parallel.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwise import schemas as S
+from meterwise.functions import parse_ts
 
 SOURCE_SCHEMAS = {
     S.SRC_CUSTOMERS: S.SRC_CUSTOMERS_SCHEMA,
     S.SRC_BILLING: S.SRC_BILLING_SCHEMA,
     S.SRC_SESSIONS: S.SRC_SESSIONS_SCHEMA,
 }
+SOURCE_TIME = {S.SRC_CUSTOMERS: "created_at", S.SRC_BILLING: "transaction_date",
+               S.SRC_SESSIONS: "start_time"}
+EVENT_DATE = "event_date"
 SOURCE_KEYS = {S.SRC_CUSTOMERS: "customer_id", S.SRC_BILLING: "transaction_id",
                S.SRC_SESSIONS: "session_id"}
 
@@ -66,3 +71,18 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
             .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
             .option("mode", "FAILFAST")
             .csv(path))
+
+
+def land(df: DataFrame, name: str, path: str) -> None:
+    """Append raw source rows under ``path`` partitioned by their parsed event
+    date (text that does not parse lands in the NULL partition, unchanged).
+    Later loads can then prune by date instead of scanning the whole source."""
+    (df.withColumn(EVENT_DATE, F.to_date(parse_ts(SOURCE_TIME[name])))
+       .hint("rebalance", EVENT_DATE)
+       .write.mode("append").partitionBy(EVENT_DATE).parquet(path))
+
+
+def read_landed(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A landed source: its declared columns plus the ``event_date`` partition."""
+    schema = T.StructType(SOURCE_SCHEMAS[name].fields + [T.StructField(EVENT_DATE, T.DateType(), True)])
+    return spark.read.schema(schema).parquet(path)
