@@ -92,7 +92,11 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
     run_id = run_date.isoformat()
     if run_id in store.committed_runs():
         return RunResult(run_id, skipped=True)
-    b, s, c = sources["billing"], sources["sessions"], sources["customers"]
+    # landed sources carry an event_date partition: staging uses it to prune,
+    # the checks and the quarantine see exactly the source's own columns
+    landed = {k: v for k, v in sources.items()}
+    raw = {k: v.drop("event_date") if "event_date" in v.columns else v for k, v in sources.items()}
+    b, s, c = raw["billing"], raw["sessions"], raw["customers"]
     run = _Run(store, run_id)
 
     # 1. freshness gate (raises; nothing is written)
@@ -119,8 +123,10 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         wms = W.current(wm_table)
         load = G.customer_load_mode(run_date)
         staged = together(
-            b=lambda: store.stage("stg_billings", G.stage_billings(b, wms[S.SRC_BILLING], run_ts), run_id),
-            s=lambda: store.stage("stg_sessions", G.stage_sessions(s, wms[S.SRC_SESSIONS], run_ts), run_id),
+            b=lambda: store.stage("stg_billings",
+                                  G.stage_billings(landed["billing"], wms[S.SRC_BILLING], run_ts), run_id),
+            s=lambda: store.stage("stg_sessions",
+                                  G.stage_sessions(landed["sessions"], wms[S.SRC_SESSIONS], run_ts), run_id),
             c=lambda: store.stage("stg_customers",
                                   G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts), run_id))
         stg_b, stg_s, stg_c = staged["b"], staged["s"], staged["c"]

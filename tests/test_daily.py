@@ -219,3 +219,32 @@ def test_signed_deltas_equal_a_full_rebuild(spark, workdir):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, t
     rev = _rev(store)
     assert rev[3] == (Decimal("8.00"), 1) and rev[2] == (Decimal("101.00"), 2) and rev[1] == (Decimal("57.00"), 2)
+
+
+def test_daily_run_on_landed_sources_matches_plain_sources(spark, workdir):
+    from meterwise.sources import land, read_landed
+    plain, landed = TableStore(spark, f"{workdir}/plain"), TableStore(spark, f"{workdir}/landed")
+    src = _sources(spark, BILLING_DAY1)
+    names = {"billing": S.SRC_BILLING, "sessions": S.SRC_SESSIONS, "customers": S.SRC_CUSTOMERS}
+    for k, df in src.items():
+        land(df, names[k], f"{workdir}/land/{k}")
+    lsrc = {k: read_landed(spark, names[k], f"{workdir}/land/{k}") for k in src}
+    run_daily(spark, plain, src, SUN, RUN_TS)
+    run_daily(spark, landed, lsrc, SUN, RUN_TS)
+    tables = ["quarantine_records", "agg_user_revenue", "agg_user_usage", "dw_user_analytics", "dq_report"]
+    assert _snapshot(plain, tables) == _snapshot(landed, tables)
+
+
+def test_lookback_bound_is_strict_and_zero_amount_is_valid(spark):
+    from meterwise.operators.quality import validity
+    from meterwise.operators.staging import stage_billings
+    wm = dt.datetime(2025, 1, 10)
+    rows = [(1, 1, Decimal("0.00"), "NGN", "2025-01-07 00:00:00"),          # exactly wm - 3 days: out
+            (2, 1, Decimal("-0.01"), "NGN", "2025-01-07 00:00:00.000001"),  # just after: in
+            (3, 1, None, "NGN", "2025-01-10 00:00:00")]
+    src = spark.createDataFrame(rows, S.SRC_BILLING_SCHEMA)
+    got = {r.transaction_id: r.amount for r in stage_billings(src, wm, RUN_TS).collect()}
+    assert got == {2: Decimal("-0.01"), 3: Decimal("0.00")}
+    counts = {r.check_type: r.faulty_rows for r in validity(src, spark.createDataFrame([], S.SRC_SESSIONS_SCHEMA))
+              .where(F.col("source_table") == S.SRC_BILLING).collect()}
+    assert counts["invalid_amount"] == 1  # negative only; zero is valid
