@@ -96,18 +96,24 @@ def merge_guarded(target: DataFrame, source: DataFrame, key: str,
     a NULL guard on either side never updates (``!=`` is not true).
 
     ``guard`` is a column name present on both sides or a Column expression over
-    the row's own columns (evaluated separately on each side). Target rows whose
-    key the source does not carry pass through without a shuffle."""
+    the row's own columns (evaluated separately on each side). With a
+    ``materialized`` (stored, usually small) source, target rows whose key the
+    source does not carry pass through without a shuffle; an unmaterialized
+    source would have to be computed twice for that, so it meets the whole target."""
     cols = target.columns
     source = source.select(*cols)
-    untouched, touched = split_by_keys(target, source.where(F.col(key).isNotNull()), [key], not materialized)
+    if materialized:
+        untouched, touched = split_by_keys(target, source.where(F.col(key).isNotNull()), [key], False)
+    else:
+        untouched, touched = None, target
     g = F.col(guard) if isinstance(guard, str) else guard
     t = touched.select(*cols, g.alias("_g")).alias("t")
     s = source.select(*cols, g.alias("_g")).alias("s")
     matched = F.col(f"t.{key}").isNotNull() & F.col(f"s.{key}").isNotNull()
     take_source = F.col(f"t.{key}").isNull() | (matched & (F.col("t._g") != F.col("s._g")))
     out = [F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
-    return untouched.unionByName(t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*out))
+    merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*out)
+    return merged if untouched is None else untouched.unionByName(merged)
 
 
 def content_hash(cols: Sequence[str]) -> Column:
