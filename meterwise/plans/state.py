@@ -76,6 +76,10 @@ class TableStore:
         paths += [r.path for r in rows[(last + 1 if last is not None else 0):] if r.mode == "append"]
         return rows[-1].mode, [p for p in paths if p]
 
+    def has(self, table: str) -> bool:
+        """Whether ``table`` has committed data (answered from the commit log, no job)."""
+        return bool(self._paths(table)[1])
+
     def partition_paths(self, table: str) -> dict[str, str]:
         """{partition value: directory} of a table stored one directory per partition."""
         _, paths = self._paths(table)

@@ -34,9 +34,7 @@ def billing_batch_writer(store: TableStore, run_ts: dt.datetime):
         run_id = f"batch-{batch_id:010d}"
         if run_id in store.committed_runs():
             return  # replay after a restart
-        wm_table = store.read("pipeline_watermarks")
-        if wm_table.isEmpty():
-            wm_table = seed_rows(store.spark)
+        wm_table = store.read("pipeline_watermarks") if store.has("pipeline_watermarks") else seed_rows(store.spark)
         wm = current(wm_table)[S.SRC_BILLING]
         staged = store.stage("stg_billings", stage_billings(batch, wm, run_ts), run_id)
         merged = upsert_latest(store.read("stg_billings"), staged, ["transaction_id"], billing_order())
