@@ -206,11 +206,14 @@ def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key:
     store = run.store
     month = F.date_format(ts_col, "yyyy-MM")
     parts = store.partition_paths(table)
-    replaced = store.stage(f"{table}_replaced", filter_by_keys(old, delta, key, "left_semi", materialize=False),
-                           run.run_id)
-    touched = sorted(r[0] for r in delta.select(month.alias("m")).union(replaced.select(month.alias("m")))
+    # which months hold an older row of a delta id: only the id and time columns
+    # of history are read for this (column pruning), not whole rows
+    hit = filter_by_keys(old.select(key, ts_col), delta, key, "left_semi", materialize=False)
+    touched = sorted(r[0] for r in delta.select(month.alias("m")).union(hit.select(month.alias("m")))
                      .distinct().collect())  # the few months a day touches
     before = store.read_paths(table, [parts[m] for m in touched if m in parts])
+    replaced = store.stage(f"{table}_replaced", filter_by_keys(before, delta, key, "left_semi", materialize=False),
+                           run.run_id)
     merged = U.upsert_latest(before, delta, [key], order, materialized=True)
     written = store.write_partitioned(table, merged.withColumn("p", month), run.run_id)
     snapshot = {**{m: p for m, p in parts.items() if m not in touched}, **written}
@@ -274,7 +277,10 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
         use=lambda: run.put("agg_user_usage", known(acc_u).select(*S.AGG_USER_USAGE.fieldNames())),
         dist=lambda: run.put("agg_session_distribution",
                              known(acc_u).select(*S.AGG_SESSION_DISTRIBUTION.fieldNames())),
-        bk=lambda: run.put("session_buckets", A.session_buckets(stg_s, dim, run_ts)))
+        # today's sessions of known customers: the dimension is narrowed to today's
+        # customer ids by a checked broadcast instead of being shuffled whole
+        bk=lambda: run.put("session_buckets", A.session_buckets(
+            stg_s, filter_by_keys(dim, stg_s, "customer_id", "left_semi", materialize=False), run_ts)))
     out = {"agg_user_revenue": pub["rev"], "agg_monthly_revenue": pub["mon"][0], "agg_arpu": pub["mon"][1],
            "agg_user_usage": pub["use"], "agg_session_distribution": pub["dist"]}
     # customers whose wide row may differ: totals moved today, or (re)loaded today
