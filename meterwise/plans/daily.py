@@ -94,7 +94,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         return RunResult(run_id, skipped=True)
     # landed sources carry an event_date partition: staging uses it to prune,
     # the checks and the quarantine see exactly the source's own columns
-    landed = {k: v for k, v in sources.items()}
+    staging_src = dict(sources)
     raw = {k: v.drop("event_date") if "event_date" in v.columns else v for k, v in sources.items()}
     b, s, c = raw["billing"], raw["sessions"], raw["customers"]
     run = _Run(store, run_id)
@@ -124,9 +124,9 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         load = G.customer_load_mode(run_date)
         staged = together(
             b=lambda: store.stage("stg_billings",
-                                  G.stage_billings(landed["billing"], wms[S.SRC_BILLING], run_ts), run_id),
+                                  G.stage_billings(staging_src["billing"], wms[S.SRC_BILLING], run_ts), run_id),
             s=lambda: store.stage("stg_sessions",
-                                  G.stage_sessions(landed["sessions"], wms[S.SRC_SESSIONS], run_ts), run_id),
+                                  G.stage_sessions(staging_src["sessions"], wms[S.SRC_SESSIONS], run_ts), run_id),
             c=lambda: store.stage("stg_customers",
                                   G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts), run_id))
         stg_b, stg_s, stg_c = staged["b"], staged["s"], staged["c"]
@@ -158,10 +158,10 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
                                 aggs["agg_arpu"], aggs["agg_session_distribution"], run_ts)
         export_dir = f"{export_root or store.root + '/exports'}/dw_user_analytics_{run_id}"
         export_csv(wide, export_dir)
-        landed = run.put("stg_user_analytics", import_csv(spark, export_dir, S.USER_ANALYTICS))
-        U.assert_unique(landed, ["customer_id"], "warehouse staging")
+        arrived = run.put("stg_user_analytics", import_csv(spark, export_dir, S.USER_ANALYTICS))
+        U.assert_unique(arrived, ["customer_id"], "warehouse staging")
         guard_col = "row_hash" if guard == "attributes" else U.content_hash(H.CONTENT_COLUMNS)
-        run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), landed,
+        run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), arrived,
                                                      "customer_id", guard_col, materialized=True))
 
     # 7. truncate the transient tables and publish everything at once
