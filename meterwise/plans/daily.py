@@ -88,7 +88,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
               run_date: dt.date, run_ts: dt.datetime, mode: str = "recompute",
               guard: str = "attributes", check_fresh: bool = True,
               quarantine_extended: bool = False, report_late: bool = False,
-              export_root: str | None = None) -> RunResult:
+              export_root: str | None = None, compact_after: int = 30) -> RunResult:
     run_id = run_date.isoformat()
     if run_id in store.committed_runs():
         return RunResult(run_id, skipped=True)
@@ -169,6 +169,11 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         for t in S.TRANSIENT:
             run.snapshots[t] = store.empty_path(t, run_id)
         store.commit(run_id, run.snapshots, run.appends)
+        # append-only tables gain one part per run; fold them into one snapshot
+        # now and then (same rows, separate commit) so reads stay cheap
+        for t in run.appends:
+            if len(store._paths(t)[1]) > compact_after:
+                store.compact(t, f"{run_id}-compact")
     return RunResult(run_id, customer_load=load, tables={**run.snapshots, **run.appends},
                      seconds=run.seconds)
 

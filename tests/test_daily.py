@@ -178,6 +178,15 @@ def test_compact_keeps_append_table_contents(spark, workdir):
     assert len(store._paths("quarantine_records")[1]) == 1
     run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), TUE, RUN_TS, check_fresh=False)
     assert store.read("quarantine_records").count() == len(before["quarantine_records"])
+    assert len(store._paths("dq_report")[1]) == 2   # the compacted snapshot + today's part
+
+
+def test_daily_run_compacts_append_tables(spark, workdir):
+    store = TableStore(spark, workdir)
+    for day in (SUN, MON, TUE):
+        run_daily(spark, store, _sources(spark, BILLING_DAY1), day, RUN_TS, check_fresh=False, compact_after=2)
+    assert len(store._paths("dq_report")[1]) == 1      # three parts were folded into one
+    assert store.read("dq_report").count() == 45       # 15 checks x 3 runs, nothing lost
 
 
 def test_history_rewrites_only_touched_months(spark, workdir):
