@@ -172,7 +172,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         # append-only tables gain one part per run; fold them into one snapshot
         # now and then (same rows, separate commit) so reads stay cheap
         for t in run.appends:
-            if len(store._paths(t)[1]) > compact_after:
+            if len(store.paths(t)[1]) > compact_after:
                 store.compact(t, f"{run_id}-compact")
     return RunResult(run_id, customer_load=load, tables={**run.snapshots, **run.appends},
                      seconds=run.seconds)

@@ -61,7 +61,7 @@ class TableStore:
         self.refresh()
         return {r.run_id for r in self._log_entries()}
 
-    def _paths(self, table: str) -> tuple[str, list[str]]:
+    def paths(self, table: str) -> tuple[str, list[str]]:
         """(mode, paths) of the committed state of ``table``: the paths of its
         latest snapshot commit (one directory, or one per partition) plus every
         part appended after it."""
@@ -78,11 +78,11 @@ class TableStore:
 
     def has(self, table: str) -> bool:
         """Whether ``table`` has committed data (answered from the commit log, no job)."""
-        return bool(self._paths(table)[1])
+        return bool(self.paths(table)[1])
 
     def partition_paths(self, table: str) -> dict[str, str]:
         """{partition value: directory} of a table stored one directory per partition."""
-        _, paths = self._paths(table)
+        _, paths = self.paths(table)
         return {p.rsplit("=", 1)[1]: p for p in paths if "/p=" in p}
 
     # ---- tables ------------------------------------------------------------
@@ -91,7 +91,7 @@ class TableStore:
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema(table)
-        _, paths = self._paths(table)
+        _, paths = self.paths(table)
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -156,7 +156,7 @@ class TableStore:
     def compact(self, table: str, run_id: str) -> None:
         """Publish an append-only table's parts as one snapshot; later appends
         continue from it, so reads stop listing one directory per past run."""
-        mode, paths = self._paths(table)
+        mode, paths = self.paths(table)
         if mode != "append" or len(paths) <= 1:
             return
         df = self.spark.read.schema(self.schema(table)).parquet(*paths)

@@ -175,17 +175,17 @@ def test_compact_keeps_append_table_contents(spark, workdir):
     store.compact("quarantine_records", "compact-1")
     store.compact("dq_report", "compact-1")
     assert _snapshot(store, ["quarantine_records", "dq_report"]) == before
-    assert len(store._paths("quarantine_records")[1]) == 1
+    assert len(store.paths("quarantine_records")[1]) == 1
     run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), TUE, RUN_TS, check_fresh=False)
     assert store.read("quarantine_records").count() == len(before["quarantine_records"])
-    assert len(store._paths("dq_report")[1]) == 2   # the compacted snapshot + today's part
+    assert len(store.paths("dq_report")[1]) == 2   # the compacted snapshot + today's part
 
 
 def test_daily_run_compacts_append_tables(spark, workdir):
     store = TableStore(spark, workdir)
     for day in (SUN, MON, TUE):
         run_daily(spark, store, _sources(spark, BILLING_DAY1), day, RUN_TS, check_fresh=False, compact_after=2)
-    assert len(store._paths("dq_report")[1]) == 1      # three parts were folded into one
+    assert len(store.paths("dq_report")[1]) == 1      # three parts were folded into one
     assert store.read("dq_report").count() == 45       # 15 checks x 3 runs, nothing lost
 
 
@@ -257,3 +257,15 @@ def test_lookback_bound_is_strict_and_zero_amount_is_valid(spark):
     counts = {r.check_type: r.faulty_rows for r in validity(src, spark.createDataFrame([], S.SRC_SESSIONS_SCHEMA))
               .where(F.col("source_table") == S.SRC_BILLING).collect()}
     assert counts["invalid_amount"] == 1  # negative only; zero is valid
+
+
+def test_watermark_as_scalar_subquery_equals_literal(spark):
+    from meterwise.operators import watermark as W
+    from meterwise.operators.staging import stage_billings
+    wm_table = spark.createDataFrame([(S.SRC_BILLING, dt.datetime(2025, 1, 5), RUN_TS)], S.PIPELINE_WATERMARKS)
+    src = spark.createDataFrame(BILLING_DAY1 + [(50, 1, Decimal("1.00"), "NGN", "2025-01-01 00:00:00")],
+                                S.SRC_BILLING_SCHEMA)
+    by_subquery = stage_billings(src, W.value(wm_table, S.SRC_BILLING), RUN_TS)
+    by_literal = stage_billings(src, W.current(wm_table)[S.SRC_BILLING], RUN_TS)
+    assert sorted(map(tuple, by_subquery.collect())) == sorted(map(tuple, by_literal.collect()))
+    assert 50 not in {r.transaction_id for r in by_subquery.collect()}
