@@ -31,6 +31,18 @@ def max_broadcast_keys(df: DataFrame) -> int:
 _BOUNDED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 
+def materialize(df: DataFrame, prefix: str = "keys") -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and continue from the copy:
+    later uses neither recompute it nor depend on its lineage."""
+    spark = df.sparkSession
+    path = unique_scratch(spark, prefix)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+materialize_df = materialize  # the parameter below shadows the function name
+
+
 def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> DataFrame:
     """The distinct ``on`` columns of ``keys``, marked for broadcast when their
     row count is within the bound.
@@ -44,10 +56,7 @@ def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> Dat
         return hit[1]
     ks = keys.select(*on).distinct()
     if materialize:
-        spark = keys.sparkSession
-        path = unique_scratch(spark, "keys")
-        ks.write.parquet(path)
-        ks = spark.read.schema(ks.schema).parquet(path)
+        ks = materialize_df(ks)
     out = F.broadcast(ks) if ks.count() <= max_broadcast_keys(ks) else ks
     if len(_BOUNDED) > 64:
         _BOUNDED.clear()

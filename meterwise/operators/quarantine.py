@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from meterwise import schemas as S
 from meterwise.functions import ntz, parse_ts, record_hash, row_json
 from meterwise.operators import quality as Q
-from meterwise.operators.joins import filter_by_keys, flag_by_keys
+from meterwise.operators.joins import filter_by_keys, flag_by_keys, materialize
 from meterwise.operators.quality import invalid_session_times
 
 
@@ -158,9 +158,9 @@ def new_records(existing: DataFrame, captured: DataFrame, deduplicated: bool = F
     The stored hashes are only probed for today's hashes (a checked-size key set),
     so the ever-growing table is scanned but not shuffled. ``deduplicated`` says
     ``captured`` is already one row per hash and read from storage."""
-    first = captured if deduplicated else first_per_hash(captured)
+    first = captured if deduplicated else materialize(first_per_hash(captured), "captured")
     known = filter_by_keys(existing.select("record_hash"), first, "record_hash", "left_semi",
-                           materialize=not deduplicated)
+                           materialize=False)
     return first.join(known, "record_hash", "left_anti").select(*captured.columns)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.operators.joins import split_by_keys
+from meterwise.operators.joins import materialize, split_by_keys
 
 INSERT_ONLY, REPLACE, ADDITIVE = "insert_only", "replace", "additive"
 
@@ -46,10 +46,12 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str
     """
     keys = list(keys)
     delta = delta.select(*target.columns)
+    if not materialized:
+        delta = materialize(delta, "delta")  # small side: write once, no recomputation
     if policy == INSERT_ONLY:
-        _, existing = split_by_keys(target.select(*keys), delta, keys, not materialized)
+        _, existing = split_by_keys(target.select(*keys), delta, keys, False)
         return target.unionByName(delta.join(existing, keys, "left_anti"))
-    untouched, touched = split_by_keys(target, delta, keys, not materialized)
+    untouched, touched = split_by_keys(target, delta, keys, False)
     if policy == REPLACE:
         rest = [c for c in target.columns if c not in keys]
         cols = rest if cols is None else list(cols)
@@ -83,7 +85,9 @@ def upsert_latest(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     Arrival order does not matter, so replaying a batch is harmless. Only target
     rows sharing a key with the delta are re-sorted."""
     delta = delta.select(*target.columns)
-    untouched, touched = split_by_keys(target, delta, keys, not materialized)
+    if not materialized:
+        delta = materialize(delta, "delta")
+    untouched, touched = split_by_keys(target, delta, keys, False)
     w = Window.partitionBy(*keys).orderBy(*order)
     both = touched.unionByName(delta)
     return untouched.unionByName(both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
