@@ -42,7 +42,8 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str
     The target is split by the delta's keys (broadcast when their count is within
     the bound): untouched rows pass through without a shuffle, and only the
     touched rows meet the delta. ``materialized`` says ``delta`` is already read
-    from storage, so its keys need no checkpoint.
+    from storage; otherwise it is written once to the scratch folder first, so the
+    key split and the merge do not compute it twice.
     """
     keys = list(keys)
     delta = delta.select(*target.columns)
