@@ -32,9 +32,13 @@ def lower_bound(watermark: dt.datetime | Column, lookback: dt.timedelta = S.LOOK
     return _as_ts(watermark) - F.lit(lookback)
 
 
-def currency_code(raw: Column) -> Column:
-    # both branches of the original CASE yield the same code
-    return F.when(F.upper(F.trim(raw)).isin(*S.CURRENCY_ALIASES), F.lit(S.CURRENCY)).otherwise(F.lit(S.CURRENCY))
+def currency_code(raw: Column, keep_unknown: bool = False) -> Column:
+    """Naira spellings become the code. As written, every other value becomes
+    it too (both branches of the original CASE); ``keep_unknown`` keeps other
+    codes, trimmed and upper-cased (NULL stays NULL)."""
+    code = F.upper(F.trim(raw))
+    other = code if keep_unknown else F.lit(S.CURRENCY)
+    return F.when(code.isin(*S.CURRENCY_ALIASES), F.lit(S.CURRENCY)).otherwise(other)
 
 
 def _prune(src: DataFrame, watermark: dt.datetime | Column, lookback: dt.timedelta) -> DataFrame:
@@ -46,7 +50,7 @@ def _prune(src: DataFrame, watermark: dt.datetime | Column, lookback: dt.timedel
 
 
 def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.datetime,
-                   lookback: dt.timedelta = S.LOOKBACK) -> DataFrame:
+                   lookback: dt.timedelta = S.LOOKBACK, keep_unknown_currency: bool = False) -> DataFrame:
     src = _prune(src, watermark, lookback)
     cand = (src.where(F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull())
                .withColumn("_ts", parse_ts("transaction_date"))
@@ -56,7 +60,7 @@ def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.d
     return latest.select(
         "transaction_id", "customer_id",
         F.coalesce(F.col("amount"), F.lit(0).cast(S.AMOUNT_T)).alias("amount"),
-        currency_code(F.col("currency")).alias("currency"),
+        currency_code(F.col("currency"), keep_unknown_currency).alias("currency"),
         F.col("_ts").alias("transaction_date"),
         ntz(run_ts).alias("loaded_at"))
 

@@ -65,3 +65,12 @@ def test_fixed_values():
     assert (S.SHORT_SESSION_SEC, S.MEDIUM_SESSION_SEC) == (60, 300)
     assert S.LOOKBACK == dt.timedelta(days=3)
     assert S.FULL_LOAD_WEEKDAY == dt.date(2025, 1, 5).weekday()  # a Sunday
+
+
+def test_currency_as_written_and_keeping_unknown_codes(spark):
+    from meterwise.operators.staging import currency_code
+    df = spark.createDataFrame([(" ngn ",), ("Naira",), ("usd",), (None,)], "c string")
+    as_written = [r[0] for r in df.select(currency_code(F.col("c"))).collect()]
+    kept = [r[0] for r in df.select(currency_code(F.col("c"), keep_unknown=True)).collect()]
+    assert as_written == ["NGN", "NGN", "NGN", "NGN"]
+    assert kept == ["NGN", "NGN", "USD", None]
