@@ -57,8 +57,11 @@ class TableStore:
             self._entries = [] if log is None else sorted(log.collect(), key=lambda r: r.committed_at_ns)
         return self._entries
 
-    def committed_runs(self) -> set[str]:
-        self.refresh()
+    def committed_runs(self, refresh: bool = True) -> set[str]:
+        """Run ids with a commit. ``refresh=False`` trusts this store's cached log,
+        which is right while this store is the only writer (it refreshes on commit)."""
+        if refresh:
+            self.refresh()
         return {r.run_id for r in self._log_entries()}
 
     def paths(self, table: str) -> tuple[str, list[str]]:

@@ -32,7 +32,8 @@ def billing_batch_writer(store: TableStore, run_ts: dt.datetime):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id:010d}"
-        if run_id in store.committed_runs():
+        # a restarted stream builds a new store, which reads the log afresh
+        if run_id in store.committed_runs(refresh=False):
             return  # replay after a restart
         wm_table = store.read("pipeline_watermarks") if store.has("pipeline_watermarks") else seed_rows(store.spark)
         wm = current(wm_table)[S.SRC_BILLING]
