@@ -33,8 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    # an existing session keeps its own values; only unset SQL settings are filled in
     for key, value in DEFAULT_CONF.items():
-        if key != "spark.ui.enabled" and spark.conf.get(key, None) is None:
+        if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 

@@ -269,3 +269,19 @@ def test_watermark_as_scalar_subquery_equals_literal(spark):
     by_literal = stage_billings(src, W.current(wm_table)[S.SRC_BILLING], RUN_TS)
     assert sorted(map(tuple, by_subquery.collect())) == sorted(map(tuple, by_literal.collect()))
     assert 50 not in {r.transaction_id for r in by_subquery.collect()}
+
+
+def test_command_line_daily_run(spark, workdir):
+    from meterwise.cli import main
+    from meterwise.sources import sources
+    src = sources(spark, "/root/testdata/sf0.001")
+    for k, df in src.items():
+        df.write.parquet(f"{workdir}/src/{k}")
+    args = ["daily", "--state", f"{workdir}/state", "--billing", f"{workdir}/src/billing",
+            "--sessions", f"{workdir}/src/sessions", "--customers", f"{workdir}/src/customers",
+            "--run-date", "2001-07-01", "--run-ts", "2025-01-01T00:00:00", "--no-freshness"]
+    out = main(args)
+    assert out["customer_load"] == "full" and not out["skipped"]
+    assert main(args)["skipped"]
+    store = TableStore(spark, f"{workdir}/state")
+    assert store.read("dw_user_analytics").count() == store.read("dim_customers").count() > 0
