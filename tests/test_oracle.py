@@ -62,3 +62,17 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "customer_id" and len(df.columns) == 17
+
+
+@pytest.mark.parametrize("key", ["src_sessions", "stg_sessions_initial", "agg_monthly_revenue", "csv_roundtrip"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, key):
+    from __spark_entry__ import oracle_sql, queries
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = queries()[key](spark, SF_SMALL)
+        srows, scols = [tuple(r) for r in df.collect()], df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(oracle_sql()[key])
+    assert _bag(srows, scols) == _bag(res.fetchall(), [d[0] for d in res.description])
