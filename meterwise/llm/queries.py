@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality, secrets
+from . import bpe, langid, neardup, packing, quality, secrets
 from .common import id_remainder, table
 
 
@@ -25,6 +25,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text", "lang")
     train = docs.where(id_remainder(4) != 2).select("text", "lang")
@@ -45,6 +49,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bpe_round_trip": op10_bpe_round_trip,
