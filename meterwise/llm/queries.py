@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, neardup, packing, quality, secrets
+from . import bpe, langid, neardup, packing, quality, secrets, toxicity
 from .common import id_remainder, table
 
 
@@ -35,6 +35,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_with_held_out(docs, 4, 2), train)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.learn(docs.where(id_remainder(4) != 2), labels, docs.select("text"))
+    return toxicity.score(_with_held_out(docs, 4, 2), model)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -51,6 +58,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
