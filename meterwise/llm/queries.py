@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, neardup, packing, quality, secrets, toxicity
+from . import bpe, langid, lm, neardup, packing, quality, secrets, toxicity
 from .common import id_remainder, table
 
 
@@ -35,6 +35,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_with_held_out(docs, 4, 2), train)
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return lm.score(_with_held_out(docs, 7, 2), docs.where(id_remainder(7) != 2))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
+    "op6_language_model": op6_language_model,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bpe_round_trip": op10_bpe_round_trip,
