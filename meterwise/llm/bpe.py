@@ -31,7 +31,8 @@ from . import common
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 CONTRACTION = re.compile(rb"'(?:s|t|re|ve|m|ll|d)")  # fixed value: the pattern's first alternatives
-CHUNK = 1 << 20  # leaves of the trees that advance together
+SLICE = 4 << 20  # text bytes encoded at once: some 60 bytes of arrays for each
+CHUNK = 1 << 19  # leaves of the trees that advance together
 NONE32, NONE64 = np.iinfo(np.int32).max, np.iinfo(np.int64).max
 
 
@@ -293,4 +294,4 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
             dec.append(hashlib.sha256(data[x:y].decode("utf-8", "replace").encode()).hexdigest())
         return common.batch_of(doc_id=b.column("doc_id"), n_tokens=pa.array(np.diff(offs), pa.int64()),
                                ids_sha256=pa.array(sha, pa.string()), decoded_sha256=pa.array(dec, pa.string()))
-    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA, limit=8 << 20)
+    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA, limit=SLICE)

@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
                for x, y, z in zip(at.tolist(), upto.tolist(), final.tolist())]
         return common.batch_of(doc_id=b.column("doc_id").take(pa.array(doc)), piece=pa.array(piece, pa.int32()),
                                start=pa.array(start, pa.int64()), length=pa.array(length, pa.int64()), ids_crc32=pa.array(crc, pa.int64()))
-    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES)
+    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES, limit=bpe.SLICE)
 
 
 class _Complements:

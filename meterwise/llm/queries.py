@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lm, neardup, packing, quality, secrets, toxicity
+from . import ann, bitsliced, bpe, langid, lm, neardup, packing, quality, secrets, toxicity
 from .common import id_remainder, table
 
 
@@ -17,6 +17,10 @@ def _with_held_out(docs: DataFrame, m: int, rest: int) -> DataFrame:
     return docs.select("doc_id", (id_remainder(m) == rest).alias("held_out"), "text")
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir, "doc_id", "text"))
 
@@ -40,6 +44,10 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_with_held_out(docs, 7, 2), docs.where(id_remainder(7) != 2))
 
 
+def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_products(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
@@ -59,14 +67,34 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_prefix_forest": op1_prefix_forest,
     "op2_secret_scan": op2_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
     "op6_language_model": op6_language_model,
+    "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Largest integer inner products, all pairs of a query and another row.
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_bit_sliced_top_k": OP7_SQL}
