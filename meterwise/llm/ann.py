@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 TREES, BITS = 48, 20
-WANTED = 1000  # entries of a shard, over all trees, that end the ascent
+WANTED = 1400  # entries of a shard, over all trees, that end the ascent
 SHARD, BLOCK = 2048, 512
 SEED = 1
 
