@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--run-ts", type=dt.datetime.fromisoformat, default=None,
                    help="timestamp written as loaded/updated time (default: now, UTC)")
     d.add_argument("--mode", default="recompute", choices=["recompute", "additive"])
-    d.add_argument("--guard", default="attributes", choices=["attributes", "row"])
+    d.add_argument("--guard", default="row", choices=["attributes", "row"])
     d.add_argument("--no-freshness", action="store_true", help="skip the freshness gate")
     d.add_argument("--quarantine-extended", action="store_true")
     d.add_argument("--report-late", action="store_true")

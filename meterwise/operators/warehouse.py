@@ -11,7 +11,7 @@ from meterwise import schemas as S
 from meterwise.functions import ntz
 
 CONTENT_COLUMNS = [f.name for f in S.USER_ANALYTICS.fields
-                   if f.name not in ("customer_id", "row_hash", "last_updated_at")]
+                   if f.name not in ("customer_id", "last_updated_at")]  # row_hash too: it covers raw values
 
 
 def _per_session(total: Column, sessions: Column) -> Column:

@@ -8,13 +8,15 @@ the watermark and its lookback.
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise import schemas as S
-from meterwise.functions import parse_ts
+from meterwise.functions import ntz, parse_ts
 from meterwise.operators import aggregates as A
 from meterwise.operators import quality as Q
 from meterwise.operators import quarantine as N
@@ -22,9 +24,12 @@ from meterwise.operators import staging as G
 from meterwise.operators import upsert as U
 from meterwise.operators import warehouse as H
 from meterwise.operators import watermark as W
-from meterwise.operators.joins import filter_by_keys
-from meterwise.plans.params import (AS_OF, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, WM_BILLING,
-                                    WM_CUSTOMERS, WM_SESSIONS)
+from meterwise.operators.joins import materialize
+from meterwise.plans.params import (AS_OF, DAY_1, DAY_2, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, RUN_TS_2,
+                                    WM_BILLING, WM_CUSTOMERS, WM_SESSIONS)
+from meterwise.plans.daily import run_daily
+from meterwise.plans.state import TableStore
+from meterwise.session import unique_scratch
 from meterwise.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +39,7 @@ class World:
     """The sources of one scale factor and the derived tables, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.customers = fixtures.src_customers(spark, sf_dir)
         self.billing = fixtures.src_billing(spark, sf_dir)
         self.sessions = fixtures.src_sessions(spark, sf_dir)
@@ -71,24 +76,25 @@ class World:
 
     # run 2: everything, loaded with the watermark and its lookback
     def stg_billings_run2(self) -> DataFrame:
-        return G.stage_billings(self.billing, WM_BILLING, RUN_TS)
+        return G.stage_billings(self.billing, WM_BILLING, RUN_TS_2)
 
     def stg_sessions_run2(self) -> DataFrame:
-        return G.stage_sessions(self.sessions, WM_SESSIONS, RUN_TS)
+        return G.stage_sessions(self.sessions, WM_SESSIONS, RUN_TS_2)
 
     def stg_customers_run2(self) -> DataFrame:
-        return G.stage_customers_incremental(self.customers, WM_CUSTOMERS, RUN_TS)
+        return G.stage_customers_incremental(self.customers, WM_CUSTOMERS, RUN_TS_2)
 
-    def aggregates(self, billings: DataFrame, sessions: DataFrame, customers: DataFrame) -> dict:
-        return A.all_aggregates(billings, sessions, customers, RUN_TS)
+    def aggregates(self, billings: DataFrame, sessions: DataFrame, customers: DataFrame,
+                   run_ts: dt.datetime = RUN_TS) -> dict:
+        return A.all_aggregates(billings, sessions, customers, run_ts)
 
-    def wide(self, aggs: dict, customers: DataFrame) -> DataFrame:
+    def wide(self, aggs: dict, customers: DataFrame, run_ts: dt.datetime = RUN_TS) -> DataFrame:
         return H.user_analytics(customers, aggs["agg_user_revenue"], aggs["agg_user_usage"],
-                                aggs["agg_arpu"], aggs["agg_session_distribution"], RUN_TS)
+                                aggs["agg_arpu"], aggs["agg_session_distribution"], run_ts)
 
     # the wide table LEFT JOINs onto customers, so its aggregates skip the known-customer filter
-    def wide_full(self) -> DataFrame:
-        return self.wide(self.aggregates(self.stg_billings(), self.stg_sessions(), None), self.stg_customers())
+    def wide_full(self, run_ts: dt.datetime = RUN_TS) -> DataFrame:
+        return self.wide(self.aggregates(self.stg_billings(), self.stg_sessions(), None), self.stg_customers(), run_ts)
 
     def wide_run1(self) -> DataFrame:
         return self.wide(self.aggregates(self.stg_billings_run1(), self.stg_sessions_run1(), None),
@@ -131,72 +137,94 @@ def _watermark_update(w: World) -> DataFrame:
 
 
 def _watermark_seed(w: World) -> DataFrame:
-    """Seeding after a run keeps the advanced watermarks (insert-only)."""
-    return W.seed(w.spark, _watermark_update(w))
+    """Seeding a table that knows one source keeps its advanced watermark and adds
+    the initial one for the others."""
+    return W.seed(w.spark, _watermark_update(w).where(F.col("source_table") == S.SRC_BILLING))
 
 
 def _additive(name: str, keys: list[str]) -> Callable[[World], DataFrame]:
     def run(w: World) -> DataFrame:
         c = w.stg_customers()
         one = w.aggregates(w.stg_billings_run1(), w.stg_sessions_run1(), c)[name]
-        two = w.aggregates(w.stg_billings_run2(), w.stg_sessions_run2(), c)[name]
+        two = w.aggregates(w.stg_billings_run2(), w.stg_sessions_run2(), c, RUN_TS_2)[name]
         return U.upsert(one, two, keys, U.ADDITIVE)
     return run
 
 
-def _recompute_revenue(w: World) -> DataFrame:
-    """Default mode, as run_daily does it: running totals after run 1 plus the
-    signed delta of run 2 (minus each re-delivered id's previous winning row,
-    plus its new one), then known customers only. Equals A1 over all history."""
-    c = w.stg_customers()
-    before = w.stg_billings_run1()                       # history after run 1
-    delta = w.stg_billings_run2()
-    hist = U.upsert_latest(before, delta, ["transaction_id"], G.billing_order())
-    replaced = filter_by_keys(before, delta, "transaction_id", "left_semi")
-    winners = filter_by_keys(hist, delta, "transaction_id", "left_semi")
-    totals = U.upsert(A.user_revenue(before, None, RUN_TS),
-                      A.billing_delta(A.signed(replaced, winners), RUN_TS), ["customer_id"], U.ADDITIVE)
-    return totals.where(F.col("total_transactions") > 0).join(c.select("customer_id"), "customer_id", "left_semi")
+_TWO_DAYS: dict[tuple[str, str], TableStore] = {}
+
+
+def _two_days(w: World) -> TableStore:
+    """The store after ``run_daily`` on two Sundays: on the first the sources hold
+    what is at or before the watermarks, on the second everything. Run once per
+    application and input; the queries read different tables of it."""
+    memo = (w.spark.sparkContext.applicationId, w.sf_dir)
+    if memo not in _TWO_DAYS:
+        store = TableStore(w.spark, unique_scratch(w.spark, "two-days"))
+        first = {"billing": w.billing_run1(), "sessions": w.sessions_run1(), "customers": w.customers_run1()}
+        run_daily(w.spark, store, first, DAY_1, RUN_TS, check_fresh=False)
+        run_daily(w.spark, store, {"billing": w.billing, "sessions": w.sessions, "customers": w.customers},
+                  DAY_2, RUN_TS_2, check_fresh=False)
+        _TWO_DAYS[memo] = store
+    return _TWO_DAYS[memo]
+
+
+def _daily_table(name: str) -> Callable[[World], DataFrame]:
+    """A table the two days left; its own write times are the daily run's business."""
+    return lambda w: _two_days(w).read(name).drop("last_updated_at", "loaded_at")
+
+
+def _truncated(w: World) -> DataFrame:
+    """Rows that the daily run left in each transient table."""
+    store = _two_days(w)
+    parts = [store.read(t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+             for t in S.TRANSIENT]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _arpu_replace(w: World) -> DataFrame:
     c = w.stg_customers()
     m1 = w.aggregates(w.stg_billings_run1(), w.stg_sessions_run1(), c)["agg_monthly_revenue"]
-    m2 = w.aggregates(w.stg_billings_run2(), w.stg_sessions_run2(), c)["agg_monthly_revenue"]
+    m2 = w.aggregates(w.stg_billings_run2(), w.stg_sessions_run2(), c, RUN_TS_2)["agg_monthly_revenue"]
+    # the second run recomputes the customers it touched; the others keep their row
     monthly = U.upsert(m1, m2, ["customer_id", "month"], U.ADDITIVE)
-    return U.upsert(A.arpu(m1, RUN_TS), A.arpu(monthly, RUN_TS), ["customer_id"], U.REPLACE)
+    touched = monthly.join(m2.select("customer_id").distinct(), "customer_id", "left_semi")
+    return U.upsert(A.arpu(m1, RUN_TS), A.arpu(touched, RUN_TS_2), ["customer_id"], U.REPLACE)
 
 
 def _buckets_replace(w: World) -> DataFrame:
     c = w.stg_customers()
     b1 = A.session_buckets(w.stg_sessions_run1(), c, RUN_TS)
-    b2 = A.session_buckets(w.stg_sessions_run2(), c, RUN_TS)
+    b2 = A.session_buckets(w.stg_sessions_run2(), c, RUN_TS_2)
     # the bucket upsert does not refresh customer_id
     return U.upsert(b1, b2, ["session_id"], U.REPLACE, cols=["bucket", "last_updated_at"])
 
 
 def _dw_merge(w: World) -> DataFrame:
-    return U.merge_guarded(w.wide_run1(), w.wide_full(), "customer_id", "row_hash")
+    return U.merge_guarded(w.wide_run1(), w.wide_full(RUN_TS_2), "customer_id", "row_hash")
 
 
 def _dw_merge_row(w: World) -> DataFrame:
-    return U.merge_guarded(w.wide_run1(), w.wide_full(), "customer_id", U.content_hash(H.CONTENT_COLUMNS))
+    return U.merge_guarded(w.wide_run1(), w.wide_full(RUN_TS_2), "customer_id", U.content_hash(H.CONTENT_COLUMNS))
 
 
 def _dw_merge_unchanged(w: World) -> DataFrame:
-    src = w.wide_full()
-    return U.merge_guarded(U.merge_guarded(w.wide_run1(), src, "customer_id", "row_hash"),
-                           src, "customer_id", "row_hash")
+    """A second merge of the same content, seen later, changes nothing."""
+    src = materialize(w.wide_full(RUN_TS_2), "wide")
+    once = U.merge_guarded(w.wide_run1(), src, "customer_id", "row_hash", materialized=True)
+    later = src.withColumn("last_updated_at", ntz(RUN_TS_2) + F.expr("INTERVAL 7 DAY"))
+    return U.merge_guarded(once, later, "customer_id", "row_hash", materialized=True)
 
 
 def _quarantine_rerun(w: World) -> DataFrame:
-    captured = N.capture_all(w.billing, w.sessions, w.customers, RUN_TS)
-    first = N.append(w.spark.createDataFrame([], S.QUARANTINE_RECORDS), captured)
-    return N.append(first, captured)
+    """A first run over the activity up to the watermark, then one over all of it:
+    rows detected before keep their first detection time."""
+    captured = N.capture_all(w.billing_run1(), w.sessions_run1(), w.customers, RUN_TS)
+    first = materialize(N.append(w.spark.createDataFrame([], S.QUARANTINE_RECORDS), captured), "quarantine")
+    return N.append(first, N.capture_all(w.billing, w.sessions, w.customers, RUN_TS_2))
 
 
 def _csv_roundtrip(w: World) -> DataFrame:
-    from meterwise.session import unique_scratch
     from meterwise.sources.io import export_csv, import_csv
     path = unique_scratch(w.spark, "dw_user_analytics_export")
     export_csv(w.wide_full(), path)
@@ -255,13 +283,13 @@ QUERIES: dict[str, Query] = {
     "agg_monthly_revenue": _w(lambda w: A.monthly_revenue(w.stg_billings(), w.stg_customers(), RUN_TS)),
     "agg_arpu": _w(lambda w: A.arpu(A.monthly_revenue(w.stg_billings(), w.stg_customers(), RUN_TS), RUN_TS)),
     "session_buckets": _w(lambda w: A.session_buckets(w.stg_sessions(), w.stg_customers(), RUN_TS)),
-    "agg_session_distribution": _w(lambda w: A.session_distribution(
-        A.session_buckets(w.stg_sessions(), w.stg_customers(), RUN_TS), RUN_TS)),
+    "agg_session_distribution": _w(lambda w: A.session_distribution_direct(
+        w.stg_sessions(), w.stg_customers(), RUN_TS)),
     "agg_user_revenue_additive": _w(_additive("agg_user_revenue", ["customer_id"])),
     "agg_user_usage_additive": _w(_additive("agg_user_usage", ["customer_id"])),
     "agg_monthly_revenue_additive": _w(_additive("agg_monthly_revenue", ["customer_id", "month"])),
     "agg_session_distribution_additive": _w(_additive("agg_session_distribution", ["customer_id"])),
-    "agg_user_revenue_recompute": _w(_recompute_revenue),
+    "agg_user_revenue_recompute": _w(lambda w: _two_days(w).read("agg_user_revenue")),
     "agg_arpu_replace": _w(_arpu_replace),
     "session_buckets_replace": _w(_buckets_replace),
     # warehouse
@@ -271,6 +299,15 @@ QUERIES: dict[str, Query] = {
     "dw_merge": _w(_dw_merge),
     "dw_merge_row": _w(_dw_merge_row),
     "dw_merge_unchanged": _w(_dw_merge_unchanged),
+    # the daily run, two days
+    "daily_run_dw": _w(lambda w: _two_days(w).read("dw_user_analytics")),
+    "daily_run_usage": _w(_daily_table("agg_user_usage")),
+    "daily_run_monthly": _w(_daily_table("agg_monthly_revenue")),
+    "daily_run_arpu": _w(_daily_table("agg_arpu")),
+    "daily_run_distribution": _w(_daily_table("agg_session_distribution")),
+    "daily_run_billing_history": _w(_daily_table("hist_billings")),
+    "daily_run_watermarks": _w(lambda w: _two_days(w).read("pipeline_watermarks")),
+    "daily_run_truncated": _w(_truncated),
     # streaming
     "stream_billings": _w(_stream_billings),
 }

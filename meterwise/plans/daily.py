@@ -86,7 +86,7 @@ def together(**jobs: Callable[[], object]) -> dict[str, object]:
 
 def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFrame],
               run_date: dt.date, run_ts: dt.datetime, mode: str = "recompute",
-              guard: str = "attributes", check_fresh: bool = True,
+              guard: str = "row", check_fresh: bool = True,
               quarantine_extended: bool = False, report_late: bool = False,
               export_root: str | None = None, compact_after: int = 30) -> RunResult:
     run_id = run_date.isoformat()

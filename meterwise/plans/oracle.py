@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from meterwise.plans.params import (AS_OF, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, WM_BILLING,
+from meterwise.plans.params import (AS_OF, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, RUN_TS_2, WM_BILLING,
                                     WM_CUSTOMERS, WM_SESSIONS)
+from meterwise.schemas import TRANSIENT
 
 
 def _ts(v: dt.datetime) -> str:
@@ -21,12 +22,14 @@ def _d(v: dt.date) -> str:
     return f"DATE '{v.isoformat()}'"
 
 
-RUN = _ts(RUN_TS)
+RUN, RUN2 = _ts(RUN_TS), _ts(RUN_TS_2)
 EPOCH = _ts(dt.datetime(1970, 1, 1))
 
 _CURRENCY = "CASE {k} % 4 WHEN 0 THEN ' ngn ' WHEN 1 THEN 'Naira' WHEN 3 THEN 'USD' END"
 
 SOURCES = {
+    "billed_orders": """
+  SELECT * REPLACE (CASE WHEN o_custkey % 17 = 3 THEN o_custkey - 1 ELSE o_custkey END AS o_custkey) FROM orders""",
     "src_customers": """
   SELECT CASE WHEN c_custkey % 101 = 7 THEN NULL ELSE c_custkey END AS customer_id,
          'o''neil ' || lower(c_mktsegment) || '-' || CAST(c_custkey AS VARCHAR) AS name,
@@ -49,15 +52,15 @@ SOURCES = {
          {_CURRENCY.format(k='o_orderkey')} AS currency,
          CASE WHEN o_orderkey % 601 = 6 THEN NULL WHEN o_orderkey % 701 = 7 THEN 'not-a-date'
               ELSE CAST(o_orderdate AS VARCHAR) END AS transaction_date
-  FROM orders WHERE o_custkey % 17 <> 3
+  FROM billed_orders
   UNION ALL
   SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)), {_CURRENCY.format(k='o_orderkey')},
          CAST(o_orderdate AS VARCHAR)
-  FROM orders WHERE o_custkey % 17 <> 3 AND o_orderkey % 89 = 10
+  FROM billed_orders WHERE o_orderkey % 89 = 10
   UNION ALL
   SELECT o_orderkey, o_custkey, CAST(o_totalprice + 1 AS DECIMAL(18,2)), 'NGN',
          CAST(o_orderdate + INTERVAL 1 DAY AS VARCHAR)
-  FROM orders WHERE o_custkey % 17 <> 3 AND o_orderkey % 97 = 11""",
+  FROM billed_orders WHERE o_orderkey % 97 = 11""",
     "src_network_sessions": """
   SELECT CASE WHEN event_id % 499 = 1 THEN NULL ELSE event_id END AS session_id,
          CASE WHEN event_id % 401 = 2 THEN NULL WHEN event_id % 307 = 3 THEN user_id + 10000000
@@ -80,21 +83,21 @@ def _initcap(col: str) -> str:
             f"lambda w: upper(w[1]) || lower(w[2:])), '')")
 
 
-def stg_billings(src: str, wm: dt.datetime) -> str:
+def stg_billings(src: str, wm: dt.datetime | str, run: str = RUN) -> str:
     return f"""
   SELECT transaction_id, customer_id, COALESCE(amount, CAST(0 AS DECIMAL(18,2))) AS amount, 'NGN' AS currency,
-         ts AS transaction_date, {RUN} AS loaded_at
+         ts AS transaction_date, {run} AS loaded_at
   FROM (SELECT *, TRY_CAST(transaction_date AS TIMESTAMP) AS ts,
                ROW_NUMBER() OVER (PARTITION BY transaction_id
                                   ORDER BY TRY_CAST(transaction_date AS TIMESTAMP) DESC NULLS LAST,
                                            amount DESC NULLS LAST, customer_id ASC) AS rn
         FROM {src}
         WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL
-          AND TRY_CAST(transaction_date AS TIMESTAMP) > {_ts(wm)} - INTERVAL 3 DAY) d
+          AND TRY_CAST(transaction_date AS TIMESTAMP) > {wm if isinstance(wm, str) else _ts(wm)} - INTERVAL 3 DAY) d
   WHERE rn = 1"""
 
 
-def stg_sessions(src: str, wm: dt.datetime) -> str:
+def stg_sessions(src: str, wm: dt.datetime, run: str = RUN) -> str:
     return f"""
   SELECT session_id, customer_id, st AS start_time, et AS end_time,
          COALESCE(data_used_mb, CAST(0 AS DECIMAL(18,2))) AS data_used_mb,
@@ -102,7 +105,7 @@ def stg_sessions(src: str, wm: dt.datetime) -> str:
               THEN CAST(CAST(date_diff('microsecond', st, et) AS DECIMAL(24,6)) * CAST(0.000001 AS DECIMAL(7,6))
                         AS DECIMAL(18,6))
               ELSE CAST(0 AS DECIMAL(18,6)) END AS session_duration_sec,
-         {RUN} AS loaded_at
+         {run} AS loaded_at
   FROM (SELECT *, TRY_CAST(start_time AS TIMESTAMP) AS st, TRY_CAST(end_time AS TIMESTAMP) AS et,
                ROW_NUMBER() OVER (PARTITION BY session_id
                                   ORDER BY TRY_CAST(start_time AS TIMESTAMP) DESC NULLS LAST,
@@ -114,14 +117,14 @@ def stg_sessions(src: str, wm: dt.datetime) -> str:
   WHERE rn = 1"""
 
 
-def stg_customers(src: str, wm: dt.datetime | None = None) -> str:
+def stg_customers(src: str, wm: dt.datetime | None = None, run: str = RUN) -> str:
     after = "" if wm is None else f"AND TRY_CAST(created_at AS TIMESTAMP) > {_ts(wm)}"
     return f"""
   SELECT customer_id, {_initcap('name')} AS name, lower(email) AS email,
          COALESCE(country, 'Nigeria') AS country, TRY_CAST(created_at AS TIMESTAMP) AS created_at,
          md5(COALESCE(CAST(customer_id AS VARCHAR), '') || COALESCE(name, '') || COALESCE(email, '')
              || COALESCE(country, '') || COALESCE(created_at, '')) AS row_hash,
-         {RUN} AS loaded_at
+         {run} AS loaded_at
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
                                      ORDER BY TRY_CAST(created_at AS TIMESTAMP) DESC NULLS LAST,
                                               name ASC NULLS LAST, email ASC NULLS LAST,
@@ -130,57 +133,57 @@ def stg_customers(src: str, wm: dt.datetime | None = None) -> str:
   WHERE rn = 1"""
 
 
-def agg_user_revenue(b: str, c: str) -> str:
+def agg_user_revenue(b: str, c: str, run: str = RUN) -> str:
     return f"""
   SELECT b.customer_id, CAST(SUM(b.amount) AS DECIMAL(28,2)) AS total_revenue, COUNT(*) AS total_transactions,
-         {RUN} AS last_updated_at
+         {run} AS last_updated_at
   FROM {b} b JOIN {c} c ON b.customer_id = c.customer_id GROUP BY b.customer_id"""
 
 
-def agg_user_usage(s: str, c: str) -> str:
+def agg_user_usage(s: str, c: str, run: str = RUN) -> str:
     return f"""
   SELECT s.customer_id, CAST(SUM(s.data_used_mb) AS DECIMAL(28,2)) AS total_data_used_mb,
          CAST(SUM(s.session_duration_sec) AS DECIMAL(28,6)) AS total_session_duration, COUNT(*) AS total_sessions,
-         {RUN} AS last_updated_at
+         {run} AS last_updated_at
   FROM {s} s JOIN {c} c ON s.customer_id = c.customer_id GROUP BY s.customer_id"""
 
 
-def agg_monthly_revenue(b: str, c: str) -> str:
+def agg_monthly_revenue(b: str, c: str, run: str = RUN) -> str:
     return f"""
   SELECT b.customer_id, CAST(date_trunc('month', b.transaction_date) AS DATE) AS month,
-         CAST(SUM(b.amount) AS DECIMAL(28,2)) AS total_revenue, {RUN} AS last_updated_at
+         CAST(SUM(b.amount) AS DECIMAL(28,2)) AS total_revenue, {run} AS last_updated_at
   FROM {b} b JOIN {c} c ON b.customer_id = c.customer_id
   WHERE b.transaction_date IS NOT NULL
   GROUP BY b.customer_id, CAST(date_trunc('month', b.transaction_date) AS DATE)"""
 
 
-def agg_arpu(m: str) -> str:
+def agg_arpu(m: str, run: str = RUN) -> str:
     return f"""
   SELECT customer_id,
          CASE WHEN COUNT(DISTINCT month) = 0 THEN CAST(0 AS DOUBLE)
               ELSE CAST(SUM(total_revenue) AS DOUBLE) / CAST(COUNT(DISTINCT month) AS DOUBLE) END AS arpu,
-         {RUN} AS last_updated_at
+         {run} AS last_updated_at
   FROM {m} GROUP BY customer_id"""
 
 
-def session_buckets(s: str, c: str) -> str:
+def session_buckets(s: str, c: str, run: str = RUN) -> str:
     return f"""
   SELECT s.session_id, s.customer_id,
          CASE WHEN s.session_duration_sec < 60 THEN 'short'
               WHEN s.session_duration_sec < 300 THEN 'medium' ELSE 'long' END AS bucket,
-         {RUN} AS last_updated_at
+         {run} AS last_updated_at
   FROM {s} s JOIN {c} c ON s.customer_id = c.customer_id"""
 
 
-def agg_session_distribution(bk: str) -> str:
+def agg_session_distribution(bk: str, run: str = RUN) -> str:
     return f"""
   SELECT customer_id, COUNT(*) FILTER (WHERE bucket = 'short') AS short_sessions,
          COUNT(*) FILTER (WHERE bucket = 'medium') AS medium_sessions,
-         COUNT(*) FILTER (WHERE bucket = 'long') AS long_sessions, {RUN} AS last_updated_at
+         COUNT(*) FILTER (WHERE bucket = 'long') AS long_sessions, {run} AS last_updated_at
   FROM {bk} GROUP BY customer_id"""
 
 
-def wide(c: str, r: str, u: str, a: str, d: str) -> str:
+def wide(c: str, r: str, u: str, a: str, d: str, run: str = RUN) -> str:
     per = "CASE WHEN COALESCE(u.total_sessions, 0) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST({x} AS DOUBLE) / CAST(u.total_sessions AS DOUBLE) END"
     return f"""
   SELECT c.customer_id, c.name AS customer_name, c.email, c.country, CAST(c.created_at AS DATE) AS customer_since,
@@ -194,7 +197,7 @@ def wide(c: str, r: str, u: str, a: str, d: str) -> str:
          COALESCE(d.medium_sessions, 0) AS medium_sessions,
          COALESCE(d.long_sessions, 0) AS long_sessions,
          {per.format(x='u.total_data_used_mb')} AS avg_data_per_session_mb,
-         c.row_hash, {RUN} AS last_updated_at
+         c.row_hash, {run} AS last_updated_at
   FROM {c} c
   LEFT JOIN {r} r ON c.customer_id = r.customer_id
   LEFT JOIN {u} u ON c.customer_id = u.customer_id
@@ -202,17 +205,17 @@ def wide(c: str, r: str, u: str, a: str, d: str) -> str:
   LEFT JOIN {d} d ON c.customer_id = d.customer_id"""
 
 
-def _world(suffix: str, b: str, s: str, c: str) -> dict[str, str]:
+def _world(suffix: str, b: str, s: str, c: str, run: str = RUN) -> dict[str, str]:
     """Aggregates and the wide table over staging CTEs ``b``, ``s``, ``c``."""
     x = suffix
     return {
-        f"rev{x}": agg_user_revenue(b, c),
-        f"use{x}": agg_user_usage(s, c),
-        f"mon{x}": agg_monthly_revenue(b, c),
-        f"arpu{x}": agg_arpu(f"mon{x}"),
-        f"bk{x}": session_buckets(s, c),
-        f"dist{x}": agg_session_distribution(f"bk{x}"),
-        f"wide{x}": wide(c, f"rev{x}", f"use{x}", f"arpu{x}", f"dist{x}"),
+        f"rev{x}": agg_user_revenue(b, c, run),
+        f"use{x}": agg_user_usage(s, c, run),
+        f"mon{x}": agg_monthly_revenue(b, c, run),
+        f"arpu{x}": agg_arpu(f"mon{x}", run),
+        f"bk{x}": session_buckets(s, c, run),
+        f"dist{x}": agg_session_distribution(f"bk{x}", run),
+        f"wide{x}": wide(c, f"rev{x}", f"use{x}", f"arpu{x}", f"dist{x}", run),
     }
 
 
@@ -231,12 +234,12 @@ def _ctes() -> dict[str, str]:
     t["stg_s1"] = stg_sessions("src_s1", dt.datetime(1970, 1, 1))
     t["stg_c1"] = stg_customers("src_c1")
     # run 2: everything with the watermark and lookback
-    t["stg_b2"] = stg_billings("src_billing_transactions", WM_BILLING)
-    t["stg_s2"] = stg_sessions("src_network_sessions", WM_SESSIONS)
-    t["stg_c2"] = stg_customers("src_customers", WM_CUSTOMERS)
+    t["stg_b2"] = stg_billings("src_billing_transactions", WM_BILLING, RUN2)
+    t["stg_s2"] = stg_sessions("src_network_sessions", WM_SESSIONS, RUN2)
+    t["stg_c2"] = stg_customers("src_customers", WM_CUSTOMERS, RUN2)
     t.update(_world("_1", "stg_b1", "stg_s1", "stg_c1"))       # run-1 world
     t.update(_world("_a1", "stg_b1", "stg_s1", "stg_c"))       # run 1 aggregates, all customers
-    t.update(_world("_a2", "stg_b2", "stg_s2", "stg_c"))       # run 2 aggregates, all customers
+    t.update(_world("_a2", "stg_b2", "stg_s2", "stg_c", RUN2))       # run 2 aggregates, all customers
     return t
 
 
@@ -297,6 +300,11 @@ Q_ALL = f"""
     SELECT *, ROW_NUMBER() OVER (PARTITION BY record_hash ORDER BY record) AS rn
     FROM ({Q_NULL} UNION ALL {Q_DUP} UNION ALL {Q_ORPHAN} UNION ALL {Q_TIMES}) x) y
   WHERE rn = 1"""
+# run 1 sees the activity at or before the watermarks; what it found keeps its detection time
+Q_RERUN = f"""
+  SELECT record, source, check_type, record_hash,
+         CASE WHEN record_hash IN (SELECT record_hash FROM found_1) THEN {RUN} ELSE {RUN2} END AS detected_at
+  FROM ({Q_ALL}) q"""
 Q_EXT = " UNION ALL ".join([
     _json_capture("src_billing_transactions", "billing_transactions", "invalid_amount",
                   "amount IS NOT NULL AND amount < 0"),
@@ -353,7 +361,7 @@ def _merge(t: str, s: str, take: str) -> str:
 _TAKE_ATTR = "t.customer_id IS NULL OR (s.customer_id IS NOT NULL AND t.row_hash <> s.row_hash)"
 _CONTENT = ["customer_name", "email", "country", "customer_since", "total_revenue", "total_transactions",
             "total_data_used_mb", "total_sessions", "avg_session_duration_sec", "arpu", "short_sessions",
-            "medium_sessions", "long_sessions", "avg_data_per_session_mb"]
+            "medium_sessions", "long_sessions", "avg_data_per_session_mb", "row_hash"]
 
 
 def _additive(a1: str, a2: str, keys: list[str], sums: list[str], types: dict[str, str]) -> str:
@@ -390,7 +398,7 @@ ORACLE: dict[str, str] = {
     "quarantine_orphaned_customer_id": Q_ORPHAN,
     "quarantine_invalid_session_times": Q_TIMES,
     "quarantine_all": Q_ALL,
-    "quarantine_rerun": Q_ALL,
+    "quarantine_rerun": Q_RERUN,
     "quarantine_extended": Q_EXT,
     "stg_billings_initial": "SELECT * FROM stg_b",
     "stg_billings_incremental": "SELECT * FROM stg_b2",
@@ -408,8 +416,7 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT '{C}', MAX(created_at), {RUN} FROM stg_c"),
     "watermark_seed": (
         f"SELECT '{B}' AS source_table, MAX(transaction_date) AS last_processed, {RUN} AS updated_at FROM stg_b "
-        f"UNION ALL SELECT '{SS}', MAX(start_time), {RUN} FROM stg_s "
-        f"UNION ALL SELECT '{C}', MAX(created_at), {RUN} FROM stg_c"),
+        f"UNION ALL SELECT '{SS}', {EPOCH}, {EPOCH} UNION ALL SELECT '{C}', {EPOCH}, {EPOCH}"),
     "agg_user_revenue": "SELECT * FROM rev",
     "agg_user_usage": "SELECT * FROM use",
     "agg_monthly_revenue": "SELECT * FROM mon",
@@ -426,7 +433,10 @@ ORACLE: dict[str, str] = {
     "agg_session_distribution_additive": _additive(
         "dist_a1", "dist_a2", ["customer_id"], ["short_sessions", "medium_sessions", "long_sessions"],
         {"short_sessions": "BIGINT", "medium_sessions": "BIGINT", "long_sessions": "BIGINT"}),
-    "agg_user_revenue_recompute": "SELECT * FROM rev",
+    "agg_user_revenue_recompute": (
+        f"SELECT customer_id, total_revenue, total_transactions, CASE WHEN customer_id IN (SELECT customer_id FROM stg_bd "
+        f"UNION SELECT customer_id FROM stg_b1 WHERE transaction_id IN (SELECT transaction_id FROM stg_bd)) "
+        f"THEN {RUN2} ELSE {RUN} END AS last_updated_at FROM rev"),
     "agg_arpu_replace": (
         "SELECT * FROM arpu_a1 WHERE customer_id NOT IN (SELECT customer_id FROM m_arpu) UNION ALL SELECT * FROM m_arpu"),
     "session_buckets_replace": (
@@ -439,21 +449,38 @@ ORACLE: dict[str, str] = {
     "churn_candidates": (f"SELECT * FROM wide WHERE total_sessions < 5 AND total_revenue < 1000 "
                          f"AND customer_since <= CAST({_d(AS_OF)} - INTERVAL 30 DAY AS DATE)"),
     "inactive_customers": "SELECT * FROM wide WHERE total_transactions = 0 AND total_sessions = 0",
-    "dw_merge": _merge("wide_1", "wide", _TAKE_ATTR),
+    "dw_merge": _merge("wide_1", "wide_r2", _TAKE_ATTR),
     "dw_merge_row": _merge("wide_1h", "wide_h",
                            "t.customer_id IS NULL OR (s.customer_id IS NOT NULL AND t.h <> s.h)"),
-    "dw_merge_unchanged": _merge("merged_1", "wide", _TAKE_ATTR),
+    "dw_merge_unchanged": _merge("wide_1", "wide_r2", _TAKE_ATTR),  # the repeat adds nothing
+    "daily_run_dw": _merge("wide_1h", "wide_h", "t.customer_id IS NULL OR (s.customer_id IS NOT NULL AND t.h <> s.h)"),
+    "daily_run_usage": "SELECT * EXCLUDE (last_updated_at) FROM use",
+    "daily_run_monthly": "SELECT * EXCLUDE (last_updated_at) FROM mon",
+    "daily_run_arpu": "SELECT * EXCLUDE (last_updated_at) FROM arpu",
+    "daily_run_distribution": "SELECT * EXCLUDE (last_updated_at) FROM dist",
+    "daily_run_billing_history": "SELECT * EXCLUDE (loaded_at) FROM stg_b",
+    "daily_run_watermarks": (
+        f"SELECT '{B}' AS source_table, MAX(transaction_date) AS last_processed, {RUN2} AS updated_at FROM stg_b "
+        f"UNION ALL SELECT '{SS}', MAX(start_time), {RUN2} FROM stg_s "
+        f"UNION ALL SELECT '{C}', MAX(created_at), {RUN2} FROM stg_c"),
+    "daily_run_truncated": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS n_rows FROM (SELECT COUNT(*) FROM src_customers)" for t in TRANSIENT),
     "stream_billings": "SELECT * FROM stg_b",
 }
 
 # CTEs that only some oracles need
 _hash = ("md5(concat_ws(chr(31), " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in _CONTENT) + "))")
 CTES["m_arpu"] = agg_arpu(
-    "(" + _additive("mon_a1", "mon_a2", ["customer_id", "month"], ["total_revenue"],
-                    {"total_revenue": "DECIMAL(28,2)"}) + ")")
+    "(SELECT * FROM (" + _additive("mon_a1", "mon_a2", ["customer_id", "month"], ["total_revenue"],
+                                   {"total_revenue": "DECIMAL(28,2)"})
+    + ") WHERE customer_id IN (SELECT customer_id FROM mon_a2))", RUN2)
 CTES["wide_1h"] = f"SELECT *, {_hash} AS h FROM wide_1"
-CTES["wide_h"] = f"SELECT *, {_hash} AS h FROM wide"
-CTES["merged_1"] = _merge("wide_1", "wide", _TAKE_ATTR)
+CTES["wide_r2"] = f"SELECT * REPLACE ({RUN2} AS last_updated_at) FROM wide"
+CTES["wide_h"] = f"SELECT *, {_hash} AS h FROM wide_r2"
+# what the second day of the two-day run stages, and what its first day quarantines
+CTES["stg_bd"] = stg_billings("src_billing_transactions", "(SELECT MAX(transaction_date) FROM stg_b1)")
+CTES["found_1"] = Q_ALL.replace("src_billing_transactions t", "src_b1 t").replace("src_network_sessions t", "src_s1 t").replace(
+    "FROM src_billing_transactions GROUP", "FROM src_b1 GROUP").replace("FROM src_network_sessions GROUP", "FROM src_s1 GROUP")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,6 +32,12 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
+def _missing(e: AnalysisException) -> bool:
+    """Only a path that does not exist means "nothing written yet"; any other
+    failure to read must not pass for an empty state."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -42,8 +48,10 @@ class TableStore:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            if _missing(e):
+                return None
+            raise
 
     def refresh(self) -> None:
         """Forget the cached commit log (another writer may have committed)."""
@@ -145,7 +153,9 @@ class TableStore:
         path = f"{self.root}/{table}/empty"
         try:
             self.spark.read.schema(self.schema(table)).parquet(path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
             self.spark.createDataFrame([], self.schema(table)).write.mode("overwrite").parquet(path)
         return path
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,15 +44,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local runs, tests) is a local folder created and set."""
+    Only when it is unset on a local master (local runs, tests) is a local folder
+    created and set. Executors of a cluster do not see each other's local disks,
+    so there an unset folder is an error."""
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="meterwise-ckpt-")
-    log.warning("spark.checkpoint.dir is unset; using local %s (not for clusters)", local)
+    log.warning("spark.checkpoint.dir is unset; using local %s", local)
     sc.setCheckpointDir(local)
     return local
 

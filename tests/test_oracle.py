@@ -35,13 +35,13 @@ def duck():
 
 
 def _keys():
-    from __spark_entry__ import oracle_sql
-    return sorted(oracle_sql())
+    from meterwise.plans.catalog import QUERIES
+    return sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from __spark_entry__ import oracle_sql
+    assert set(_keys()) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("key", _keys())
