@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from meterwise.operators.joins import materialize
 
-SLICE_BYTES = 16 << 20  # text bytes handled at once by a Python worker
+SLICE_BYTES = 4 << 20  # text bytes handled at once by a Python worker: up to 100 bytes of arrays for each
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-ARROW_BATCH_BYTES = 32 << 20
+ARROW_BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
