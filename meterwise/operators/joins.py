@@ -6,7 +6,7 @@ customers a run touched. If Catalyst cannot prove the key set small before
 the job starts, both sides are shuffled, which at scale means moving the large
 table just to drop or keep a few keys. Here the key set is materialized on the
 shared checkpoint folder (written once as parquet and read back, which also
-cuts its lineage), counted, and broadcast only when the count is within a
+cuts its lineage), measured, and broadcast only when its bytes are within a
 bound; beyond the bound the join stays a shuffled sort-merge join (AQE splits
 skewed partitions). The result is the same either way.
 """
@@ -20,12 +20,22 @@ from pyspark.sql import functions as F
 
 from meterwise.session import unique_scratch
 
-MAX_BROADCAST_KEYS_CONF = "meterwise.broadcast.maxKeys"
-DEFAULT_MAX_BROADCAST_KEYS = 2_000_000  # ~8-16 bytes per key: tens of MB at most
+MAX_BROADCAST_CONF = "spark.meterwise.broadcast.maxBytes"
+DEFAULT_MAX_BROADCAST = 64 << 20
+ROW_BYTES = 48  # of a broadcast row besides its texts: hash entry, pointers, fixed-width keys
 
 
-def max_broadcast_keys(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MAX_BROADCAST_KEYS_CONF, str(DEFAULT_MAX_BROADCAST_KEYS)))
+def max_broadcast_bytes(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(MAX_BROADCAST_CONF, str(DEFAULT_MAX_BROADCAST)))
+
+
+def size_in_bytes(keys: DataFrame) -> int:
+    """Bytes that ``keys`` take as a broadcast relation, from one pass over them."""
+    texts = [f.name for f in keys.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    per_row = F.lit(ROW_BYTES + 8 * len(keys.columns))
+    for c in texts:
+        per_row = per_row + F.coalesce(F.octet_length(c), F.lit(0))
+    return keys.agg(F.sum(per_row.cast("long"))).first()[0] or 0
 
 
 _BOUNDED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
@@ -45,11 +55,11 @@ materialize_df = materialize  # the parameter below shadows the function name
 
 def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> DataFrame:
     """The distinct ``on`` columns of ``keys``, marked for broadcast when their
-    row count is within the bound.
+    bytes are within the bound.
 
-    ``materialize=False`` when ``keys`` is already read from storage (counting
+    ``materialize=False`` when ``keys`` is already read from storage (measuring
     it is then a cheap scan and it is not recomputed by the join). The decision
-    is remembered per key set, so a set used by several joins is counted once."""
+    is remembered per key set, so a set used by several joins is measured once."""
     memo = (id(keys), tuple(on), materialize)
     hit = _BOUNDED.get(memo)
     if hit is not None and hit[0] is keys:
@@ -57,7 +67,7 @@ def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> Dat
     ks = keys.select(*on).distinct()
     if materialize:
         ks = materialize_df(ks)
-    out = F.broadcast(ks) if ks.count() <= max_broadcast_keys(ks) else ks
+    out = F.broadcast(ks) if size_in_bytes(ks) <= max_broadcast_bytes(ks) else ks
     if len(_BOUNDED) > 64:
         _BOUNDED.clear()
     _BOUNDED[memo] = (keys, out)
@@ -78,12 +88,3 @@ def split_by_keys(target: DataFrame, keys: DataFrame, on: Sequence[str],
     The first passes through untouched; only the second needs to meet the delta."""
     ks = bounded(keys, list(on), materialize)
     return target.join(ks, list(on), "left_anti"), target.join(ks, list(on), "left_semi")
-
-
-def flag_by_keys(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], flag: str,
-                 materialize: bool = True) -> DataFrame:
-    """``rows`` with a boolean ``flag``: is the row's key in ``keys``. A left join
-    to the checked-size key set, so several such flags can be set in one pass."""
-    cols = [on] if isinstance(on, str) else list(on)
-    ks = bounded(keys, cols, materialize).withColumn(flag, F.lit(True))
-    return rows.join(ks, cols, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

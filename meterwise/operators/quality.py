@@ -26,7 +26,10 @@ class StaleSourceError(RuntimeError):
 # ---- freshness -------------------------------------------------------------
 
 def fresh_rows(src: DataFrame, ts_col: str, run_date: dt.date) -> DataFrame:
-    """Rows whose timestamp text falls on ``run_date`` (unparseable text never does)."""
+    """Rows whose timestamp text falls on ``run_date`` (unparseable text never does).
+    On a landed source only that day's partition is read."""
+    if "event_date" in src.columns:
+        src = src.where(F.col("event_date") == F.lit(run_date))
     return src.where(F.to_date(parse_ts(ts_col)) == F.lit(run_date))
 
 

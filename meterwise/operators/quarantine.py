@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from meterwise import schemas as S
 from meterwise.functions import ntz, parse_ts, record_hash, row_json
 from meterwise.operators import quality as Q
-from meterwise.operators.joins import filter_by_keys, flag_by_keys, materialize
+from meterwise.operators.joins import filter_by_keys, materialize
 from meterwise.operators.quality import invalid_session_times
 
 
@@ -74,27 +74,34 @@ def invalid_sessions(sessions: DataFrame, run_ts: dt.datetime) -> DataFrame:
                    S.INVALID_SESSION_TIMES, run_ts)
 
 
+def _extended_checks() -> dict[str, list[tuple[str, Column]]]:
+    amount, day, start, cid = (F.col(c) for c in ("amount", "transaction_date", "start_time", "customer_id"))
+    return {
+        S.SRC_BILLING: [
+            (S.INVALID_AMOUNT, amount.isNotNull() & (amount < 0)),
+            (S.UNPARSEABLE_DATE, day.isNotNull() & parse_ts("transaction_date").isNull()),
+            (S.NULL_TRANSACTION_DATE, day.isNull()), (S.NULL_CUSTOMER_ID, cid.isNull())],
+        S.SRC_SESSIONS: [
+            (S.UNPARSEABLE_TIMESTAMP, start.isNotNull() & parse_ts("start_time").isNull()),
+            (S.NULL_START_OR_END_TIME, start.isNull() | F.col("end_time").isNull()), (S.NULL_CUSTOMER_ID, cid.isNull())],
+        S.SRC_CUSTOMERS: [(S.NULL_CREATED_AT, F.col("created_at").isNull())],
+    }
+
+
 def extended(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
              run_ts: dt.datetime) -> DataFrame:
-    """Check types that are only counted in the original, quarantined as well."""
-    rules: list[tuple[DataFrame, str, str, Column]] = [
-        (billing, S.Q_BILLING, S.INVALID_AMOUNT, F.col("amount").isNotNull() & (F.col("amount") < 0)),
-        (billing, S.Q_BILLING, S.UNPARSEABLE_DATE,
-         F.col("transaction_date").isNotNull() & parse_ts("transaction_date").isNull()),
-        (billing, S.Q_BILLING, S.NULL_TRANSACTION_DATE, F.col("transaction_date").isNull()),
-        (billing, S.Q_BILLING, S.NULL_CUSTOMER_ID, F.col("customer_id").isNull()),
-        (sessions, S.Q_SESSIONS, S.UNPARSEABLE_TIMESTAMP,
-         F.col("start_time").isNotNull() & parse_ts("start_time").isNull()),
-        (sessions, S.Q_SESSIONS, S.NULL_START_OR_END_TIME,
-         F.col("start_time").isNull() | F.col("end_time").isNull()),
-        (sessions, S.Q_SESSIONS, S.NULL_CUSTOMER_ID, F.col("customer_id").isNull()),
-        (customers, S.Q_CUSTOMERS, S.NULL_CREATED_AT, F.col("created_at").isNull()),
-    ]
-    out = None
-    for df, source, check, pred in rules:
-        part = capture(df.where(pred), source, check, run_ts)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Check types that are only counted in the original, quarantined as well: one
+    pass over each source."""
+    checks = _extended_checks()
+    return (capture_pass(billing, S.Q_BILLING, checks[S.SRC_BILLING], run_ts, billing.columns)
+            .unionByName(capture_pass(sessions, S.Q_SESSIONS, checks[S.SRC_SESSIONS], run_ts, sessions.columns))
+            .unionByName(capture_pass(customers, S.Q_CUSTOMERS, checks[S.SRC_CUSTOMERS], run_ts, customers.columns)))
+
+
+def malformed(src: DataFrame, source: str, run_ts: dt.datetime) -> DataFrame:
+    """Source lines that did not fit the schema: the line as read and what could be
+    parsed of it."""
+    return capture(src.where(F.col(S.MALFORMED_COLUMN).isNotNull()), source, S.MALFORMED_RECORD, run_ts)
 
 
 def capture_pass(df: DataFrame, source: str, checks: list[tuple[str, Column]],
@@ -114,38 +121,32 @@ def capture_pass(df: DataFrame, source: str, checks: list[tuple[str, Column]],
 def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
                 run_ts: dt.datetime, include_extended: bool = False,
                 keys: Q.FaultKeys | None = None, keys_materialized: bool = False) -> DataFrame:
-    """All quarantine captures in one pass per source. Repeated ids and orphan
-    ids are flagged by left joins to the (checked-size, usually broadcast) key
-    sets shared with the counts, instead of one scan and join per check."""
+    """All quarantine captures. Checks on the row itself share one pass per source
+    without a join. Rows of repeated and of orphaned ids are semi-joined to the key
+    sets shared with the counts: within the broadcast bound nothing is shuffled,
+    beyond it only the ids' side is small and a bloom filter may prune the rows."""
     if keys is None:
         keys = Q.fault_keys(billing, sessions, customers)
     m = not keys_materialized
-    cid = F.col("customer_id")
-
-    b = flag_by_keys(billing, keys.repeated[S.SRC_BILLING], "transaction_id", "_dup", m)
-    b = flag_by_keys(b, keys.orphans[S.SRC_BILLING], "customer_id", "_orphan", m)
-    b_checks = [(S.NULL_IDENTIFIER, F.col("transaction_id").isNull()),
-                (S.DUPLICATE_IDENTIFIER, F.col("_dup")), (S.ORPHANED_CUSTOMER_ID, F.col("_orphan"))]
-    s_ = flag_by_keys(sessions, keys.repeated[S.SRC_SESSIONS], "session_id", "_dup", m)
-    s_ = flag_by_keys(s_, keys.orphans[S.SRC_SESSIONS], "customer_id", "_orphan", m)
-    s_checks = [(S.NULL_IDENTIFIER, F.col("session_id").isNull()),
-                (S.DUPLICATE_IDENTIFIER, F.col("_dup")), (S.ORPHANED_CUSTOMER_ID, F.col("_orphan")),
-                (S.INVALID_SESSION_TIMES, invalid_session_times(sessions))]
-    c = flag_by_keys(customers, keys.repeated[S.SRC_CUSTOMERS], "customer_id", "_dup", m)
-    c_checks = [(S.NULL_IDENTIFIER, cid.isNull()), (S.DUPLICATE_IDENTIFIER, F.col("_dup"))]
+    own = {S.SRC_BILLING: [(S.NULL_IDENTIFIER, F.col("transaction_id").isNull())],
+           S.SRC_SESSIONS: [(S.NULL_IDENTIFIER, F.col("session_id").isNull()),
+                            (S.INVALID_SESSION_TIMES, invalid_session_times(sessions))],
+           S.SRC_CUSTOMERS: [(S.NULL_IDENTIFIER, F.col("customer_id").isNull())]}
     if include_extended:
-        b_checks += [(S.INVALID_AMOUNT, F.col("amount").isNotNull() & (F.col("amount") < 0)),
-                     (S.UNPARSEABLE_DATE, F.col("transaction_date").isNotNull()
-                      & parse_ts("transaction_date").isNull()),
-                     (S.NULL_TRANSACTION_DATE, F.col("transaction_date").isNull()),
-                     (S.NULL_CUSTOMER_ID, cid.isNull())]
-        s_checks += [(S.UNPARSEABLE_TIMESTAMP, F.col("start_time").isNotNull() & parse_ts("start_time").isNull()),
-                     (S.NULL_START_OR_END_TIME, F.col("start_time").isNull() | F.col("end_time").isNull()),
-                     (S.NULL_CUSTOMER_ID, cid.isNull())]
-        c_checks += [(S.NULL_CREATED_AT, F.col("created_at").isNull())]
-    return (capture_pass(b, S.Q_BILLING, b_checks, run_ts, billing.columns)
-            .unionByName(capture_pass(s_, S.Q_SESSIONS, s_checks, run_ts, sessions.columns))
-            .unionByName(capture_pass(c, S.Q_CUSTOMERS, c_checks, run_ts, customers.columns)))
+        own = {k: v + _extended_checks()[k] for k, v in own.items()}
+    parts = []
+    for df, label, name in ((billing, S.SRC_BILLING, S.Q_BILLING), (sessions, S.SRC_SESSIONS, S.Q_SESSIONS),
+                            (customers, S.SRC_CUSTOMERS, S.Q_CUSTOMERS)):
+        parts.append(capture_pass(df, name, own[label], run_ts, df.columns))
+        repeated = filter_by_keys(df, keys.repeated[label], Q.KEYS[label], "left_semi", m).select(*df.columns)
+        parts.append(capture(repeated, name, S.DUPLICATE_IDENTIFIER, run_ts))
+        if label in keys.orphans:
+            lost = filter_by_keys(df, keys.orphans[label], "customer_id", "left_semi", m).select(*df.columns)
+            parts.append(capture(lost, name, S.ORPHANED_CUSTOMER_ID, run_ts))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def first_per_hash(captured: DataFrame) -> DataFrame:

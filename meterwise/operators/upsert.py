@@ -31,8 +31,13 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "delta") -> No
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str,
            cols: Sequence[str] | None = None, sums: Sequence[str] | None = None,
-           latest: str | None = "last_updated_at", materialized: bool = False) -> DataFrame:
-    """Next version of ``target`` after writing ``delta`` (unique on ``keys``).
+           latest: str | None = "last_updated_at", materialized: bool = False,
+           unique: bool = False) -> DataFrame:
+    """Next version of ``target`` after writing ``delta``.
+
+    A key that repeats in ``delta`` raises ``DuplicateKeyError``: which of its rows
+    would win is undefined. ``unique`` says the caller's own grouping or window
+    already made the keys unique, which saves the check.
 
     * ``insert_only``: new keys are added, existing rows never change.
     * ``replace``: matched rows take delta's values for ``cols`` (default: every
@@ -49,6 +54,8 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], policy: str
     delta = delta.select(*target.columns)
     if not materialized:
         delta = materialize(delta, "delta")  # small side: write once, no recomputation
+    if not unique:
+        assert_unique(delta, keys)
     if policy == INSERT_ONLY:
         _, existing = split_by_keys(target.select(*keys), delta, keys, False)
         return target.unionByName(delta.join(existing, keys, "left_anti"))

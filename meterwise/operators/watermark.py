@@ -29,7 +29,7 @@ def seed_rows(spark: SparkSession) -> DataFrame:
 def seed(spark: SparkSession, existing: DataFrame) -> DataFrame:
     """Add the 1970 watermark for sources that have none; keep existing ones."""
     # the seed is a three-row in-memory relation: counting it needs no materialization
-    return upsert(existing, seed_rows(spark), ["source_table"], INSERT_ONLY, materialized=True)
+    return upsert(existing, seed_rows(spark), ["source_table"], INSERT_ONLY, materialized=True, unique=True)
 
 
 def value(watermarks: DataFrame, source: str) -> Column:

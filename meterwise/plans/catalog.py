@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterwise import schemas as S
 from meterwise.functions import ntz, parse_ts
@@ -31,6 +32,7 @@ from meterwise.plans.daily import run_daily
 from meterwise.plans.state import TableStore
 from meterwise.session import unique_scratch
 from meterwise.sources import fixtures
+from meterwise.streaming.activity_stream import BILLING, SESSIONS, Feed, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,9 +233,43 @@ def _csv_roundtrip(w: World) -> DataFrame:
     return import_csv(w.spark, path, S.USER_ANALYTICS)
 
 
-def _stream_billings(w: World) -> DataFrame:
-    from meterwise.streaming.billing_stream import replay_billings
-    return replay_billings(w.spark, w.billing, RUN_TS)
+_STREAMS: dict[tuple[str, str, str], TableStore] = {}
+LANDED_FILES = 4  # files, each one micro-batch
+
+
+def _streamed(w: World, feed: Feed) -> TableStore:
+    """The store after the source, landed as a few files, went through its stream
+    one file per micro-batch. Run once per application, input and feed."""
+    memo = (w.spark.sparkContext.applicationId, w.sf_dir, feed.source)
+    if memo not in _STREAMS:
+        root = unique_scratch(w.spark, "stream")
+        source = w.billing if feed is BILLING else w.sessions
+        source.repartition(LANDED_FILES).write.parquet(f"{root}/landing")
+        store = TableStore(w.spark, f"{root}/state")
+        run_stream(w.spark, feed, f"{root}/landing", store, f"{root}/checkpoint", RUN_TS, files_per_batch=1)
+        _STREAMS[memo] = store
+    return _STREAMS[memo]
+
+
+def _known_totals(w: World, feed: Feed, table: str, schema: T.StructType) -> DataFrame:
+    """Published form of the streamed totals: known customers only."""
+    return (_streamed(w, feed).read(table).select(*schema.fieldNames())
+            .join(w.stg_customers().select("customer_id"), "customer_id", "left_semi"))
+
+
+def _late_rows(w: World) -> DataFrame:
+    """Rows before the lookback whose id was never loaded, where the loads so far
+    missed the billing without currency and the sessions without volume."""
+    loaded_b = w.stg_billings().select("transaction_id").join(
+        w.billing.where("currency IS NULL").select("transaction_id"), "transaction_id", "left_anti")
+    loaded_s = w.stg_sessions().select("session_id").join(
+        w.sessions.where("data_used_mb IS NULL").select("session_id"), "session_id", "left_anti")
+    b = W.late_rows(w.billing.where("customer_id IS NOT NULL"), "transaction_id", "transaction_date", WM_BILLING, loaded_b)
+    s = W.late_rows(w.sessions.where("customer_id IS NOT NULL"), "session_id", "start_time", WM_SESSIONS, loaded_s)
+    return (b.select(F.lit(S.SRC_BILLING).alias("source_table"), F.col("transaction_id").alias("row_id"), "customer_id",
+                     parse_ts("transaction_date").alias("row_time"))
+            .unionByName(s.select(F.lit(S.SRC_SESSIONS).alias("source_table"), F.col("session_id").alias("row_id"), "customer_id",
+                                  parse_ts("start_time").alias("row_time"))))
 
 
 QUERIES: dict[str, Query] = {
@@ -309,5 +345,12 @@ QUERIES: dict[str, Query] = {
     "daily_run_watermarks": _w(lambda w: _two_days(w).read("pipeline_watermarks")),
     "daily_run_truncated": _w(_truncated),
     # streaming
-    "stream_billings": _w(_stream_billings),
+    "stream_billings": _w(lambda w: _streamed(w, BILLING).read("hist_billings")),
+    "stream_sessions": _w(lambda w: _streamed(w, SESSIONS).read("hist_sessions")),
+    "stream_user_revenue": _w(lambda w: _known_totals(w, BILLING, "acc_billing", S.AGG_USER_REVENUE)),
+    "stream_monthly_revenue": _w(lambda w: _known_totals(w, BILLING, "acc_monthly", S.AGG_MONTHLY_REVENUE)),
+    "stream_user_usage": _w(lambda w: _known_totals(w, SESSIONS, "acc_usage", S.AGG_USER_USAGE)),
+    "stream_session_distribution": _w(lambda w: _known_totals(w, SESSIONS, "acc_usage", S.AGG_SESSION_DISTRIBUTION)),
+    # late data
+    "late_rows": _w(_late_rows),
 }

@@ -2,10 +2,11 @@
 aggregates -> wide table -> CSV hand-off -> guarded merge -> truncate, all
 published in one commit.
 
-``mode="recompute"`` (default) keeps a customer dimension and the deduplicated
-billing / session history, and rebuilds every aggregate of the customers a run
-touches from that history; it is idempotent, so a retried or repeated run never
-double counts and weekday runs keep existing customers' activity.
+``mode="recompute"`` (default) keeps a customer dimension, the deduplicated
+billing / session history and running totals, and moves the totals by signed
+deltas (minus an id's previous winning row, plus its new one); it is idempotent,
+so a retried or repeated run never double counts and weekday runs keep existing
+customers' activity.
 ``mode="additive"`` reproduces the original arithmetic (aggregates += today's
 staging, wide table driven by today's staged customers).
 
@@ -50,7 +51,9 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-class _Run:
+class Run:
+    """The versions one run writes, published together by its commit."""
+
     def __init__(self, store: TableStore, run_id: str):
         self.store, self.run_id = store, run_id
         self.snapshots: dict[str, str] = {}
@@ -87,23 +90,24 @@ def together(**jobs: Callable[[], object]) -> dict[str, object]:
 def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFrame],
               run_date: dt.date, run_ts: dt.datetime, mode: str = "recompute",
               guard: str = "row", check_fresh: bool = True,
-              quarantine_extended: bool = False, report_late: bool = False,
+              quarantine_extended: bool = False, report_late: bool = True,
               export_root: str | None = None, compact_after: int = 30) -> RunResult:
     run_id = run_date.isoformat()
-    if run_id in store.committed_runs():
+    if store.is_committed(run_id, refresh=True):
         return RunResult(run_id, skipped=True)
     # landed sources carry an event_date partition: staging uses it to prune,
     # the checks and the quarantine see exactly the source's own columns
-    staging_src = dict(sources)
-    raw = {k: v.drop("event_date") if "event_date" in v.columns else v for k, v in sources.items()}
+    staging_src = {k: v.drop(S.MALFORMED_COLUMN) for k, v in sources.items()}
+    # the checks and the quarantine see exactly the source's own columns
+    raw = {k: v.drop("event_date", S.MALFORMED_COLUMN) for k, v in sources.items()}
     b, s, c = raw["billing"], raw["sessions"], raw["customers"]
-    run = _Run(store, run_id)
+    run = Run(store, run_id)
 
     # 1. freshness gate (raises; nothing is written)
     if check_fresh:
         with run.phase("freshness"):
-            Q.check_freshness(b, S.SRC_BILLING, "transaction_date", run_date)
-            Q.check_freshness(s, S.SRC_SESSIONS, "start_time", run_date)
+            Q.check_freshness(sources["billing"], S.SRC_BILLING, "transaction_date", run_date)
+            Q.check_freshness(sources["sessions"], S.SRC_SESSIONS, "start_time", run_date)
 
     # 2. quality counts and quarantine (a copy; rows still flow on)
     with run.phase("quality"):
@@ -111,9 +115,11 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         keys = Q.fault_keys(b, s, c, keep=lambda name, df: store.stage(name, df, run_id), run_all=together)
         run.add("dq_report", Q.dq_report(b, s, c, keys).withColumn("run_date", F.lit(run_date)))
     with run.phase("quarantine"):
-        captured = store.stage("quarantine_captured", N.first_per_hash(
-            N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended, keys=keys,
-                          keys_materialized=True)), run_id)
+        bad = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended, keys=keys, keys_materialized=True)
+        for k, label in (("billing", S.Q_BILLING), ("sessions", S.Q_SESSIONS), ("customers", S.Q_CUSTOMERS)):
+            if S.MALFORMED_COLUMN in sources[k].columns:
+                bad = bad.unionByName(N.malformed(sources[k], label, run_ts))
+        captured = store.stage("quarantine_captured", N.first_per_hash(bad), run_id)
         run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured,
                                                     deduplicated=True))
 
@@ -142,7 +148,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
             customers = stg_c
             aggs = _additive(run, store, stg_b, stg_s, stg_c, run_ts)
         elif mode == "recompute":
-            customers, aggs, changed = _recompute(run, store, b, stg_b, stg_s, stg_c, load, wms, run_date,
+            customers, aggs, changed = _recompute(run, store, b, s, stg_b, stg_s, stg_c, load, wms, run_date,
                                                   run_ts, report_late)
             # a wide row can only change for customers touched or (re)loaded today,
             # so only those rows are built, handed off and merged
@@ -178,7 +184,7 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
                      seconds=run.seconds)
 
 
-def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, stg_c: DataFrame,
+def _additive(run: Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, stg_c: DataFrame,
               run_ts: dt.datetime) -> dict[str, DataFrame]:
     """As originally written: today's staging is added onto the running totals.
     Each day's delta is staged first, so splitting the target by its keys does not
@@ -187,7 +193,7 @@ def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame,
 
     def add(table: str, delta: DataFrame, keys: list[str], policy: str, **kw) -> DataFrame:
         d = store.stage(f"{table}_delta", delta, run.run_id)
-        return run.put(table, U.upsert(store.read(table), d, keys, policy, materialized=True, **kw))
+        return run.put(table, U.upsert(store.read(table), d, keys, policy, materialized=True, unique=True, **kw))
 
     out = {"agg_user_revenue": add("agg_user_revenue", new["agg_user_revenue"], ["customer_id"], U.ADDITIVE),
            "agg_user_usage": add("agg_user_usage", new["agg_user_usage"], ["customer_id"], U.ADDITIVE)}
@@ -200,7 +206,7 @@ def _additive(run: _Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame,
     return out
 
 
-def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key: str, ts_col: str,
+def merge_history(run: Run, table: str, old: DataFrame, delta: DataFrame, key: str, ts_col: str,
                    order: list) -> tuple[DataFrame, DataFrame]:
     """Latest-wins merge of today's staged rows into a history stored one
     directory per month. Only months that receive a row, or hold a row the delta
@@ -228,7 +234,14 @@ def _merge_history(run: _Run, table: str, old: DataFrame, delta: DataFrame, key:
     return replaced, winners
 
 
-def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: DataFrame,
+def accumulate(run: Run, table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
+    """Next version of running totals after a signed delta; ids with no rows left drop out."""
+    d = run.store.stage(f"{table}_delta", delta, run.run_id)
+    total = U.upsert(run.store.read(table), d, keys, U.ADDITIVE, materialized=True, unique=True)
+    return run.put(table, total.where(F.col(count) > 0))
+
+
+def _recompute(run: Run, store: TableStore, billing_src: DataFrame, sessions_src: DataFrame, stg_b: DataFrame,
                stg_s: DataFrame, stg_c: DataFrame, load: str, wms: dict, run_date: dt.date,
                run_ts: dt.datetime, report_late: bool) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """Maintain the aggregates by signed deltas of what changed today.
@@ -237,36 +250,36 @@ def _recompute(run: _Run, store: TableStore, billing_src: DataFrame, stg_b: Data
     ids included); a day adds, per id in the delta, minus its previous winning
     row plus its new one. The published aggregates are the totals of known
     customers, so a customer who arrives after their activity needs no history
-    scan. Work and shuffle are O(delta); nothing is counted twice."""
+    scan; nothing is counted twice. The shuffles carry the delta; the totals
+    themselves are rewritten whole, as parquet has no update in place."""
     policy = U.REPLACE if load == "full" else U.INSERT_ONLY
     old_dim = store.read("dim_customers")
-    dim = run.put("dim_customers", U.upsert(old_dim, stg_c, ["customer_id"], policy, materialized=True))
+    dim = run.put("dim_customers", U.upsert(old_dim, stg_c, ["customer_id"], policy, materialized=True,
+                                                   unique=True))
     old_b, old_s = store.read("hist_billings"), store.read("hist_sessions")
 
     if report_late:
-        # rows dated before the lookback window whose id was never loaded. The
-        # source carries no arrival time, so this compares the source's older rows
-        # with every loaded key: a full-history anti join, hence opt-in.
-        late = W.late_rows(billing_src.where(F.col("customer_id").isNotNull()), "transaction_id",
-                           "transaction_date", wms[S.SRC_BILLING], old_b.select("transaction_id"))
-        run.add("late_billings", late.withColumn("run_date", F.lit(run_date)))
+        # rows dated before the lookback window whose id was never loaded are not
+        # staged; they are reported instead of being dropped without a trace. The
+        # sources carry no arrival time, so this compares their older rows with
+        # every loaded key (ids and dates only are shuffled).
+        for table, src, key, ts_col, label, loaded in (
+                ("late_billings", billing_src, "transaction_id", "transaction_date", S.SRC_BILLING, old_b),
+                ("late_sessions", sessions_src, "session_id", "start_time", S.SRC_SESSIONS, old_s)):
+            late = W.late_rows(src.where(F.col("customer_id").isNotNull()), key, ts_col, wms[label], loaded.select(key))
+            run.add(table, late.withColumn("run_date", F.lit(run_date)))
 
     merged = together(
-        b=lambda: _merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
+        b=lambda: merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
                                  G.billing_order()),
-        s=lambda: _merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
+        s=lambda: merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
                                  G.session_order()))
     signed_b, signed_s = A.signed(*merged["b"]), A.signed(*merged["s"])
 
-    def _acc(table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
-        d = store.stage(f"{table}_delta", delta, run.run_id)
-        total = U.upsert(store.read(table), d, keys, U.ADDITIVE, materialized=True)
-        return run.put(table, total.where(F.col(count) > 0))  # ids with no rows left drop out
-
     acc = together(
-        b=lambda: _acc("acc_billing", ["customer_id"], A.billing_delta(signed_b, run_ts), "total_transactions"),
-        m=lambda: _acc("acc_monthly", ["customer_id", "month"], A.monthly_delta(signed_b, run_ts), "n_rows"),
-        u=lambda: _acc("acc_usage", ["customer_id"], A.usage_delta(signed_s, run_ts), "total_sessions"))
+        b=lambda: accumulate(run, "acc_billing", ["customer_id"], A.billing_delta(signed_b, run_ts), "total_transactions"),
+        m=lambda: accumulate(run, "acc_monthly", ["customer_id", "month"], A.monthly_delta(signed_b, run_ts), "n_rows"),
+        u=lambda: accumulate(run, "acc_usage", ["customer_id"], A.usage_delta(signed_s, run_ts), "total_sessions"))
     acc_b, acc_m, acc_u = acc["b"], acc["m"], acc["u"]
 
     def known(df: DataFrame) -> DataFrame:

@@ -466,6 +466,23 @@ ORACLE: dict[str, str] = {
     "daily_run_truncated": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS n_rows FROM (SELECT COUNT(*) FROM src_customers)" for t in TRANSIENT),
     "stream_billings": "SELECT * FROM stg_b",
+    "stream_sessions": "SELECT * FROM stg_s",
+    "stream_user_revenue": "SELECT * FROM rev",
+    "stream_monthly_revenue": "SELECT * FROM mon",
+    "stream_user_usage": "SELECT * FROM use",
+    "stream_session_distribution": "SELECT * FROM dist",
+    "late_rows": f"""
+SELECT '{B}' AS source_table, transaction_id AS row_id, customer_id, TRY_CAST(transaction_date AS TIMESTAMP) AS row_time
+FROM {B} WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL
+  AND TRY_CAST(transaction_date AS TIMESTAMP) <= {_ts(WM_BILLING)} - INTERVAL 3 DAY
+  AND (transaction_id NOT IN (SELECT transaction_id FROM stg_b)
+       OR transaction_id IN (SELECT transaction_id FROM {B} WHERE currency IS NULL))
+UNION ALL
+SELECT '{SS}', session_id, customer_id, TRY_CAST(start_time AS TIMESTAMP)
+FROM {SS} WHERE session_id IS NOT NULL AND customer_id IS NOT NULL
+  AND TRY_CAST(start_time AS TIMESTAMP) <= {_ts(WM_SESSIONS)} - INTERVAL 3 DAY
+  AND (session_id NOT IN (SELECT session_id FROM stg_s)
+       OR session_id IN (SELECT session_id FROM {SS} WHERE data_used_mb IS NULL))""",
 }
 
 # CTEs that only some oracles need

@@ -2,11 +2,11 @@
 
 Parquet cannot be rewritten in place while it is being read, and has no MERGE.
 So a run writes every table it changes to a fresh directory
-``<root>/<table>/run=<run_id>/`` and then publishes them together by appending
-one small file to ``<root>/_commits`` that lists (run_id, table, path).
-Readers take, per table, the path of the latest commit; a run that dies before
-its commit leaves nothing visible and is simply repeated. Append-only tables
-(quarantine) publish one part per run and read the union of all parts.
+``<root>/<table>/run=<run_id>/`` and then publishes them together by one small
+manifest ``<root>/_state/v=<n>`` that lists the current paths of every table.
+Readers take the newest manifest only; a run that dies before its commit leaves
+nothing visible and is simply repeated. Append-only tables (quarantine) publish
+one part per run and read the union of all parts.
 
 Writing a version and reading it back is also how lineage is cut between
 stages, on the shared folder, so a lost executor never forces a recompute
@@ -15,7 +15,7 @@ from the raw sources.
 
 from __future__ import annotations
 
-import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +23,15 @@ from pyspark.sql import types as T
 
 from meterwise import schemas as S
 
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType(), False),      # the run that published this version
     T.StructField("table", T.StringType(), False),
     T.StructField("path", T.StringType(), False),
     T.StructField("mode", T.StringType(), False),        # snapshot | append
-    T.StructField("committed_at_ns", T.LongType(), False),
 ])
 
 
-def _missing(e: AnalysisException) -> bool:
+def missing(e: AnalysisException) -> bool:
     """Only a path that does not exist means "nothing written yet"; any other
     failure to read must not pass for an empty state."""
     return e.getCondition() == "PATH_NOT_FOUND"
@@ -42,53 +41,53 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list | None = None
+        self._manifest: list[tuple[str, str, str]] | None = None  # (table, path, mode)
+        self._version, self._last_run = 0, ""
+        self._staged: list[str] = []
 
-    # ---- commit log --------------------------------------------------------
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
-        except AnalysisException as e:
-            if _missing(e):
-                return None
-            raise
+    # ---- manifest ----------------------------------------------------------
+    def _fs(self):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
     def refresh(self) -> None:
-        """Forget the cached commit log (another writer may have committed)."""
-        self._entries = None
-
-    def _log_entries(self) -> list:
-        """The commit log on the driver: a handful of rows per run, read once per
-        store instance and refreshed after each commit."""
-        if self._entries is None:
-            log = self._log()
-            self._entries = [] if log is None else sorted(log.collect(), key=lambda r: r.committed_at_ns)
-        return self._entries
-
-    def committed_runs(self, refresh: bool = True) -> set[str]:
-        """Run ids with a commit. ``refresh=False`` trusts this store's cached log,
-        which is right while this store is the only writer (it refreshes on commit)."""
+        """Forget the cached manifest (another writer may have committed)."""
+        self._manifest = None
+
+    def _state(self) -> list[tuple[str, str, str]]:
+        """The newest manifest: the current paths of every table, a handful of rows
+        whatever the number of past runs."""
+        if self._manifest is None:
+            fs, path = self._fs()
+            base = path(f"{self.root}/_state")
+            names = [f.getPath().getName() for f in fs.listStatus(base)] if fs.exists(base) else []
+            versions = sorted(n for n in names if n.startswith("v="))
+            self._manifest, self._version, self._last_run = [], 0, ""
+            if versions:
+                rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/_state/{versions[-1]}").collect()
+                self._manifest = [(r.table, r.path, r.mode) for r in rows if r.table]
+                self._version, self._last_run = int(versions[-1][2:]), rows[0].run_id
+        return self._manifest
+
+    def is_committed(self, run_id: str, refresh: bool = False) -> bool:
+        """Whether a run has committed. The newest manifest answers for its own run,
+        a marker per run for older ones."""
         if refresh:
             self.refresh()
-        return {r.run_id for r in self._log_entries()}
+        self._state()
+        fs, path = self._fs()
+        return run_id == self._last_run or fs.exists(path(f"{self.root}/_runs/run={run_id}"))
 
     def paths(self, table: str) -> tuple[str, list[str]]:
         """(mode, paths) of the committed state of ``table``: the paths of its
-        latest snapshot commit (one directory, or one per partition) plus every
-        part appended after it."""
-        rows = [r for r in self._log_entries() if r.table == table]
-        if not rows:
-            return "snapshot", []
-        last = max((i for i, r in enumerate(rows) if r.mode == "snapshot"), default=None)
-        paths: list[str] = []
-        if last is not None:
-            commit = (rows[last].run_id, rows[last].committed_at_ns)
-            paths = [r.path for r in rows if r.mode == "snapshot" and (r.run_id, r.committed_at_ns) == commit]
-        paths += [r.path for r in rows[(last + 1 if last is not None else 0):] if r.mode == "append"]
-        return rows[-1].mode, [p for p in paths if p]
+        latest snapshot (one directory, or one per partition) plus every part
+        appended after it."""
+        rows = [(p, m) for t, p, m in self._state() if t == table]
+        return (rows[-1][1] if rows else "snapshot"), [p for p, _ in rows if p]
 
     def has(self, table: str) -> bool:
-        """Whether ``table`` has committed data (answered from the commit log, no job)."""
+        """Whether ``table`` has committed data (answered from the manifest, no job)."""
         return bool(self.paths(table)[1])
 
     def partition_paths(self, table: str) -> dict[str, str]:
@@ -132,36 +131,52 @@ class TableStore:
     def stage(self, table: str, df: DataFrame, run_id: str) -> DataFrame:
         """Write and read back: cuts lineage on the shared folder."""
         path = self.write(table, df, run_id, "-stage")
+        self._staged.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, run_id: str, snapshots: dict[str, str | list[str]],
                appends: dict[str, str] | None = None) -> None:
-        """Publish all tables of a run at once (one file appended to the log).
-        A snapshot is one directory or a list of partition directories."""
-        now = time.time_ns()
-        rows = []
+        """Publish all tables of a run at once: the next manifest is written aside
+        and renamed into place. A snapshot is one directory or a list of partition
+        directories; an appended part joins the table's paths."""
+        kept = [r for r in self._state() if r[0] not in snapshots]
         for t, p in snapshots.items():
-            for path in ([p] if isinstance(p, str) else (p or [""])):
-                rows.append((run_id, t, path, "snapshot", now))
-        rows += [(run_id, t, p, "append", now) for t, p in (appends or {}).items()]
-        (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
-             .write.mode("append").parquet(f"{self.root}/_commits"))
+            kept += [(t, path, "snapshot") for path in ([p] if isinstance(p, str) else (p or [""]))]
+        kept += [(t, p, "append") for t, p in (appends or {}).items()]
+        rows = [(run_id, *r) for r in kept] or [(run_id, "", "", "snapshot")]
+        fs, path = self._fs()
+        if self._last_run:  # a run that died before its marker
+            fs.mkdirs(path(f"{self.root}/_runs/run={self._last_run}"))
+        aside = f"{self.root}/_state/.{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(aside)
+        target = path(f"{self.root}/_state/v={self._version + 1:010d}")
+        if fs.exists(target) or not fs.rename(path(aside), target):
+            raise RuntimeError(f"another writer committed to {self.root} meanwhile; run {run_id} was not published")
+        fs.mkdirs(path(f"{self.root}/_runs/run={run_id}"))
+        self._drop_staged()
         self.refresh()
 
+    def _drop_staged(self) -> None:
+        """Delete this store's ``-stage`` copies: nothing committed refers to them."""
+        fs, path = self._fs()
+        for p in self._staged:
+            fs.delete(path(p), True)
+        self._staged.clear()
+
     def empty_path(self, table: str, run_id: str | None = None) -> str:
         """An empty snapshot of ``table`` (TRUNCATE), written once and reused."""
         path = f"{self.root}/{table}/empty"
         try:
             self.spark.read.schema(self.schema(table)).parquet(path)
         except AnalysisException as e:
-            if not _missing(e):
+            if not missing(e):
                 raise
             self.spark.createDataFrame([], self.schema(table)).write.mode("overwrite").parquet(path)
         return path
 
     def init_tables(self, run_id: str = "init") -> None:
         """Create every table empty if it has never been committed (IF NOT EXISTS)."""
-        known = {r.table for r in self._log_entries()}
+        known = {t for t, _, _ in self._state()}
         missing = {t: self.empty_path(t, run_id) for t in S.TABLES if t not in known}
         if missing:
             self.commit(run_id, missing)

@@ -29,6 +29,8 @@ INVALID_AMOUNT = "invalid_amount"
 UNPARSEABLE_DATE = "unparseable_date"
 INVALID_SESSION_TIMES = "invalid_session_times"
 UNPARSEABLE_TIMESTAMP = "unparseable_timestamp"
+MALFORMED_RECORD = "malformed_record"  # extra check type: a source line that does not fit the schema
+MALFORMED_COLUMN = "_malformed"  # holds such a line
 NULL_CUSTOMER_ID = "null_customer_id"  # extra check type (only counted-out in the original)
 
 DEFAULT_COUNTRY = "Nigeria"
@@ -122,6 +124,8 @@ DQ_HISTORY = _s(("source_table", S, False), ("check_type", S, False), ("faulty_r
                 ("run_date", D, False))
 LATE_BILLINGS = _s(*[(f.name, f.dataType, True) for f in SRC_BILLING_SCHEMA.fields], ("run_date", D, False))
 
+LATE_SESSIONS = _s(*[(f.name, f.dataType, True) for f in SRC_SESSIONS_SCHEMA.fields], ("run_date", D, False))
+
 # name -> (schema, key columns, transient?)  transient tables are emptied after a run
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "stg_billings": (STG_BILLINGS, ("transaction_id",), True),
@@ -147,6 +151,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     # append-only run reports
     "dq_report": (DQ_HISTORY, (), False),
     "late_billings": (LATE_BILLINGS, (), False),
+    "late_sessions": (LATE_SESSIONS, (), False),
 }
 
 TRANSIENT = tuple(n for n, (_, _, t) in TABLES.items() if t and n != "stg_user_analytics")

@@ -100,10 +100,11 @@ def test_late_rows_inside_and_outside_lookback(spark, workdir):
     late = BILLING_DAY1 + [(20, 1, Decimal("3.00"), "NGN", "2025-01-03 00:00:01"),   # inside 3 days
                            (21, 1, Decimal("4.00"), "NGN", "2025-01-02 00:00:00"),   # too late
                            (22, 2, Decimal("1.00"), "NGN", "2025-01-06 00:00:00")]
-    run_daily(spark, store, _sources(spark, late, SESSIONS_DAY2), MON, RUN_TS, report_late=True)
+    old_session = (110, 1, "2025-01-01 00:00:00", "2025-01-01 00:01:00", Decimal("1.00"))
+    run_daily(spark, store, _sources(spark, late, SESSIONS_DAY2 + [old_session]), MON, RUN_TS)
     assert _rev(store)[1] == (Decimal("153.00"), 3)
-    reported = [r.transaction_id for r in store.read("late_billings").collect()]
-    assert reported == [21]
+    assert [r.transaction_id for r in store.read("late_billings").collect()] == [21]
+    assert [r.session_id for r in store.read("late_sessions").collect()] == [110]
 
 
 def test_weekday_without_new_customers_keeps_watermark_and_activity(spark, workdir):
@@ -140,14 +141,14 @@ def test_freshness_gate_raises_and_writes_nothing(spark, workdir):
     store = TableStore(spark, workdir)
     with pytest.raises(StaleSourceError):
         run_daily(spark, store, _sources(spark, BILLING_DAY1), TUE, RUN_TS)
-    assert store.committed_runs() == set()
+    assert not store.is_committed(TUE.isoformat()) and store.paths("dim_customers")[1] == []
 
 
 def test_init_tables_creates_empty_tables_once(spark, workdir):
     store = TableStore(spark, workdir)
     store.init_tables()
     store.init_tables()
-    assert store.committed_runs() == {"init"}
+    assert store.is_committed("init") and store._version == 1
     assert store.read("agg_user_revenue").count() == 0
     assert store.read("dw_user_analytics").columns == S.USER_ANALYTICS.fieldNames()
 
@@ -285,3 +286,64 @@ def test_command_line_daily_run(spark, workdir):
     assert main(args)["skipped"]
     store = TableStore(spark, f"{workdir}/state")
     assert store.read("dw_user_analytics").count() == store.read("dim_customers").count() > 0
+
+
+def test_timestamps_of_two_days(spark, workdir):
+    """What a later run touches carries its time; the rest keeps the first one."""
+    later = RUN_TS + dt.timedelta(days=7)
+    store = TableStore(spark, workdir)
+    day1 = BILLING_DAY1 + [(None, 2, Decimal("2.00"), "NGN", "2025-01-05 01:00:00")]
+    run_daily(spark, store, _sources(spark, day1), SUN, RUN_TS)
+    day2 = day1 + [(14, 1, Decimal("7.00"), "NGN", "2025-01-06 08:00:00"), (None, 1, Decimal("3.00"), "NGN", "2025-01-06 02:00:00")]
+    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, later)
+    dw = {r.customer_id: r.last_updated_at for r in store.read("dw_user_analytics").collect()}
+    assert dw == {1: later, 2: RUN_TS}
+    found = store.read("quarantine_records").where("check_type = 'null_identifier' AND source = 'billing_transactions'").collect()
+    assert sorted((r.detected_at, "2025-01-06" in r.record) for r in found) == [(RUN_TS, False)] * 2 + [(later, True)]
+
+
+def test_commit_keeps_one_manifest_per_run_and_drops_staged_copies(spark, workdir):
+    import os
+    store = TableStore(spark, workdir)
+    for day in (SUN, MON, TUE):
+        run_daily(spark, store, _sources(spark, BILLING_DAY1), day, RUN_TS, check_fresh=False)
+    n = len(store._state())
+    assert len(os.listdir(f"{workdir}/_state")) >= 3 and n < 60
+    assert all(store.is_committed(d.isoformat()) for d in (SUN, MON, TUE)) and not store.is_committed("2025-02-01")
+    assert not [d for t in os.listdir(workdir) for d in os.listdir(f"{workdir}/{t}") if d.endswith("-stage")]
+    other = TableStore(spark, workdir)
+    other._state()
+    store.commit("a", {})
+    with pytest.raises(RuntimeError):
+        other.commit("b", {})
+
+
+def test_an_unreadable_manifest_is_not_an_empty_state(spark, workdir):
+    import os
+    store = TableStore(spark, workdir)
+    store.init_tables()
+    part = next(f for f in os.listdir(f"{workdir}/_state/v=0000000001") if f.startswith("part-"))
+    with open(f"{workdir}/_state/v=0000000001/{part}", "wb") as f:
+        f.write(b"broken")
+    with pytest.raises(Exception):
+        TableStore(spark, workdir).read("dim_customers").collect()
+
+
+def test_malformed_csv_lines_are_quarantined_and_the_run_completes(spark, workdir):
+    from meterwise.sources import read_source
+    for name, text in {
+        "billing": "transaction_id,customer_id,amount,currency,transaction_date\n10,1,100.00,NGN,2025-01-04 10:00:00\n"
+                   "11,1,abc,NGN,2025-01-05 09:00:00\n12,2,5.00,NGN,2025-01-05 12:00:00,extra\n",
+        "sessions": "session_id,customer_id,start_time,end_time,data_used_mb\n100,1,2025-01-05 10:00:00,2025-01-05 10:00:30,1.50\n",
+        "customers": 'customer_id,name,email,country,created_at\n1,"two\nlines",A@X.COM,Ghana,2024-12-01 00:00:00\n2,bob,,,2024-12-15 00:00:00\n',
+    }.items():
+        with open(f"{workdir}/{name}.csv", "w") as f:
+            f.write(text)
+    names = {"billing": S.SRC_BILLING, "sessions": S.SRC_SESSIONS, "customers": S.SRC_CUSTOMERS}
+    src = {k: read_source(spark, n, f"{workdir}/{k}.csv", fmt="csv") for k, n in names.items()}
+    store = TableStore(spark, f"{workdir}/state")
+    run_daily(spark, store, src, SUN, RUN_TS)
+    bad = store.read("quarantine_records").where("check_type = 'malformed_record'").collect()
+    assert sorted(r.record.count("abc") for r in bad) == [0, 1] and len(bad) == 2
+    assert _rev(store) == {1: (Decimal("100.00"), 2), 2: (Decimal("5.00"), 1)}  # quarantine is a copy; the bad field is NULL
+    assert {r.customer_name for r in store.read("dw_user_analytics").collect()} == {"Two\nLines", "Bob"}

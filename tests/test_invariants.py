@@ -78,3 +78,11 @@ def test_assert_unique_raises(spark):
     df = spark.createDataFrame([(1, Decimal("1.00")), (1, Decimal("2.00"))], "k bigint, v decimal(18,2)")
     with pytest.raises(U.DuplicateKeyError):
         U.assert_unique(df, ["k"])
+
+
+@pytest.mark.parametrize("policy", [U.INSERT_ONLY, U.REPLACE, U.ADDITIVE])
+def test_upsert_refuses_a_repeated_delta_key(spark, policy):
+    schema = "k bigint, v bigint"
+    t, d = spark.createDataFrame([(1, 1)], schema), spark.createDataFrame([(2, 1), (2, 5)], schema)
+    with pytest.raises(U.DuplicateKeyError):
+        U.upsert(t, d, ["k"], policy, latest=None)

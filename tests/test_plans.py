@@ -32,10 +32,10 @@ def test_semi_and_anti_joins_are_used(spark):
 
 
 def test_key_sets_over_the_bound_are_not_broadcast(spark):
-    from meterwise.operators.joins import MAX_BROADCAST_KEYS_CONF
+    from meterwise.operators.joins import MAX_BROADCAST_CONF
     # with Catalyst's own size-based broadcast off too, the join must fall back
     # to a shuffled semi join rather than broadcast an unchecked key set
-    confs = {MAX_BROADCAST_KEYS_CONF: "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    confs = {MAX_BROADCAST_CONF: "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in confs}
     for k, v in confs.items():
@@ -72,3 +72,15 @@ def test_predicate_counts_share_one_scan_per_source(spark):
     # all four validity predicates are one aggregate per source: no extra scans
     # beyond the ones that define the two sources themselves
     assert _scans(_q(spark, "dq_validity")) == _scans(_q(spark, "src_billing")) + _scans(_q(spark, "src_sessions"))
+
+
+def test_quarantine_has_no_outer_join_and_extended_one_pass(spark):
+    text = plan_text(_q(spark, "quarantine_all"))
+    assert "LeftOuter" not in text and "LeftSemi" in text
+    one_pass = sum(_scans(_q(spark, k)) for k in ("src_billing", "src_sessions", "src_customers"))
+    assert _scans(_q(spark, "quarantine_extended")) == one_pass
+
+
+def test_session_distribution_aggregates_before_it_joins(spark):
+    text = plan_text(_q(spark, "agg_session_distribution"))
+    assert text.index("partial_count") > 0 and "LeftSemi" in text
