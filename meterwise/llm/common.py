@@ -73,6 +73,29 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
+def hash_sample(ids: DataFrame, bound: int, salt: int, col: str = "doc_id") -> DataFrame:
+    """About ``bound`` of the distinct ids (all, if fewer): those whose hash lies
+    below bound / number. No task sorts or gathers them, at any size."""
+    few = store(ids.where(F.col(col).isNotNull()).select(col).distinct(), "ids")
+    n = few.count()
+    if n <= bound:
+        return few
+    return few.where(F.pmod(F.xxhash64(F.lit(salt), col), F.lit(1 << 40)) < F.lit(int(bound / n * (1 << 40))))
+
+
+def most_frequent(counts: DataFrame, count: str, bound: int) -> DataFrame:
+    """The rows of largest ``count``, as many whole steps of a sixteenth of a doubling
+    as hold at most ``bound`` rows. The steps are the only thing gathered."""
+    step = F.floor(F.log2(F.col(count)) * 16).cast("int")
+    steps = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, total = None, 0
+    for s, n in steps:
+        if total + n > bound:
+            break
+        least, total = s, total + n
+    return counts.where(F.lit(False) if least is None else step >= least)
+
+
 def batch_of(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols)
 

@@ -8,11 +8,13 @@ or be a mere mark, and between spelled-out letters a word may end. A Viterbi
 search under a character trigram model of the corpus, plus the channel's costs,
 picks the reading. A word without any of these has a single reading, itself.
 
-The model counts, for every restored word and its beginnings of 4 to 6 letters,
-the training documents' occurrences by label; a word's evidence is a lower
-bound of its log odds. A logistic layer over a document's strongest evidence
-gives the score. It is fitted on at most ``SAMPLE`` labelled training rows of
-smallest id hash, with evidence counted on the other half of the training rows.
+The classifier is fitted on about ``SAMPLE`` labelled training documents (the
+bound documented in README), chosen by a hash of their id, one text (the least)
+per id. It counts, for every restored word and its beginnings of 4 to 6 letters,
+the documents of each label; a word's evidence is a lower bound of its log odds.
+A logistic layer over a document's strongest evidence gives the score; it learns
+from evidence that was counted on the other half of the sample. The character
+model counts the words of the whole corpus.
 
 Null and empty texts are scored as texts without words. With no labelled
 training rows every score is 0. Several labels of one id count as their
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from . import common
 
 THRESHOLD = 0.3
-SAMPLE = 20_000  # labelled rows that the logistic layer is fitted on
+SAMPLE = 20_000  # labelled documents that the classifier is fitted on
 MOST_TRIGRAMS = 100_000  # most frequent character trigrams that are kept
 MOST_FEATURES = 100_000  # strongest words and beginnings that are kept
 STARTS = (4, 5, 6)  # lengths of beginnings
@@ -219,7 +221,8 @@ def char_model(docs: DataFrame) -> CharModel:
                             total[w[i:i + 3]] += n
                 yield common.batch_of(t=pa.array(list(total), pa.string()), n=pa.array(list(total.values()), pa.int64()))
     rows = docs.select("text").mapInArrow(run, "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
-    return CharModel({r["t"]: r["n"] for r in rows.orderBy(F.desc("n"), "t").limit(MOST_TRIGRAMS).collect()})
+    counts = common.store(rows, "trigrams")
+    return CharModel({r["t"]: r["n"] for r in sorted(common.most_frequent(counts, "n", MOST_TRIGRAMS).collect())})
 
 
 def evidence(train: DataFrame, chars: CharModel) -> tuple[dict, dict, dict]:
@@ -311,14 +314,14 @@ def learn(docs: DataFrame, labels: DataFrame, corpus: DataFrame, bound: int = SA
     ``corpus``: text of all rows, for the character model."""
     chars = char_model(corpus)
     known = labels.where(F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    train = docs.join(known, "doc_id").select("doc_id", "text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half"))
-    train = common.store(train, "train")
-    words, half0, half1 = evidence(train, chars)
-    if not words and train.isEmpty():
+    few = common.store(common.hash_sample(docs.select("doc_id").join(known, "doc_id", "left_semi"), bound, 8), "sample")
+    labelled = common.store(known.join(F.broadcast(few), "doc_id"), "labelled")  # about `bound` rows
+    one = docs.join(F.broadcast(labelled), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    train = common.store(one.select("doc_id", "text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")), "train")
+    if train.isEmpty():
         return None
+    words, half0, half1 = evidence(train, chars)
     model = Model(chars, words, np.zeros(N_INPUTS))
-    order = F.xxhash64(F.lit(8), "doc_id")
-    few = common.store(train.select("doc_id").distinct().orderBy(order, "doc_id").limit(bound), "ids")
     halves = (half0, half1)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -329,8 +332,8 @@ def learn(docs: DataFrame, labels: DataFrame, corpus: DataFrame, bound: int = SA
             if len(at):
                 x[at] = model.inputs(b.column("text").take(pa.array(at)), halves[1 - k])
         return common.batch_of(doc_id=b.column("doc_id"), label=b.column("label"), x=pa.array(list(x), pa.list_(pa.float64())))
-    rows = common.map_text(train.join(F.broadcast(few), "doc_id").select("doc_id", "label", "half", "text"), run, "doc_id long, label int, x array<double>")
-    got = rows.orderBy(order, "doc_id", "x").limit(bound).collect()
+    rows = common.map_text(train.select("doc_id", "label", "half", "text"), run, "doc_id long, label int, x array<double>")
+    got = sorted(rows.collect())
     model.weights = _logistic(np.array([r["x"] for r in got]), np.array([r["label"] for r in got], float))
     return model
 
