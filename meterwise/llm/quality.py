@@ -9,9 +9,9 @@ of unlabelled to positive tail mass, with a confidence margin. Then a small
 network minimises the non-negative unbiased risk
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)).
 
-The fit uses at most ``SAMPLE`` positives and ``SAMPLE`` unlabelled rows (the
-bound documented in README), those with the smallest hash of their id; every
-row of the corpus is scored, whole. Null and empty texts are scored as a text
+The fit uses about ``SAMPLE`` positives and ``SAMPLE`` unlabelled documents (the
+bound documented in README), chosen by a hash of their id, one text (the least)
+per id; every row of the corpus is scored, whole. Null and empty texts are scored as a text
 of no words. With no positives or no unlabelled text every score is 0.5.
 Several labels of one id count as their largest; a null label is none. Each row
 is scored on its own; repeated rows and extra columns change nothing.
@@ -180,15 +180,14 @@ def fit(p: np.ndarray, u: np.ndarray) -> Model | None:
 
 
 def _sample(docs: DataFrame, ids: DataFrame, bound: int) -> np.ndarray:
-    """Measures of at most ``bound`` documents whose id is among the ``ids`` of smallest hash."""
-    order = F.xxhash64("doc_id")
-    few = common.store(ids.select("doc_id").distinct().orderBy(order, "doc_id").limit(bound), "ids")
+    """Measures of about ``bound`` of the documents whose id is among ``ids``."""
+    few = common.store(common.hash_sample(ids, bound, 9), "sample")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         x = measures(b.column("text"))
         return common.batch_of(doc_id=b.column("doc_id"), x=pa.array(list(x), pa.list_(pa.float32())))
-    rows = common.map_text(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), run, "doc_id long, x array<float>")
-    got = rows.orderBy(order, "doc_id", "x").limit(bound).collect()
+    one = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    got = sorted(common.map_text(one, run, "doc_id long, x array<float>").collect())
     return np.array([r["x"] for r in got], np.float32).reshape(len(got), N_MEASURES)
 
 
