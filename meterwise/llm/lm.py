@@ -11,13 +11,13 @@ counts, unseen words being one type. The probabilities of all tokens thus sum
 to one.
 
 Training: truncated backpropagation over windows of ``WINDOW`` tokens with the
-state carried from window to window, in ``SHARDS`` Spark groups over at most
-``SAMPLE`` training documents (smallest id hash; the bound documented in
+state carried from window to window, in ``SHARDS`` Spark groups over about
+``SAMPLE`` training documents (chosen by id hash; the bound documented in
 README) of which a shard uses at most ``WINDOWS`` windows a round; the shards'
 weights are averaged after each round. Scoring carries the state through whole
 texts: texts follow each other in lanes, all lanes advance together.
 
-Counts of the ``HEAD`` most frequent words travel with the tasks; rarer words'
+Counts of up to ``HEAD`` most frequent words travel with the tasks; rarer words'
 counts meet their texts in a join on the word, so no vocabulary is held whole
 by a task. Null text counts as empty: one end token. With no training texts
 every token has base probability 1 / 1 and the untrained network's score. Each
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from . import common
 
 END = ""  # the end token among the counted words; no word is empty
-HEAD = 200_000
+HEAD = 100_000
 VOCABULARY, CLASSES, HIDDEN = 2000, 48, 32
 SAMPLE, SHARDS, ROUNDS = 3000, 6, 2
 WINDOW, TRAIN_LANES, WINDOWS = 16, 48, 400
@@ -191,7 +191,7 @@ def build(counts: np.ndarray, rare: float) -> tuple[Net, np.ndarray]:
 
 
 def lanes(offs: np.ndarray, n_lanes: int) -> list[list[int]]:
-    """Texts dealt to lanes of about equal length, longest first."""
+    """Texts dealt to lanes of about equal length; the longest lane first."""
     size = np.diff(offs)
     heap = [(0, k) for k in range(min(n_lanes, len(size)))]
     out: list[list[int]] = [[] for _ in heap]
@@ -199,7 +199,7 @@ def lanes(offs: np.ndarray, n_lanes: int) -> list[list[int]]:
         total, k = heapq.heappop(heap)
         out[k].append(d)
         heapq.heappush(heap, (total + int(size[d]), k))
-    return out
+    return [out[k] for _, k in sorted(heap, reverse=True)]
 
 
 def grid(offs: np.ndarray, ids: np.ndarray, dealt: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -255,12 +255,12 @@ def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.nda
         a, f = at[t:t + 4 * WINDOW], fresh[t:t + 4 * WINDOW]
         before = np.where(f, end, ids[np.maximum(a - 1, 0)])
         states = np.empty((*a.shape, HIDDEN), np.float32)
-        for s in range(len(a)):
-            if f[s].any():
-                h[f[s]] = 0
-            h = net.step(before[s], h)[0]
-            states[s] = h
         live = a >= 0
+        for s, n in enumerate(live.sum(axis=1).tolist()):  # the first n lanes still go on
+            now = h[:n]
+            if f[s].any():
+                now[f[s, :n]] = 0
+            h[:n] = states[s, :n] = net.step(before[s, :n], now)[0]
         per_token[a[live]] = net.log_probs(states[live], ids[a[live]])
     return common.segment_sum(per_token, offs) / np.log(10)
 
@@ -269,11 +269,10 @@ def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.nda
 
 
 def _sample(train: DataFrame, bound: int) -> DataFrame:
-    order = F.xxhash64(F.lit(6), "doc_id")
-    few = common.store(train.select("doc_id").distinct().orderBy(order, "doc_id").limit(bound), "ids")
+    few = common.store(common.hash_sample(train, bound, 6), "sample_ids")
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int")
-    kept = train.join(F.broadcast(few), train.doc_id.eqNullSafe(few.doc_id), "left_semi").dropDuplicates(["doc_id"])
-    return common.store(kept.select("text", shard.alias("shard")), "sample")
+    one = train.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return common.store(one.select("text", shard.alias("shard")), "sample")
 
 
 def _shard_step(net: Net, vocab: list[str], end: int, rnd: int):
@@ -317,9 +316,8 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     counts = common.store(word_counts(train), "counts")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = total["n"] or 0, total["v"]
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    words = [r["word"] for r in top]
-    c = np.array([r["c"] for r in top], np.float64)
+    top = common.most_frequent(counts, "c", HEAD).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    words, c = top["word"].to_pylist(), top["c"].to_numpy().astype(np.float64)
     own = [k for k, w in enumerate(words) if w != END][:VOCABULARY]
     c_end = float(c[words.index(END)]) if END in words else 0.0
     own_c = np.append(c[own], c_end)
