@@ -4,10 +4,11 @@ import hashlib
 import re
 
 import pyarrow as pa
-from conftest import SF_SMALL
 
 from meterwise.llm import secrets as S
 
+SF = "/root/testdata/sf0.01"
+
 PLAIN = {  # the base kinds as stated: (pattern, group, least length)
     "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 6),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
@@ -52,8 +53,8 @@ def test_block_scan_equals_full_scan():
 
 def test_query_equals_plain_expressions(spark):
     from meterwise.llm.queries import QUERIES
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
-    got = QUERIES["op2_secret_scan"](spark, SF_SMALL).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op2_secret_scan"](spark, SF).collect()
     assert len(got) == len(docs) and any(r.n_assign for r in got)
     for r in got:
         want = plain(docs[r.doc_id])
