@@ -66,7 +66,7 @@ def test_plan_places_every_length_once(n):
 
 
 def test_exact_complements_are_found():
-    index = packing._Complements(np.array([0, 0, 0, 1, 0, 2, 0, 0, 1, 0, 0, 0]))  # lengths 3, 5, 5, 8
+    index = packing._Complements(np.array([0, 0, 0, 1, 0, 2, 0, 0, 1, 0, 0, 0, 0, 0]))  # lengths 3, 5, 5, 8
     assert index.find(8) == (8,) and sorted(index.find(10)) == [5, 5] and sorted(index.find(11)) == [3, 8]
     assert sorted(index.find(13)) in ([3, 5, 5], [5, 8]) and index.find(12) is None and index.find(0) is None
 
@@ -117,9 +117,9 @@ def test_packing_query(spark, library):
 
 
 def test_numbers_are_dense_within_each_key(spark):
-    df = spark.createDataFrame([(k, 7 if k % 3 else k) for k in range(500)], "a long, size long")
-    got = packing.number(df, "size", ["a"], bucket_rows=20).collect()
+    df = spark.createDataFrame([(k, 7 if k % 3 else k) for k in range(500)], "a long, len long")
+    got = packing.number(df, "len", ["a"], bucket_rows=20).collect()
     by = defaultdict(list)
     for r in got:
-        by[r["size"]].append(r["number"])
+        by[r["len"]].append(r["number"])
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and sum(map(len, by.values())) == 500
