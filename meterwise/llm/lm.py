@@ -11,10 +11,10 @@ counts, unseen words being one type. The probabilities of all tokens thus sum
 to one.
 
 Training: truncated backpropagation over windows of ``WINDOW`` tokens with the
-state carried from window to window, in ``SHARDS`` Spark groups over about
-``SAMPLE`` training documents (chosen by id hash; the bound documented in
-README) of which a shard uses at most ``WINDOWS`` windows a round; the shards'
-weights are averaged after each round. Scoring carries the state through whole
+state carried from window to window to the end of each text. Every training
+text belongs to one of the ``ROUNDS`` rounds and there to one Spark group of about
+``GROUP_BYTES`` of text, so their number follows the training rows; the groups'
+weights are averaged after each round, task by task and then in a tree. Scoring carries the state through whole
 texts: texts follow each other in lanes, all lanes advance together.
 
 Counts of up to ``HEAD`` most frequent words travel with the tasks; rarer words'
@@ -43,8 +43,10 @@ from . import common
 END = ""  # the end token among the counted words; no word is empty
 HEAD = 100_000
 VOCABULARY, CLASSES, HIDDEN = 2000, 48, 32
-SAMPLE, SHARDS, ROUNDS = 3000, 6, 2
-WINDOW, TRAIN_LANES, WINDOWS = 16, 48, 400
+ROUNDS = 2
+GROUP_BYTES = 4 << 20  # training text of a group in a round
+WINDOW, TRAIN_LANES = 16, 48
+FAN_IN = 16  # weight rows averaged by a task of the tree, and by the driver
 RATE, SEED = 0.01, 6
 LANES = 256  # texts scored side by side
 
@@ -218,9 +220,11 @@ def grid(offs: np.ndarray, ids: np.ndarray, dealt: list[list[int]]) -> tuple[np.
     return at, fresh
 
 
-def train_shard(net: Net, end: int, offs: np.ndarray, ids: np.ndarray, windows: int) -> Net:
-    """Truncated backpropagation with Adam over a shard's texts."""
-    at, fresh = grid(offs, ids, lanes(offs, TRAIN_LANES))
+def train_shard(net: Net, end: int, offs: np.ndarray, ids: np.ndarray, windows: int | None = None) -> Net:
+    """Truncated backpropagation with Adam over all windows of a group's texts, or
+    the first ``windows``. No more lanes than the longest text leaves full."""
+    full = len(ids) // max(int(np.diff(offs).max(initial=0)), 1) + 1
+    at, fresh = grid(offs, ids, lanes(offs, min(TRAIN_LANES, full)))
     before = np.where(fresh, end, ids[np.maximum(at - 1, 0)])
     w = [a.astype(np.float32).copy() for a in net.weights()]
     m, v = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w]
@@ -268,36 +272,58 @@ def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.nda
 # -- whole operator --------------------------------------------------------------
 
 
-def _sample(train: DataFrame, bound: int) -> DataFrame:
-    few = common.store(common.hash_sample(train, bound, 6), "sample_ids")
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int")
-    one = train.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    return common.store(one.select("text", shard.alias("shard")), "sample")
+def _groups(train: DataFrame) -> tuple[DataFrame, int]:
+    """(every row of ``train`` as text, turn, shard; groups of a round)"""
+    size = train.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n")).first()["n"] or 0
+    n = max(1, -(-size // (ROUNDS * GROUP_BYTES)))
+    row = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())  # repeated rows are dealt out too
+    return train.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("turn"), F.pmod(row, F.lit(n)).alias("shard")), n
 
 
-def _shard_step(net: Net, vocab: list[str], end: int, rnd: int):
-    """Trains ``net`` on a round's share of a shard; gives its tokens and weights."""
+def _shard_step(net: Net, vocab: list[str], end: int):
+    """Trains ``net`` on a group; gives its tokens and weights times these."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = pdf.sort_values("text", kind="stable").iloc[rnd % ROUNDS::ROUNDS] if len(pdf) >= ROUNDS else pdf
+        part = pdf.sort_values("text", kind="stable")
         offs, codes, uniq = tokens(pa.array(part["text"], pa.string()))
         ids = network_ids(uniq, vocab)[codes]
-        got = train_shard(net, end, offs, ids, WINDOWS)
-        return pd.DataFrame({"n": [len(ids)], "w": [np.concatenate([a.ravel() for a in got.weights()]).astype("<f4").tobytes()]})
+        got = train_shard(net, end, offs, ids)
+        return pd.DataFrame({"n": [len(ids)], "w": [(np.concatenate([a.ravel() for a in got.weights()]).astype("<f8") * len(ids)).tobytes()]})
     return run
 
 
-def fit(train: DataFrame, vocab: list[str], counts: np.ndarray, rare: float, bound: int = SAMPLE) -> tuple[Net, list[str]]:
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a task's rows (n, w), one row."""
+    n, total = 0, None
+    for b in batches:
+        for k, w in zip(b.column("n").to_pylist(), b.column("w")):
+            n += k
+            w = np.frombuffer(w.as_buffer(), "<f8")
+            total = w.copy() if total is None else total + w
+    if total is not None:
+        yield common.batch_of(n=pa.array([n], pa.int64()), w=pa.array([total.tobytes()], pa.binary()))
+
+
+def _tree_sum(rows: DataFrame) -> tuple[int, np.ndarray | None]:
+    """Sum of all ``rows`` (n, w); the driver gets at most FAN_IN of them."""
+    rows = common.store(rows.mapInArrow(_sums, "n long, w binary"), "weights")
+    while (n := rows.count()) > FAN_IN:
+        rows = common.store(rows.repartition(-(-n // FAN_IN)).mapInArrow(_sums, "n long, w binary"), "weights")
+    got = rows.collect()
+    return sum(r["n"] for r in got), sum(np.frombuffer(r["w"], "<f8") for r in got) if got else None
+
+
+def fit(train: DataFrame, vocab: list[str], counts: np.ndarray, rare: float) -> tuple[Net, list[str]]:
     """(trained network, its words in order); ``vocab`` holds END."""
     net, order = build(counts, rare)
     vocab = [vocab[k] for k in order]
     end = vocab.index(END)
-    sample = _sample(train, bound)
-    for rnd in range(ROUNDS):
-        rows = sample.groupBy("shard").applyInPandas(_shard_step(net, vocab, end, rnd), "n long, w binary").collect()  # SHARDS rows
-        total = sum(r["n"] for r in rows)
+    rows, _ = _groups(train)
+    for turn in range(ROUNDS):
+        part = rows.where(F.col("turn") == turn).groupBy("shard").applyInPandas(_shard_step(net, vocab, end), "n long, w binary")
+        total, mean = _tree_sum(part)
         if not total:
-            break
-        mean = sum(np.frombuffer(r["w"], "<f4").astype(np.float64) * (r["n"] / total) for r in rows).astype(np.float32)
+            continue
+        mean = (mean / total).astype(np.float32)
         w, at = [], 0
         for a in net.weights():
             w.append(mean[at:at + a.size].reshape(a.shape))

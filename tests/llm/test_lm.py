@@ -130,3 +130,36 @@ def test_tokens():
     words = uniq.to_pylist()
     got = [[words[c] for c in codes[a:b]] for a, b in zip(offs, offs[1:])]
     assert got == [["a", "b", "b", ""], [""], [""], ["É", "a", ""]]
+
+
+def test_every_training_text_is_learned_from(spark, monkeypatch):
+    """All rows, repeated and null ids too, are in a group of a round; groups follow the rows; weights are the mean by tokens."""
+    monkeypatch.setattr(lm, "GROUP_BYTES", 400)
+    rows = [(k, f"a b{k % 5} c x{k}") for k in range(4000)] + [(7, "a b"), (7, "a b"), (None, "a"), (8, None)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt, n = lm._groups(train)
+    got = dealt.groupBy("turn", "shard").count().collect()
+    assert sum(r["count"] for r in got) == len(rows) and n > 50 and max(r["count"] for r in got) < 100
+    seen = []
+    real = lm._tree_sum
+    monkeypatch.setattr(lm, "_tree_sum", lambda r: seen.append(real(r)) or seen[-1])
+    net, vocab = lm.fit(train, ["a", "c", lm.END], np.array([4000.0, 4000, 4004]), 8000.0)
+    assert sum(k for k, _ in seen) == sum(len(_tokens(t)) for _, t in rows)
+    assert np.allclose(np.concatenate([a.ravel() for a in net.weights()]), seen[-1][1] / seen[-1][0], atol=1e-6)
+
+
+def test_weights_are_summed_in_a_tree(spark):
+    rows = spark.createDataFrame([(k, bytearray(np.array([k, 1.0]).tobytes())) for k in range(200)], "n long, w binary").repartition(90)
+    n, w = lm._tree_sum(rows)
+    assert n == 19900 and w.tolist() == [19900.0, 200.0]
+
+
+def test_a_long_text_is_learned_to_its_end():
+    net, order = lm.build(np.array([10.0, 10, 10, 10]), 1.0)
+    start = np.full(8000, int(np.argsort(order)[0]))
+    ids = np.concatenate([start, np.tile(np.argsort(order)[[1, 2]], 4000)])
+    offs = np.array([0, len(ids)])
+    after = lm.train_shard(net, 3, offs, ids)
+    cut = lm.train_shard(net, 3, offs, ids, 400)
+    end = np.tile(np.argsort(order)[[1, 2]], 50)
+    assert lm.score_texts(after, 3, np.array([0, 100]), end)[0] > 0.5 * lm.score_texts(cut, 3, np.array([0, 100]), end)[0]
