@@ -1,12 +1,12 @@
 """Toxicity scores of text restored through a noisy channel.
 
-A word is disguised if it holds a stand-in for a letter next to letters, a
-letter three times in a row, marks between its letters, or if it is spelled out
+A word is disguised if it holds a stand-in for a letter, a letter three times in a row, marks between its letters, or if it is spelled out
 as three or more one-character words. Such a word spans a character lattice:
 each character may be kept, stand for other letters, be one repetition too many
 or be a mere mark, and between spelled-out letters a word may end. A Viterbi
 search under a character trigram model of the corpus, plus the channel's costs,
-picks the reading. A word without any of these has a single reading, itself.
+picks the reading. A word without letters may also be read as itself, at a cost. A
+word without any of these has a single reading, itself.
 
 The classifier is fitted on about ``SAMPLE`` labelled training documents (the
 bound documented in README), chosen by a hash of their id, one text (the least)
@@ -51,8 +51,10 @@ STANDS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
 KEEP, STAND, REPEAT, MARK, BREAK = 0.0, 1.2, 0.4, 0.7, 0.5  # costs of the channel
+NUMBER = 3.0  # cost a character of reading a word without letters as itself
 EDGES = ".,;:?\"'`()[]{}<>…“”‘’«»¿-_*#%&=~^/\\"  # fixed value: never a letter at a word's ends
-TRAIL = re.compile(r"(.)\1\1+$|[!|+]+$")  # marks after a word
+TRAIL = re.compile(r"(.)\1\1+$")  # marks after a word
+MAYBE = "!|+"  # marks or letters at a word's end: the lattice tells
 THRICE = re.compile(r"([^\W\d_])\1\1")
 WORD_END = "\n"
 
@@ -60,16 +62,16 @@ WORD_END = "\n"
 def bare(word: str) -> str:
     """A lower-cased word without the marks around it."""
     w = word.strip(EDGES)
-    while (m := TRAIL.search(w)) and not m[0][0].isalpha() and not m[0][0].isdigit():
+    while (m := TRAIL.search(w)) and not m[0][0].isalpha() and not m[0][0].isdigit() and m[0][0] not in STANDS:
         w = w[:m.start()].rstrip(EDGES)
-    return w
+    return w if w.strip(MAYBE) else ""
 
 
 def disguised(word: str) -> bool:
     """Has the bare word more than one reading?"""
     if word.isalpha():
         return THRICE.search(word) is not None
-    return sum(map(str.isalpha, word)) >= 2
+    return sum(map(str.isalpha, word)) >= 2 or any(c in STANDS for c in word)
 
 
 class CharModel:
@@ -132,7 +134,9 @@ class CharModel:
                         if s not in new or total < new[s][0]:
                             new[s] = (total, way)
             beam = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:BEAM])
-        best = min(beam.items(), key=lambda kv: kv[1][0] - log(kv[0] + WORD_END))[1][1]
+        state, (cost, best) = min(beam.items(), key=lambda kv: kv[1][0] - log(kv[0] + WORD_END))
+        if not spelled and cost - log(state + WORD_END) > NUMBER * len(chars) and not any(map(str.isalpha, chars)):
+            return chars
         out = []
         while best:
             out.append(best[0])
@@ -215,6 +219,7 @@ def char_model(docs: DataFrame) -> CharModel:
                 count = np.bincount(codes, minlength=len(names)).tolist()
                 total: dict[str, int] = defaultdict(int)
                 for w, n, s in zip(names, count, spelled):
+                    w = w.rstrip(MAYBE)
                     if n and not s and w.isalpha() and not THRICE.search(w):
                         w = f"{WORD_END}{WORD_END}{w}{WORD_END}"
                         for i in range(len(w) - 2):

@@ -175,3 +175,10 @@ def test_disguised_words_are_scored_like_plain_ones(spark):
     assert len(got) == len(EDGES)
     assert toxicity.learn(docs, labels.where("false"), docs.select("text")) is None
     assert {r.score for r in toxicity.score(_edges(spark), None).collect()} == {0.0}
+
+
+def test_strongly_substituted_words_are_restored(spark):
+    words = ["you are an idiot and a loser", "kill the pathetic loser idiot", "the other people saw it there"] * 5
+    model = toxicity.char_model(spark.createDataFrame([(w,) for w in words], "text string"))
+    for given, want in (("1d107", "idiot"), ("1053r", "loser"), ("ki||", "kill"), ("idiot!", "idiot"), ("people!!!", "people"), ("2262", "2262"), ("!! |||", "")):
+        assert toxicity.restore_text(given, model) == want, given
