@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bitsliced, bpe, langid, lm, neardup, packing, quality, secrets, toxicity
+from . import ann, bitsliced, bpe, byte_bpe, langid, lexical, lm, neardup, packing, quality, runs, secrets, toxicity
 from .common import id_remainder, table
 
 
@@ -66,6 +66,18 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_byte_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark", "item_id", "text"), _documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES = {
     "op1_prefix_forest": op1_prefix_forest,
     "op2_secret_scan": op2_secret_scan,
@@ -77,6 +89,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_byte_bpe_segment_tree": op11_byte_bpe_segment_tree,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_max_sketch_search": op13_max_sketch_search,
 }
 
 # Largest integer inner products, all pairs of a query and another row.
@@ -97,4 +112,34 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_bit_sliced_top_k": OP7_SQL}
+# All documents that share a term with an item, scored in full.
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT doc_id, 25 + CAST((75 * CAST(n AS HUGEINT) * n_docs) // n_terms AS BIGINT) AS m FROM n, total),
+item_words AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark),
+item AS (SELECT item_id, term, count(*) AS times FROM item_words GROUP BY item_id, term),
+weighed AS (
+  SELECT item_id, item.term, times,
+         CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM item JOIN df ON item.term = df.term, total),
+scored AS (
+  SELECT item_id, tf.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM weighed JOIN tf ON weighed.term = tf.term JOIN m ON tf.doc_id = m.doc_id
+  GROUP BY item_id, tf.doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_bit_sliced_top_k": OP7_SQL, "op13_max_sketch_search": OP13_SQL}
