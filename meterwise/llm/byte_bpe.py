@@ -23,6 +23,7 @@ import base64
 import functools
 import hashlib
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import LETTER, SPACE, char_classes, spans
+from .bpe import LETTER, OTHER, SPACE, char_classes, spans
 
 CONTRACTION = re.compile(r"'(?:s|t|re|ve|m|ll|d)")  # fixed value: the pattern's first alternatives
+# Letters and numbers that Unicode 16.0 has beyond 15.1 (first, last). The
+# rank files' public encoder knows Unicode 16.0; installed tables may be older or newer.
+UNICODE_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0),
+    (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C),
+    (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA)]
 LEAVES = 1 << 19  # of the trees that advance together
 ALONE = 1 << 12  # bytes from which a piece advances alone
 DEAD = np.int64(1) << 40  # above every rank and position
@@ -44,6 +53,16 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@functools.cache
+def classes() -> np.ndarray:
+    """Class of every code point; those unassigned up to Unicode 16.0 are neither
+    letters nor numbers."""
+    assigned = np.fromiter((unicodedata.category(chr(c)) != "Cn" for c in range(0x110000)), bool, 0x110000)
+    for a, b in UNICODE_16:
+        assigned[a:b + 1] = True
+    return np.where(assigned, char_classes(), np.uint8(OTHER))
+
+
 def cut(text: str, begins: np.ndarray) -> np.ndarray:
     """Characters of ``text`` at which a piece begins; ``begins``: those at which a
     document begins, which no piece crosses."""
@@ -51,7 +70,7 @@ def cut(text: str, begins: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, np.int64)
     point = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    kind = char_classes()[point]
+    kind = classes()[point]
     first = np.zeros(n + 1, bool)
     first[begins] = True
     first[n] = True
