@@ -2,7 +2,7 @@
 
     python -m meterwise daily --state hdfs:///analytics/state \\
         --billing .../billing --sessions .../sessions --customers .../customers \\
-        --run-date 2025-01-15 [--format parquet|csv|landed] [--mode recompute|additive]
+        --run-date 2025-01-15 [--format parquet|csv|orc|landed|arrivals] [--mode recompute|additive]
     python -m meterwise init --state hdfs:///analytics/state
 """
 
@@ -24,7 +24,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--state", required=True, help="store root on a shared filesystem")
     for name in ("billing", "sessions", "customers"):
         d.add_argument(f"--{name}", required=True, help=f"path of the {name} source")
-    d.add_argument("--format", default="parquet", choices=["parquet", "csv", "orc", "landed"])
+    d.add_argument("--format", default="parquet", choices=["parquet", "csv", "orc", "landed", "arrivals"])
     d.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
     d.add_argument("--run-ts", type=dt.datetime.fromisoformat, default=None,
                    help="timestamp written as loaded/updated time (default: now, UTC)")
@@ -32,13 +32,13 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--guard", default="row", choices=["attributes", "row"])
     d.add_argument("--no-freshness", action="store_true", help="skip the freshness gate")
     d.add_argument("--quarantine-extended", action="store_true")
-    d.add_argument("--report-late", action="store_true")
+    d.add_argument("--no-report-late", action="store_true", help="leave out the report of rows too late to load")
     return p
 
 
 def main(argv: list[str] | None = None) -> dict:
     from meterwise.plans.daily import run_daily
-    from meterwise.plans.state import TableStore
+    from meterwise.plans.tables import TableStore
     from meterwise.session import get_session
     from meterwise.sources.io import read_landed, read_source
 
@@ -49,14 +49,14 @@ def main(argv: list[str] | None = None) -> dict:
         store.init_tables()
         return {"initialized": args.state}
     names = {"billing": S.SRC_BILLING, "sessions": S.SRC_SESSIONS, "customers": S.SRC_CUSTOMERS}
-    if args.format == "landed":
-        sources = {k: read_landed(spark, n, getattr(args, k)) for k, n in names.items()}
+    if args.format in ("landed", "arrivals"):
+        sources = {k: read_landed(spark, n, getattr(args, k), arrivals=args.format == "arrivals") for k, n in names.items()}
     else:
         sources = {k: read_source(spark, n, getattr(args, k), fmt=args.format) for k, n in names.items()}
     run_ts = args.run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     res = run_daily(spark, store, sources, args.run_date, run_ts, mode=args.mode, guard=args.guard,
                     check_fresh=not args.no_freshness, quarantine_extended=args.quarantine_extended,
-                    report_late=args.report_late)
+                    report_late=not args.no_report_late)
     out = {"run_id": res.run_id, "skipped": res.skipped, "customer_load": res.customer_load,
            "seconds": res.seconds}
     print(json.dumps(out))

@@ -27,9 +27,11 @@ class StaleSourceError(RuntimeError):
 
 def fresh_rows(src: DataFrame, ts_col: str, run_date: dt.date) -> DataFrame:
     """Rows whose timestamp text falls on ``run_date`` (unparseable text never does).
-    On a landed source only that day's partition is read."""
-    if "event_date" in src.columns:
-        src = src.where(F.col("event_date") == F.lit(run_date))
+    On a landed source only that day's (or month's) partition is read."""
+    if S.EVENT_DATE in src.columns:
+        src = src.where(F.col(S.EVENT_DATE) == F.lit(run_date))
+    elif S.EVENT_MONTH in src.columns:
+        src = src.where(F.col(S.EVENT_MONTH) == F.lit(run_date.replace(day=1)))
     return src.where(F.to_date(parse_ts(ts_col)) == F.lit(run_date))
 
 
@@ -122,7 +124,7 @@ def completeness_checks(billing: DataFrame, sessions: DataFrame, customers: Data
     }
 
 
-def invalid_session_times(df: DataFrame) -> Column:
+def invalid_session_times() -> Column:
     start, end = parse_ts("start_time"), parse_ts("end_time")
     return F.col("end_time").isNotNull() & F.col("start_time").isNotNull() & (end < start)
 
@@ -133,7 +135,7 @@ def validity_checks(billing: DataFrame, sessions: DataFrame) -> dict:
             S.INVALID_AMOUNT: F.col("amount").isNotNull() & (F.col("amount") < 0),
             S.UNPARSEABLE_DATE: F.col("transaction_date").isNotNull() & parse_ts("transaction_date").isNull()}),
         S.SRC_SESSIONS: (sessions, {
-            S.INVALID_SESSION_TIMES: invalid_session_times(sessions),
+            S.INVALID_SESSION_TIMES: invalid_session_times(),
             S.UNPARSEABLE_TIMESTAMP: F.col("start_time").isNotNull() & parse_ts("start_time").isNull()}),
     }
 

@@ -70,7 +70,7 @@ def orphaned_customer_id(billing: DataFrame, sessions: DataFrame, customers: Dat
 
 
 def invalid_sessions(sessions: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    return capture(sessions.where(invalid_session_times(sessions)), S.Q_SESSIONS,
+    return capture(sessions.where(invalid_session_times()), S.Q_SESSIONS,
                    S.INVALID_SESSION_TIMES, run_ts)
 
 
@@ -118,6 +118,14 @@ def capture_pass(df: DataFrame, source: str, checks: list[tuple[str, Column]],
         ntz(run_ts).alias("detected_at"))
 
 
+def row_checks(source: str, include_extended: bool = False) -> list[tuple[str, Column]]:
+    """The captured checks that look at the row alone."""
+    own = [(S.NULL_IDENTIFIER, F.col(Q.KEYS[source]).isNull())]
+    if source == S.SRC_SESSIONS:
+        own.append((S.INVALID_SESSION_TIMES, invalid_session_times()))
+    return own + (_extended_checks()[source] if include_extended else [])
+
+
 def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
                 run_ts: dt.datetime, include_extended: bool = False,
                 keys: Q.FaultKeys | None = None, keys_materialized: bool = False) -> DataFrame:
@@ -128,16 +136,10 @@ def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
     if keys is None:
         keys = Q.fault_keys(billing, sessions, customers)
     m = not keys_materialized
-    own = {S.SRC_BILLING: [(S.NULL_IDENTIFIER, F.col("transaction_id").isNull())],
-           S.SRC_SESSIONS: [(S.NULL_IDENTIFIER, F.col("session_id").isNull()),
-                            (S.INVALID_SESSION_TIMES, invalid_session_times(sessions))],
-           S.SRC_CUSTOMERS: [(S.NULL_IDENTIFIER, F.col("customer_id").isNull())]}
-    if include_extended:
-        own = {k: v + _extended_checks()[k] for k, v in own.items()}
     parts = []
     for df, label, name in ((billing, S.SRC_BILLING, S.Q_BILLING), (sessions, S.SRC_SESSIONS, S.Q_SESSIONS),
                             (customers, S.SRC_CUSTOMERS, S.Q_CUSTOMERS)):
-        parts.append(capture_pass(df, name, own[label], run_ts, df.columns))
+        parts.append(capture_pass(df, name, row_checks(label, include_extended), run_ts, df.columns))
         repeated = filter_by_keys(df, keys.repeated[label], Q.KEYS[label], "left_semi", m).select(*df.columns)
         parts.append(capture(repeated, name, S.DUPLICATE_IDENTIFIER, run_ts))
         if label in keys.orphans:
@@ -149,6 +151,22 @@ def capture_all(billing: DataFrame, sessions: DataFrame, customers: DataFrame,
     return out
 
 
+def as_variant(records: DataFrame) -> DataFrame:
+    """The records with their JSON as a VARIANT in column ``row``: fields are read by path
+    without a schema, and text that is no JSON is NULL. Hashes stay on the text form."""
+    return records.withColumn("row", F.try_parse_json("record"))
+
+
+def faulty_amounts(records: DataFrame) -> DataFrame:
+    """Per source and check: the stored rows, how many hold a negative amount or none,
+    and the sum of the amounts. Sources without the field have only its NULLs."""
+    amount = F.try_variant_get("row", "$.amount", "decimal(18,2)")
+    return as_variant(records).withColumn("amount", amount).groupBy("source", "check_type").agg(
+        F.count("*").alias("n_records"), F.count_if(F.col("amount") < 0).alias("n_negative"),
+        F.count_if(F.col("amount").isNull()).alias("n_without_amount"),
+        F.sum("amount").cast("decimal(28,2)").alias("sum_amount"))
+
+
 def first_per_hash(captured: DataFrame) -> DataFrame:
     """Identical rows (same source, check and content) collapse to one."""
     return captured.dropDuplicates(["record_hash"])

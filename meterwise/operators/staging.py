@@ -42,11 +42,15 @@ def currency_code(raw: Column, keep_unknown: bool = False) -> Column:
 
 
 def _prune(src: DataFrame, watermark: dt.datetime | Column, lookback: dt.timedelta) -> DataFrame:
-    """On a landed source (partitioned by ``event_date``), add the date bound the
-    exact timestamp filter implies, so whole partitions are skipped at planning."""
-    if "event_date" not in src.columns:
-        return src
-    return src.where(F.col("event_date") >= F.to_date(lower_bound(watermark, lookback))).drop("event_date")
+    """On a landed source (partitioned by event date or month), add the date bound the
+    exact timestamp filter implies, so whole partitions are skipped: at planning for a
+    literal watermark, before the scan for one that is a scalar subquery."""
+    first = F.to_date(lower_bound(watermark, lookback))
+    if S.EVENT_DATE in src.columns:
+        src = src.where(F.col(S.EVENT_DATE) >= first)
+    elif S.EVENT_MONTH in src.columns:
+        src = src.where(F.col(S.EVENT_MONTH) >= F.trunc(first, "month"))
+    return src.drop(*S.LANDED)
 
 
 def stage_billings(src: DataFrame, watermark: dt.datetime | Column, run_ts: dt.datetime,

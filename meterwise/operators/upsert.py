@@ -1,7 +1,7 @@
 """Keyed writes expressed as DataFrame plans (G5, G6, A7, A8, H3).
 
 Parquet has no MERGE, so every keyed write is a plan that produces the whole
-next version of the target; ``meterwise.plans.state`` publishes it. All plans
+next version of the target; ``meterwise.plans.tables`` publishes it. All plans
 shuffle on the key at most once per side and never collect rows.
 """
 

@@ -1,6 +1,6 @@
 """The daily run: freshness -> quality + quarantine -> staging -> watermarks ->
-aggregates -> wide table -> CSV hand-off -> guarded merge -> truncate, all
-published in one commit.
+aggregates -> wide table -> CSV hand-off -> guarded merge, all prepared aside and
+then published, -> truncate.
 
 ``mode="recompute"`` (default) keeps a customer dimension, the deduplicated
 billing / session history and running totals, and moves the totals by signed
@@ -10,8 +10,9 @@ customers' activity.
 ``mode="additive"`` reproduces the original arithmetic (aggregates += today's
 staging, wide table driven by today's staged customers).
 
-Driver round trips: two freshness probes (first row only), the watermark table
-(three rows), the commit log, and one uniqueness probe before the merge.
+Driver round trips: two freshness probes (first row only), the run log, the months
+that lost their last row, and one uniqueness probe before the merge. Watermarks stay
+in the plans as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from meterwise.operators import upsert as U
 from meterwise.operators import warehouse as H
 from meterwise.operators import watermark as W
 from meterwise.operators.joins import filter_by_keys
-from meterwise.plans.state import TableStore
+from meterwise.plans import incremental
+from meterwise.plans.tables import TableStore
 from meterwise.sources.io import export_csv, import_csv
 
 CUSTOMER_KEYED = ("agg_user_revenue", "agg_user_usage", "agg_monthly_revenue", "agg_arpu",
@@ -47,17 +49,17 @@ class RunResult:
     run_id: str
     skipped: bool = False
     customer_load: str = ""
-    tables: dict[str, str] = field(default_factory=dict)
+    tables: list[str] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
 
 
 class Run:
-    """The versions one run writes, published together by its commit."""
+    """What one run prepares, published together by its commit."""
 
     def __init__(self, store: TableStore, run_id: str):
         self.store, self.run_id = store, run_id
-        self.snapshots: dict[str, str] = {}
-        self.appends: dict[str, str] = {}
+        self.tables: list[str] = []
+        self.emptied: list[str] = []
         self.seconds: dict[str, float] = {}
 
     @contextmanager
@@ -67,13 +69,12 @@ class Run:
         self.seconds[name] = round(time.perf_counter() - t0, 3)
 
     def put(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the next version of ``table`` and continue from the written copy."""
-        path = self.store.write(table, df, self.run_id)
-        self.snapshots[table] = path
-        return self.store.spark.read.schema(df.schema).parquet(path)
+        """Prepare the next content of ``table`` (of its partitions in ``df``) and continue from the copy."""
+        self.tables.append(table)
+        return self.store.prepare(table, df)
 
-    def add(self, table: str, df: DataFrame) -> None:
-        self.appends[table] = self.store.write(table, df, self.run_id)
+    def commit(self) -> None:
+        self.store.commit(self.run_id, self.tables, self.emptied)
 
 
 def together(**jobs: Callable[[], object]) -> dict[str, object]:
@@ -91,15 +92,18 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
               run_date: dt.date, run_ts: dt.datetime, mode: str = "recompute",
               guard: str = "row", check_fresh: bool = True,
               quarantine_extended: bool = False, report_late: bool = True,
-              export_root: str | None = None, compact_after: int = 30) -> RunResult:
+              export_root: str | None = None) -> RunResult:
     run_id = run_date.isoformat()
-    if store.is_committed(run_id, refresh=True):
+    load = G.customer_load_mode(run_date)
+    store.recover()
+    if store.is_committed(run_id):
         return RunResult(run_id, skipped=True)
-    # landed sources carry an event_date partition: staging uses it to prune,
-    # the checks and the quarantine see exactly the source's own columns
+    # landed sources carry partitions: staging prunes by event_date, and where the day
+    # of arrival is known too, the checks read new arrivals only. The checks and the
+    # quarantine see exactly the source's own columns
     staging_src = {k: v.drop(S.MALFORMED_COLUMN) for k, v in sources.items()}
-    # the checks and the quarantine see exactly the source's own columns
-    raw = {k: v.drop("event_date", S.MALFORMED_COLUMN) for k, v in sources.items()}
+    raw = {k: v.drop(*S.LANDED, S.MALFORMED_COLUMN) for k, v in sources.items()}
+    landed, day = incremental.is_landed(sources), None
     b, s, c = raw["billing"], raw["sessions"], raw["customers"]
     run = Run(store, run_id)
 
@@ -111,30 +115,29 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
 
     # 2. quality counts and quarantine (a copy; rows still flow on)
     with run.phase("quality"):
-        # repeated ids and orphan ids feed both the counts and the quarantine
-        keys = Q.fault_keys(b, s, c, keep=lambda name, df: store.stage(name, df, run_id), run_all=together)
-        run.add("dq_report", Q.dq_report(b, s, c, keys).withColumn("run_date", F.lit(run_date)))
+        if landed:
+            day, bad = incremental.quality_day(run, sources, run_date, run_ts, quarantine_extended)
+        else:
+            # repeated ids and orphan ids feed both the counts and the quarantine
+            keys = Q.fault_keys(b, s, c, keep=store.stage, run_all=together)
+            run.put("dq_report", Q.dq_report(b, s, c, keys).withColumn("run_date", F.lit(run_date)))
+            bad = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended, keys=keys, keys_materialized=True)
     with run.phase("quarantine"):
-        bad = N.capture_all(b, s, c, run_ts, include_extended=quarantine_extended, keys=keys, keys_materialized=True)
         for k, label in (("billing", S.Q_BILLING), ("sessions", S.Q_SESSIONS), ("customers", S.Q_CUSTOMERS)):
             if S.MALFORMED_COLUMN in sources[k].columns:
                 bad = bad.unionByName(N.malformed(sources[k], label, run_ts))
-        captured = store.stage("quarantine_captured", N.first_per_hash(bad), run_id)
-        run.add("quarantine_records", N.new_records(store.read("quarantine_records"), captured,
-                                                    deduplicated=True))
+        captured = store.stage("quarantine_captured", N.first_per_hash(bad))
+        new = N.new_records(store.read("quarantine_records"), captured, deduplicated=True)
+        run.put("quarantine_records", new.withColumn("detected_on", F.lit(run_id)))
 
-    # 3. staging behind the watermarks
+    # 3. staging behind the watermarks, which stay in the plans as scalar subqueries
     with run.phase("staging"):
-        wm_table = W.seed(spark, store.read("pipeline_watermarks"))
-        wms = W.current(wm_table)
-        load = G.customer_load_mode(run_date)
+        wm_table = store.stage("watermarks", W.seed(spark, store.read("pipeline_watermarks")))
+        wms = {name: W.value(wm_table, name) for name in W.SOURCES}
         staged = together(
-            b=lambda: store.stage("stg_billings",
-                                  G.stage_billings(staging_src["billing"], wms[S.SRC_BILLING], run_ts), run_id),
-            s=lambda: store.stage("stg_sessions",
-                                  G.stage_sessions(staging_src["sessions"], wms[S.SRC_SESSIONS], run_ts), run_id),
-            c=lambda: store.stage("stg_customers",
-                                  G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts), run_id))
+            b=lambda: store.load("stg_billings", G.stage_billings(staging_src["billing"], wms[S.SRC_BILLING], run_ts)),
+            s=lambda: store.load("stg_sessions", G.stage_sessions(staging_src["sessions"], wms[S.SRC_SESSIONS], run_ts)),
+            c=lambda: store.load("stg_customers", G.stage_customers(c, run_date, wms[S.SRC_CUSTOMERS], run_ts)))
         stg_b, stg_s, stg_c = staged["b"], staged["s"], staged["c"]
 
     # 4. watermarks (never back, kept when nothing was staged)
@@ -148,8 +151,9 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
             customers = stg_c
             aggs = _additive(run, store, stg_b, stg_s, stg_c, run_ts)
         elif mode == "recompute":
-            customers, aggs, changed = _recompute(run, store, b, s, stg_b, stg_s, stg_c, load, wms, run_date,
-                                                  run_ts, report_late)
+            customers, aggs, changed = _recompute(run, store, stg_b, stg_s, stg_c, load, run_ts)
+            if report_late:
+                _report_late(run, {"billing": b, "sessions": s}, day, wms, run_date)
             # a wide row can only change for customers touched or (re)loaded today,
             # so only those rows are built, handed off and merged
             customers = filter_by_keys(customers, changed, "customer_id", "left_semi", materialize=False)
@@ -170,18 +174,10 @@ def run_daily(spark: SparkSession, store: TableStore, sources: dict[str, DataFra
         run.put("dw_user_analytics", U.merge_guarded(store.read("dw_user_analytics"), arrived,
                                                      "customer_id", guard_col, materialized=True))
 
-    # 7. truncate the transient tables and publish everything at once
+    # 7. publish, then truncate the transient tables
     with run.phase("commit"):
-        for t in S.TRANSIENT:
-            run.snapshots[t] = store.empty_path(t, run_id)
-        store.commit(run_id, run.snapshots, run.appends)
-        # append-only tables gain one part per run; fold them into one snapshot
-        # now and then (same rows, separate commit) so reads stay cheap
-        for t in run.appends:
-            if len(store.paths(t)[1]) > compact_after:
-                store.compact(t, f"{run_id}-compact")
-    return RunResult(run_id, customer_load=load, tables={**run.snapshots, **run.appends},
-                     seconds=run.seconds)
+        run.commit()
+    return RunResult(run_id, customer_load=load, tables=run.tables, seconds=run.seconds)
 
 
 def _additive(run: Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, stg_c: DataFrame,
@@ -192,58 +188,69 @@ def _additive(run: Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, s
     new = A.all_aggregates(stg_b, stg_s, stg_c, run_ts)
 
     def add(table: str, delta: DataFrame, keys: list[str], policy: str, **kw) -> DataFrame:
-        d = store.stage(f"{table}_delta", delta, run.run_id)
+        d = store.stage(f"{table}_delta", delta)
         return run.put(table, U.upsert(store.read(table), d, keys, policy, materialized=True, unique=True, **kw))
 
     out = {"agg_user_revenue": add("agg_user_revenue", new["agg_user_revenue"], ["customer_id"], U.ADDITIVE),
            "agg_user_usage": add("agg_user_usage", new["agg_user_usage"], ["customer_id"], U.ADDITIVE)}
     monthly = add("agg_monthly_revenue", new["agg_monthly_revenue"], ["customer_id", "month"], U.ADDITIVE)
     out["agg_arpu"] = add("agg_arpu", A.arpu(monthly, run_ts), ["customer_id"], U.REPLACE)
-    buckets = add("session_buckets", new["session_buckets"], ["session_id"], U.REPLACE,
-                  cols=["bucket", "last_updated_at"])
+    buckets = store.load("session_buckets", new["session_buckets"])  # empty before: every run ends with its truncation
     out["agg_session_distribution"] = add("agg_session_distribution", A.session_distribution(buckets, run_ts),
                                           ["customer_id"], U.ADDITIVE)
     return out
 
 
-def merge_history(run: Run, table: str, old: DataFrame, delta: DataFrame, key: str, ts_col: str,
-                   order: list) -> tuple[DataFrame, DataFrame]:
-    """Latest-wins merge of today's staged rows into a history stored one
-    directory per month. Only months that receive a row, or hold a row the delta
-    replaces, are rewritten; every other month keeps its files and is carried
-    into the new snapshot by reference, so the daily write is O(touched months),
-    not O(history). Returns (the rows the delta's ids had before, the rows they
-    have now)."""
+def merge_history(run: Run, table: str, delta: DataFrame, key: str, ts_col: str, order: list) -> tuple[DataFrame, DataFrame]:
+    """Latest-wins merge of today's staged rows into a history partitioned by month.
+    Only months that receive a row, or hold a row the delta replaces, are rewritten
+    (dynamic partition overwrite), so the daily write is O(touched months), not
+    O(history). Returns (the rows the delta's ids had before, the rows they have now)."""
     store = run.store
     month = F.date_format(ts_col, "yyyy-MM")
-    parts = store.partition_paths(table)
-    # which months hold an older row of a delta id: only the id and time columns
-    # of history are read for this (column pruning), not whole rows
-    hit = filter_by_keys(old.select(key, ts_col), delta, key, "left_semi", materialize=False)
-    touched = sorted(r[0] for r in delta.select(month.alias("m")).union(hit.select(month.alias("m")))
-                     .distinct().collect())  # the few months a day touches
-    before = store.read_paths(table, [parts[m] for m in touched if m in parts])
-    replaced = store.stage(f"{table}_replaced", filter_by_keys(before, delta, key, "left_semi", materialize=False),
-                           run.run_id)
+    old = store.read(table, partition=True)
+    # which months hold an older row of a delta id: only the id column and the
+    # partition of history are read for this, not whole rows
+    hit = filter_by_keys(old.select(key, S.MONTH), delta, key, "left_semi", materialize=False)
+    touched = store.stage(f"{table}_months", delta.select(month.alias(S.MONTH)).union(hit.select(S.MONTH)).distinct())
+    # one short row a calendar month: the other months are pruned when the join runs
+    before = old.join(F.broadcast(touched), S.MONTH, "left_semi").drop(S.MONTH)
+    replaced = store.stage(f"{table}_replaced", filter_by_keys(before, delta, key, "left_semi", materialize=False))
     merged = U.upsert_latest(before, delta, [key], order, materialized=True)
-    written = store.write_partitioned(table, merged.withColumn("p", month), run.run_id)
-    snapshot = {**{m: p for m, p in parts.items() if m not in touched}, **written}
-    run.snapshots[table] = sorted(snapshot.values())
-    winners = filter_by_keys(store.read_paths(table, sorted(written.values())), delta, key, "left_semi",
-                             materialize=False)
+    # the rebalance hint sizes the write tasks by bytes: a hot month is split over several
+    now = run.put(table, merged.withColumn(S.MONTH, month).hint("rebalance", S.MONTH))
+    lost = touched.join(now.select(S.MONTH).distinct(), S.MONTH, "left_anti").collect()  # rare: months without rows left
+    run.emptied += [f"{table}/{r[0]}" for r in lost]
+    winners = filter_by_keys(now.drop(S.MONTH), delta, key, "left_semi", materialize=False)
     return replaced, winners
 
 
 def accumulate(run: Run, table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
     """Next version of running totals after a signed delta; ids with no rows left drop out."""
-    d = run.store.stage(f"{table}_delta", delta, run.run_id)
+    d = run.store.stage(f"{table}_delta", delta)
     total = U.upsert(run.store.read(table), d, keys, U.ADDITIVE, materialized=True, unique=True)
     return run.put(table, total.where(F.col(count) > 0))
 
 
-def _recompute(run: Run, store: TableStore, billing_src: DataFrame, sessions_src: DataFrame, stg_b: DataFrame,
-               stg_s: DataFrame, stg_c: DataFrame, load: str, wms: dict, run_date: dt.date,
-               run_ts: dt.datetime, report_late: bool) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+def _report_late(run: Run, raw: dict[str, DataFrame], day: incremental.Day | None, wms: dict, run_date: dt.date) -> None:
+    """Rows dated before the lookback window whose id was never loaded are not staged;
+    they are reported instead of being dropped without a trace. Where the day of arrival
+    is known, only new arrivals are looked at; else all older rows of the source are
+    compared with every loaded key (ids and dates only are shuffled)."""
+    store = run.store
+    for table, k, key, ts_col, label, history in (
+            ("late_billings", "billing", "transaction_id", "transaction_date", S.SRC_BILLING, "hist_billings"),
+            ("late_sessions", "sessions", "session_id", "start_time", S.SRC_SESSIONS, "hist_sessions")):
+        loaded = store.read(history).select(key)
+        if day is not None:
+            late = incremental.late_arrivals(store, day.rows[k], label, ts_col, wms[label], loaded)
+        else:
+            late = W.late_rows(raw[k].where(F.col("customer_id").isNotNull()), key, ts_col, wms[label], loaded)
+        run.put(table, late.withColumn("run_date", F.lit(run_date)))
+
+
+def _recompute(run: Run, store: TableStore, stg_b: DataFrame, stg_s: DataFrame, stg_c: DataFrame, load: str,
+               run_ts: dt.datetime) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """Maintain the aggregates by signed deltas of what changed today.
 
     Running totals are kept per customer id over all history (``acc_*``, unknown
@@ -256,24 +263,9 @@ def _recompute(run: Run, store: TableStore, billing_src: DataFrame, sessions_src
     old_dim = store.read("dim_customers")
     dim = run.put("dim_customers", U.upsert(old_dim, stg_c, ["customer_id"], policy, materialized=True,
                                                    unique=True))
-    old_b, old_s = store.read("hist_billings"), store.read("hist_sessions")
-
-    if report_late:
-        # rows dated before the lookback window whose id was never loaded are not
-        # staged; they are reported instead of being dropped without a trace. The
-        # sources carry no arrival time, so this compares their older rows with
-        # every loaded key (ids and dates only are shuffled).
-        for table, src, key, ts_col, label, loaded in (
-                ("late_billings", billing_src, "transaction_id", "transaction_date", S.SRC_BILLING, old_b),
-                ("late_sessions", sessions_src, "session_id", "start_time", S.SRC_SESSIONS, old_s)):
-            late = W.late_rows(src.where(F.col("customer_id").isNotNull()), key, ts_col, wms[label], loaded.select(key))
-            run.add(table, late.withColumn("run_date", F.lit(run_date)))
-
     merged = together(
-        b=lambda: merge_history(run, "hist_billings", old_b, stg_b, "transaction_id", "transaction_date",
-                                 G.billing_order()),
-        s=lambda: merge_history(run, "hist_sessions", old_s, stg_s, "session_id", "start_time",
-                                 G.session_order()))
+        b=lambda: merge_history(run, "hist_billings", stg_b, "transaction_id", "transaction_date", G.billing_order()),
+        s=lambda: merge_history(run, "hist_sessions", stg_s, "session_id", "start_time", G.session_order()))
     signed_b, signed_s = A.signed(*merged["b"]), A.signed(*merged["s"])
 
     acc = together(
@@ -297,12 +289,12 @@ def _recompute(run: Run, store: TableStore, billing_src: DataFrame, sessions_src
                              known(acc_u).select(*S.AGG_SESSION_DISTRIBUTION.fieldNames())),
         # today's sessions of known customers: the dimension is narrowed to today's
         # customer ids by a checked broadcast instead of being shuffled whole
-        bk=lambda: run.put("session_buckets", A.session_buckets(
+        bk=lambda: store.load("session_buckets", A.session_buckets(
             stg_s, filter_by_keys(dim, stg_s, "customer_id", "left_semi", materialize=False), run_ts)))
     out = {"agg_user_revenue": pub["rev"], "agg_monthly_revenue": pub["mon"][0], "agg_arpu": pub["mon"][1],
            "agg_user_usage": pub["use"], "agg_session_distribution": pub["dist"]}
     # customers whose wide row may differ: totals moved today, or (re)loaded today
     changed = store.stage("changed_customers", (
         signed_b.select("customer_id").unionByName(signed_s.select("customer_id"))
-        .unionByName(stg_c.select("customer_id")).distinct()), run.run_id)
+        .unionByName(stg_c.select("customer_id")).distinct()))
     return dim, out, changed

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from meterwise.plans.params import (AS_OF, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, RUN_TS_2, WM_BILLING,
+from meterwise.plans.params import (AS_OF, DAY_1, DAY_2, FRESH_BILLING, FRESH_SESSIONS, RUN_TS, RUN_TS_2, WM_BILLING,
                                     WM_CUSTOMERS, WM_SESSIONS)
 from meterwise.schemas import TRANSIENT
 
@@ -483,6 +483,47 @@ FROM {SS} WHERE session_id IS NOT NULL AND customer_id IS NOT NULL
   AND TRY_CAST(start_time AS TIMESTAMP) <= {_ts(WM_SESSIONS)} - INTERVAL 3 DAY
   AND (session_id NOT IN (SELECT session_id FROM stg_s)
        OR session_id IN (SELECT session_id FROM {SS} WHERE data_used_mb IS NULL))""",
+    "stream_first_copies": f"""
+SELECT transaction_id, {_d(DAY_1)} AS arrived_on FROM stg_b1
+UNION ALL
+SELECT DISTINCT transaction_id, {_d(DAY_2)} FROM {B}
+WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL AND TRY_CAST(transaction_date AS TIMESTAMP) > {_ts(WM_BILLING)}
+  AND TRY_CAST(transaction_date AS TIMESTAMP) > (SELECT MAX(transaction_date) FROM stg_b1) - INTERVAL 3 DAY
+  AND transaction_id NOT IN (SELECT transaction_id FROM stg_b1)""",
+    "dq_report_arrivals": "\nUNION ALL\n".join([DQ_COMPLETENESS, DQ_UNIQUENESS, DQ_REFERENTIAL, DQ_VALIDITY]),
+    "quarantine_arrivals": f"""
+SELECT * FROM found_a1
+UNION ALL
+SELECT record, source, check_type, record_hash, {RUN2} AS detected_at FROM ({Q_ALL}) q
+WHERE record_hash NOT IN (SELECT record_hash FROM found_a1)""",
+    "late_arrivals": f"""
+SELECT '{B}' AS source_table, transaction_id AS row_id, customer_id, transaction_date AS row_time FROM arr_b2
+WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL
+  AND TRY_CAST(transaction_date AS TIMESTAMP) <= (SELECT MAX(transaction_date) FROM stg_ab1) - INTERVAL 3 DAY
+  AND transaction_id NOT IN (SELECT transaction_id FROM stg_ab1)
+UNION ALL
+SELECT '{SS}', session_id, customer_id, start_time FROM arr_s2
+WHERE session_id IS NOT NULL AND customer_id IS NOT NULL
+  AND TRY_CAST(start_time AS TIMESTAMP) <= (SELECT MAX(start_time) FROM stg_as1) - INTERVAL 3 DAY
+  AND session_id NOT IN (SELECT session_id FROM stg_as1)""",
+    "daily_arrivals_dw": "SELECT * EXCLUDE (last_updated_at) FROM wide_ad",
+    "stg_billings_defaults": "SELECT transaction_id, customer_id, amount, currency, transaction_date, true AS loaded_just_now FROM stg_b",
+    "truncate_staging": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_left FROM {cte}"
+        for t, cte in (("stg_billings", "stg_b"), ("stg_sessions", "stg_s"), ("stg_customers", "stg_c"), ("session_buckets", "bk"))),
+    "dw_user_analytics_bucketed": "SELECT * FROM wide",
+    "csv_source_malformed": f"""
+SELECT transaction_id, customer_id, CASE WHEN transaction_id % 97 = 3 THEN NULL ELSE amount END AS amount, currency,
+       transaction_date, false AS in_quarantine FROM {B}
+UNION ALL
+SELECT transaction_id, NULL, NULL, NULL, NULL, true FROM {B} WHERE transaction_id % 97 = 3""",
+    "quarantine_faulty_amounts": f"""
+SELECT source, check_type, COUNT(*) AS n_records, COUNT(*) FILTER (WHERE amount < 0) AS n_negative,
+       COUNT(*) FILTER (WHERE amount IS NULL) AS n_without_amount, CAST(SUM(amount) AS DECIMAL(28,2)) AS sum_amount
+FROM (SELECT DISTINCT ON (record_hash) source, check_type, record_hash,
+             CAST(json_extract_string(record, '$.amount') AS DECIMAL(18,2)) AS amount
+      FROM ({Q_NULL} UNION ALL {Q_DUP} UNION ALL {Q_ORPHAN} UNION ALL {Q_TIMES} UNION ALL {Q_EXT}) x)
+GROUP BY source, check_type""",
 }
 
 # CTEs that only some oracles need
@@ -496,6 +537,23 @@ CTES["wide_r2"] = f"SELECT * REPLACE ({RUN2} AS last_updated_at) FROM wide"
 CTES["wide_h"] = f"SELECT *, {_hash} AS h FROM wide_r2"
 # what the second day of the two-day run stages, and what its first day quarantines
 CTES["stg_bd"] = stg_billings("src_billing_transactions", "(SELECT MAX(transaction_date) FROM stg_b1)")
+# the two arrivals, what the first day stages of them, and what both days have staged
+_A1 = {"b": f"COALESCE(TRY_CAST(transaction_date AS TIMESTAMP) <= {_ts(WM_BILLING)}, false) AND currency IS NOT NULL",
+       "s": f"COALESCE(TRY_CAST(start_time AS TIMESTAMP) <= {_ts(WM_SESSIONS)}, false) AND data_used_mb IS NOT NULL",
+       "c": f"COALESCE(TRY_CAST(created_at AS TIMESTAMP) <= {_ts(WM_CUSTOMERS)}, true)"}
+for _x, _src in (("b", B), ("s", SS), ("c", C)):
+    CTES[f"arr_{_x}1"] = f"SELECT * FROM {_src} WHERE {_A1[_x]}"
+    CTES[f"arr_{_x}2"] = f"SELECT * FROM {_src} WHERE NOT ({_A1[_x]})"
+CTES["stg_ab1"] = stg_billings("arr_b1", dt.datetime(1970, 1, 1))
+CTES["stg_as1"] = stg_sessions("arr_s1", dt.datetime(1970, 1, 1))
+CTES["seen_b"] = f"""SELECT * FROM arr_b1 UNION ALL SELECT * FROM {B}
+  WHERE TRY_CAST(transaction_date AS TIMESTAMP) > (SELECT MAX(transaction_date) FROM stg_ab1) - INTERVAL 3 DAY"""
+CTES["seen_s"] = f"""SELECT * FROM arr_s1 UNION ALL SELECT * FROM {SS}
+  WHERE TRY_CAST(start_time AS TIMESTAMP) > (SELECT MAX(start_time) FROM stg_as1) - INTERVAL 3 DAY"""
+CTES["stg_ab"] = stg_billings("seen_b", dt.datetime(1970, 1, 1))
+CTES["stg_as"] = stg_sessions("seen_s", dt.datetime(1970, 1, 1))
+CTES.update(_world("_ad", "stg_ab", "stg_as", "stg_c"))
+CTES["found_a1"] = Q_ALL.replace(B, "arr_b1").replace(SS, "arr_s1").replace(C, "arr_c1")
 CTES["found_1"] = Q_ALL.replace("src_billing_transactions t", "src_b1 t").replace("src_network_sessions t", "src_s1 t").replace(
     "FROM src_billing_transactions GROUP", "FROM src_b1 GROUP").replace("FROM src_network_sessions GROUP", "FROM src_s1 GROUP")
 

@@ -126,6 +126,15 @@ LATE_BILLINGS = _s(*[(f.name, f.dataType, True) for f in SRC_BILLING_SCHEMA.fiel
 
 LATE_SESSIONS = _s(*[(f.name, f.dataType, True) for f in SRC_SESSIONS_SCHEMA.fields], ("run_date", D, False))
 
+# partitions of landed sources: the day a row arrived, the day (or month) it is about
+ARRIVED, EVENT_DATE, EVENT_MONTH = "arrived_on", "event_date", "event_month"
+LANDED = (ARRIVED, EVENT_DATE, EVENT_MONTH)
+IDS = _s(("id", L, False), ("n", L, False), ("event_date", D, True), ("run_date", D, False))
+ORPHAN_COUNTS = _s(("source_table", S, False), ("customer_id", L, False), ("n", L, False))
+ARRIVALS = _s(("source_table", S, False), (ARRIVED, D, False))
+RUN_LOG = _s(("run_id", S, False), ("step", S, False), ("tables", T.ArrayType(S), True), ("emptied", T.ArrayType(S), True),
+             ("logged_at", TS_T, True))
+
 # name -> (schema, key columns, transient?)  transient tables are emptied after a run
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "stg_billings": (STG_BILLINGS, ("transaction_id",), True),
@@ -139,7 +148,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "agg_session_distribution": (AGG_SESSION_DISTRIBUTION, ("customer_id",), False),
     "pipeline_watermarks": (PIPELINE_WATERMARKS, ("source_table",), False),
     "quarantine_records": (QUARANTINE_RECORDS, ("record_hash",), False),
-    "stg_user_analytics": (USER_ANALYTICS, (), True),
+    "stg_user_analytics": (USER_ANALYTICS, (), False),
     "dw_user_analytics": (USER_ANALYTICS, ("customer_id",), False),
     # persistent history the recompute mode needs (not in the original design)
     "dim_customers": (STG_CUSTOMERS, ("customer_id",), False),
@@ -152,6 +161,41 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...], bool]] = {
     "dq_report": (DQ_HISTORY, (), False),
     "late_billings": (LATE_BILLINGS, (), False),
     "late_sessions": (LATE_SESSIONS, (), False),
+    # what incremental quality counts start from
+    "ids_billing": (IDS, (), False),
+    "ids_sessions": (IDS, (), False),
+    "ids_customers": (IDS, (), False),
+    "orphan_counts": (ORPHAN_COUNTS, ("source_table", "customer_id"), False),
+    "arrivals": (ARRIVALS, ("source_table",), False),
+    "run_log": (RUN_LOG, (), False),
 }
 
-TRANSIENT = tuple(n for n, (_, _, t) in TABLES.items() if t and n != "stg_user_analytics")
+TRANSIENT = tuple(n for n, (_, _, t) in TABLES.items() if t)
+
+# table -> its partition column (a text column besides the schema's, if it is not one of them)
+MONTH = "month_part"
+PARTITIONS = {"hist_billings": MONTH, "hist_sessions": MONTH, "quarantine_records": "detected_on",
+              "dq_report": "run_date", "late_billings": "run_date", "late_sessions": "run_date",
+              "ids_billing": "run_date", "ids_sessions": "run_date", "ids_customers": "run_date"}
+# tables of customer grain are bucketed and sorted by the customer, id counts by the id
+BUCKETED = {t: "customer_id" for t in ("agg_user_revenue", "agg_user_usage", "agg_monthly_revenue", "agg_arpu",
+                                       "agg_session_distribution", "dim_customers", "acc_billing", "acc_monthly",
+                                       "acc_usage", "dw_user_analytics")}
+BUCKETED |= {t: "id" for t in ("ids_billing", "ids_sessions", "ids_customers")}
+
+# The column defaults of the tables as originally declared.
+NOW = "localtimestamp()"
+DEFAULTS: dict[str, dict[str, str]] = {
+    "stg_billings": {"amount": "0", "loaded_at": NOW},
+    "stg_sessions": {"data_used_mb": "0", "session_duration_sec": "0", "loaded_at": NOW},
+    "stg_customers": {"loaded_at": NOW},
+    "session_buckets": {"last_updated_at": NOW},
+    "agg_user_revenue": {"total_revenue": "0", "total_transactions": "0", "last_updated_at": NOW},
+    "agg_user_usage": {"total_data_used_mb": "0", "total_session_duration": "0", "total_sessions": "0", "last_updated_at": NOW},
+    "agg_monthly_revenue": {"total_revenue": "0", "last_updated_at": NOW},
+    "agg_arpu": {"arpu": "0", "last_updated_at": NOW},
+    "agg_session_distribution": {"short_sessions": "0", "medium_sessions": "0", "long_sessions": "0", "last_updated_at": NOW},
+    "pipeline_watermarks": {"updated_at": NOW},
+    "quarantine_records": {"detected_at": NOW},
+    "run_log": {"logged_at": NOW},  # this store's own
+}

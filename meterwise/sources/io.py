@@ -6,6 +6,8 @@ a numeric key so a large source table is read by many tasks in parallel.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,6 @@ SOURCE_SCHEMAS = {
 }
 SOURCE_TIME = {S.SRC_CUSTOMERS: "created_at", S.SRC_BILLING: "transaction_date",
                S.SRC_SESSIONS: "start_time"}
-EVENT_DATE = "event_date"
 MALFORMED = S.MALFORMED_COLUMN
 SOURCE_KEYS = {S.SRC_CUSTOMERS: "customer_id", S.SRC_BILLING: "transaction_id",
                S.SRC_SESSIONS: "session_id"}
@@ -32,13 +33,14 @@ def read_source(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
 
     A CSV line that does not fit the schema does not stop the run: its unreadable
     fields are NULL and ``MALFORMED`` holds the line, which the quarantine takes
-    (``quarantine.malformed``). Quoted fields may hold line breaks."""
+    (``quarantine.malformed``). A line is a record, so large files are read in splits;
+    ``multiLine="true"`` lets quoted fields hold line breaks and makes each file one task."""
     schema = SOURCE_SCHEMAS[name]
     reader = spark.read.schema(schema)
     if fmt == "csv":
         schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType(), True)])
         reader = (spark.read.schema(schema).option("header", "true").option("nullValue", "").option("emptyValue", "")
-                  .option("multiLine", "true").option("escape", '"')
+                  .option("escape", '"')
                   .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED))
     return reader.options(**options).format(fmt).load(path)
 
@@ -105,16 +107,22 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return rows.select(*[_unescaped(F.col(c)).alias(c) if c in texts else F.col(c) for c in rows.columns])
 
 
-def land(df: DataFrame, name: str, path: str) -> None:
-    """Append raw source rows under ``path`` partitioned by their parsed event
-    date (text that does not parse lands in the NULL partition, unchanged).
-    Later loads can then prune by date instead of scanning the whole source."""
-    (df.withColumn(EVENT_DATE, F.to_date(parse_ts(SOURCE_TIME[name])))
-       .hint("rebalance", EVENT_DATE)
-       .write.mode("append").partitionBy(EVENT_DATE).parquet(path))
-
-
-def read_landed(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A landed source: its declared columns plus the ``event_date`` partition."""
-    schema = T.StructType(SOURCE_SCHEMAS[name].fields + [T.StructField(EVENT_DATE, T.DateType(), True)])
-    return spark.read.schema(schema).parquet(path)
+def land(df: DataFrame, name: str, path: str, arrived_on: dt.date | None = None, by: str = S.EVENT_DATE) -> None:
+    """Append raw source rows under ``path`` partitioned by their parsed event date, or
+    by its month where days would make files too small (text that does not parse lands
+    in the NULL partition, unchanged), below the day they arrived if it is given. Later
+    loads prune by both instead of scanning the whole source. Landing a day of arrival
+    again replaces what it landed."""
+    date = F.to_date(parse_ts(SOURCE_TIME[name]))
+    out = df.withColumn(by, F.trunc(date, "month") if by == S.EVENT_MONTH else date).hint("rebalance", by).write.partitionBy(by)
+    if arrived_on is None:
+        out.mode("append").parquet(path)
+    else:
+        out.mode("overwrite").parquet(f"{path}/{S.ARRIVED}={arrived_on}")
+
+
+def read_landed(spark: SparkSession, name: str, path: str, arrivals: bool = False, by: str = S.EVENT_DATE) -> DataFrame:
+    """A landed source: its declared columns plus the partitions, ``by`` and, with
+    ``arrivals``, the day of arrival."""
+    parts = ([T.StructField(S.ARRIVED, T.DateType(), True)] if arrivals else []) + [T.StructField(by, T.DateType(), True)]
+    return spark.read.schema(T.StructType(SOURCE_SCHEMAS[name].fields + parts)).parquet(path)

@@ -12,8 +12,10 @@ on restart), while a new checkpoint is a new stream whose batches all count. The
 lookback starts from the watermark at the start of a call, not from that of the
 previous batch, so the order in which landed files are taken does not matter.
 
-``withWatermark`` + ``dropDuplicatesWithinWatermark`` would keep the *first*
-copy of a key; the load needs the *latest*, hence the explicit merge.
+``withWatermark`` + ``dropDuplicatesWithinWatermark`` keeps the *first* copy of a
+key; the load needs the *latest*, hence the explicit merge. Where the first copy is
+what is wanted, ``first_copies`` leaves all of it to Spark: state in RocksDB, late rows
+dropped by the watermark, exactly-once files.
 """
 
 from __future__ import annotations
@@ -25,14 +27,16 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwise import schemas as S
+from meterwise.functions import parse_ts
 from meterwise.operators import aggregates as A
 from meterwise.operators import staging as G
-from meterwise.operators.watermark import advance, current, seed_rows
+from meterwise.operators.watermark import advance, current, seed
 from meterwise.plans.daily import Run, accumulate, merge_history
-from meterwise.plans.state import TableStore, missing
+from meterwise.plans.tables import TableStore, missing
 
 
 @dataclass(frozen=True)
@@ -68,23 +72,24 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def watermarks(store: TableStore) -> DataFrame:
-    return store.read("pipeline_watermarks") if store.has("pipeline_watermarks") else seed_rows(store.spark)
+    return seed(store.spark, store.read("pipeline_watermarks"))
 
 
 def batch_writer(store: TableStore, feed: Feed, stream: str, run_ts: dt.datetime) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: stage, merge latest-wins, accumulate, commit."""
+    store.recover()
     since = current(watermarks(store))[feed.source]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = Run(store, f"stream-{stream}-{batch_id:010d}")
         if store.is_committed(run.run_id):
             return  # replay after a restart
-        staged = store.stage(f"{feed.history}_batch", feed.stage(batch, since, run_ts), run.run_id)
-        changed = A.signed(*merge_history(run, feed.history, store.read(feed.history), staged, feed.key, feed.time, feed.order()))
+        staged = store.stage(f"{feed.history}_batch", feed.stage(batch, since, run_ts))
+        changed = A.signed(*merge_history(run, feed.history, staged, feed.key, feed.time, feed.order()))
         for table, keys, delta, count in feed.totals:
             accumulate(run, table, keys, delta(changed, run_ts), count)
         run.put("pipeline_watermarks", advance(watermarks(store), {feed.source: staged}, run_ts))
-        store.commit(run.run_id, run.snapshots)
+        run.commit()
 
     return write
 
@@ -99,3 +104,32 @@ def run_stream(spark: SparkSession, feed: Feed, landing: str, store: TableStore,
          .foreachBatch(batch_writer(store, feed, stream_id(spark, checkpoint), run_ts))
          .option("checkpointLocation", f"{checkpoint}/spark").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_copies(spark: SparkSession, feed: Feed, landing: str, target: str, checkpoint: str) -> None:
+    """Append the first copy of every id among the rows that have landed so far to the
+    parquet files at ``target``, then stop.
+
+    Rows without ids or a readable time are left out, and so are rows at or before the
+    watermark (latest time seen by earlier batches, less the lookback): the strict
+    bound of the batch load. An id is remembered until the watermark passes its first
+    copy's time plus the lookback, so the state follows the ids of a few days, not all.
+    ``landing`` is a source landed by day of arrival; a restart goes on from ``checkpoint``."""
+    parts = [T.StructField(S.ARRIVED, T.DateType())]
+    rows = (spark.readStream.schema(T.StructType([*feed.schema.fields, *parts])).parquet(landing)
+            .withColumn("row_time", parse_ts(feed.time).cast("timestamp"))
+            .where(F.col(feed.key).isNotNull() & F.col("customer_id").isNotNull() & F.col("row_time").isNotNull())
+            .withWatermark("row_time", f"{S.LOOKBACK.days} days")
+            .dropDuplicatesWithinWatermark([feed.key]))
+    old = spark.conf.get(STATE_STORE_CONF, None)
+    spark.conf.set(STATE_STORE_CONF, ROCKSDB)  # read when the query starts
+    try:
+        query = (rows.writeStream.format("parquet").option("path", target)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.unset(STATE_STORE_CONF) if old is None else spark.conf.set(STATE_STORE_CONF, old)
+    query.awaitTermination()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from meterwise import schemas as S
 from meterwise.operators.quality import StaleSourceError
 from meterwise.plans.daily import run_daily
-from meterwise.plans.state import TableStore
+from meterwise.plans.tables import TableStore
 
 RUN_TS = dt.datetime(2025, 1, 10)
 SUN, MON, TUE = dt.date(2025, 1, 5), dt.date(2025, 1, 6), dt.date(2025, 1, 7)

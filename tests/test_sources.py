@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from conftest import SF_SMALL
 from meterwise import schemas as S
-from meterwise.plans.state import TableStore
+from meterwise.plans.tables import TableStore
 from meterwise.sources import fixtures, read_source
 from meterwise.sources.io import export_csv, import_csv
 from meterwise.streaming.activity_stream import BILLING, batch_writer, run_stream
