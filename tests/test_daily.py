@@ -1,6 +1,7 @@
 """Multi-day sequences of the daily run on hand-written sources."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -141,16 +142,7 @@ def test_freshness_gate_raises_and_writes_nothing(spark, workdir):
     store = TableStore(spark, workdir)
     with pytest.raises(StaleSourceError):
         run_daily(spark, store, _sources(spark, BILLING_DAY1), TUE, RUN_TS)
-    assert not store.is_committed(TUE.isoformat()) and store.paths("dim_customers")[1] == []
-
-
-def test_init_tables_creates_empty_tables_once(spark, workdir):
-    store = TableStore(spark, workdir)
-    store.init_tables()
-    store.init_tables()
-    assert store.is_committed("init") and store._version == 1
-    assert store.read("agg_user_revenue").count() == 0
-    assert store.read("dw_user_analytics").columns == S.USER_ANALYTICS.fieldNames()
+    assert not store.is_committed(TUE.isoformat()) and store.read("dim_customers").count() == 0
 
 
 def test_daily_run_on_fixture_tables(spark, workdir):
@@ -167,45 +159,30 @@ def test_daily_run_on_fixture_tables(spark, workdir):
     assert _snapshot(store, ["agg_user_revenue", "quarantine_records"]) == before
 
 
-def test_compact_keeps_append_table_contents(spark, workdir):
-    store = TableStore(spark, workdir)
-    run_daily(spark, store, _sources(spark, BILLING_DAY1), SUN, RUN_TS)
-    day2 = BILLING_DAY1 + [(None, 2, Decimal("2.00"), "NGN", "2025-01-06 01:00:00")]
-    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
-    before = _snapshot(store, ["quarantine_records", "dq_report"])
-    store.compact("quarantine_records", "compact-1")
-    store.compact("dq_report", "compact-1")
-    assert _snapshot(store, ["quarantine_records", "dq_report"]) == before
-    assert len(store.paths("quarantine_records")[1]) == 1
-    run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), TUE, RUN_TS, check_fresh=False)
-    assert store.read("quarantine_records").count() == len(before["quarantine_records"])
-    assert len(store.paths("dq_report")[1]) == 2   # the compacted snapshot + today's part
-
-
-def test_daily_run_compacts_append_tables(spark, workdir):
-    store = TableStore(spark, workdir)
-    for day in (SUN, MON, TUE):
-        run_daily(spark, store, _sources(spark, BILLING_DAY1), day, RUN_TS, check_fresh=False, compact_after=2)
-    assert len(store.paths("dq_report")[1]) == 1      # three parts were folded into one
-    assert store.read("dq_report").count() == 45       # 15 checks x 3 runs, nothing lost
+def _files(workdir, table):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(f"{workdir}/{table}") for f in names if f.endswith(".parquet")}
 
 
 def test_history_rewrites_only_touched_months(spark, workdir):
     store = TableStore(spark, workdir)
-    old_row = (30, 2, Decimal("9.00"), "NGN", "2024-06-01 00:00:00")
-    run_daily(spark, store, _sources(spark, BILLING_DAY1 + [old_row]), SUN, RUN_TS)
-    first = store.partition_paths("hist_billings")
-    assert set(first) == {"2024-06", "2025-01"}
-    # a correction moves transaction 11 into February; June is not touched
-    day2 = [r for r in BILLING_DAY1 if r[0] != 11] + [old_row, (11, 1, Decimal("55.00"), "NGN", "2025-02-01 00:00:00"),
-                                                     (14, 1, Decimal("7.00"), "NGN", "2025-01-06 08:00:00")]
+    rows = [(30, 2, Decimal("9.00"), "NGN", "2024-06-01 00:00:00"), (31, 2, Decimal("1.00"), "NGN", "2025-01-03 00:00:00"),
+            (32, 1, Decimal("2.00"), "NGN", "2024-12-31 00:00:00")]
+    run_daily(spark, store, _sources(spark, BILLING_DAY1 + rows), SUN, RUN_TS)
+    first = _files(workdir, "hist_billings")
+    assert {f.split("month_part=")[1][:7] for f in first} == {"2024-06", "2024-12", "2025-01"}
+    # corrections move 11 into February and 32, December's only row, into January; June is not touched
+    day2 = [r for r in BILLING_DAY1 if r[0] != 11] + rows[:2] + [
+        (11, 1, Decimal("55.00"), "NGN", "2025-02-01 00:00:00"), (32, 1, Decimal("2.00"), "NGN", "2025-01-04 00:00:00"),
+        (14, 1, Decimal("7.00"), "NGN", "2025-01-06 08:00:00")]
     run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
-    second = store.partition_paths("hist_billings")
-    assert second["2024-06"] == first["2024-06"]          # carried by reference
-    assert second["2025-01"] != first["2025-01"] and "2025-02" in second
+    second = _files(workdir, "hist_billings")
+    assert {f: t for f, t in second.items() if "2024-06" in f} == {f: t for f, t in first.items() if "2024-06" in f}
+    assert not set(first) & {f for f in second if "2025-01" in f}
     hist = {r.transaction_id: (r.amount, r.transaction_date.month) for r in store.read("hist_billings").collect()}
-    assert hist[11] == (Decimal("55.00"), 2) and hist[30] == (Decimal("9.00"), 6) and len(hist) == 6
-    assert _rev(store)[1] == (Decimal("162.00"), 3)
+    assert hist[11] == (Decimal("55.00"), 2) and hist[30] == (Decimal("9.00"), 6) and hist[32] == (Decimal("2.00"), 1) and len(hist) == 8
+    assert _rev(store)[1] == (Decimal("164.00"), 4)
+    assert TableStore(spark, workdir).read("hist_billings").count() == 8
 
 
 def test_signed_deltas_equal_a_full_rebuild(spark, workdir):
@@ -302,31 +279,33 @@ def test_timestamps_of_two_days(spark, workdir):
     assert sorted((r.detected_at, "2025-01-06" in r.record) for r in found) == [(RUN_TS, False)] * 2 + [(later, True)]
 
 
-def test_commit_keeps_one_manifest_per_run_and_drops_staged_copies(spark, workdir):
-    import os
-    store = TableStore(spark, workdir)
-    for day in (SUN, MON, TUE):
-        run_daily(spark, store, _sources(spark, BILLING_DAY1), day, RUN_TS, check_fresh=False)
-    n = len(store._state())
-    assert len(os.listdir(f"{workdir}/_state")) >= 3 and n < 60
-    assert all(store.is_committed(d.isoformat()) for d in (SUN, MON, TUE)) and not store.is_committed("2025-02-01")
-    assert not [d for t in os.listdir(workdir) for d in os.listdir(f"{workdir}/{t}") if d.endswith("-stage")]
-    other = TableStore(spark, workdir)
-    other._state()
-    store.commit("a", {})
-    with pytest.raises(RuntimeError):
-        other.commit("b", {})
-
-
-def test_an_unreadable_manifest_is_not_an_empty_state(spark, workdir):
-    import os
-    store = TableStore(spark, workdir)
-    store.init_tables()
-    part = next(f for f in os.listdir(f"{workdir}/_state/v=0000000001") if f.startswith("part-"))
-    with open(f"{workdir}/_state/v=0000000001/{part}", "wb") as f:
-        f.write(b"broken")
-    with pytest.raises(Exception):
-        TableStore(spark, workdir).read("dim_customers").collect()
+TABLES = ["agg_user_revenue", "agg_user_usage", "agg_monthly_revenue", "agg_arpu", "agg_session_distribution", "dim_customers",
+          "acc_billing", "hist_billings", "hist_sessions", "quarantine_records", "dq_report", "dw_user_analytics", "pipeline_watermarks"]
+
+
+@pytest.mark.parametrize("phase, table", [("prepare", "dw_user_analytics"), ("overwrite", "agg_arpu"), ("truncate", None)])
+def test_a_run_that_died_is_finished_by_the_next_call(spark, workdir, monkeypatch, phase, table):
+    """Whether it died while preparing, while publishing or after it: what the next
+    call leaves is what an undisturbed run leaves."""
+    day2 = [r for r in BILLING_DAY1 if r[0] != 10] + [(10, 2, Decimal("101.00"), "NGN", "2025-01-06 09:00:00")]
+    calm, hit = TableStore(spark, f"{workdir}/calm"), TableStore(spark, f"{workdir}/hit")
+    for store in (calm, hit):
+        run_daily(spark, store, _sources(spark, BILLING_DAY1), SUN, RUN_TS)
+    original = getattr(TableStore, phase)
+
+    def dies(self, *args):
+        if self.root.endswith("hit") and (table is None or args[0] == table):
+            raise RuntimeError("the driver died")
+        return original(self, *args)
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, phase, dies)
+        with pytest.raises(RuntimeError):
+            run_daily(spark, hit, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
+    assert not hit.is_committed(MON.isoformat())
+    again = TableStore(spark, f"{workdir}/hit")
+    for store in (calm, again):
+        run_daily(spark, store, _sources(spark, day2, SESSIONS_DAY2), MON, RUN_TS)
+    assert again.is_committed(MON.isoformat()) and _snapshot(again, TABLES) == _snapshot(calm, TABLES)
 
 
 def test_malformed_csv_lines_are_quarantined_and_the_run_completes(spark, workdir):
@@ -340,10 +319,34 @@ def test_malformed_csv_lines_are_quarantined_and_the_run_completes(spark, workdi
         with open(f"{workdir}/{name}.csv", "w") as f:
             f.write(text)
     names = {"billing": S.SRC_BILLING, "sessions": S.SRC_SESSIONS, "customers": S.SRC_CUSTOMERS}
-    src = {k: read_source(spark, n, f"{workdir}/{k}.csv", fmt="csv") for k, n in names.items()}
+    src = {k: read_source(spark, n, f"{workdir}/{k}.csv", fmt="csv", multiLine=str(k == "customers").lower()) for k, n in names.items()}
     store = TableStore(spark, f"{workdir}/state")
     run_daily(spark, store, src, SUN, RUN_TS)
     bad = store.read("quarantine_records").where("check_type = 'malformed_record'").collect()
     assert sorted(r.record.count("abc") for r in bad) == [0, 1] and len(bad) == 2
     assert _rev(store) == {1: (Decimal("100.00"), 2), 2: (Decimal("5.00"), 1)}  # quarantine is a copy; the bad field is NULL
     assert {r.customer_name for r in store.read("dw_user_analytics").collect()} == {"Two\nLines", "Bob"}
+
+
+def test_late_rows_of_new_arrivals(spark, workdir):
+    """Where the day of arrival is known only new rows are looked at: an old row that
+    is sent again is no late row, one whose id was never loaded is."""
+    from meterwise.sources import land, read_landed
+    names = {"billing": S.SRC_BILLING, "sessions": S.SRC_SESSIONS, "customers": S.SRC_CUSTOMERS}
+    store = TableStore(spark, f"{workdir}/state")
+    days = {SUN: (BILLING_DAY1, SESSIONS_DAY1, CUSTOMERS),
+            MON: ([BILLING_DAY1[0], (21, 1, Decimal("4.00"), "NGN", "2025-01-02 00:00:00"), (22, 2, Decimal("1.00"), "NGN", "2025-01-06 00:00:00"),
+                   (None, 1, Decimal("6.00"), "NGN", "2025-01-06 01:00:00"), (12, 2, Decimal("3.00"), "NGN", None)],
+                  [SESSIONS_DAY2[-1]], [(99, "zoe", None, None, "2025-01-06 00:00:00")])}
+    for day, rows in days.items():
+        for (k, df) in _sources(spark, *rows).items():
+            land(df, names[k], f"{workdir}/{k}", day)
+        landed = {k: read_landed(spark, n, f"{workdir}/{k}", arrivals=True) for k, n in names.items()}
+        run_daily(spark, store, landed, day, RUN_TS)
+    assert [r.transaction_id for r in store.read("late_billings").collect()] == [21]
+    last = {(r.source_table, r.check_type): r.faulty_rows for r in store.read("dq_report").where(F.col("run_date") == MON).collect()}
+    assert last[S.SRC_BILLING, "duplicate_identifier"] == 3  # 10, 12, and the two rows without an id
+    assert last[S.SRC_BILLING, "null_identifier"] == 2 and last[S.SRC_BILLING, "null_transaction_date"] == 1
+    assert last[S.SRC_BILLING, "orphaned_customer_id"] == 0  # customer 99 has arrived
+    found = store.read("quarantine_records").where("check_type = 'duplicate_identifier'").collect()
+    assert len(found) == 3  # both rows of 12; the two equal rows of 10 are one record
