@@ -182,10 +182,9 @@ class TableStore:
                 list(pool.map(self._publish, row["tables"]))
             for entry in row["emptied"]:
                 table, value = entry.split("/", 1)
-                cols = ", ".join(f"`{c}`" for c in S.TABLES[table][0].fieldNames())
-                name = self.name(table)
-                self.spark.sql(f"INSERT OVERWRITE {name} PARTITION (`{S.PARTITIONS[table]}` = '{value}') "
-                               f"SELECT {cols} FROM {name} WHERE false")
+                none = self.spark.createDataFrame([], S.TABLES[table][0])
+                self.spark.sql(f"INSERT OVERWRITE {self.name(table)} PARTITION (`{S.PARTITIONS[table]}` = '{value}') "
+                               "SELECT * FROM {none}", none=none)
         self.truncate(*S.TRANSIENT)
         self.insert("run_log", self.spark.createDataFrame([(run_id, PUBLISHED)], "run_id string, step string"))
 
