@@ -20,6 +20,7 @@ like any others. Empty input gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 
 import numpy as np
@@ -31,6 +32,7 @@ from . import bpe, common
 
 CAPACITY = 2048
 BUCKET_ROWS = 2000  # pieces numbered together
+SLICE_BYTES = 2 << 20  # text bytes encoded at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -45,9 +47,19 @@ def cut(total: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return doc, piece, start, np.where(piece == 0, head[doc], capacity)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again by the next
+    stages, and what their allocators keep of earlier ones adds up on an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """The pieces of ``docs`` (doc_id, text) with the CRC-32 of their ids."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        give_back()
         ids, offs = bpe.vocabulary(path or bpe.default_path()).encode(b.column("text"))
         n = np.diff(offs)
         doc, piece, start, length = cut(n + 1, capacity)
@@ -58,7 +70,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
                for x, y, z in zip(at.tolist(), upto.tolist(), final.tolist())]
         return common.batch_of(doc_id=b.column("doc_id").take(pa.array(doc)), piece=pa.array(piece, pa.int32()),
                                start=pa.array(start, pa.int64()), length=pa.array(length, pa.int64()), ids_crc32=pa.array(crc, pa.int64()))
-    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES)
+    return common.map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES, SLICE_BYTES)
 
 
 class _Complements:
