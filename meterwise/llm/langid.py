@@ -162,8 +162,11 @@ def identify(docs: DataFrame, train: DataFrame, dim: int = DIM) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, langs: list[str], protos: np.ndarray, least: float) -> DataFrame:
-    """Rows of ``docs``, all columns, whose language is known with cosine ``least`` or more."""
+    """Rows of ``docs``, all columns, whose language is known with cosine ``least`` or
+    more; where no language was learned, all rows whose text holds a letter."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        if not langs:
+            return b.filter(pa.array(bundles(b.column("text"), protos.shape[1]).any(axis=1), pa.bool_()))
         name, score = assign(b.column("text"), langs, protos)
         keep = [n != UNKNOWN and s >= least for n, s in zip(name, score.tolist())]
         return b.filter(pa.array(keep, pa.bool_()))

@@ -182,3 +182,12 @@ def test_strongly_substituted_words_are_restored(spark):
     model = toxicity.char_model(spark.createDataFrame([(w,) for w in words], "text string"))
     for given, want in (("1d107", "idiot"), ("1053r", "loser"), ("ki||", "kill"), ("idiot!", "idiot"), ("people!!!", "people"), ("2262", "2262"), ("!! |||", "")):
         assert toxicity.restore_text(given, model) == want, given
+
+
+def test_texts_with_letters_stay_where_no_language_was_learned(spark):
+    from meterwise.llm import langid
+    docs = spark.createDataFrame([(1, "some words of a text", None), (2, "12 34", None), (3, None, None), (4, "слово", None)], "doc_id long, text string, lang string")
+    langs, protos = langid.prototypes(docs.select("text", "lang"))
+    assert langs == []
+    kept = langid.keep_known(docs, langs, protos, 0.1)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
