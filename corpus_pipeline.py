@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; all but the last return the columns of ``documents``.
 
 quality     rows that the classifier scores below 0.3 go
-language    rows without a letter, or unlike every learned language, go
+language    rows without a letter, or unlike every learned language, go (with none learned, the former only)
 near_dedup  one row of each class of near duplicates stays
 secrets     secrets in the text are masked
 packing     the texts' token pieces, placed into sequences of 2048
