@@ -85,12 +85,17 @@ def hash_sample(ids: DataFrame, bound: int, salt: int, col: str = "doc_id") -> D
 
 def most_frequent(counts: DataFrame, count: str, bound: int) -> DataFrame:
     """The rows of largest ``count``, as many whole steps of a sixteenth of a doubling
-    as hold at most ``bound`` rows. The steps are the only thing gathered."""
+    as hold at most ``bound`` rows. Where the first step alone holds more (equal counts),
+    about ``bound`` of its rows by hash, so that the answer is empty only if ``bound``
+    or the table is. The steps are the only thing gathered."""
     step = F.floor(F.log2(F.col(count)) * 16).cast("int")
     steps = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True)
     least, total = None, 0
     for s, n in steps:
         if total + n > bound:
+            if not total:
+                near = F.pmod(F.xxhash64(*sorted(counts.columns)), F.lit(1 << 40)) < F.lit(int(bound / n * (1 << 40)))
+                return counts.where((step == s) & near)
             break
         least, total = s, total + n
     return counts.where(F.lit(False) if least is None else step >= least)

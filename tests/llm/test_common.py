@@ -25,6 +25,13 @@ def test_most_frequent_is_a_whole_number_of_steps(spark):
     assert common.most_frequent(df.where("false"), "c", 5).count() == 0
 
 
+def test_most_frequent_of_equal_counts_is_not_empty(spark):
+    df = spark.createDataFrame([(k, 7) for k in range(5000)], "k long, c long")
+    got = sorted(r.k for r in common.most_frequent(df, "c", 1000).collect())
+    assert 850 < len(got) < 1150
+    assert got == sorted(r.k for r in common.most_frequent(df.repartition(3), "c", 1000).collect())
+
+
 def test_hash_sample(spark):
     ids = spark.range(5000).select(F.col("id").alias("doc_id")).union(spark.createDataFrame([(None,), (1,), (1,)], "doc_id long"))
     few = common.hash_sample(ids, 500, 1)
