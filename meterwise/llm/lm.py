@@ -10,12 +10,14 @@ ones); a rare token is the rare class times its smoothed share of the rare
 counts, unseen words being one type. The probabilities of all tokens thus sum
 to one.
 
-Training: truncated backpropagation over windows of ``WINDOW`` tokens with the
-state carried from window to window to the end of each text. Every training
-text belongs to one of the ``ROUNDS`` rounds and there to one Spark group of about
-``GROUP_BYTES`` of text, so their number follows the training rows; the groups'
-weights are averaged after each round, task by task and then in a tree. Scoring carries the state through whole
-texts: texts follow each other in lanes, all lanes advance together.
+Training: truncated backpropagation over windows of ``WINDOW`` tokens, many texts
+side by side in lanes, with the state carried from window to window (texts over
+``SEGMENT`` tokens in pieces). Every training text belongs to one of the
+``ROUNDS`` rounds and there to one Spark group of about ``GROUP_BYTES`` of text, so
+their number follows the training rows; the groups' weights are averaged after
+each round, task by task and then in a tree. Scoring carries the state through
+whole texts: texts follow each other in lanes, all lanes advance together, and a
+lane that has ended costs nothing.
 
 Counts of up to ``HEAD`` most frequent words travel with the tasks; rarer words'
 counts meet their texts in a join on the word, so no vocabulary is held whole
@@ -42,12 +44,13 @@ from . import common
 
 END = ""  # the end token among the counted words; no word is empty
 HEAD = 100_000
-VOCABULARY, CLASSES, HIDDEN = 2000, 48, 32
+VOCABULARY, CLASSES, HIDDEN = 20_000, 160, 32
 ROUNDS = 2
-GROUP_BYTES = 4 << 20  # training text of a group in a round
-WINDOW, TRAIN_LANES = 16, 48
-FAN_IN = 16  # weight rows averaged by a task of the tree, and by the driver
-RATE, SEED = 0.01, 6
+GROUP_BYTES = 8 << 20  # training text of a group in a round
+WINDOW, TRAIN_LANES = 16, 256
+SEGMENT = 2048  # tokens of a training text learned as one lane's piece
+FAN_IN = 16  # weight rows averaged by a task of the tree; the driver gets one
+RATE, SEED = 0.05, 6
 LANES = 256  # texts scored side by side
 
 
@@ -118,59 +121,68 @@ class Net:
 
     def gradients(self, words: np.ndarray, targets: np.ndarray, fresh: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[float, list[np.ndarray], np.ndarray]:
         """One window (steps, lanes): (loss, gradients, last state)."""
-        k, steps = HIDDEN, len(words)
-        kept, states = [], []
+        k, (steps, n_lanes) = HIDDEN, words.shape
+        x, keep = self.x[words], (~fresh[:, :, None]).astype(h.dtype)
+        kept = []
+        flat = np.empty((steps, n_lanes, k), h.dtype)
         for t in range(steps):
-            h = h * ~fresh[t][:, None]
-            before = h
-            h, z, r, new, hn = self.step(words[t], h)
+            before = h * keep[t]
+            hu = before @ self.u
+            zr = 1 / (1 + np.exp(-(x[t, :, :2 * k] + hu[:, :2 * k])))
+            z, r, hn = zr[:, :k], zr[:, k:], hu[:, 2 * k:]
+            new = np.tanh(x[t, :, 2 * k:] + r * hn)
+            flat[t] = h = new + z * (before - new)
             kept.append((before, z, r, new, hn))
-            states.append(h)
-        flat = np.concatenate(states)
-        target, live = targets.ravel(), mask.ravel()
-        logits = flat @ self.wc + self.bc
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        # output, tokens ordered by class
+        live = np.flatnonzero(mask.ravel())
+        of = self.cls[targets.ravel()[live]]
+        by_class = np.argsort(of, kind="stable")
+        live, of = live[by_class], of[by_class]
+        target, state = targets.ravel()[live], flat.reshape(-1, k)[live]
+        rows, n = np.arange(len(live)), max(len(live), 1)
+        p = state @ self.wc + self.bc
+        p = np.exp(p - p.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        of = self.cls[target]
-        rows = np.arange(len(flat))
-        loss = -np.log(p[rows, of] + 1e-30)[live].sum()
+        loss = -np.log(p[rows, of] + 1e-30).sum()
         p[rows, of] -= 1
-        p[~live] = 0
-        n = max(int(live.sum()), 1)
-        p /= n
-        gwc, gbc, gh = flat.T @ p, p.sum(axis=0), p @ self.wc.T
+        gwc, gbc, gs = state.T @ p, p.sum(axis=0), p @ self.wc.T
         gww, gbw = np.zeros_like(self.ww), np.zeros_like(self.bw)
-        live_rows = np.flatnonzero(live)
-        order = live_rows[np.argsort(of[live_rows], kind="stable")]
-        cut = np.searchsorted(of[order], np.arange(len(self.first)))
-        for c in range(len(self.first) - 1):
-            a, z = self.first[c], self.first[c + 1]
-            at = order[cut[c]:cut[c + 1]]
-            if z - a > 1 and len(at):
-                inner = flat[at] @ self.ww[a:z].T + self.bw[a:z]
-                q = np.exp(inner - inner.max(axis=1, keepdims=True))
+        cut = np.searchsorted(of, np.arange(len(self.first))).tolist()
+        first = self.first.tolist()
+        for c in range(len(first) - 1):
+            a, z, i, j = first[c], first[c + 1], cut[c], cut[c + 1]
+            if z - a > 1 and j > i:
+                own, at = rows[:j - i], target[i:j] - a
+                q = state[i:j] @ self.ww[a:z].T + self.bw[a:z]
+                q = np.exp(q - q.max(axis=1, keepdims=True))
                 q /= q.sum(axis=1, keepdims=True)
-                own = np.arange(len(at))
-                loss -= np.log(q[own, target[at] - a] + 1e-30).sum()
-                q[own, target[at] - a] -= 1
-                q /= n
-                gww[a:z] += q.T @ flat[at]
-                gbw[a:z] += q.sum(axis=0)
-                gh[at] += q @ self.ww[a:z]
-        gx, gu = np.zeros_like(self.x), np.zeros_like(self.u)
-        gh = gh.reshape(steps, -1, k)
+                loss -= np.log(q[own, at] + 1e-30).sum()
+                q[own, at] -= 1
+                gww[a:z], gbw[a:z] = q.T @ state[i:j], q.sum(axis=0)
+                gs[i:j] += q @ self.ww[a:z]
+        gh = np.zeros((steps * n_lanes, k), h.dtype)
+        gh[live] = gs
+        gh = gh.reshape(steps, n_lanes, k)
+        # back through the window
+        into, at_x = np.empty((steps, n_lanes, 3 * k), h.dtype), np.empty((steps, n_lanes, 3 * k), h.dtype)
         carry = np.zeros_like(h)
         for t in range(steps - 1, -1, -1):
             before, z, r, new, hn = kept[t]
             d = gh[t] + carry
             dnew = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dnew * hn * r * (1 - r)
-            into = np.concatenate([dz, dr, dnew * r], axis=1)
-            carry = (d * z + into @ self.u.T) * ~fresh[t][:, None]
-            gu += before.T @ into
-            np.add.at(gx, words[t], np.concatenate([dz, dr, dnew], axis=1))
-        return loss / n, [gx, gu, gwc, gbc, gww, gbw], h
+            at_x[t, :, :k] = d * (before - new) * z * (1 - z)
+            at_x[t, :, k:2 * k] = dnew * hn * r * (1 - r)
+            at_x[t, :, 2 * k:] = dnew
+            into[t] = at_x[t]
+            into[t, :, 2 * k:] *= r
+            carry = (d * z + into[t] @ self.u.T) * keep[t]
+        gu = np.concatenate([s[0] for s in kept]).T @ into.reshape(-1, 3 * k)
+        word = words.ravel()
+        order = np.argsort(word, kind="stable")
+        seen, start = np.unique(word[order], return_index=True)
+        gx = np.zeros_like(self.x)
+        gx[seen] = np.add.reduceat(at_x.reshape(-1, 3 * k)[order], start, axis=0)
+        return loss / n, [g / n for g in (gx, gu, gwc, gbc, gww, gbw)], h
 
 
 def build(counts: np.ndarray, rare: float) -> tuple[Net, np.ndarray]:
@@ -204,47 +216,55 @@ def lanes(offs: np.ndarray, n_lanes: int) -> list[list[int]]:
     return [out[k] for _, k in sorted(heap, reverse=True)]
 
 
-def grid(offs: np.ndarray, ids: np.ndarray, dealt: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(steps, lanes): position in ``ids`` of each lane's token or -1; whether a text starts."""
+def windows(offs: np.ndarray, dealt: list[list[int]], length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each window of ``length`` steps (positions, whether a text starts there),
+    both (steps, lanes) and of the lanes that still go on; position -1 beyond a lane's end."""
     size = np.diff(offs)
-    steps = max((int(size[d].sum()) for d in dealt), default=0)
-    at = np.full((steps, len(dealt)), -1, np.int64)
-    fresh = np.zeros((steps, len(dealt)), bool)
-    for k, d in enumerate(dealt):
-        t = 0
-        for x in d:
-            n = int(size[x])
-            at[t:t + n, k] = np.arange(offs[x], offs[x] + n)
-            fresh[t, k] = True
-            t += n
-    return at, fresh
-
-
-def train_shard(net: Net, end: int, offs: np.ndarray, ids: np.ndarray, windows: int | None = None) -> Net:
-    """Truncated backpropagation with Adam over all windows of a group's texts, or
-    the first ``windows``. No more lanes than the longest text leaves full."""
-    full = len(ids) // max(int(np.diff(offs).max(initial=0)), 1) + 1
-    at, fresh = grid(offs, ids, lanes(offs, min(TRAIN_LANES, full)))
-    before = np.where(fresh, end, ids[np.maximum(at - 1, 0)])
+    order = np.array([d for lane in dealt for d in lane], np.int64)
+    ends = np.cumsum(size[order])
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(offs[:-1][order] - (ends - size[order]), size[order])
+    total = np.array([int(size[lane].sum()) for lane in dealt], np.int64)
+    begin = np.cumsum(total) - total
+    starts = np.zeros(len(place), bool)
+    starts[ends - size[order]] = True
+    for t in range(0, int(total.max(initial=0)), length):
+        n = int((total > t).sum())  # lanes lie by falling length
+        step = np.arange(t, min(t + length, int(total[0])))[:, None]
+        live = step < total[:n]
+        at = np.where(live, begin[:n] + step, 0)
+        yield np.where(live, place[at], -1), live & starts[at]
+
+
+def train_shard(net: Net, end: int, offs: np.ndarray, ids: np.ndarray, most: int | None = None) -> Net:
+    """Truncated backpropagation with Adagrad over all windows of a group's texts, or the
+    first ``most``. Texts over ``SEGMENT`` tokens are learned in segments side by
+    side, each with a state of its own, so that one long text does not leave the lanes empty."""
+    size = np.diff(offs)
+    parts = -(-size // SEGMENT)
+    first = np.cumsum(parts) - parts
+    cuts = np.append(np.repeat(offs[:-1], parts) + (np.arange(int(parts.sum())) - np.repeat(first, parts)) * SEGMENT, offs[-1])
+    opens = np.zeros(len(ids), bool)
+    opens[offs[:-1]] = True
     w = [a.astype(np.float32).copy() for a in net.weights()]
-    m, v = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w]
-    h = np.zeros((at.shape[1], HIDDEN), np.float32)
-    done = 0
-    for t in range(0, len(at), WINDOW):
-        if done == windows:
+    v = [np.full_like(a, 1e-8) for a in w]
+    net = Net(net.cls, net.first, *w)
+    h = np.zeros((0, HIDDEN), np.float32)
+    for done, (at, fresh) in enumerate(windows(cuts, lanes(cuts, TRAIN_LANES), WINDOW)):
+        if done == most:
             break
-        s = slice(t, t + WINDOW)
-        net = Net(net.cls, net.first, *w)
-        _, grads, h = net.gradients(before[s], ids[np.maximum(at[s], 0)], fresh[s], at[s] >= 0, h)
-        done += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
-        scale = min(1.0, 1.0 / (norm + 1e-9))
+        h = h[:at.shape[1]] if done else np.zeros((at.shape[1], HIDDEN), np.float32)
+        before = np.where((at < 0) | opens[at], end, ids[at - 1])
+        _, grads, h = net.gradients(before, ids[at], fresh, at >= 0, h)
+        touched = np.unique(before)
+        grads[0] = grads[0][touched]
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads))
+        scale = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
         for k, g in enumerate(grads):
+            rows = touched if k == 0 else slice(None)
             g = g * scale
-            m[k] += 0.1 * (g - m[k])
-            v[k] += 0.01 * (g * g - v[k])
-            w[k] -= RATE / np.sqrt(1 + done / 100) * (m[k] / (1 - 0.9 ** done)) / (np.sqrt(v[k] / (1 - 0.99 ** done)) + 1e-6)
-    return Net(net.cls, net.first, *w)
+            v[k][rows] += g * g
+            w[k][rows] -= np.float32(RATE) * g / np.sqrt(v[k][rows])
+    return net
 
 
 def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -252,11 +272,9 @@ def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.nda
     total = np.zeros(len(offs) - 1)
     if not len(ids):
         return total
-    at, fresh = grid(offs, ids, lanes(offs, LANES))
-    h = np.zeros((at.shape[1], HIDDEN), np.float32)
+    h = np.zeros((LANES, HIDDEN), np.float32)
     per_token = np.zeros(len(ids))
-    for t in range(0, len(at), 4 * WINDOW):
-        a, f = at[t:t + 4 * WINDOW], fresh[t:t + 4 * WINDOW]
+    for a, f in windows(offs, lanes(offs, LANES), 4 * WINDOW):
         before = np.where(f, end, ids[np.maximum(a - 1, 0)])
         states = np.empty((*a.shape, HIDDEN), np.float32)
         live = a >= 0
@@ -273,11 +291,14 @@ def score_texts(net: Net, end: int, offs: np.ndarray, ids: np.ndarray) -> np.nda
 
 
 def _groups(train: DataFrame) -> tuple[DataFrame, int]:
-    """(every row of ``train`` as text, turn, shard; groups of a round)"""
+    """(every row of ``train`` as text, turn, shard; groups of a round). A row's group
+    follows from its id, text and number among its copies, not from file splits."""
     size = train.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n")).first()["n"] or 0
     n = max(1, -(-size // (ROUNDS * GROUP_BYTES)))
-    row = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())  # repeated rows are dealt out too
-    return train.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("turn"), F.pmod(row, F.lit(n)).alias("shard")), n
+    copies = train.groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    rows = copies.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    return rows.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("turn"),
+                       F.pmod(F.xxhash64("copy", "doc_id", "text"), F.lit(n)).alias("shard")), n
 
 
 def _shard_step(net: Net, vocab: list[str], end: int):
@@ -304,12 +325,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree_sum(rows: DataFrame) -> tuple[int, np.ndarray | None]:
-    """Sum of all ``rows`` (n, w); the driver gets at most FAN_IN of them."""
+    """Sum of all ``rows`` (n, w); the driver gets one of them."""
+    rows.sparkSession.conf.set(common.ARROW_BATCH_CONF, str(common.ARROW_BATCH_BYTES))
     rows = common.store(rows.mapInArrow(_sums, "n long, w binary"), "weights")
-    while (n := rows.count()) > FAN_IN:
+    while (n := rows.count()) > 1:
         rows = common.store(rows.repartition(-(-n // FAN_IN)).mapInArrow(_sums, "n long, w binary"), "weights")
-    got = rows.collect()
-    return sum(r["n"] for r in got), sum(np.frombuffer(r["w"], "<f8") for r in got) if got else None
+    got = rows.first()
+    return (got["n"], np.frombuffer(got["w"], "<f8")) if got else (0, None)
 
 
 def fit(train: DataFrame, vocab: list[str], counts: np.ndarray, rare: float) -> tuple[Net, list[str]]:

@@ -154,12 +154,62 @@ def test_weights_are_summed_in_a_tree(spark):
     assert n == 19900 and w.tolist() == [19900.0, 200.0]
 
 
+def test_windows_hold_every_token_once():
+    """Lanes that have ended leave the windows; a lane's texts follow each other in order."""
+    rng = np.random.default_rng(4)
+    size = np.append(rng.integers(1, 40, 60), 900)
+    offs = np.concatenate([[0], np.cumsum(size)])
+    dealt = lm.lanes(offs, 16)
+    seen, starts, width = [[] for _ in dealt], [], []
+    for at, fresh in lm.windows(offs, dealt, 8):
+        width.append(at.shape[1])
+        starts += at[fresh].tolist()
+        for k in range(at.shape[1]):
+            seen[k] += at[:, k][at[:, k] >= 0].tolist()
+    assert [x for lane in seen for x in lane] == [x for lane in dealt for d in lane for x in range(offs[d], offs[d + 1])]
+    assert sorted(starts) == offs[:-1].tolist() and width[0] == 16 and width[-1] == 1
+    assert list(lm.windows(np.array([0]), [], 8)) == []
+
+
+def test_groups_do_not_follow_file_splits(spark):
+    rows = [(k % 300, f"a b{k % 7}") for k in range(900)] + [(1, "x")] * 50 + [(None, "a"), (3, None)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    deal = lambda df: sorted(map(str, lm._groups(df)[0].collect()))
+    assert deal(train.repartition(2)) == deal(train.repartition(7, "text")) and len(deal(train)) == len(rows)
+
+
+def test_score_follows_the_chain_rule(spark, monkeypatch):
+    """The whole query against a plain pass over each text with the fitted network."""
+    kept = []
+    real = lm.fit
+    monkeypatch.setattr(lm, "VOCABULARY", 12)
+    monkeypatch.setattr(lm, "fit", lambda *a: kept.append(real(*a)) or kept[-1])
+    docs = spark.createDataFrame([(k, k % 3 == 0, f"a b c{k % 5} d{k % 3} a x{k}") for k in range(60)] + [(70, True, "zz a q zz")], "doc_id long, held_out boolean, text string")
+    train = docs.where("not held_out").select("doc_id", "text")
+    got = {r.doc_id: r for r in lm.score(docs, train).collect()}
+    (net, vocab), = kept
+    c = Counter(t for r in train.collect() for t in _tokens(r.text))
+    own = [w or None for w in vocab]
+    rare_c, rare_v = sum(n for w, n in c.items() if w not in own), sum(w not in own for w in c)
+    end = own.index(None)
+    for r in docs.collect():
+        h, total, before = np.zeros((1, lm.HIDDEN), np.float32), 0.0, end
+        for w in _tokens(r.text):
+            k = own.index(w) if w in own else len(own)
+            h = net.step(np.array([before]), h)[0]
+            total += float(net.log_probs(h, np.array([k]))[0]) / math.log(10)
+            if k == len(own):
+                total += math.log10((c[w] + 1) / (rare_c + rare_v + 1))
+            before = k
+        assert math.isclose(got[r.doc_id].score, total, rel_tol=1e-4)
+
+
 def test_a_long_text_is_learned_to_its_end():
     net, order = lm.build(np.array([10.0, 10, 10, 10]), 1.0)
     start = np.full(8000, int(np.argsort(order)[0]))
     ids = np.concatenate([start, np.tile(np.argsort(order)[[1, 2]], 4000)])
     offs = np.array([0, len(ids)])
     after = lm.train_shard(net, 3, offs, ids)
-    cut = lm.train_shard(net, 3, offs, ids, 400)
+    cut = lm.train_shard(net, 3, np.array([0, 6400]), ids[:6400])  # the first 400 windows of one lane
     end = np.tile(np.argsort(order)[[1, 2]], 50)
     assert lm.score_texts(after, 3, np.array([0, 100]), end)[0] > 0.5 * lm.score_texts(cut, 3, np.array([0, 100]), end)[0]
