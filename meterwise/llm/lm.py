@@ -40,11 +40,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwise.operators.joins import split_by_keys
+
 from . import common
 
 END = ""  # the end token among the counted words; no word is empty
 HEAD = 100_000
-VOCABULARY, CLASSES, HIDDEN = 20_000, 160, 32
+VOCABULARY, CLASSES, HIDDEN = 8000, 96, 32
 ROUNDS = 2
 GROUP_BYTES = 8 << 20  # training text of a group in a round
 WINDOW, TRAIN_LANES = 16, 256
@@ -84,19 +86,20 @@ class Net:
 
     cls: np.ndarray  # class of each word, rare included
     first: np.ndarray  # first word of each class, then the number of words
-    x: np.ndarray  # (words, 3 * HIDDEN) input part of the gates: update, reset, new
-    u: np.ndarray  # (HIDDEN, 3 * HIDDEN)
+    e: np.ndarray  # (words, HIDDEN) a word as input
+    x: np.ndarray  # (HIDDEN, 3 * HIDDEN) from the input to the gates: update, reset, new
+    u: np.ndarray  # (HIDDEN, 3 * HIDDEN) from the state to the gates
     wc: np.ndarray
     bc: np.ndarray
     ww: np.ndarray  # (words, HIDDEN)
     bw: np.ndarray
 
     def weights(self) -> list[np.ndarray]:
-        return [self.x, self.u, self.wc, self.bc, self.ww, self.bw]
+        return [self.e, self.x, self.u, self.wc, self.bc, self.ww, self.bw]
 
     def step(self, word: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         k = HIDDEN
-        gx, gh = self.x[word], h @ self.u
+        gx, gh = self.e[word] @ self.x, h @ self.u
         zr = 1 / (1 + np.exp(-(gx[:, :2 * k] + gh[:, :2 * k])))
         z, r = zr[:, :k], zr[:, k:]
         new = np.tanh(gx[:, 2 * k:] + r * gh[:, 2 * k:])
@@ -122,7 +125,9 @@ class Net:
     def gradients(self, words: np.ndarray, targets: np.ndarray, fresh: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[float, list[np.ndarray], np.ndarray]:
         """One window (steps, lanes): (loss, gradients, last state)."""
         k, (steps, n_lanes) = HIDDEN, words.shape
-        x, keep = self.x[words], (~fresh[:, :, None]).astype(h.dtype)
+        word = words.ravel()
+        e = self.e[word]
+        x, keep = (e @ self.x).reshape(steps, n_lanes, 3 * k), (~fresh[:, :, None]).astype(h.dtype)
         kept = []
         flat = np.empty((steps, n_lanes, k), h.dtype)
         for t in range(steps):
@@ -140,9 +145,7 @@ class Net:
         live, of = live[by_class], of[by_class]
         target, state = targets.ravel()[live], flat.reshape(-1, k)[live]
         rows, n = np.arange(len(live)), max(len(live), 1)
-        p = state @ self.wc + self.bc
-        p = np.exp(p - p.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
+        p = soft_max(state @ self.wc + self.bc)
         loss = -np.log(p[rows, of] + 1e-30).sum()
         p[rows, of] -= 1
         gwc, gbc, gs = state.T @ p, p.sum(axis=0), p @ self.wc.T
@@ -153,9 +156,7 @@ class Net:
             a, z, i, j = first[c], first[c + 1], cut[c], cut[c + 1]
             if z - a > 1 and j > i:
                 own, at = rows[:j - i], target[i:j] - a
-                q = state[i:j] @ self.ww[a:z].T + self.bw[a:z]
-                q = np.exp(q - q.max(axis=1, keepdims=True))
-                q /= q.sum(axis=1, keepdims=True)
+                q = soft_max(state[i:j] @ self.ww[a:z].T + self.bw[a:z])
                 loss -= np.log(q[own, at] + 1e-30).sum()
                 q[own, at] -= 1
                 gww[a:z], gbw[a:z] = q.T @ state[i:j], q.sum(axis=0)
@@ -177,12 +178,19 @@ class Net:
             into[t, :, 2 * k:] *= r
             carry = (d * z + into[t] @ self.u.T) * keep[t]
         gu = np.concatenate([s[0] for s in kept]).T @ into.reshape(-1, 3 * k)
-        word = words.ravel()
-        order = np.argsort(word, kind="stable")
-        seen, start = np.unique(word[order], return_index=True)
-        gx = np.zeros_like(self.x)
-        gx[seen] = np.add.reduceat(at_x.reshape(-1, 3 * k)[order], start, axis=0)
-        return loss / n, [g / n for g in (gx, gu, gwc, gbc, gww, gbw)], h
+        at_x = at_x.reshape(-1, 3 * k)
+        by_word = np.argsort(word, kind="stable")
+        seen, start = np.unique(word[by_word], return_index=True)
+        ge = np.zeros_like(self.e)
+        ge[seen] = np.add.reduceat((at_x @ self.x.T)[by_word], start, axis=0)
+        return loss / n, [g / n for g in (ge, e.T @ at_x, gu, gwc, gbc, gww, gbw)], h
+
+
+def soft_max(x: np.ndarray) -> np.ndarray:
+    """Rows of ``x`` as probabilities, in place. Training only: logits beyond 60 count as 60."""
+    np.exp(np.clip(x, -60, 60, out=x), out=x)
+    x /= (x @ np.ones((x.shape[1], 1), x.dtype))
+    return x
 
 
 def build(counts: np.ndarray, rare: float) -> tuple[Net, np.ndarray]:
@@ -199,7 +207,7 @@ def build(counts: np.ndarray, rare: float) -> tuple[Net, np.ndarray]:
     per = np.add.reduceat(mass, first[:-1])
     rng = np.random.default_rng(SEED)
     f = np.float32
-    net = Net(cls, first, rng.normal(0, 0.1, (n + 1, 3 * HIDDEN)).astype(f), rng.normal(0, HIDDEN ** -0.5, (HIDDEN, 3 * HIDDEN)).astype(f),
+    net = Net(cls, first, rng.normal(0, 0.3, (n + 1, HIDDEN)).astype(f), *(rng.normal(0, HIDDEN ** -0.5, (HIDDEN, 3 * HIDDEN)).astype(f) for _ in range(2)),
               np.zeros((HIDDEN, len(per)), f), np.log(per / per.sum()).astype(f), np.zeros((n + 1, HIDDEN), f), np.log(mass).astype(f))
     return net, order
 
@@ -295,8 +303,12 @@ def _groups(train: DataFrame) -> tuple[DataFrame, int]:
     follows from its id, text and number among its copies, not from file splits."""
     size = train.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n")).first()["n"] or 0
     n = max(1, -(-size // (ROUNDS * GROUP_BYTES)))
-    copies = train.groupBy("doc_id", "text").agg(F.count("*").alias("n"))
-    rows = copies.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    keyed = train.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), F.xxhash64("text").alias("hash"))
+    repeated = keyed.groupBy("key", "hash").count().where("count > 1")
+    once, again = split_by_keys(keyed, repeated, ["key", "hash"])
+    copies = again.groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    rows = once.select("doc_id", "text", F.lit(1).cast("long").alias("copy")).union(
+        copies.select("doc_id", "text", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")))
     return rows.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("turn"),
                        F.pmod(F.xxhash64("copy", "doc_id", "text"), F.lit(n)).alias("shard")), n
 
