@@ -12,7 +12,9 @@ bit stay in the lead while there are enough of them, else they are chosen and
 the rest go on. Rows that tie at the boundary to the last slice are resolved by
 id. The scores of the chosen rows are their exact integer products.
 
-Scores and partial sums must fit 62 bits. The other cases are in ``vectors``.
+Sums of a query and a shard that might leave ``SAFE`` are not sliced but formed of
+exact integers; a score among the best that does not fit a long, or a component
+from 2^62 / 256 on, raises OverflowError. The other cases are in ``vectors``.
 """
 
 from __future__ import annotations
@@ -25,10 +27,23 @@ from . import common, vectors
 
 SCALE = 256
 SHARD, BLOCK = 8192, 256
+SAFE = 1 << 61  # bound on the sum over attributes of a factor times the shard's widest value
 
 
 def quantise(x: np.ndarray) -> np.ndarray:
-    return np.floor(x * SCALE).astype(np.int64)
+    v = np.floor(x * SCALE)
+    if v.size and np.abs(v).max() >= 2.0 ** 62:
+        raise OverflowError("a component times 256 does not fit 62 bits")
+    return v.astype(np.int64)
+
+
+def exact_best(ids: np.ndarray, v: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[list[int], list[int]]:
+    """(ids, scores) of the k best rows but ``own``, in integers of any size."""
+    score = (v.astype(object) * q.astype(object)).sum(axis=1)
+    at = sorted((r for r in range(len(ids)) if ids[r] != own), key=lambda r: (-score[r], ids[r]))[:k]
+    if any(abs(score[r]) >= 1 << 63 for r in at):
+        raise OverflowError("a score does not fit a long")
+    return ids[at].tolist(), [int(score[r]) for r in at]
 
 
 def bitmap(flags: np.ndarray) -> np.ndarray:
@@ -127,8 +142,15 @@ def find(row: dict, dim: int) -> tuple[list[int], list[int], list[int]]:
     slices = np.frombuffer(row["slices"], np.uint64).reshape(-1, words)
     first = np.cumsum(places) - places
     everyone = bitmap(np.ones(len(ids), bool))
+    widest = [2 * m for m in map(int, np.abs(v).max(axis=0, initial=0))]  # no value less the least one is wider
     out: tuple[list, list, list] = ([], [], [])
     for k, q in enumerate(qv):
+        if sum(m * abs(f) for m, f in zip(widest, q.tolist())) >= SAFE:
+            near, score = exact_best(ids, v, q, int(qid[k]), vectors.TOP)
+            out[0].extend([int(qid[k])] * len(near))
+            out[1].extend(near)
+            out[2].extend(score)
+            continue
         among = everyone.copy()
         own = int(np.searchsorted(ids, qid[k]))
         if own < len(ids) and ids[own] == qid[k]:

@@ -97,3 +97,38 @@ def test_edges(spark):
     assert {q for q, _ in top} == {0, 50, 300, 400}
     for empty in (df.where("false"), df.where("vec_id = 0"), df.where("vec_id = 3")):
         assert ann.neighbours(empty).collect() == [] and bitsliced.top_products(empty).collect() == []
+
+
+def test_several_shards_and_query_blocks(spark, monkeypatch):
+    """Best rows merged over many shards and blocks, ties and repeated vectors included."""
+    for of in (ann, bitsliced):
+        monkeypatch.setattr(of, "SHARD", 90)
+        monkeypatch.setattr(of, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 8))
+    x[300:340] = x[299]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    ids, v = np.arange(700), np.floor(256 * x).astype(np.int64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = sorted(map(tuple, bitsliced.top_products(df).collect()))
+    assert got == [(q, n + 1, int(a), int(v[a] @ v[q])) for q in range(0, 700, 50) for n, a in enumerate(_top(v @ v[q], ids, q))]
+    near = ann.neighbours(df).collect()
+    hit = sum(r.score >= np.sort(np.delete(unit @ unit[r.query_id], r.query_id))[-vectors.TOP] - 1e-9 for r in near)
+    assert len(near) == 14 * vectors.TOP and hit / len(near) >= 0.9
+
+
+def test_large_components(spark):
+    """Products beyond the slices' range stay exact; what no long holds raises."""
+    big = 3.0e6
+    rows = [(0, [big, -big, 1.0]), (1, [big, big, 0.5]), (2, [big, -big, 0.0]), (3, [-big, big, 2.0]), (4, [1.0, 0.0, 0.0])]
+    v = [[int(256 * c) for c in x] for _, x in rows]
+    want = sorted(((sum(a * b for a, b in zip(v[0], v[k])), k) for k in range(1, 5)), key=lambda t: (-t[0], t[1]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(bitsliced.top_products(df).collect(), key=lambda r: r["rank"])
+    assert [(r.score, r.vec_id) for r in got] == want
+    assert bitsliced.exact_best(np.arange(5), np.array(v), np.array(v[0]), 0, 5) == ([k for _, k in want], [s for s, _ in want])
+    huge = bitsliced.quantise(np.array([[1e16, 1.0], [1e16, 2.0]]))
+    with pytest.raises(OverflowError):
+        bitsliced.exact_best(np.arange(2), huge, huge[0], 0, 5)
+    with pytest.raises(OverflowError):
+        bitsliced.quantise(np.array([4e16]))
