@@ -5,13 +5,14 @@ A text's words are its lower-cased parts between white space, a shingle five of
 them in a row (the whole text if it has fewer). A shingle weighs tf * idf with
 idf = 2 + ln(N / df) / ln(N): smoothed, so that the text shared by a large group
 of near copies keeps its weight and the group its similarity. df is exact, over
-all documents, for the ``FREQUENT`` most frequent shingles; any other shingle counts
-as in one document (its idf would lie between theirs and that). No shingle in more
-than 2.2 x (shingles of all texts) / FREQUENT documents goes without its own df.
-
-1. One pass finds the frequent shingles by mergeable summaries, a second counts them
-   exactly; a third gives every document a 64-bit key of its words and its bands:
-   ROWS consistent weighted samples (Ioffe) per band.
+all documents, for every shingle. The sampling knows that of the ``FREQUENT`` most
+frequent ones, which fits a task; any other counts there as in one document (its idf
+would lie between theirs and that). Verified links know all: where the others decide
+whether a pair is similar enough, their own df is joined.
+
+1. One pass counts every shingle exactly, by buckets of their hashes; another gives
+   every document a 64-bit key of its words and its bands: ROWS consistent weighted
+   samples (Ioffe) per band.
 2. Documents of equal words are one class member from here on. Of the members
    that share a band value (a bucket) the one that shares most values with others
    leads, so a text leads its near copies; each member is verified against its
@@ -48,7 +49,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 EARLIER = 16
-FREQUENT = 1 << 18  # shingles with a document frequency of their own
+FREQUENT = 1 << 18  # shingles whose document frequency the sampling knows
+BUCKET_BYTES = 8 << 20  # of text, whose shingles one task counts, about
+HELD = 1 << 21  # shingles that a task sums before it hands them on
 IDF_BASE = 2.0
 SEED = 4
 CELLS = 1 << 16  # random triples of the sampling
@@ -103,13 +106,24 @@ class Idf(NamedTuple):
     hashes: np.ndarray  # ascending
     values: np.ndarray
     rest: float
+    texts: int
+    least: float = 1.0  # what the others weigh at least, as a part of ``rest``
 
     @classmethod
-    def of(cls, hashes: np.ndarray, df: np.ndarray, n: int) -> Idf:
-        """For document frequencies ``df`` of ``hashes`` among ``n`` documents; any other shingle counts as in one."""
+    def of(cls, hashes: np.ndarray, df: np.ndarray, n: int, most: int = 1) -> Idf:
+        """For document frequencies ``df`` of ``hashes`` among ``n`` documents; any other
+        shingle counts as in one, and is in ``most`` at most."""
         order = np.argsort(hashes)
-        scale = np.log(max(n, 2))
-        return cls(hashes[order], (IDF_BASE + np.log(n / df[order]) / scale).astype(np.float32), float(np.float32(IDF_BASE + np.log(max(n, 1)) / scale)))
+        one, low = (float(cls.weight(np.array([x]), n)[0]) for x in (1, min(most, max(n, 1))))
+        return cls(hashes[order], cls.weight(df[order], n), one, n, low / one)
+
+    @staticmethod
+    def weight(df: np.ndarray, n: int) -> np.ndarray:
+        return (IDF_BASE + np.log(max(n, 1) / df) / np.log(max(n, 2))).astype(np.float32)
+
+    def reached(self, threshold: float) -> float:
+        """The similarity by these weights that a pair has at least, which has ``threshold`` by exact ones."""
+        return threshold if self.least == 1 else self.least * threshold / (self.least * threshold + 1 - threshold)
 
 
 def _summary(hashes: np.ndarray, counts: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -124,45 +138,58 @@ def _summary(hashes: np.ndarray, counts: np.ndarray, bound: int) -> tuple[np.nda
     return h[n > cut], n[n > cut] - cut, cut
 
 
-def frequent_shingles(docs: DataFrame, bound: int = FREQUENT) -> np.ndarray:
-    """Ascending hashes of at most ``bound`` shingles, all those in more than 2.2 x
-    (shingles of all texts) / ``bound`` documents among them: each task keeps a
-    summary of ``bound`` shingles of all its texts, which are summed."""
+def shingle_counts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(``shingle, n``: in how many texts of ``docs`` (text) each shingle is, of all
+    shingles that are in two and more; the number of texts with words). Every shingle is
+    counted exactly: tasks hand sorted hashes on, dealt to buckets by their first bits,
+    and each bucket sums its own; it is bounded, as there are more for more texts."""
     docs.sparkSession.conf.set(common.ARROW_BATCH_CONF, str(common.ARROW_BATCH_BYTES))
+    size, n_texts = docs.agg(F.sum(F.octet_length("text")), F.count_if(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))).first()
+    bits = max(1, ((size or 0) // BUCKET_BYTES).bit_length())
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
+    def dealt(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(parts)
+        h.sort()
+        at = np.flatnonzero(np.append(True, h[1:] != h[:-1])[:len(h)])
+        h, n = h[at], np.diff(at, append=len(h))
+        once, more = n == 1, n > 1
+        blobs = [[x.tobytes() for x in np.split(v, np.searchsorted(by, bounds))] for v, by in ((h[once], h[once]), (h[more], h[more]), (n[more], h[more]))]
+        some = [b for b in range(1 << bits) if blobs[0][b] or blobs[1][b]]
+        return common.batch_of(bucket=pa.array(some, pa.int32()), **{c: pa.array([v[b] for b in some], pa.binary()) for c, v in zip(("once", "more", "n"), blobs)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        parts: list[np.ndarray] = []
         for batch in batches:
             for b in common.slices(batch):
-                h = shingles(b.column("text"))[1]
-                held, n, _ = _summary(np.concatenate([held, h]), np.concatenate([n, np.ones(len(h), np.int64)]), bound)
-        for a in range(0, len(held), 1 << 16):
-            yield common.batch_of(shingle=pa.array(held[a:a + (1 << 16)].view(np.int64)), n=pa.array(n[a:a + (1 << 16)]))
-    counts = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = common.most_frequent(common.store(counts, "counts"), "n", bound).select("shingle").toArrow()
-    return np.sort(top["shingle"].to_numpy().view(np.uint64))
+                parts.append(shingles(b.column("text"))[1])
+                if sum(map(len, parts)) > HELD:
+                    yield dealt(parts)
+                    parts = []
+        if parts:
+            yield dealt(parts)
+
+    def summed(bucket: pa.Table) -> pa.Table:
+        once, more, n = (np.frombuffer(b"".join(bucket.column(c).to_pylist()), t) for c, t in (("once", np.uint64), ("more", np.uint64), ("n", np.int64)))
+        h, total, _ = _summary(np.concatenate([once, more]), np.concatenate([np.ones(len(once), np.int64), n]), len(once) + len(more))
+        return pa.table({"shingle": pa.array(h[total > 1].view(np.int64)), "n": pa.array(total[total > 1])})
+    counts = docs.select("text").mapInArrow(run, "bucket int, once binary, more binary, n binary").groupBy("bucket").applyInArrow(summed, "shingle long, n long")
+    return common.store(counts, "counts"), n_texts
+
+
+def frequent(counts: DataFrame, n_texts: int, bound: int = FREQUENT) -> Idf:
+    """Weights of the ``bound`` most frequent shingles of ``shingle_counts``."""
+    top = common.most_frequent(counts, "n", bound).select("shingle", "n").toArrow()  # at most bound rows, about
+    n = top["n"].to_numpy()
+    # the others are in a step of most_frequent no higher than the least of these
+    most = int(np.ceil(n.min() * 2 ** (1 / 16))) if len(n) and counts.count() > len(n) else 1
+    return Idf.of(top["shingle"].to_numpy().view(np.uint64), n, n_texts, most)
 
 
 def document_frequencies(docs: DataFrame, bound: int = FREQUENT) -> Idf:
     """Weights by exact document frequencies over all ``docs`` (text) of their
     ``bound`` most frequent shingles; any other counts as in one document."""
-    top = frequent_shingles(docs, bound)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(len(top), np.int64), 0
-        for batch in batches:
-            for b in common.slices(batch):
-                _, h, _, per = shingles(b.column("text"))
-                n += int((per > 0).sum())
-                if len(top):
-                    at = np.minimum(np.searchsorted(top, h), len(top) - 1)
-                    total += np.bincount(at[top[at] == h], minlength=len(top))
-        at = np.flatnonzero(total)
-        yield common.batch_of(place=pa.array(np.append(at, -1), pa.int64()), n=pa.array(np.append(total[at], n), pa.int64()))
-    got = docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # at most bound + 1 rows
-    place, n = got["place"].to_numpy(), got["n"].to_numpy()
-    own = (place >= 0) & (n > 1)
-    return Idf.of(top[place[own]], n[own], int(n[place < 0].sum()))
+    return frequent(*shingle_counts(docs), bound)
 
 
 def _random_cells() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,6 +248,13 @@ def _weights(h: np.ndarray, tf: np.ndarray, idf: Idf) -> np.ndarray:
     return tf * own
 
 
+def _own(h: np.ndarray, idf: Idf) -> np.ndarray:
+    """Which of ``h`` have a weight of their own."""
+    if not len(idf.hashes):
+        return np.zeros(len(h), bool)
+    return idf.hashes[np.minimum(np.searchsorted(idf.hashes, h), len(idf.hashes) - 1)] == h
+
+
 def sketch(docs: DataFrame, idf: Idf, id_col: str = "doc_id") -> DataFrame:
     """``id_col, key, bands`` of every row of ``docs``; null key and bands without words."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -253,31 +287,71 @@ def similarity(a: tuple, b: tuple) -> float:
     return both / (float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - both)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
-    """``pairs`` (member, leader) with their similarity; ``texts``: key, text."""
-    left = texts.select(F.col("key").alias("member"), F.col("text"))
-    right = texts.select(F.col("key").alias("leader"), F.col("text").alias("other"))
-    joined = pairs.select("member", "leader").join(left, "member").join(right, "leader")
-
-    def weighed(keys: np.ndarray, t: pa.Array) -> tuple[list[tuple], list[int]]:
-        """(shingles of each distinct key's text, which of them each row has)"""
-        _, rep, inv = np.unique(keys, return_index=True, return_inverse=True)
-        out = []
-        for part in common.slices(common.batch_of(text=t.take(pa.array(rep)))):
-            offs, h, tf, _ = shingles(part.column("text"))
-            w = _weights(h, tf, idf)
-            out += [(h[x:y], w[x:y]) for x, y in zip(offs[:-1].tolist(), offs[1:].tolist())]
-        return out, inv.tolist()
+def _weighed(keys: np.ndarray, t: pa.Array, idf: Idf, known: pa.Array | None = None) -> tuple[list[tuple], list[int]]:
+    """(shingles and weights of each distinct key's text, which of them each row has);
+    ``known``: rows' [(shingle, document frequency)] of shingles without a weight of their own."""
+    _, rep, inv = np.unique(keys, return_index=True, return_inverse=True)
+    out: list[tuple] = []
+    for part in common.slices(common.batch_of(text=t.take(pa.array(rep)))):
+        offs, h, tf, _ = shingles(part.column("text"))
+        w = _weights(h, tf, idf)
+        for x, y in zip(offs[:-1].tolist(), offs[1:].tolist()):
+            if known is not None:
+                df = known[int(rep[len(out)])].as_py() or []
+                hashes = np.array([d["shingle"] for d in df], np.int64).view(np.uint64)
+                at = x + np.searchsorted(h[x:y], hashes)
+                w[at] = tf[at] * Idf.weight(np.array([d["n"] for d in df], np.int64), idf.texts)
+            out.append((h[x:y], w[x:y]))
+    return out, inv.tolist()
+
+
+def verify(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float = SIMILARITY, counts: DataFrame | None = None) -> DataFrame:
+    """``pairs`` (member, leader) with their similarity; ``texts``: key, text. Where it
+    depends on the document frequencies of shingles without a weight of their own
+    whether a pair reaches ``threshold``, these are taken from ``counts``, so that
+    every pair is on the side of ``threshold`` where exact weights put it."""
+    def ends(rows: DataFrame, texts: DataFrame) -> DataFrame:
+        for key, end in (("member", ""), ("leader", "_")):
+            rows = rows.join(texts.select(F.col("key").alias(key), *(F.col(c).alias(c + end) for c in texts.columns if c != "key")), key)
+        return rows
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        (mine, i), (theirs, k) = (weighed(b.column(c).to_numpy(), b.column(t)) for c, t in (("member", "text"), ("leader", "other")))
-        sim = [similarity(mine[x], theirs[y]) for x, y in zip(i, k)]
-        return common.batch_of(member=b.column("member"), leader=b.column("leader"), sim=pa.array(sim, pa.float64()))
-    return common.map_text(joined.select("member", "leader", "text", "other"), run, "member long, leader long, sim double", limit=common.ARROW_BATCH_BYTES)
-
-
-def links(members: DataFrame, docs: DataFrame, idf: Idf, threshold: float = SIMILARITY) -> DataFrame | None:
-    """Verified (member, leader, sim) among ``members`` (key, bands, rep); ``docs``: doc_id, text."""
+        (mine, i), (theirs, k) = (_weighed(b.column(c).to_numpy(), b.column(t), idf) for c, t in (("member", "text"), ("leader", "text_")))
+        sim = np.array([similarity(mine[x], theirs[y]) for x, y in zip(i, k)])
+        # the weight in common and apart changes by a factor between ``least`` and 1
+        low, high = (sim * p / (sim * p + (1 - sim) * q) for p, q in ((idf.least, 1), (1, idf.least)))
+        return common.batch_of(member=b.column("member"), leader=b.column("leader"), sim=pa.array(sim, pa.float64()),
+                               open=pa.array((low < threshold) & (high >= threshold - 1e-9) & (idf.least < 1)))
+    found = common.map_text(ends(pairs.select("member", "leader"), texts).select("member", "leader", "text", "text_"), run,
+                            "member long, leader long, sim double, open boolean", limit=common.ARROW_BATCH_BYTES)
+    if idf.least == 1 or counts is None:
+        return found.drop("open")
+    found = common.store(found, "told")
+    doubtful = found.where("open").select("member", "leader")
+    if doubtful.isEmpty():
+        return found.drop("open")
+    keys = doubtful.select(F.explode(F.array("member", "leader")).alias("key")).distinct()
+
+    def rest(b: pa.RecordBatch) -> pa.RecordBatch:
+        offs, h, _, _ = shingles(b.column("text"))
+        own = _own(h, idf)
+        at = np.concatenate([[0], np.cumsum(~own)])[offs]
+        return common.batch_of(key=b.column("key"), shingle=pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h[~own].view(np.int64))))
+    asked = common.store(texts.join(keys, "key", "left_semi"), "doubtful")
+    rare = common.map_text(asked, rest, "key long, shingle array<long>").select("key", F.explode("shingle").alias("shingle"))
+    known = rare.join(counts, "shingle").groupBy("key").agg(F.collect_list(F.struct("shingle", "n")).alias("known"))
+
+    def exact(b: pa.RecordBatch) -> pa.RecordBatch:
+        (mine, i), (theirs, k) = (_weighed(b.column(c).to_numpy(), b.column("text" + e), idf, b.column("known" + e)) for c, e in (("member", ""), ("leader", "_")))
+        return common.batch_of(member=b.column("member"), leader=b.column("leader"), sim=pa.array([similarity(mine[x], theirs[y]) for x, y in zip(i, k)], pa.float64()))
+    settled = common.map_text(ends(doubtful, asked.join(known, "key", "left")).select("member", "leader", "text", "text_", "known", "known_"), exact,
+                              "member long, leader long, sim double", limit=common.ARROW_BATCH_BYTES)
+    return found.where("not open").drop("open").unionByName(settled)
+
+
+def links(members: DataFrame, docs: DataFrame, idf: Idf, threshold: float = SIMILARITY, counts: DataFrame | None = None) -> DataFrame | None:
+    """Verified (member, leader, sim) among ``members`` (key, bands, rep); ``docs``:
+    doc_id, text; ``counts``: document frequencies of the shingles that have no weight in ``idf``."""
     rows = members.select("key", F.posexplode("bands").alias("band", "value"))
     shared = rows.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     groups = common.store(rows.join(shared, ["band", "value"]).select(F.xxhash64("band", "value").alias("bucket"), "key", "n"), "buckets")
@@ -289,14 +363,14 @@ def links(members: DataFrame, docs: DataFrame, idf: Idf, threshold: float = SIMI
     groups = common.store(groups.join(asked, "key").select("bucket", "key", "reach"), "groups")
     lead = groups.groupBy("bucket").agg(F.max(F.struct("reach", "key")).getField("key").alias("leader"))
     first = groups.join(lead, "bucket").where("key <> leader").select(F.col("key").alias("member"), "leader").distinct()
-    found = common.store(verify(first, texts, idf), "sims")
+    found = common.store(verify(first, texts, idf, threshold, counts), "sims")
     roots = common.store(roots_of(found.where(F.col("sim") >= threshold)), "roots")
     placed = _placed(groups, roots)
     several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     mixed = common.store(placed.join(several, "bucket").groupBy("key", "root").agg(F.collect_list("bucket").alias("buckets")), "mixed")
     if not mixed.isEmpty():
-        pairs = common.store(_unseen(candidates(mixed, texts, idf, threshold), found), "pairs")
-        found = found.unionByName(common.store(verify(pairs, texts, idf), "sims"))
+        pairs = common.store(_unseen(candidates(mixed, texts, idf, idf.reached(threshold)), found), "pairs")
+        found = found.unionByName(common.store(verify(pairs, texts, idf, threshold, counts), "sims"))
     return found.where(F.col("sim") >= threshold)
 
 
@@ -405,16 +479,18 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     return rows.join(kept, mark, "left_semi").select(*docs.columns)
 
 
-def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = SIMILARITY, bound: int = FREQUENT) -> DataFrame:
     """``doc_id, class_id, class_size`` of every row of ``docs`` (doc_id, text):
-    class_id is the least document id of the class, class_size its rows."""
+    class_id is the least document id of the class, class_size its rows. ``bound``:
+    how many shingles' weights the sampling knows; links are verified by those of all."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    idf = document_frequencies(docs)
+    counts, n_texts = shingle_counts(docs)
+    idf = frequent(counts, n_texts, bound)
     rows = common.store(sketch(docs, idf), "sketch")
     keyed = rows.where("key is not null")
     members = common.store(keyed.groupBy("key").agg(  # rows of a key have the same bands
         F.min(_id()).alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("bands").alias("bands")), "members")
-    found = links(members, docs, idf, threshold)
+    found = links(members, docs, idf, threshold, counts)
     if found is None:
         named = members.select("key", F.col("least").alias("class_id"), F.col("rows").alias("class_size"))
     else:

@@ -178,3 +178,27 @@ def test_survivor_does_not_depend_on_files(spark):
     kept = [sorted(map(tuple, N.keep_one(spark.createDataFrame(r, "doc_id long, text string").repartition(p)).collect()), key=str)
             for r, p in ((rows, 1), (rows[::-1], 3))]
     assert kept[0] == kept[1] and len(kept[0]) == 3 and any(r[0] == 4 for r in kept[0])
+
+
+def test_links_know_the_frequency_of_every_shingle(spark):
+    """A passage in most texts makes them similar only while its shingles count as rare."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{x}" for x in range(120))
+    texts = [passage + " " + " ".join(f"u{x}" for x in rng.integers(0, 1 << 40, 11)) for _ in range(40)]
+    texts += _variants(rng, 3, words=120, edits=1)
+    texts += [" ".join(f"v{x}" for x in rng.integers(0, 1 << 40, 60)) + " end of every other text here" for _ in range(17)]
+    rows = list(enumerate(texts))
+    want, exact = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = N.document_frequencies(docs, bound=2)
+    assert len(few.hashes) <= 2 < len(exact.hashes) and few.least < 1
+    for bound in (2, N.FREQUENT):
+        got = [(r.doc_id, r.class_id) for r in N.classes(docs, bound=bound).collect()]
+        assert sorted(got) == sorted(want)
+    assert len({c for _, c in want[:40]}) == 40
+
+
+def test_counting_hands_few_rows_on(spark):
+    docs = spark.createDataFrame([(f"a{k} b c d e f g h {k}",) for k in range(400)], "text string").repartition(40)
+    counts, n = N.shingle_counts(docs)
+    assert n == 400 and {r.n for r in counts.collect()} == {400} and counts.count() == 3
