@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from meterwise.session import unique_scratch
 
 MAX_BROADCAST_CONF = "spark.meterwise.broadcast.maxBytes"
-DEFAULT_MAX_BROADCAST = 64 << 20
+DEFAULT_MAX_BROADCAST = 8 << 20  # a run has some hundred such joins, and all their key sets pass the driver
 ROW_BYTES = 48  # of a broadcast row besides its texts: hash entry, pointers, fixed-width keys
 
 
@@ -38,7 +38,7 @@ def size_in_bytes(keys: DataFrame) -> int:
     return keys.agg(F.sum(per_row.cast("long"))).first()[0] or 0
 
 
-_BOUNDED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+_BOUNDED: dict[tuple, tuple[DataFrame, DataFrame, bool]] = {}
 
 
 def materialize(df: DataFrame, prefix: str = "keys") -> DataFrame:
@@ -60,18 +60,28 @@ def bounded(keys: DataFrame, on: Sequence[str], materialize: bool = True) -> Dat
     ``materialize=False`` when ``keys`` is already read from storage (measuring
     it is then a cheap scan and it is not recomputed by the join). The decision
     is remembered per key set, so a set used by several joins is measured once."""
+    return _measured(keys, on, materialize)[0]
+
+
+def is_small(keys: DataFrame, on: Sequence[str]) -> bool:
+    """Whether the distinct ``on`` columns of ``keys``, read from storage, are within the broadcast bound."""
+    return _measured(keys, on, False)[1]
+
+
+def _measured(keys: DataFrame, on: Sequence[str], materialize: bool) -> tuple[DataFrame, bool]:
     memo = (id(keys), tuple(on), materialize)
     hit = _BOUNDED.get(memo)
     if hit is not None and hit[0] is keys:
-        return hit[1]
+        return hit[1:]
     ks = keys.select(*on).distinct()
     if materialize:
         ks = materialize_df(ks)
-    out = F.broadcast(ks) if size_in_bytes(ks) <= max_broadcast_bytes(ks) else ks
+    small = size_in_bytes(ks) <= max_broadcast_bytes(ks)
+    out = F.broadcast(ks) if small else ks
     if len(_BOUNDED) > 64:
         _BOUNDED.clear()
-    _BOUNDED[memo] = (keys, out)
-    return out
+    _BOUNDED[memo] = (keys, out, small)
+    return out, small
 
 
 def filter_by_keys(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], how: str,
