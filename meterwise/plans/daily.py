@@ -35,7 +35,7 @@ from meterwise.operators import staging as G
 from meterwise.operators import upsert as U
 from meterwise.operators import warehouse as H
 from meterwise.operators import watermark as W
-from meterwise.operators.joins import filter_by_keys
+from meterwise.operators.joins import filter_by_keys, is_small
 from meterwise.plans import incremental
 from meterwise.plans.tables import TableStore
 from meterwise.sources.io import export_csv, import_csv
@@ -215,14 +215,22 @@ def merge_history(run: Run, table: str, delta: DataFrame, key: str, ts_col: str,
     touched = store.stage(f"{table}_months", delta.select(month.alias(S.MONTH)).union(hit.select(S.MONTH)).distinct())
     # one short row a calendar month: the other months are pruned when the join runs
     before = old.join(F.broadcast(touched), S.MONTH, "left_semi").drop(S.MONTH)
-    replaced = store.stage(f"{table}_replaced", filter_by_keys(before, delta, key, "left_semi", materialize=False))
-    merged = U.upsert_latest(before, delta, [key], order, materialized=True)
+    few = is_small(delta, [key])
+    if few:
+        replaced = store.stage(f"{table}_replaced", filter_by_keys(before, delta, key, "left_semi", materialize=False))
+        merged = U.upsert_latest(before, delta, [key], order, materialized=True)
+    else:  # one shuffle tells the old rows, the new ones and the winners apart
+        met = store.stage(f"{table}_met", U.ranked(before, delta.select(*before.columns), [key], order).drop(U.SIDE, U.ALONE))
+        of_delta = met.where(F.col(key).isNotNull() & (F.col(U.HIT) == 1))
+        replaced = of_delta.where(F.col(U.NEW) == 0).select(*before.columns)
+        merged = met.where(U.WINS).select(*before.columns)
     # the rebalance hint sizes the write tasks by bytes: a hot month is split over several
     now = run.put(table, merged.withColumn(S.MONTH, month).hint("rebalance", S.MONTH))
     lost = touched.join(now.select(S.MONTH).distinct(), S.MONTH, "left_anti").collect()  # rare: months without rows left
     run.emptied += [f"{table}/{r[0]}" for r in lost]
-    winners = filter_by_keys(now.drop(S.MONTH), delta, key, "left_semi", materialize=False)
-    return replaced, winners
+    if not few:
+        return replaced, of_delta.where(F.col(U.RANK) == 1).select(*before.columns)
+    return replaced, filter_by_keys(now.drop(S.MONTH), delta, key, "left_semi", materialize=False)
 
 
 def accumulate(run: Run, table: str, keys: list[str], delta: DataFrame, count: str) -> DataFrame:
