@@ -20,6 +20,7 @@ from meterwise.operators.joins import materialize
 SLICE_BYTES = 4 << 20  # text bytes handled at once by a Python worker: up to 100 bytes of arrays for each
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 ARROW_BATCH_BYTES = 16 << 20
+SIEVE_BITS = 1 << 26  # of a broadcast bit set, 8 MB
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -83,6 +84,21 @@ def hash_sample(ids: DataFrame, bound: int, salt: int, col: str = "doc_id") -> D
     return few.where(F.pmod(F.xxhash64(F.lit(salt), col), F.lit(1 << 40)) < F.lit(int(bound / n * (1 << 40))))
 
 
+def sieve(rows: DataFrame, keys: DataFrame, col: str, bound: int = SIEVE_BITS) -> DataFrame:
+    """The ``rows`` whose ``col`` is among that of ``keys`` (read from storage), and few
+    others: what a join with ``keys`` need not shuffle goes before it. A set of one bit
+    for each hash is broadcast, sixteen for each key and ``bound`` at most; with more
+    keys more rows pass, and the join stays right."""
+    bits = min(bound, max(1 << 12, 1 << (16 * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64(col), F.lit(bits))
+    word, mask = F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    every = rows.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))
+    words = keys.select(word.alias("word"), mask.alias("mask")).union(every).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    line = words.groupBy(F.shiftright("word", 6).alias("sieve_line")).agg(F.sort_array(F.collect_list(F.struct("word", "mask"))).getField("mask").alias("sieve_masks"))
+    of = F.get("sieve_masks", word.bitwiseAND(F.lit(63)).cast("int"))
+    return rows.join(F.broadcast(line), (F.shiftright(word, 6) == F.col("sieve_line")) & (of.bitwiseAND(mask) != 0)).select(*rows.columns)
+
+
 def most_frequent(counts: DataFrame, count: str, bound: int) -> DataFrame:
     """The rows of largest ``count``, as many whole steps of a sixteenth of a doubling
     as hold at most ``bound`` rows. Where the first step alone holds more (equal counts),

@@ -330,16 +330,16 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float = SIMI
     doubtful = found.where("open").select("member", "leader")
     if doubtful.isEmpty():
         return found.drop("open")
-    keys = doubtful.select(F.explode(F.array("member", "leader")).alias("key")).distinct()
+    keys = common.store(doubtful.select(F.explode(F.array("member", "leader")).alias("key")).distinct(), "keys")
 
     def rest(b: pa.RecordBatch) -> pa.RecordBatch:
         offs, h, _, _ = shingles(b.column("text"))
         own = _own(h, idf)
         at = np.concatenate([[0], np.cumsum(~own)])[offs]
         return common.batch_of(key=b.column("key"), shingle=pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h[~own].view(np.int64))))
-    asked = common.store(texts.join(keys, "key", "left_semi"), "doubtful")
-    rare = common.map_text(asked, rest, "key long, shingle array<long>").select("key", F.explode("shingle").alias("shingle"))
-    known = rare.join(counts, "shingle").groupBy("key").agg(F.collect_list(F.struct("shingle", "n")).alias("known"))
+    asked = common.store(common.sieve(texts, keys, "key").join(keys, "key", "left_semi"), "doubtful")
+    rare = common.store(common.map_text(asked, rest, "key long, shingle array<long>").select("key", F.explode("shingle").alias("shingle")), "rare")
+    known = rare.join(common.sieve(counts, rare, "shingle"), "shingle").groupBy("key").agg(F.collect_list(F.struct("shingle", "n")).alias("known"))
 
     def exact(b: pa.RecordBatch) -> pa.RecordBatch:
         (mine, i), (theirs, k) = (_weighed(b.column(c).to_numpy(), b.column("text" + e), idf, b.column("known" + e)) for c, e in (("member", ""), ("leader", "_")))
@@ -403,10 +403,12 @@ def candidates(mixed: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -
     each = held.select("key", "total", F.explode(F.arrays_zip("shingle", "weight")).alias("s")).select("key", "total", "s.shingle", "s.weight")
     each = common.store(each, "shingles")
     shared = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    order = Window.partitionBy("key").orderBy(F.coalesce("n", F.lit(1)), "shingle")
-    before = F.sum("weight").over(order) - F.col("weight")
-    head = (each.join(shared, "shingle", "left").withColumn("before", before)
-            .where(F.col("n").isNotNull() & (F.col("before") <= F.col("total") * (1 - threshold + 1e-6))).select("shingle", "key", "total", (F.col("total") - F.col("before")).alias("rest"),
+    # those of one text alone come first in the order: their weight is what the shared ones leave of the total
+    whole = Window.partitionBy("key")
+    order = whole.orderBy("n", "shingle")
+    rest = F.sum("weight").over(whole) - F.sum("weight").over(order) + F.col("weight")
+    head = (each.join(shared, "shingle").withColumn("rest", rest)
+            .where(F.col("rest") >= F.col("total") * (threshold - 1e-6)).select("shingle", "key", "total", "rest",
                     F.collect_list("shingle").over(order.rowsBetween(-EARLIER, -1)).alias("earlier")))
     head = common.store(head.join(mixed, "key"), "heads")
     other = head.select("shingle", *(F.col(c).alias(f"{c}_") for c in ("key", "total", "rest", "earlier", "root", "buckets")))
@@ -420,7 +422,7 @@ def _texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         same = [a == k for a, k in zip(_keys(b.column("text")), b.column("key").to_pylist())]
         return b.filter(pa.array(same, pa.bool_()))
-    joined = docs.select(_id().alias("rep"), "text").join(asked, "rep").select("key", "text")
+    joined = common.sieve(docs.select(_id().alias("rep"), "text"), asked, "rep").join(asked, "rep").select("key", "text")
     return common.map_text(joined, run, "key long, text string").dropDuplicates(["key"])
 
 

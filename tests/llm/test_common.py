@@ -47,3 +47,15 @@ def test_words():
     offs, codes, uniq = common.words(pa.array(["É é"]), "utf8")
     assert len(uniq) == 1
     assert common.segment_sum(np.array([1.0, 2, 3]), np.array([0, 0, 2, 3])).tolist() == [0, 3, 3]
+
+
+def test_sieve_keeps_every_key_and_few_others(spark):
+    rows = spark.range(60000).selectExpr("id AS k", "'x' AS text").union(spark.createDataFrame([(None, "n")], "k long, text string"))
+    keys = common.store(spark.createDataFrame([(k * 17 - 50,) for k in range(1000)] + [(None,), (86,)], "k long"), "keys")
+    got = common.sieve(rows, keys, "k")
+    assert got.columns == rows.columns
+    assert {r.k for r in got.join(keys, "k", "left_semi").collect()} == {17 * k - 50 for k in range(3, 1000)}
+    assert got.count() < 0.15 * rows.count()
+    full = common.sieve(rows, keys, "k", bound=64)  # more keys than bits: more rows pass, none is lost
+    assert full.join(keys, "k", "left_semi").count() == 997
+    assert common.sieve(rows, keys.where("false"), "k").count() == 0

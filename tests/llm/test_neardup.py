@@ -202,3 +202,18 @@ def test_counting_hands_few_rows_on(spark):
     docs = spark.createDataFrame([(f"a{k} b c d e f g h {k}",) for k in range(400)], "text string").repartition(40)
     counts, n = N.shingle_counts(docs)
     assert n == 400 and {r.n for r in counts.collect()} == {400} and counts.count() == 3
+
+
+def test_joins_get_few_rows_besides_those_they_look_up(spark, monkeypatch):
+    """Of the texts and of all shingles' frequencies, those in question."""
+    rng = np.random.default_rng(11)
+    passage = " ".join(f"p{x}" for x in range(120))
+    texts = [passage + " " + " ".join(f"u{x}" for x in rng.integers(0, 1 << 40, 14)) for _ in range(10)]  # similar enough or not, by the frequencies
+    rows = list(enumerate(texts + [" ".join(f"v{x}" for x in rng.integers(0, 1 << 40, 12)) for _ in range(1500)] * 2))
+    seen = []
+    real = N.common.sieve
+    monkeypatch.setattr(N.common, "sieve", lambda r, keys, col, **k: seen.append((col, r.count(), real(r, keys, col, **k).count())) or real(r, keys, col, **k))
+    got = [(r.doc_id, r.class_id) for r in N.classes(spark.createDataFrame(rows, "doc_id long, text string"), bound=2).collect()]
+    assert sorted(got) == sorted(brute(rows)[0])
+    assert [s for s in seen if s[0] == "rep"] and all(n == len(rows) and passed < 0.1 * n for col, n, passed in seen if col == "rep")
+    assert [s for s in seen if s[0] == "shingle"] and all(passed < 0.2 * n for col, n, passed in seen if col == "shingle")
