@@ -7,6 +7,7 @@ tasks and no task holds more than a slice of its partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +49,15 @@ def text_bytes(arr: pa.Array) -> pa.Array:
     return pc.fill_null(arr, "")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again by the next
+    stages, and what their allocators keep of earlier ones adds up on an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, col: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with at most ``limit`` text bytes (or one row)."""
     n = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
@@ -71,6 +81,7 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
+        give_back()
     return df.mapInArrow(run, schema)
 
 

@@ -34,7 +34,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -49,6 +48,7 @@ HEAD = 100_000
 VOCABULARY, CLASSES, HIDDEN = 8000, 96, 32
 ROUNDS = 2
 GROUP_BYTES = 8 << 20  # training text of a group in a round
+TOKEN_BYTES = 1 << 20  # of it that is cut into words at once
 WINDOW, TRAIN_LANES = 16, 256
 SEGMENT = 2048  # tokens of a training text learned as one lane's piece
 FAN_IN = 16  # weight rows averaged by a task of the tree; the driver gets one
@@ -315,12 +315,13 @@ def _groups(train: DataFrame) -> tuple[DataFrame, int]:
 
 def _shard_step(net: Net, vocab: list[str], end: int):
     """Trains ``net`` on a group; gives its tokens and weights times these."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = pdf.sort_values("text", kind="stable")
-        offs, codes, uniq = tokens(pa.array(part["text"], pa.string()))
-        ids = network_ids(uniq, vocab)[codes]
+    def run(group: pa.Table) -> pa.Table:
+        offs, ids = group_ids(group.sort_by("text").column("text"), vocab)
+        common.give_back()
         got = train_shard(net, end, offs, ids)
-        return pd.DataFrame({"n": [len(ids)], "w": [(np.concatenate([a.ravel() for a in got.weights()]).astype("<f8") * len(ids)).tobytes()]})
+        w = np.concatenate([a.ravel() for a in got.weights()]).astype("<f8") * len(ids)
+        common.give_back()
+        return pa.table({"n": pa.array([len(ids)], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
     return run
 
 
@@ -353,7 +354,7 @@ def fit(train: DataFrame, vocab: list[str], counts: np.ndarray, rare: float) ->
     end = vocab.index(END)
     rows, _ = _groups(train)
     for turn in range(ROUNDS):
-        part = rows.where(F.col("turn") == turn).groupBy("shard").applyInPandas(_shard_step(net, vocab, end), "n long, w binary")
+        part = rows.where(F.col("turn") == turn).select("shard", "text").groupBy("shard").applyInArrow(_shard_step(net, vocab, end), "n long, w binary")
         total, mean = _tree_sum(part)
         if not total:
             continue
@@ -371,6 +372,17 @@ def network_ids(uniq: pa.Array, vocab: list[str]) -> np.ndarray:
     return pc.fill_null(pc.index_in(uniq, value_set=pa.array(vocab, pa.string())), len(vocab)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def group_ids(texts: pa.ChunkedArray, vocab: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, network words) of a group's texts, cut into words a slice at a time."""
+    sizes, ids = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+    for chunk in texts.chunks:
+        for part in common.slices(common.batch_of(text=chunk), TOKEN_BYTES):
+            offs, codes, uniq = tokens(part.column("text"))
+            ids.append(network_ids(uniq, vocab).astype(np.int32)[codes])
+            sizes.append(np.diff(offs))
+    return np.cumsum(np.concatenate(sizes)), np.concatenate(ids)
+
+
 def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     """``docs`` (doc_id, held_out, text) scored by what ``train`` (doc_id, text) teaches."""
     counts = common.store(word_counts(train), "counts")
@@ -387,6 +399,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     base, rare = np.log10(n_all + v_all + 1), np.log10(rare_c + rare_v + 1)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        common.give_back()
         offs, codes, uniq = tokens(b.column("text"))
         n = b.num_rows
         ids = network_ids(uniq, vocab)

@@ -20,7 +20,6 @@ like any others. Empty input gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-import ctypes
 import zlib
 
 import numpy as np
@@ -47,19 +46,10 @@ def cut(total: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return doc, piece, start, np.where(piece == 0, head[doc], capacity)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: Python workers are used again by the next
-    stages, and what their allocators keep of earlier ones adds up on an executor."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
-    if trim:
-        trim(0)
-
-
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """The pieces of ``docs`` (doc_id, text) with the CRC-32 of their ids."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        give_back()
+        common.give_back()
         ids, offs = bpe.vocabulary(path or bpe.default_path()).encode(b.column("text"))
         n = np.diff(offs)
         doc, piece, start, length = cut(n + 1, capacity)

@@ -213,3 +213,24 @@ def test_a_long_text_is_learned_to_its_end():
     cut = lm.train_shard(net, 3, np.array([0, 6400]), ids[:6400])  # the first 400 windows of one lane
     end = np.tile(np.argsort(order)[[1, 2]], 50)
     assert lm.score_texts(after, 3, np.array([0, 100]), end)[0] > 0.5 * lm.score_texts(cut, 3, np.array([0, 100]), end)[0]
+
+
+def test_a_group_is_cut_into_words_a_slice_at_a_time(monkeypatch):
+    """The same network words as of the whole group; little memory besides them."""
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"W{x}" for x in rng.integers(0, 60000, 400)) for _ in range(1500)] + [None, "", " "]
+    vocab = [f"w{k}" for k in range(300)] + [lm.END]
+    offs, codes, uniq = lm.tokens(pa.array(texts, pa.string()))
+    want = lm.network_ids(uniq, vocab)[codes]
+    column = pa.chunked_array([pa.array(texts[:700], pa.string()), pa.array(texts[700:], pa.string())])
+    monkeypatch.setattr(lm, "TOKEN_BYTES", 1 << 18)
+    used = pa.total_allocated_bytes()
+    tracemalloc.start()
+    got_offs, ids = lm.group_ids(column, vocab)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got_offs, offs) and np.array_equal(ids, want) and ids.itemsize == 4
+    assert peak < 3 * ids.nbytes + (6 << 20) and pa.total_allocated_bytes() - used < 1 << 20
+    none_offs, none = lm.group_ids(pa.chunked_array([], pa.string()), vocab)
+    assert none_offs.tolist() == [0] and len(none) == 0
