@@ -132,8 +132,8 @@ def batch_of(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols)
 
 
-def words(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words between ASCII white space: (document offsets, word codes, distinct words).
+def split_words(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, pa.Array]:
+    """Words between ASCII white space: (document offsets, words).
 
     ``lower``: "ascii" lowers A-Z only, "utf8" every letter, "" none."""
     t = text_bytes(texts)
@@ -146,7 +146,13 @@ def words(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, np.ndarray
     offs = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())]).astype(np.int64)
     keep = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     offs = np.concatenate([[0], np.cumsum(keep)])[offs]
-    enc = flat.filter(pa.array(keep)).dictionary_encode()
+    return offs, flat.filter(pa.array(keep))
+
+
+def words(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(document offsets, word codes, distinct words), as ``split_words`` cuts them."""
+    offs, flat = split_words(texts, lower)
+    enc = flat.dictionary_encode()
     return offs, enc.indices.to_numpy().astype(np.int64), enc.dictionary.to_pylist()
 
 

@@ -234,3 +234,73 @@ def test_a_group_is_cut_into_words_a_slice_at_a_time(monkeypatch):
     assert peak < 3 * ids.nbytes + (6 << 20) and pa.total_allocated_bytes() - used < 1 << 20
     none_offs, none = lm.group_ids(pa.chunked_array([], pa.string()), vocab)
     assert none_offs.tolist() == [0] and len(none) == 0
+
+
+def _plain_log_probs(net, h, target):
+    """Class and word within the class, each softmax in double precision."""
+    h, out = h.astype(float), []
+    for state, w in zip(h, target):
+        c = net.cls[w]
+        a, z = net.first[c], net.first[c + 1]
+        outer, inner = state @ net.wc + net.bc, state @ net.ww[a:z].T + net.bw[a:z]
+        out.append(outer[c] - np.logaddexp.reduce(outer) + inner[w - a] - np.logaddexp.reduce(inner))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("scale", [1.0, 200.0])
+def test_blocks_of_classes_give_every_row_its_probability(net, monkeypatch, scale):
+    """Also with logits whose powers leave float32, and in blocks smaller than a class's rows."""
+    monkeypatch.setattr(lm, "BLOCK", 7)
+    rng = np.random.default_rng(6)
+    wide = lm.Net(net.cls, net.first, *net.weights()[:3], net.wc * np.float32(scale), net.bc, net.ww * np.float32(scale), net.bw)
+    h = rng.uniform(-1, 1, (300, lm.HIDDEN)).astype(np.float32)
+    target = rng.integers(0, len(net.cls), 300)
+    assert np.allclose(wide.log_probs(h, target), _plain_log_probs(wide, h, target), rtol=1e-4, atol=1e-3)
+
+
+def test_no_step_is_taken_without_clipping_where_a_logit_could_pass_60(net):
+    run = lm.Pass(net)
+    run.find_room()
+    room = run.room
+    assert room > 0 and run.bound() + room * lm.RATE * (lm.HIDDEN + 1) < 60
+    run.w[0, 0] = 3
+    run.find_room()
+    assert run.room == 0
+
+
+def test_few_lanes_take_long_windows():
+    """One long text among short ones: the tokens are all there, the windows few."""
+    size = np.array([3] * 40 + [20000])
+    offs = np.concatenate([[0], np.cumsum(size)])
+    seen = [at for at, _ in lm.windows(offs, lm.lanes(offs, lm.LANES), 32, 32 * lm.LANES)]
+    assert sorted(x for at in seen for x in at[at >= 0].tolist()) == list(range(offs[-1])) and len(seen) < 10
+
+
+def test_training_windows_use_their_arrays_again(monkeypatch):
+    """After the first windows a window leaves no more arrays behind, and asks for few new ones."""
+    import tracemalloc
+    counts = 1e6 / np.arange(10, 4010)
+    net, _ = lm.build(counts, 5000.0)
+    rng = np.random.default_rng(8)
+    offs = np.arange(0, 16 * lm.TRAIN_LANES * 8 + 1, 128)
+    ids = rng.choice(4000, offs[-1], p=counts / counts.sum())
+    peaks = []
+    real = lm.Pass.gradients
+
+    def gradients(self, *a):
+        tracemalloc.start()
+        out = real(self, *a)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return out
+    monkeypatch.setattr(lm.Pass, "gradients", gradients)
+    lm.train_shard(net, 0, offs, ids)
+    assert len(peaks) == 8 and np.median(peaks) < 3 << 20 < peaks[0]
+
+
+def test_words_are_cut_alike_with_and_without_codes():
+    texts = pa.array(["A b\x0bB", None, " ", "\u00c9 a", "  x  y "], pa.string())
+    from meterwise.llm import common
+    offs, flat = common.split_words(texts)
+    at, codes, words = common.words(texts)
+    assert offs.tolist() == at.tolist() == [0, 3, 3, 3, 5, 7] and flat.to_pylist() == [words[c] for c in codes]
