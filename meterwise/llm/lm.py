@@ -125,10 +125,10 @@ class Net:
 
     def gradients(self, words: np.ndarray, targets: np.ndarray, fresh: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[float, list[np.ndarray], np.ndarray]:
         """One window (steps, lanes): (loss, gradients, last state)."""
-        loss, n, seen, (e, x, u, c, w), h = Pass(self).gradients(words, targets, fresh, mask, h)
+        shares, n, seen, (e, x, u, c, w), h = Pass(self).gradients(words, targets, fresh, mask, h)
         ge = np.zeros_like(self.e)
         ge[seen] = e
-        return loss / n, [g / n for g in (ge, x, u, c[:-1], c[-1], w[:, :-1], w[:, -1])], h
+        return -np.log(np.concatenate(shares) + 1e-30).sum() / n, [g / n for g in (ge, x, u, c[:-1], c[-1], w[:, :-1], w[:, -1])], h
 
 
 class Space:
@@ -249,27 +249,27 @@ class Pass:
         return out
 
     def gradients(self, words: np.ndarray, targets: np.ndarray, fresh: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple:
-        """One window (steps, lanes): (loss, tokens, input words, gradients of these words'
-        inputs and of the other weights, last state), loss and gradients summed over tokens."""
+        """One window (steps, lanes): (probabilities of classes and of words in them, tokens, input words,
+        gradients of these words' inputs and of the other weights, last state), gradients summed over tokens."""
         k, (steps, n), space = HIDDEN, words.shape, self.space
         e, before, gates, new, after = self.forward(words, fresh, h.T)
         # output, tokens ordered by class
         live = np.flatnonzero(mask.ravel())
         live = live[np.argsort(self.key[targets.ravel()[live]], kind="stable")]
         target, state = targets.ravel()[live], self.states(after, live)
-        m, loss = len(live), 0.0
+        m, shares = len(live), [np.zeros(0)]
         gc, gs, gw = np.zeros_like(self.c), space("gs", m, k), space("gw", *self.w.shape)
         for at, p, start, hit in self.outer(state, self.cls[target]):
-            more, inverse = less_hits(p, start, hit, self.room < 1)
-            loss += more
+            share, inverse = less_hits(p, start, hit, self.room < 1)
+            shares.append(share)
             p = p.reshape(len(start), -1)
             gc += np.multiply(state[at], inverse, out=space("weighed", len(start), k + 1)).T @ p
             np.matmul(p, self.c[:k].T, out=gs[at])
             gs[at] *= inverse
         gw[:] = 0
         for rows, q, start, hit, parts in self.inner(state, target):
-            more, inverse = less_hits(q, start, hit, self.room < 1)
-            loss += more
+            share, inverse = less_hits(q, start, hit, self.room < 1)
+            shares.append(share)
             back = space("back", len(start), k)
             weighed = np.multiply(state[rows], inverse, out=space("weighed", len(start), k + 1))
             for at, own, part in parts:
@@ -321,7 +321,7 @@ class Pass:
         start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         ge = np.take(ge, order, axis=0, out=space("flat", len(order), k), mode="clip").view(np.result_type(ge, np.complex64))
         ge = np.add.reduceat(ge, start, axis=0).view(e.dtype)  # as complex numbers, two sums at a time
-        return loss, max(m, 1), word[start], [ge, gx, np.concatenate([gu[:, k:], gu[:, :k]], axis=1), gc, gw], after[-1].T
+        return shares, max(m, 1), word[start], [ge, gx, np.concatenate([gu[:, k:], gu[:, :k]], axis=1), gc, gw], after[-1].T
 
 
 def segment_sums(x: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -341,16 +341,17 @@ def log_shares(logits: np.ndarray, start: np.ndarray, hit: np.ndarray, most: flo
     return out - np.log(segment_sums(logits, start))
 
 
-def less_hits(logits: np.ndarray, start: np.ndarray, hit: np.ndarray, clip: bool) -> tuple[float, np.ndarray]:
+def less_hits(logits: np.ndarray, start: np.ndarray, hit: np.ndarray, clip: bool) -> tuple[np.ndarray, np.ndarray]:
     """In place of a flat array of logits, their gradients times each segment's sum of powers:
-    (loss, 1 / those sums as a column). Training only: logits beyond 60 count as 60, where ``clip``."""
+    (shares of the hits, 1 / those sums as a column). Training only: logits beyond 60 count as 60, where ``clip``."""
     if clip:
         np.clip(logits, -60, 60, out=logits)
     np.exp(logits, out=logits)
     total = segment_sums(logits, start)
     own = logits[hit]
     logits[hit] = own - total
-    return -float(np.log(own / total + 1e-30).sum()), (1 / total)[:, None]
+    inverse = 1 / total
+    return own * inverse, inverse[:, None]
 
 
 def build(counts: np.ndarray, rare: float) -> tuple[Net, np.ndarray]:
@@ -400,6 +401,10 @@ def windows(offs: np.ndarray, dealt: list[list[int]], length: int, tokens: int =
         n = int((total > t).sum())  # lanes lie by falling length
         step = np.arange(t, min(t + max(length, tokens // n), last))[:, None]
         t += len(step)
+        if total[n - 1] >= t:  # no lane ends within
+            at = begin[:n] + step
+            yield place[at], starts[at]
+            continue
         live = step < total[:n]
         at = np.where(live, begin[:n] + step, 0)
         yield np.where(live, place[at], -1), live & starts[at]
