@@ -2,9 +2,10 @@
 
 Rows are dealt by hash of their id to shards of bounded size; each shard becomes
 one row that holds its ids, vectors and whatever index a caller builds of them.
-Query rows form blocks likewise. Every (shard, query block) pair is one key of
-an equi-join, so that the pairs spread over all tasks, and yields a few rows per
-query; a window keeps the best ones over all shards.
+Query rows form blocks likewise. Every (shard, query block) pair yields a few rows
+per query, and a window keeps the best ones over all shards. The pairs are formed by
+tasks that each read some files of shards and some of query blocks: neither side is
+copied for the other in a shuffle or broadcast, whose size would be quadratic.
 
 Vectors that are null, empty, or hold null or non-finite components take no
 part, nor do rows without an id. Only vectors of one length are compared. Of
@@ -19,13 +20,14 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 EVERY = 50  # query ids are divisible by it
 TOP = 5
+FILES, FILE_ROWS = 64, 1 << 15  # shards are dealt to a file each up to FILES, and to one for every FILE_ROWS vectors if more
 
 
 def valid(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -36,11 +38,13 @@ def valid(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") ->
     return rows.groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec"))
 
 
-def blocks(rows: DataFrame, size: int, build: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], parts: str) -> DataFrame:
-    """One row per shard of about ``size`` vectors: dim, shard, shards (of that
-    dim) and the arrays named in ``parts`` that ``build(ids, vectors)`` makes."""
-    counts = rows.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("shards"))
-    dealt = rows.join(counts, "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
+def blocks(rows: DataFrame, size: int | Column, build: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], parts: str) -> DataFrame:
+    """One row per shard of about ``size`` vectors (which may depend on dim): dim, shard,
+    shards (of that dim) and the arrays named in ``parts`` that ``build(ids, vectors)`` makes."""
+    counts = rows.groupBy("dim").agg(F.count("*").alias("n"), F.ceil(F.count("*") / size).cast("int").alias("shards"))
+    n, shards = counts.agg(F.sum("n"), F.sum("shards")).first()
+    files = max(1, min(shards or 0, max(FILES, -(-(n or 0) // FILE_ROWS))))
+    dealt = rows.join(F.broadcast(counts.drop("n")), "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
     names = parts.split()
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -48,22 +52,21 @@ def blocks(rows: DataFrame, size: int, build: Callable[[np.ndarray, np.ndarray],
         made = build(pdf["vec_id"].to_numpy(np.int64), np.stack([np.asarray(v, np.float64) for v in pdf["vec"]]))
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "shards": [int(pdf["shards"].iloc[0])], **{n: [made[n].tobytes()] for n in names}})
     schema = "dim int, shard int, shards int, " + ", ".join(f"{n} binary" for n in names)
-    return dealt.select("dim", "shard", "shards", "vec_id", "vec").groupBy("dim", "shard").applyInPandas(run, schema)
+    # a broadcast row a dim; without it all vectors of a dim would meet in one task and file
+    dealt = dealt.select("dim", "shard", "shards", "vec_id", "vec").repartition(files, "dim", "shard")
+    return dealt.groupBy("dim", "shard").applyInPandas(run, schema)
 
 
 def search(shards: DataFrame, queries: DataFrame, find: Callable[[dict, int], tuple], score_type: str) -> DataFrame:
-    """Joins every shard with every query block and keeps each query's TOP rows.
+    """Meets every shard with every query block of its dim and keeps each query's TOP
+    rows. Both are read from storage, again by each task that needs them.
 
     ``find(row, dim)`` gets the binary columns (the query block's prefixed with q_)
     and returns (query ids, vec ids, scores)."""
-    q = queries.select("dim", F.col("shard").alias("block"), F.col("shards").alias("blocks"),
-                       *(F.col(c).alias(f"q_{c}") for c in queries.columns if c not in ("dim", "shard", "shards")))
-    n_blocks = q.groupBy("dim").agg(F.max("blocks").alias("blocks"))
-    n_shards = shards.groupBy("dim").agg(F.max("shards").alias("shards"))
-    left = shards.drop("shards").join(n_blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    right = q.drop("blocks").join(n_shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    pairs = left.join(right, ["dim", "shard", "block"])
-    names = [c for c in pairs.columns if c not in ("dim", "shard", "block")]
+    left, right = (df.drop("shard", "shards") for df in (shards, queries))
+    right = right.select(*(F.col(c).alias(f"q_{c}") for c in right.columns))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), F.col("dim") == F.col("q_dim")).drop("q_dim")
+    names = [c for c in pairs.columns if c != "dim"]
     kind = pa.float64() if score_type == "double" else pa.int64()
 
     def run(batches):

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from meterwise.llm import ann, bitsliced, vectors
 
@@ -132,3 +133,53 @@ def test_large_components(spark):
         bitsliced.exact_best(np.arange(2), huge, huge[0], 0, 5)
     with pytest.raises(OverflowError):
         bitsliced.quantise(np.array([4e16]))
+
+
+def test_pairs_are_not_copied(spark):
+    """No side is broadcast or shuffled once for each block of the other: either is quadratic
+    in the input, and a broadcast passes the driver."""
+    df = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(120)], "vec_id long, embedding array<double>")
+    for top in (bitsliced.top_products, ann.neighbours):
+        plan = top(df)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan
+        below = plan[plan.index("MapInArrow"):]
+        assert not any(k in below for k in ("Broadcast", "Exchange", "Generate"))
+
+
+def test_shards_of_one_length_are_spread(spark):
+    """Vectors of one length do not all meet in one task and file."""
+    df = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(1000)], "vec_id long, embedding array<double>")
+    made = vectors.blocks(vectors.valid(df), 50, bitsliced.build, "ids v places slices").withColumn("part", F.spark_partition_id()).collect()
+    assert [(r.dim, r.shards) for r in made] == [(2, 20)] * 20 and len({r.part for r in made}) > 5
+    assert sorted(np.concatenate([np.frombuffer(r.ids, np.int64) for r in made])) == list(range(1000))
+
+
+def test_long_vectors_have_smaller_shards(spark, monkeypatch):
+    monkeypatch.setattr(bitsliced, "VALUES", 1000)
+    x = np.random.default_rng(4).normal(scale=300, size=(260, 40))
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())] + [(1000, [1.0]), (1001, [2.0])], "vec_id long, embedding array<double>")
+    ids, v = np.arange(260), np.floor(256 * x).astype(np.int64)
+    want = [(q, n + 1, int(a), int(v[a] @ v[q])) for q in range(0, 260, 50) for n, a in enumerate(_top(v @ v[q], ids, q))]
+    assert sorted(map(tuple, bitsliced.top_products(df).collect())) == [*want, (1000, 1, 1001, 256 * 512)]
+
+
+@pytest.mark.parametrize("most, kind", [(127, np.int8), (128, np.int16), (32768, np.int32), (1 << 31, np.int64)])
+def test_narrow(most, kind):
+    v = np.array([[most, -most, 0], [1, 2, 3]])
+    made = bitsliced.narrow(v)
+    assert made.dtype == kind and (bitsliced.vectors_of(made.tobytes(), 2, 3) == v).all()
+    assert (bitsliced.narrow(-v - 1) == -v - 1).all()
+
+
+def test_slices_at_all_places():
+    """Factors and values of up to 29 bits, of both signs, in one adder for all queries."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(-1 << 29, 1 << 29, (130, 5)) >> rng.integers(0, 29, (130, 5))
+    made = bitsliced.build(np.arange(130), x / 256)
+    first, adder = np.cumsum(made["places"]) - made["places"], bitsliced.Adder(made["slices"].shape[1])
+    signed = np.concatenate([made["slices"], ~made["slices"]])
+    for q in [np.zeros(5, int), *(rng.integers(-1 << 29, 1 << 29, (40, 5)) >> rng.integers(0, 29, (40, 5)))]:
+        total = adder.add(signed, *bitsliced.terms(q, made["places"], first))
+        sums = sum((np.unpackbits(s.view(np.uint8), bitorder="little")[:130].astype(object) << k for k, s in enumerate(total)), np.zeros(130, object))
+        want = (x.astype(object) * q.astype(object)).sum(axis=1)
+        assert (sums - sums[0] == want - want[0]).all()
