@@ -27,7 +27,7 @@ from . import common
 
 EVERY = 50  # query ids are divisible by it
 TOP = 5
-FILES, FILE_ROWS = 64, 1 << 15  # shards are dealt to a file each up to FILES, and to one for every FILE_ROWS vectors if more
+FILES, FILE_VALUES = 64, 1 << 21  # shards are dealt to a file each up to FILES, and to one for every FILE_VALUES components if more
 
 
 def valid(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -42,8 +42,8 @@ def blocks(rows: DataFrame, size: int | Column, build: Callable[[np.ndarray, np.
     """One row per shard of about ``size`` vectors (which may depend on dim): dim, shard,
     shards (of that dim) and the arrays named in ``parts`` that ``build(ids, vectors)`` makes."""
     counts = rows.groupBy("dim").agg(F.count("*").alias("n"), F.ceil(F.count("*") / size).cast("int").alias("shards"))
-    n, shards = counts.agg(F.sum("n"), F.sum("shards")).first()
-    files = max(1, min(shards or 0, max(FILES, -(-(n or 0) // FILE_ROWS))))
+    values, shards = counts.agg(F.sum(F.col("n") * F.col("dim")), F.sum("shards")).first()
+    files = max(1, min(shards or 0, max(FILES, -(-(values or 0) // FILE_VALUES))))
     dealt = rows.join(F.broadcast(counts.drop("n")), "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
     names = parts.split()
 
@@ -52,7 +52,7 @@ def blocks(rows: DataFrame, size: int | Column, build: Callable[[np.ndarray, np.
         made = build(pdf["vec_id"].to_numpy(np.int64), np.stack([np.asarray(v, np.float64) for v in pdf["vec"]]))
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "shards": [int(pdf["shards"].iloc[0])], **{n: [made[n].tobytes()] for n in names}})
     schema = "dim int, shard int, shards int, " + ", ".join(f"{n} binary" for n in names)
-    # a broadcast row a dim; without it all vectors of a dim would meet in one task and file
+    # a broadcast row a dim, and files by shard: else all vectors of a dim may meet in one task and file, which a reader holds whole
     dealt = dealt.select("dim", "shard", "shards", "vec_id", "vec").repartition(files, "dim", "shard")
     return dealt.groupBy("dim", "shard").applyInPandas(run, schema)
 
